@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 from tempfile import mkdtemp
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1 << 16
@@ -81,15 +81,28 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach: ``spark.checkpoint.dir``. Only a local session may go without it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = mkdtemp(prefix="spark-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    """Reliable checkpoint, so a lost executor never replays a long iteration."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = mkdtemp(prefix="spark-ckpt-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back: phases hand over tables, with known sizes and prunable columns."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/docloom-{spark.sparkContext.applicationId}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -3,9 +3,8 @@
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.functions.ordering import cut_lineage
 from docloom.operators import batching, segment, sections
-from docloom.plans.fixtures import Dialect, add_table, fixture, oracle, pad, source
+from docloom.plans.fixtures import Dialect, add_table, fixture, oracle, pad, source, stage
 from docloom.sources import corpus, html
 
 QUERIES, ORACLES = {}, {}
@@ -50,7 +49,7 @@ def read_corpus(spark, sf):
 
 
 def graph_tables_of(spark, sf):
-    units = segment.heading_context(fixture(spark, sf, "fx_units").withColumn("level", F.when(F.col("kind") == "heading", F.col("lvl"))))
+    units = units_with_context(spark, sf)
     return {"units": units.select("doc_id", "unit_ord", "unit_id", "kind", "text", "start_line", "end_line", "context"),
             "nodes": fixture(spark, sf, "fx_nodes", "doc_id, node_ord, node_id, kind, text, need, gap_type, origin, coverage_fallback"),
             "node_units": fixture(spark, sf, "fx_node_units"), "node_concepts": fixture(spark, sf, "fx_node_concepts"),
@@ -59,7 +58,7 @@ def graph_tables_of(spark, sf):
 
 def nested_graph(spark, sf):
     """The exported nested form parsed back from its JSON text."""
-    nested = cut_lineage(corpus.export_graph(graph_tables_of(spark, sf)))
+    nested = stage(spark, sf, "nested_graph", lambda: corpus.export_graph(graph_tables_of(spark, sf)))
     row = nested.select("doc_id", F.to_json(F.struct(*[c for c in nested.columns if c != "doc_id"])).alias("_j"))
     return row.select("doc_id", F.from_json("_j", corpus.GRAPH_SCHEMA).alias("_g")).select("doc_id", "_g.*")
 
@@ -231,13 +230,18 @@ add_table("fx_uctx", lambda d: f"select * from ({_context_sql('fx_units')})")
 
 
 def units_with_context(spark, sf):
+    """Units with heading paths, handed over as a table to the later phases."""
+    return stage(spark, sf, "units_with_context", lambda: fresh_context(spark, sf))
+
+
+def fresh_context(spark, sf):
     units = fixture(spark, sf, "fx_units").withColumn("level", F.when(F.col("kind") == "heading", F.col("lvl")))
     return segment.heading_context(units)
 
 
 @query("heading_context", "select doc_id, unit_id, array_to_string(context, ' / ') as context from fx_uctx")
 def heading_context(spark, sf):
-    return units_with_context(spark, sf).select("doc_id", "unit_id", F.array_join("context", " / ").alias("context"))
+    return fresh_context(spark, sf).select("doc_id", "unit_id", F.array_join("context", " / ").alias("context"))
 
 
 def _pack_sql(rows, limit, keys="doc_id"):

@@ -8,9 +8,12 @@ same rows. Every table is a row-local projection of ``documents`` lines or an eq
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docloom.functions.ordering import staged
+
 
 class Dialect:
     def __init__(self, name: str, sf_dir: str = ""):
@@ -244,8 +247,31 @@ def oracle(sql: str) -> str:
     return with_tables(sql, Dialect("duckdb"))
 
 
+_STAGED: dict[tuple, str] = {}
+
+
+def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table ``build`` yields, written once per session and corpus and read back by every later query."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGED:
+        _STAGED[key] = staged(build(), f"{sf_dir.strip('/').replace('/', '-')}/{name}").inputFiles()[0].rsplit("/", 1)[0]
+    return spark.read.parquet(_STAGED[key])
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str, columns: str = "*") -> DataFrame:
-    return spark.sql(with_tables(f"select {columns} from {name}", Dialect("spark", sf_dir)))
+    """A derived table; the tables it builds on are staged first, so its own plan stays one step long."""
+    def build():
+        dialect = Dialect("spark", sf_dir)
+        text = TABLES[name](dialect)
+        ctes = []
+        for other in dict.fromkeys(re.findall(r"\bfx_\w+", text)):
+            if other in TABLES:
+                fixture(spark, sf_dir, other)
+                path = _STAGED[(spark.sparkContext.applicationId, sf_dir, other)]
+                ctes.append(f"{other} as (select * from parquet.`{path}`)")
+        return spark.sql(f"with {', '.join(ctes)} {text}" if ctes else text)
+    df = stage(spark, sf_dir, name, build)
+    return df if columns == "*" else df.select(*[c.strip() for c in columns.split(",")])
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
