@@ -74,7 +74,9 @@ def _rank_class(keys):
 def _rank_small(rows: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
     types = dict(rows.dtypes)
     ddl = ", ".join(f"{k} {types[k]}" for k in keys)
-    return (rows.select(*keys, "idx").groupBy(*keys).cogroup(edges.select(*keys, "src_idx", "dst_idx").groupBy(*keys))
+    # Both sides come from the same records; fresh names keep Spark from mistaking one side's key for the other's.
+    edges = edges.select(*[F.col(k).alias(k) for k in keys], "src_idx", "dst_idx")
+    return (rows.select(*keys, "idx").groupBy(*keys).cogroup(edges.groupBy(*keys))
             .applyInPandas(_rank_class(keys), f"{ddl}, idx bigint, rank bigint"))
 
 

@@ -310,6 +310,17 @@ def topological_order(spark, sf):
     return od.topological_order(built(spark, sf)[0], fixture(spark, sf, "fx_deps"))
 
 
+# One record per step: the smallest index whose predecessors have all left; what never leaves follows in order.
+ORACLES["topological_order"] = "with recursive " + oracle("""with p as (select t.doc_id, t.chapter, t.record_id, t.record_ord as idx, coalesce(list_distinct(list(s.record_ord) filter (where s.record_ord is not null)), []) as preds
+      from fx_teach t left join fx_deps d on d.doc_id = t.doc_id and d.dst = t.record_id and d.src <> d.dst
+      left join fx_teach s on s.doc_id = d.doc_id and s.record_id = d.src and s.chapter = t.chapter group by t.doc_id, t.chapter, t.record_id, t.record_ord),
+    walk as (select distinct doc_id, chapter, cast([] as bigint[]) as gone, cast(0 as bigint) as n from p
+      union all select w.doc_id, w.chapter, list_append(w.gone, min(p.idx)), w.n + 1 from walk w join p on p.doc_id = w.doc_id and p.chapter = w.chapter
+      where not list_contains(w.gone, p.idx) and list_has_all(w.gone, p.preds) group by w.doc_id, w.chapter, w.gone, w.n)
+    select p.doc_id, p.chapter, p.record_id, row_number() over (partition by p.doc_id, p.chapter order by case when list_contains(gone, idx) then list_position(gone, idx) else 1000000 + idx end) as pos
+    from p join (select doc_id, chapter, max_by(gone, n) as gone from walk group by doc_id, chapter) w using (doc_id, chapter)""").lstrip()[5:]
+
+
 add_table("fx_section_order", lambda d: "select doc_id, chapter, row_number() over (partition by doc_id order by min(record_ord)) as pos from fx_teach group by doc_id, chapter")
 
 
