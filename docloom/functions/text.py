@@ -141,12 +141,19 @@ _NOT_PROSE_AFTER_COLLAPSE = r"\A(?:#{1,6} |[-*+] |\d+\. |>|```|\$\$|\\\[|\||<!--
 _KEEP_WHOLE = rf"\A(?:#{{1,6}}{WS}|[-*+]{WS}|\d+\.{WS}|>|```|\$\$|\||<!--)"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once; inside lambdas Spark shares no common subexpressions."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def is_dense_block(col: Column) -> Column:
     """A prose block with >=35 words in >=4 sentences, or >=90 words with any sentence end."""
-    text = collapse_ws(col)
-    words, sentences = word_count(text), sentence_count(text)
-    return ((text != "") & ~text.rlike(_NOT_PROSE_AFTER_COLLAPSE) & (sentences > 0)
-            & (((words >= 35) & (sentences >= 4)) | (words >= 90)))
+    def judge(text):
+        counts = F.named_struct(F.lit("words"), word_count(text), F.lit("sentences"), sentence_count(text))
+        dense = let(counts, lambda c: (c["sentences"] > 0) & (((c["words"] >= 35) & (c["sentences"] >= 4)) | (c["words"] >= 90)))
+        return (text != "") & ~text.rlike(_NOT_PROSE_AFTER_COLLAPSE) & dense
+    # 35 words need at least 69 characters, so short blocks are settled without any counting.
+    return F.when(F.length(col) < 69, F.lit(False)).otherwise(let(collapse_ws(col), judge))
 
 
 def is_kept_whole(col: Column) -> Column:

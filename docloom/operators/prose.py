@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.text import (NON_WS, blocks_of, collapse_ws, dense_block_count, is_blank, is_dense_block, is_kept_whole, sentence_count,
+from docloom.functions.text import (NON_WS, blocks_of, collapse_ws, dense_block_count, is_blank, is_dense_block, is_kept_whole, let, sentence_count,
                                     split_sentences, text_length, trim_ws, word_count)
 from docloom.operators.annotate import issue_ids
 from docloom.operators.overlay import exact_cover
@@ -29,7 +29,9 @@ def _groups(sentences: Column) -> Column:
 
     def add(state, sentence):
         joined = F.concat(state["open"], F.lit(" "), sentence)
-        full = (state["n"] > 0) & ((state["n"] >= 2) | (word_count(joined) > 55))
+        return let((state["n"] > 0) & ((state["n"] >= 2) | (word_count(joined) > 55)), lambda full: step(state, sentence, joined, full))
+
+    def step(state, sentence, joined, full):
         return F.struct(
             F.when(full, F.array_append(state["done"], state["open"])).otherwise(state["done"]).alias("done"),
             F.when(full | (state["n"] == 0), sentence).otherwise(joined).alias("open"),
@@ -39,18 +41,16 @@ def _groups(sentences: Column) -> Column:
 
 def _split_block(block: Column) -> Column:
     keep = F.struct(block.alias("text"), F.lit(0).alias("splits"))
-    groups = _groups(split_sentences(block))
-    made = F.element_at(F.transform(F.array(groups), lambda g: F.when(F.size(g) >= 2, F.struct(
-        F.array_join(g, "\n\n").alias("text"), (F.size(g) - 1).alias("splits"))).otherwise(keep)), 1)
+    made = let(_groups(split_sentences(block)), lambda g: F.when(F.size(g) >= 2, F.struct(
+        F.array_join(g, "\n\n").alias("text"), (F.size(g) - 1).alias("splits"))).otherwise(keep))
     return F.when(is_dense_block(block) & ~is_kept_whole(block), made).otherwise(keep)
 
 
 def split_dense_text(text: Column) -> Column:
     """Struct (text, splits): dense blocks cut at sentence ends, everything else untouched."""
-    done = F.transform(blocks_of(text), _split_block)
-    return F.element_at(F.transform(F.array(done), lambda b: F.struct(
+    return let(F.transform(blocks_of(text), _split_block), lambda b: F.struct(
         F.concat(trim_ws(F.array_join(F.transform(b, lambda x: x["text"]), "\n\n")), F.lit("\n")).alias("text"),
-        F.aggregate(b, F.lit(0), lambda total, x: total + x["splits"]).cast("bigint").alias("splits"))), 1)
+        F.aggregate(b, F.lit(0), lambda total, x: total + x["splits"]).cast("bigint").alias("splits")))
 
 
 def split_dense_prose(documents: DataFrame) -> DataFrame:
@@ -68,7 +68,8 @@ def prose_split_report(documents: DataFrame) -> DataFrame:
 
 def dense_sections(section_documents: DataFrame) -> DataFrame:
     """Section documents that still hold dense blocks: the rewrite targets."""
-    return section_documents.withColumn("dense", dense_block_count(F.col("text")).cast("bigint")).filter("dense > 0")
+    # The one-row explode keeps the count from being evaluated once for the filter and once for the output.
+    return section_documents.withColumn("dense", F.explode(F.array(dense_block_count(F.col("text")).cast("bigint")))).filter("dense > 0")
 
 
 def validate_replacements(items: DataFrame, dense_blocks: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -76,7 +77,7 @@ def validate_replacements(items: DataFrame, dense_blocks: DataFrame, documents:
     least two non-blank paragraphs that are not dense themselves, and a document less dense than before."""
     ok = ((F.size("paragraphs") >= 2) & F.forall("paragraphs", lambda p: ~is_blank(p)) & F.forall("paragraphs", lambda p: dense_block_count(p) == 0))
     accepted, issues = exact_cover(items, dense_blocks, ["doc_id"], "block", ok)
-    before = documents.select("doc_id", dense_block_count(F.col("text")).alias("_a"))
+    before = dense_blocks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_a"))
     after = apply_replacements(documents.join(accepted.select("doc_id").distinct(), "doc_id", "left_semi"), accepted).select("doc_id", dense_block_count(F.col("text")).alias("_b"))
     better = before.join(after, "doc_id").filter("_b < _a").select("doc_id")
     return accepted.join(better, "doc_id", "left_semi"), issues

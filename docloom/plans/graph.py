@@ -69,7 +69,7 @@ add_table("fx_new_gaps", lambda d: f"""select *, {pad('n', 'no', 7)} as gap_id f
 add_table("fx_gap_of", lambda d: """select doc_id, concept, seen, gap_id, true as generated from fx_new_gaps
     union all select c.doc_id, c.concept, c.seen, min_by(m.node_id, m.node_ord), false from fx_concepts c join fx_members m on m.doc_id = c.doc_id and m.concept = c.concept and m.role = 'fills'
     where c.defined_by = 0 and c.required_by > 0 group by c.doc_id, c.concept, c.seen""")
-add_table("fx_reconciled", lambda d: """select doc_id, src, dst, relation, min_by(origin, o) as origin, min_by(concept, o) as concept from (
+add_table("fx_reconciled", lambda d: """select doc_id, src, dst, relation, min_by(origin, o) as origin, nullif(min_by(coalesce(concept, ''), o), '') as concept from (
       select doc_id, src, dst, relation, origin, cast(null as string) as concept, [0, edge_ord, 0] as o from fx_edges where origin = 'model'
       union all select m.doc_id, p.src, m.node_id, 'enables', 'concept-reconciliation', m.concept, [1, c.seen, m.node_ord] from fx_members m
         join fx_primary p using (doc_id, concept) join fx_concepts c using (doc_id, concept) where m.role = 'requires' and p.src <> m.node_id

@@ -3,12 +3,12 @@
 from pyspark.sql import functions as F
 
 from docloom.functions.text import normalize_label
-from docloom.operators import annotate as an
+from docloom.operators import batching
 from docloom.operators import ordering as od
 from docloom.operators import sections as sec
 from docloom.operators import teaching as te
 from docloom.plans.corpus import sections_from_units, units_with_context
-from docloom.plans.fixtures import add_table, fixture, oracle, pad, source, stage
+from docloom.plans.fixtures import SPARK_BUILDERS, add_table, fixture, oracle, pad, source, stage
 from docloom.plans.graph import concept_tables
 from docloom.plans.overlay import label_sql, overlay, records as overlay_records, staged_issues
 
@@ -173,10 +173,10 @@ def teaching_summary(spark, sf):
 
 
 # Expansion answers for every pending record, some of them wrong.
-add_table("fx_requests", lambda d: f"""select doc_id, record_ord, record_id, source_node_id, text, cast(2 as bigint) as minimum_units,
-      cast(floor((row_number() over (partition by doc_id order by record_ord) - 1) / 8) + 1 as bigint) as batch_no from (
-    select doc_id, node_ord as record_ord, 'teach-' || node_id as record_id, node_id as source_node_id, text from fx_tnodes
-    where kind not in ('gap', 'code', 'equation') and coalesce(density_score, least(1.0, cast({'size' if d.spark else 'len'}(regexp_extract_all(text, {d.rx('[' + chr(92) + 'p{L}' + chr(92) + 'p{N}][' + chr(92) + 'p{L}' + chr(92) + 'p{N}_-]*')}, 0)) as double) / 32)) >= 0.75)""")
+add_table("fx_requests", lambda d: """select t.doc_id, t.record_ord, t.record_id, t.source_node_id, t.source_anchor as text, cast(2 as bigint) as minimum_units,
+      cast(floor((row_number() over (partition by t.doc_id order by t.record_ord) - 1) / 8) + 1 as bigint) as batch_no from fx_teach t where t.dense""")
+SPARK_BUILDERS["fx_requests"] = lambda spark, sf: batching.plan_batches(built(spark, sf)[0].filter("dense").select(
+    "doc_id", "record_ord", "record_id", "source_node_id", F.col("source_anchor").alias("text"), "minimum_units"), 8, ["doc_id"], ["record_ord"])
 
 
 def _expansion_units(d):
