@@ -61,23 +61,42 @@ def _smallest_first(indexes, edges):
     return order
 
 
-def _rank_class(keys):
-    def rank(rows: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        order = _smallest_first(rows["idx"].tolist(), list(zip(edges["src_idx"], edges["dst_idx"])))
-        position = {i: n for n, i in enumerate(order)}
-        held = sorted(i for i in rows["idx"] if i not in position)
-        position.update({i: len(order) + n for n, i in enumerate(held)})
-        return rows[[*keys, "idx"]].assign(rank=rows["idx"].map(position))
-    return rank
+def _rank_groups(keys):
+    """Rows arrive sorted by (keys, kind): a group's records, then its edges; one group is held at a time."""
+    def ranks(key, indexes, edges):
+        order = _smallest_first(indexes, edges)
+        left = set(order)
+        order += sorted(i for i in indexes if i not in left)
+        return [(*key, i, n) for n, i in enumerate(order)]
+
+    def run(batches):
+        current, indexes, edges = None, [], []
+        for pdf in batches:
+            out = []
+            columns = [[tuple(v) if hasattr(v, "__iter__") and not isinstance(v, str) else v for v in pdf[k].tolist()] for k in keys]
+            for *key, kind, a, b in zip(*columns, pdf["kind"].tolist(), pdf["a"].tolist(), pdf["b"].tolist()):
+                if key != current:
+                    if current is not None:
+                        out += ranks(current, indexes, edges)
+                    current, indexes, edges = key, [], []
+                if kind == 0:
+                    indexes.append(a)
+                else:
+                    edges.append((a, b))
+            yield pd.DataFrame(out, columns=[*keys, "idx", "rank"])
+        if current is not None:
+            yield pd.DataFrame(ranks(current, indexes, edges), columns=[*keys, "idx", "rank"])
+    return run
 
 
 def _rank_small(rows: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact ranks of groups known to be small; thousands of groups share one task and one Python call."""
     types = dict(rows.dtypes)
     ddl = ", ".join(f"{k} {types[k]}" for k in keys)
-    # Both sides come from the same records; fresh names keep Spark from mistaking one side's key for the other's.
-    edges = edges.select(*[F.col(k).alias(k) for k in keys], "src_idx", "dst_idx")
-    return (rows.select(*keys, "idx").groupBy(*keys).cogroup(edges.groupBy(*keys))
-            .applyInPandas(_rank_class(keys), f"{ddl}, idx bigint, rank bigint"))
+    tagged = (rows.select(*keys, F.lit(0).alias("kind"), F.col("idx").alias("a"), F.lit(-1).cast("bigint").alias("b"))
+              .unionByName(edges.select(*keys, F.lit(1).alias("kind"), F.col("src_idx").alias("a"), F.col("dst_idx").alias("b"))))
+    return (tagged.repartition(*keys).sortWithinPartitions(*keys, "kind")
+            .mapInPandas(_rank_groups(keys), f"{ddl}, idx bigint, rank bigint"))
 
 
 def _largest_ancestor(rows: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:

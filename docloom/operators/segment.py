@@ -156,20 +156,25 @@ def _fresh_exits(weights: np.ndarray, limit: int):
 
 
 def _pack(keys, limit):
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("unit_ord")
-        weights, carried, before = pdf["weight"].to_numpy(), int(pdf["entry_size"].iloc[0]), int(pdf["entry_chunks"].iloc[0])
-        total, stop, _, _ = _fresh_exits(weights, limit)
-        chunk = np.zeros(len(weights), dtype=np.int64)
-        start = int(np.searchsorted(total, limit - carried, side="right") - 1) if carried else 0
-        start = min(start, len(weights))
-        chunk[:start] = before
-        while start < len(weights):
-            before += 1
-            chunk[start:stop[start]] = before
-            start = int(stop[start])
-        return pdf[[*keys, "unit_ord"]].assign(chunk_ord=chunk)
-    return assign
+    """Rows arrive sorted by (keys, blk, unit_ord); only the open chunk is remembered between them."""
+    def run(batches):
+        current, chunk, size, is_open = None, 0, 0, False
+        for pdf in batches:
+            out = []
+            columns = [pdf[c].tolist() for c in (*keys, "blk")]
+            for *key, weight, entry_size, entry_chunks in zip(*columns, pdf["weight"].tolist(), pdf["entry_size"].tolist(), pdf["entry_chunks"].tolist()):
+                if key != current:
+                    current, chunk, size, is_open = key, entry_chunks, entry_size, entry_size > 0
+                if is_open and size + weight > limit:
+                    is_open = False
+                if not is_open:
+                    chunk, size, is_open = chunk + 1, 0, True
+                size += weight
+                if weight > limit:
+                    is_open = False
+                out.append(chunk)
+            yield pdf[[*keys, "unit_ord"]].assign(chunk_ord=out)
+    return run
 
 
 def _summarize(keys, limit):
@@ -231,7 +236,8 @@ def pack_chunks(units: DataFrame, limit: int = 24_000, keys: tuple[str, ...] = (
                  .applyInPandas(_summarize(keys, limit), f"{key_ddl}, blk bigint, low bigint, high bigint, opened bigint, exit_size bigint, adds boolean"))
     entries = summaries.groupBy(*keys).applyInPandas(_compose(keys), f"{key_ddl}, blk bigint, entry_size bigint, entry_chunks bigint")
     rows = rows.join(entries, [*keys, "blk"], "left").fillna(0, ["entry_size", "entry_chunks"])
-    return rows.groupBy(*keys, "blk").applyInPandas(_pack(keys, limit), f"{key_ddl}, unit_ord bigint, chunk_ord bigint")
+    ordered = rows.repartition(*keys, "blk").sortWithinPartitions(*keys, "blk", "unit_ord")
+    return ordered.mapInPandas(_pack(keys, limit), f"{key_ddl}, unit_ord bigint, chunk_ord bigint")
 
 
 def chunk_id(position: Column) -> Column:

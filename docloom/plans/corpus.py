@@ -263,7 +263,7 @@ def recursive_oracle(sql):
 
 @query("pack_chunks")
 def pack_chunks(spark, sf):
-    packed = segment.pack_chunks(fixture(spark, sf, "fx_units", "doc_id, unit_ord, text"), 2_000, block_rows=64)
+    packed = segment.pack_chunks(fixture(spark, sf, "fx_units", "doc_id, unit_ord, text"), 2_000)
     return packed.select("doc_id", "unit_ord", "chunk_ord", segment.chunk_id(F.col("chunk_ord")).alias("chunk_id"))
 
 
