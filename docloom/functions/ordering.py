@@ -100,9 +100,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back: phases hand over tables, with known sizes and prunable columns."""
+def staged(df: DataFrame, name: str) -> str:
+    """Written as a table in the shared folder; phases read it back with known sizes and prunable columns."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/docloom-{spark.sparkContext.applicationId}/{name}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return path

@@ -27,10 +27,8 @@ def node_id(position: Column) -> Column:
 
 def _frame_refs(frames: DataFrame, keys: list[str]) -> DataFrame:
     """Frames as (keys, role, pos, ref) rows."""
-    kind = F.col("claim").cast("string")
     role = lambda name: F.transform(F.col(name), lambda x, i: F.struct(F.lit(name).alias("role"), i.alias("pos"), x.cast("string").alias("ref")))
     one = lambda name: F.array(F.struct(F.lit(name).alias("role"), F.lit(0).alias("pos"), F.col(name).cast("string").alias("ref")))
-    del kind
     return frames.select(*keys, F.explode(F.concat(one("claim"), role("evidence"), one("warrant_gap"), role("limitations"))).alias("_r")).select(*keys, "_r.*")
 
 

@@ -66,26 +66,29 @@ def _escaped(label: Column) -> Column:
 def triage_definitions(records: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records a unit of their chapter defines in plain words become ``already_defined``; (gap, unit) matches too.
 
-    Only units with a definition cue take part, and a label meets a unit only through its last
-    ASCII word, which must stand right before a cue or after a "we define". Labels without an
-    ASCII word cannot be joined that way and meet the cue units of their chapter directly.
+    Only units with a definition cue take part, and a label meets a unit only through its last two
+    ASCII words (or its only one), which must stand right before a cue or soon after a "we define".
+    A label without ASCII words can only match between two ASCII words, so it meets the unit as that whole run.
     """
     term = _escaped(F.col("label"))
     pattern = F.concat(F.lit("(?i)" + EDGE), term, F.lit(rf"{EDGE}{WS}+(?:is defined as|is called|denotes|refers to){EDGE}|{EDGE}(?:we|this text){WS}+(?:define|call){EDGE}[^.]{{0,120}}{EDGE}"),
                        term, F.lit(EDGE))
     words = F.regexp_extract_all(F.lower("label"), F.lit(r"([a-z0-9_]+)"), F.lit(1))
+    ending = F.array_join(F.when(F.size(words) > 1, F.slice(words, -2, 2)).otherwise(words), " ")
     labels = (records.filter((F.col("label") != "") & (F.length("label") <= 80)).select("doc_id", "chapter", "label").distinct()
-              .withColumn("pattern", pattern).withColumn("token", F.try_element_at(words, F.lit(-1))))
+              .withColumn("pattern", pattern).withColumn("token", F.coalesce(F.nullif(ending, F.lit("")), F.lower("label"))))
     cued = unit_chapter(units, CHAPTER).filter(F.col("text").rlike(CUE)).select("doc_id", "chapter", "unit_ord", "unit_id", "text")
-    before = F.regexp_extract_all(F.lower("text"), F.lit(rf"([a-z0-9_]+){WS}+(?:is defined as|is called|denotes|refers to)"), F.lit(1))
+    lower = F.lower("text")
+    before = F.regexp_extract_all(lower, F.lit(rf"(?<![a-z0-9_])(?=([a-z0-9_]+(?:[^a-z0-9_]+[a-z0-9_]+)?){WS}+(?:is defined as|is called|denotes|refers to))"), F.lit(1))
+    before = F.transform(before, lambda t: F.regexp_replace(t, "[^a-z0-9_]+", " "))
     # The term ends within 120 + 80 characters after "define"; the window may open a little wider.
-    after = F.regexp_extract_all(F.lower("text"), F.lit(rf"(?s)(?=(?:we|this text){WS}+(?:define|call)(.{{0,240}}))"), F.lit(1))
+    after = F.regexp_extract_all(lower, F.lit(rf"(?s)(?=(?:we|this text){WS}+(?:define|call)(.{{0,240}}))"), F.lit(1))
     near = F.flatten(F.transform(after, lambda w: F.regexp_extract_all(w, F.lit(r"([a-z0-9_]+)"), F.lit(1))))
-    tokens = cued.withColumn("token", F.explode(F.array_distinct(F.concat(before, near))))
-    hits = tokens.join(labels.filter("token is not null"), ["doc_id", "chapter", "token"])
-    wordless = cued.join(labels.filter("token is null").drop("token"), ["doc_id", "chapter"])
-    columns = ["doc_id", "chapter", "label", "unit_ord", "unit_id"]
-    found = union_all(hits.filter("text rlike pattern").select(*columns), wordless.filter("text rlike pattern").select(*columns))
+    runs = F.flatten(F.transform(after, lambda w: F.regexp_extract_all(w, F.lit(r"(?<=[a-z0-9_])([^a-z0-9_]+)(?=[a-z0-9_])"), F.lit(1))))
+    cued = cued.withColumn("_near", near).withColumn("_before", before).withColumn("_runs", runs)
+    pairs = F.filter(F.zip_with("_near", F.slice("_near", 2, 1_000_000), lambda a, b: F.concat(a, F.lit(" "), b)), lambda t: t.isNotNull())
+    tokens = cued.withColumn("token", F.explode(F.array_distinct(F.concat("_before", "_near", pairs, "_runs")))).drop("_near", "_before", "_runs")
+    found = tokens.join(labels, ["doc_id", "chapter", "token"]).filter("text rlike pattern").select("doc_id", "chapter", "label", "unit_ord", "unit_id")
     best = top_by(found, ["doc_id", "chapter", "label"], ["unit_ord"], 2)
     matched = best.select("doc_id", "chapter", "label").distinct().withColumn("_hit", F.lit(True))
     out = records.join(matched, ["doc_id", "chapter", "label"], "left")

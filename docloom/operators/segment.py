@@ -232,7 +232,8 @@ def pack_chunks(units: DataFrame, limit: int = 24_000, keys: tuple[str, ...] = (
                         (text_length(F.col("text")) + overhead).cast("bigint").alias("weight"),
                         F.floor(F.col("unit_ord") / block_rows).cast("bigint").alias("blk"))
     long_keys = rows.groupBy(*keys).agg(F.min("blk").alias("a"), F.max("blk").alias("b")).filter("b > a").select(*keys)
-    summaries = (rows.join(long_keys, keys, "left_semi").groupBy(*keys, "blk")
+    # Spread the blocks of a long key over tasks; the join alone would leave them together.
+    summaries = (rows.join(long_keys, keys, "left_semi").repartition(*keys, "blk").groupBy(*keys, "blk")
                  .applyInPandas(_summarize(keys, limit), f"{key_ddl}, blk bigint, low bigint, high bigint, opened bigint, exit_size bigint, adds boolean"))
     entries = summaries.groupBy(*keys).applyInPandas(_compose(keys), f"{key_ddl}, blk bigint, entry_size bigint, entry_chunks bigint")
     rows = rows.join(entries, [*keys, "blk"], "left").fillna(0, ["entry_size", "entry_chunks"])

@@ -254,7 +254,7 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     """The table ``build`` yields, written once per session and corpus and read back by every later query."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGED:
-        _STAGED[key] = staged(build(), f"{sf_dir.strip('/').replace('/', '-')}/{name}").inputFiles()[0].rsplit("/", 1)[0]
+        _STAGED[key] = staged(build(), f"{sf_dir.strip('/').replace('/', '-')}/{name}")
     return spark.read.parquet(_STAGED[key])
 
 

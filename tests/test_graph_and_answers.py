@@ -133,13 +133,16 @@ def test_annotation_places_comments_and_keeps_ids(spark):
 
 def test_triage_matches_brute_force_rules(spark):
     base = spark.createDataFrame([(1, 1, "u1", "A Fusion rule is called that.", ["Chapter 1 X"]), (1, 2, "u2", "Here we define, at some length, the fusion rule.", ["Chapter 1 X"]),
-                                  (1, 3, "u3", "Confusion rule denotes.", ["Chapter 2 Y"]), (1, 4, "u4", "the C++ term refers to code", ["Chapter 1 X"])],
+                                  (1, 3, "u3", "Confusion rule denotes.", ["Chapter 2 Y"]), (1, 4, "u4", "the C++ term refers to code", ["Chapter 1 X"]),
+                                  (1, 5, "u5", "Now we call xμy a mean, and a x denotes denotes nothing.", ["Chapter 1 X"])],
                                  "doc_id bigint, unit_ord bigint, unit_id string, text string, context array<string>")
-    rows = [(1, "g1", "fusion rule", "Chapter 1 X"), (1, "g2", "fusion rule", "Chapter 2 Y"), (1, "g3", "C++", "Chapter 1 X"), (1, "g4", "term", "Chapter 1 X")]
+    rows = [(1, "g1", "fusion rule", "Chapter 1 X"), (1, "g2", "fusion rule", "Chapter 2 Y"), (1, "g3", "C++", "Chapter 1 X"), (1, "g4", "term", "Chapter 1 X"),
+            (1, "g5", "μ", "Chapter 1 X"), (1, "g6", "a x", "Chapter 1 X"), (1, "g7", "", "Chapter 1 X"), (1, "g8", "λ", "Chapter 1 X")]
     records = (spark.createDataFrame(rows, "doc_id bigint, gap_id string, label string, chapter string").withColumn("status", F.lit("unresolved"))
                .withColumn("provenance", F.lit(None).cast("string")).withColumn("confidence", F.lit(None).cast("string")).withColumn("reason", F.lit("")))
     out, links = ov.triage_definitions(records, base)
-    assert {r.gap_id: r.status for r in out.collect()} == {"g1": "already_defined", "g2": "unresolved", "g3": "unresolved", "g4": "already_defined"}
+    assert {r.gap_id: r.status for r in out.collect()} == {"g1": "already_defined", "g2": "unresolved", "g3": "unresolved", "g4": "already_defined",
+                                                             "g5": "already_defined", "g6": "already_defined", "g7": "unresolved", "g8": "unresolved"}
     assert [(r.pos, r.unit_id) for r in links.filter("gap_id = 'g1'").orderBy("pos").collect()] == [(1, "u1"), (2, "u2")]
 
 
