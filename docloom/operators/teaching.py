@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.ordering import cut_lineage, union_all, with_position
-from docloom.functions.text import dense_block_count, is_dense_block, normalize_label, trim_ws, unique_trimmed, word_count, zero_pad
-from docloom.operators.annotate import safe_json
+from docloom.functions.text import dense_block_count, normalize_label, trim_ws, unique_trimmed, word_count, zero_pad
+from docloom.operators.annotate import ISSUE_MARK, SOURCE_MARK
 from docloom.operators.batching import plan_batches
 from docloom.operators.extraction import PROTECTED
 from docloom.operators.overlay import exact_cover
@@ -223,7 +223,7 @@ def document_parts(records: DataFrame, order: DataFrame, record_units: DataFrame
               .withColumn("source_unit_ids", F.coalesce("source_unit_ids", F.array().cast("array<string>"))))
     about = F.struct(F.col("record_id").alias("id"), F.col("source_node_id").alias("sourceNodeId"), F.col("source_unit_ids").alias("sourceUnitIds"),
                      F.col("source_anchor").alias("sourceAnchor"), "status")
-    sources = listed.select("doc_id", "a", "b", n(0).alias("c"), F.concat(F.lit("<!-- refine:source "), safe_json_nulls(about), F.lit(" -->")).alias("text"))
+    sources = listed.select("doc_id", "a", "b", n(0).alias("c"), F.concat(F.lit(f"<!-- {SOURCE_MARK} "), safe_json_nulls(about), F.lit(" -->")).alias("text"))
     empty = listed.join(units.select("doc_id", "record_id"), ["doc_id", "record_id"], "left_anti")
     missing = F.struct(F.concat(F.lit("issue-"), "record_id").alias("id"), F.lit("unexpanded_teaching_record").alias("type"), F.lit("open").alias("status"),
                        F.lit("enrich_or_preserve").alias("action"), F.concat(F.lit("Expand "), "source_anchor").alias("need"), F.col("source_unit_ids").alias("sourceUnitIds"))
@@ -245,7 +245,7 @@ def safe_json_nulls(value: Column) -> Column:
 
 
 def _issue(value: Column) -> Column:
-    return F.concat(F.lit("<!-- refine:issue "), safe_json_nulls(value), F.lit(" -->")).alias("text")
+    return F.concat(F.lit(f"<!-- {ISSUE_MARK} "), safe_json_nulls(value), F.lit(" -->")).alias("text")
 
 
 def assemble_document(parts: DataFrame) -> DataFrame:

@@ -1,14 +1,8 @@
 """Registered queries: each operator applied to tables derived from the supplied corpus."""
 
-from importlib import import_module
+from docloom.plans import corpus, enrichment, extraction, graph, overlay, prose, teaching
 
 QUERIES, ORACLES = {}, {}
-for _name in ("corpus", "extraction", "graph", "enrichment", "overlay", "teaching", "prose"):
-    try:
-        _module = import_module(f"docloom.plans.{_name}")
-    except ModuleNotFoundError as _missing:
-        if _missing.name != f"docloom.plans.{_name}":
-            raise
-        continue
+for _module in (corpus, extraction, graph, enrichment, overlay, teaching, prose):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)

@@ -14,8 +14,6 @@ def cell(v):
         return None
     if isinstance(v, bool):
         return v
-    if isinstance(v, float):
-        return round(v, 6)
     if isinstance(v, (list, tuple)):
         return [cell(x) for x in v]
     return v
