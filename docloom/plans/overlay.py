@@ -6,7 +6,7 @@ from docloom.functions import text as tx
 from docloom.operators import annotate as an
 from docloom.operators import overlay as ov
 from docloom.plans.corpus import units_with_context
-from docloom.plans.fixtures import add_table, fixture, oracle, source, stage
+from docloom.plans.fixtures import Dialect, add_table, fixture, oracle, source, stage
 from docloom.plans.graph import concept_tables
 
 QUERIES, ORACLES = {}, {}
@@ -76,9 +76,10 @@ add_table("fx_def_units", lambda d: _defining(d, "fx_uctx"))
         where length(o.label) <= 80 and regexp_matches(u.text, '(?i)\b' || o.label || '\b\s+(?:is defined as|is called|denotes|refers to)\b|\b(?:we|this text)\s+(?:define|call)\b[^.]{0,120}\b' || o.label || '\b')) m
       on m.doc_id = o.doc_id and m.gap_id = o.gap_id group by o.doc_id, o.gap_id""")
 def triage_definitions(spark, sf):
-    units_with_context(spark, sf).createOrReplaceTempView("units_with_context")
-    from docloom.plans.fixtures import Dialect
-    units = spark.sql(_defining(Dialect("spark", sf), "units_with_context"))
+    def defining():
+        units_with_context(spark, sf).createOrReplaceTempView("units_with_context")
+        return spark.sql(_defining(Dialect("spark", sf), "units_with_context"))
+    units = stage(spark, sf, "defining_units", defining)
     records, links = ov.triage_definitions(overlay(spark, sf), units)
     matched = links.groupBy("doc_id", "gap_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "unit_id"))), lambda x: x["unit_id"]), ",").alias("units"))
     return records.select("doc_id", "gap_id", "status").join(matched, ["doc_id", "gap_id"], "left").fillna("", ["units"])
