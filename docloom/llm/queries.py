@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.common import fresh_folder
+from docloom.llm.contamination import contamination
 from docloom.llm.digest_cache import token_counts
+from docloom.llm.interleave import interleave
+from docloom.llm.oracles import ORACLES  # noqa: F401
 from docloom.llm.packing import pack
 from docloom.llm.repair import encode_to_files
+from docloom.llm.url_rules import judge_urls
 from docloom.session import ship
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
-#: Bytes of a table's files for one task of a range partitioning, at least.
-TASK_BYTES = 16 << 20
+#: The rules of the contract.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +34,20 @@ def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_to_files(docs, WORD_BPE, tasks(docs))
 
 
+def op3_positional_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+def op4_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = interleave(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -39,5 +57,4 @@ def op9_digest_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
-QUERIES = {f.__name__: f for f in (op2_repair_ids, op8_sum_of_squares_packing, op9_digest_token_counts)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_repair_ids, op3_positional_contamination, op4_stratified_interleaving, op5_url_rules, op8_sum_of_squares_packing, op9_digest_token_counts)}
