@@ -59,3 +59,20 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
   sha256(coalesce(array_to_string(items, ','), '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
 from doc_words left join hits using (r) left join listed using (r)
 """
+
+ORACLES["op10_bottom_k_near_duplicates"] = """
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x09-\\x0D\\x20]+'), lambda w: w <> '') as words
+  from documents),
+shingles as (
+  select distinct doc_id, array_to_string(words[j:j + 4], ' ') as shingle
+  from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as j from words where len(words) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (select a.doc_id as a, b.doc_id as b, count(*) as common from shingles a join shingles b using (shingle) where a.doc_id < b.doc_id group by all),
+links as (select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * common >= 75 * (x.n + y.n - common)),
+edges as materialized (select a, b from links union all select b, a from links),
+reached(doc_id, other) as (select a, b from edges union select reached.doc_id, edges.b from reached join edges on reached.other = edges.a),
+lowest as (select doc_id, min(other) as other from reached group by doc_id)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(other, doc_id)) as component_id, doc_id = least(doc_id, coalesce(other, doc_id)) as kept
+from words left join sizes using (doc_id) left join lowest using (doc_id)
+"""

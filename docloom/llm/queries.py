@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm.bottom_k import near_duplicates
 from docloom.llm.common import fresh_folder
 from docloom.llm.contamination import contamination
 from docloom.llm.digest_cache import token_counts
@@ -57,4 +58,9 @@ def op9_digest_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
-QUERIES = {f.__name__: f for f in (op2_repair_ids, op3_positional_contamination, op4_stratified_interleaving, op5_url_rules, op8_sum_of_squares_packing, op9_digest_token_counts)}
+def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_repair_ids, op3_positional_contamination, op4_stratified_interleaving, op5_url_rules, op8_sum_of_squares_packing, op9_digest_token_counts,
+                                   op10_bottom_k_near_duplicates)}
