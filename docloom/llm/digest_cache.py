@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm.common import text_bytes
+from docloom.llm.common import text_bytes, written
 from docloom.llm.tokens import text_groups, tokenizer_digest, word_table
 
 CACHE = "tokenizer string, digest binary, n_bytes long, n_tokens long"
@@ -61,6 +61,7 @@ def append_misses(docs: DataFrame, path: str, tokenizer: str, column: str = "tex
 def token_counts(docs: DataFrame, path: str, tokenizer: str, column: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, n_bytes and n_tokens of every row; the cache at ``path`` is completed first."""
     append_misses(docs, path, tokenizer, column)
-    counts = read_cache(docs.sparkSession, path, tokenizer_digest(tokenizer)).withColumnRenamed("digest", "_digest")
+    # One row per digest as a table: both sides of the join are then plain exchanges, and Spark splits a frequent text's.
+    counts = written(read_cache(docs.sparkSession, path, tokenizer_digest(tokenizer)).withColumnRenamed("digest", "_digest"), "token-counts")
     rows = docs.select(*keep, F.octet_length(text_bytes(column)).cast("long").alias("n_bytes"), F.unhex(F.sha2(text_bytes(column), 256)).alias("_digest"))
     return rows.join(counts, "_digest", "left").select(*keep, "n_bytes", "n_tokens")
