@@ -13,6 +13,7 @@ from docloom.llm.interleave import interleave
 from docloom.llm.oracles import ORACLES  # noqa: F401
 from docloom.llm.packing import pack
 from docloom.llm.repair import encode_to_files
+from docloom.llm.toxicity import held_out, toxicity
 from docloom.llm.url_rules import judge_urls
 from docloom.session import ship
 
@@ -30,6 +31,11 @@ def tasks(df: DataFrame) -> int:
     return max(df.rdd.getNumPartitions(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def op1_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op2_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return encode_to_files(docs, WORD_BPE, tasks(docs))
@@ -62,5 +68,5 @@ def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_repair_ids, op3_positional_contamination, op4_stratified_interleaving, op5_url_rules, op8_sum_of_squares_packing, op9_digest_token_counts,
+QUERIES = {f.__name__: f for f in (op1_convolutional_toxicity, op2_repair_ids, op3_positional_contamination, op4_stratified_interleaving, op5_url_rules, op8_sum_of_squares_packing, op9_digest_token_counts,
                                    op10_bottom_k_near_duplicates)}
