@@ -76,3 +76,13 @@ lowest as (select doc_id, min(other) as other from reached group by doc_id)
 select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(other, doc_id)) as component_id, doc_id = least(doc_id, coalesce(other, doc_id)) as kept
 from words left join sizes using (doc_id) left join lowest using (doc_id)
 """
+
+ORACLES["op7_block_search"] = """
+with vectors as (
+  select vec_id, embedding::double[] as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v) as score from vectors q join vectors c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id and len(c.v) = len(q.v)),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""

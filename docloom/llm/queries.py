@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm.block_search import nearest
 from docloom.llm.bottom_k import near_duplicates
 from docloom.llm.common import fresh_folder
 from docloom.llm.contamination import contamination
@@ -13,6 +14,7 @@ from docloom.llm.interleave import interleave
 from docloom.llm.oracles import ORACLES  # noqa: F401
 from docloom.llm.packing import pack
 from docloom.llm.repair import encode_to_files
+from docloom.llm.templates import main_texts
 from docloom.llm.toxicity import held_out, toxicity
 from docloom.llm.url_rules import judge_urls
 from docloom.session import ship
@@ -55,6 +57,14 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
+def op7_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -68,5 +78,6 @@ def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_convolutional_toxicity, op2_repair_ids, op3_positional_contamination, op4_stratified_interleaving, op5_url_rules, op8_sum_of_squares_packing, op9_digest_token_counts,
+QUERIES = {f.__name__: f for f in (op1_convolutional_toxicity, op2_repair_ids, op3_positional_contamination, op4_stratified_interleaving, op5_url_rules, op6_template_removal,
+                                   op7_block_search, op8_sum_of_squares_packing, op9_digest_token_counts,
                                    op10_bottom_k_near_duplicates)}
