@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import text_bytes, written
+from docloom.llm.common import text_bytes, text_key, written
 from docloom.llm.components import components
 
 #: Shingle length, retained values, and retained values that a linked pair shares.
@@ -44,7 +44,7 @@ PERCENT = 75
 SEEDS, BLOCK, GROUP = 2, 512, 128
 #: Words whose hashes one Python worker keeps.
 KEPT_WORDS = 500_000
-SKETCHES = "doc_id long, n_shingles long, digest binary, sketch array<long>"
+SKETCHES = "doc_id long, text_hash long, n_shingles long, digest binary, sketch array<long>"
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,15 +76,15 @@ def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int = WORDS, k: int = K, column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest of the set, and the k smallest hashes."""
+    """doc_id, text_hash, n_shingles, digest of the set, and the k smallest hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py(), words) for t in batch.column(1)]
+            sets = [shingle_set(t.as_py(), words) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 pa.array([s[:k].astype(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "sketch"])
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                 pa.array([s[:k].astype(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "text_hash", "n_shingles", "digest", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(column).alias("content")).mapInArrow(run, SKETCHES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(column).alias("text_hash"), text_bytes(column).alias("content")).mapInArrow(run, SKETCHES)
 
 
 def least_shared(n: Column, k: int = K, least: int = LEAST) -> Column:
@@ -201,7 +201,7 @@ def unfinished_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, k:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, k: int = K, least: int = LEAST, column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
+    """doc_id, text_hash, n_shingles, component_id and kept of every document."""
     rows = written(sketches(docs, words, k, column), "sketches")
     classes = written(rows.filter("n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("member"), F.first("sketch").alias("sketch")), "classes")
     lists = written(inverted_lists(classes, k, least), "lists")
@@ -216,4 +216,4 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, k: int = K, least: int
     names = labelled.groupBy("component").agg(F.min("class_id").alias("component_id"))
     of_class = written(labelled.join(names, "component").select("digest", "component_id"), "class-components")
     out = rows.join(of_class, "digest", "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

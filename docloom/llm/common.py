@@ -28,3 +28,8 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
 def text_bytes(column: str = "text") -> Column:
     """UTF-8 bytes of a text, empty for null."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
+
+
+def text_key(text: str = "text") -> Column:
+    """Hash that tells apart rows of one doc_id."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import LOWER, UPPER, written
+from docloom.llm.common import LOWER, UPPER, text_key, written
 
 #: Between words, as the contract's word class has it: everything in ASCII but digits and a-z.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -47,7 +47,7 @@ def word_count(words: Column) -> Column:
 
 def _keyed(docs: DataFrame, column: str) -> DataFrame:
     """doc_id, a hash of the text (rows may share a doc_id) and words."""
-    return docs.select("doc_id", F.xxhash64(F.coalesce(F.col(column), F.lit(""))).alias("text_hash"), split_words(column).alias("words"))
+    return docs.select("doc_id", text_key(column).alias("text_hash"), split_words(column).alias("words"))
 
 
 def _positions(keyed: DataFrame) -> DataFrame:

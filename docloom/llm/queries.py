@@ -75,7 +75,7 @@ def op9_digest_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 QUERIES = {f.__name__: f for f in (op1_convolutional_toxicity, op2_repair_ids, op3_positional_contamination, op4_stratified_interleaving, op5_url_rules, op6_template_removal,

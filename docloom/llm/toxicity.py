@@ -298,3 +298,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, column: str = "text", keep: tup
     """``keep``, score and predicted (1 from 0.5 on) of every row."""
     scored = score(docs, fit(docs, labels, column=column, **sample), column, keep)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def without_toxic(docs: DataFrame, model: bytes, column: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score stays below 0.5."""
+    shared, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(Model.from_bytes(shared.value))
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(place).to_pylist()]
+            for first, group in text_groups(texts, 1 << 20):
+                yield batch.slice(first, len(group)).filter(pa.array(scorer.scores(group) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
