@@ -3,7 +3,7 @@
 A word's embedding is the sum of hashed rows for the word and for its first 3 to 6 letters, so that an unseen form of a
 known stem is near it. Filters over 1, 2 and 3 neighbouring words are max-pooled over the whole text and joined by a
 logistic layer. One task trains the model on a bounded sample of labelled rows (``POSITIVES`` and ``NEGATIVES`` texts,
-those of smallest hash) and calibrates one threshold for each language on a fifth of the sample that training doesn't
+those whose keys have the smallest hashes) and calibrates one threshold for each language on a fifth of the sample that training doesn't
 see. The language is guessed from common words of the text itself; labels, lang, source and doc_id are no inputs.
 The score is moved so that the language's threshold lies at 0.5.
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain, islice
 from zlib import crc32
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import text_bytes
+from docloom.llm.common import text_bytes, written
 from docloom.llm.tokens import text_groups
 
 #: Texts of each class that training may read.
@@ -264,18 +265,23 @@ def held_out(column: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int = POSITIVES, negatives: int = NEGATIVES, column: str = "text") -> bytes:
     """A model from a bounded sample of the labelled rows that are not held out."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("label"))
-    known = docs.filter(~held_out()).select("doc_id", text_bytes(column).alias("content")).join(known, "doc_id")
-    known = known.select("content", "label", F.xxhash64("content").alias("h"))
-    some = [known.filter(F.col("label") == y).orderBy("h", "content").limit(n) for y, n in ((1, positives), (0, negatives))]
+    known = written(known.join(docs.filter(~held_out()).select("doc_id"), "doc_id", "left_semi").withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))), "labelled")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    # Twice the bound by hash, then exactly the bound: only keys of the sample meet, and texts of the sample alone are read on.
+    some = [known.filter((F.col("label") == y) & (F.col("h") < int((1 << 30) * min(1.0, 2 * n / counts[y])))).orderBy("h", "doc_id").limit(n)
+            for y, n in ((1, positives), (0, negatives)) if counts.get(y)]
+    if not some:
+        return train([], np.zeros(0, np.float32)).to_bytes()
+    keys = written(reduce(DataFrame.unionByName, some).select("doc_id", "label"), "sample")
+    sample = docs.select("doc_id", text_bytes(column).alias("content")).join(F.broadcast(keys), "doc_id").select("content", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(r["content"], r["label"]) for b in batches for r in b.to_pylist()]
+        held = sorted((r["content"], r["label"]) for b in batches for r in b.to_pylist())
         model = train([t for t, _ in held], np.array([y for _, y in held], np.float32))
         yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], names=["model"])
 
-    sample = some[0].unionByName(some[1]).select("content", "label").coalesce(1)
-    found = sample.mapInArrow(run, "model binary").collect()  # one model, whatever the input
-    return found[0]["model"] if found else train([], np.zeros(0, np.float32)).to_bytes()
+    # The sample has a fixed bound, and so have its keys, which are broadcast, and the model.
+    return sample.repartition(1).mapInArrow(run, "model binary").first()["model"]
 
 
 def score(docs: DataFrame, model: bytes, column: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
