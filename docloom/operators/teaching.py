@@ -17,9 +17,6 @@ from docloom.operators.prose import split_dense_text
 ROLES = ("statement", "definition", "mechanism", "prerequisite", "intuition", "derivation", "example", "limitation", "evidence_interpretation")
 ROLE_PREFIX = {"prerequisite": "**Prerequisite.** ", "example": "**Example.** ", "limitation": "**Limitation.** ",
                "evidence_interpretation": "**Evidence.** ", "derivation": "**Derivation.** "}
-# Units that are navigation, not content.
-NAVIGATION = (r"(?m)^-\s*\[[^\]]+\]\(#[^)]+\)\s*$", r"(?i)\A\[(?:about|work|notebook|contact|skip to)[^\]]*\]\(",
-              r"(?i)\A(?:reader-first technical explainer|reading size|appearance|dark mode|in this guide)\z", r"(?i)\AA\s+A\+\s+A\+\+\z", r"(?i)\A☾\s*dark mode\z")
 
 
 def _raw_density(text: Column, words: int) -> Column:
@@ -162,7 +159,7 @@ def expansion_frontier(records: DataFrame, known: DataFrame, units: DataFrame, r
         pending = records.filter((F.col("status") == "expansion_required") & (F.coalesce("expansion_depth", F.lit(0)) == depth))
         requests = cut_lineage(plan_batches(pending.select("doc_id", "record_id", "record_ord", "source_node_id", "minimum_units"), batch_size, ["doc_id"], ["record_ord"]))
         if requests.isEmpty():
-            break
+            continue
         accepted, failed = validate_expansion(responses.filter(F.col("depth") == depth).drop("depth"), requests)
         out = expand_prerequisites(records, known, units, cut_lineage(accepted), depth, max_depth, compose=compose)
         failed = failed.withColumn("depth", F.lit(depth).cast("bigint"))
@@ -170,11 +167,14 @@ def expansion_frontier(records: DataFrame, known: DataFrame, units: DataFrame, r
         units = cut_lineage(units.unionByName(out["units"]))
         dependencies = out["dependencies"] if dependencies is None else dependencies.unionByName(out["dependencies"])
         issues = failed if issues is None else issues.unionByName(failed)
+    if dependencies is None:  # nothing was pending at any depth
+        dependencies = records.sparkSession.createDataFrame([], "doc_id bigint, src string, dst string, relation string, reason string")
+        issues = validate_expansion(responses.drop("depth"), requests)[1].withColumn("depth", F.lit(0).cast("bigint")).limit(0)
     return {"records": records, "units": units, "dependencies": dependencies, "issues": issues}
 
 
-def navigation_units(units: DataFrame, patterns: tuple[str, ...] = NAVIGATION) -> DataFrame:
-    """Units that only navigate; further site patterns come in as a parameter."""
+def navigation_units(units: DataFrame, patterns: tuple[str, ...]) -> DataFrame:
+    """Units whose text one of the site's patterns finds: they only navigate."""
     text = trim_ws(F.col("text"))
     hit = F.lit(False)
     for pattern in patterns:
@@ -182,8 +182,8 @@ def navigation_units(units: DataFrame, patterns: tuple[str, ...] = NAVIGATION) -
     return units.filter(hit)
 
 
-def retained_records(units: DataFrame, nodes: DataFrame, node_units: DataFrame, records: DataFrame, start_heading: str = "",
-                     patterns: tuple[str, ...] = NAVIGATION) -> DataFrame:
+def retained_records(units: DataFrame, nodes: DataFrame, node_units: DataFrame, records: DataFrame, patterns: tuple[str, ...],
+                     start_heading: str = "") -> DataFrame:
     """(doc_id, record_id) to keep before following prerequisites: semantic nodes on content units,
     and for units none of them covers the first plain source record."""
     allowed = units.select("doc_id", "unit_id", "start_line", "kind", "text")

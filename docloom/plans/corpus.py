@@ -158,11 +158,11 @@ def plan_batches(spark, sf):
 
 
 @query("build_requests", f"""select doc_id, batch_no, count(*) as items,
-      cast(to_json(list(struct_pack(id := node_id, kind := kind, text := substr(text, 1, 3000)) order by node_ord)) as varchar) as payload
+      cast(to_json(list(struct_pack(id := node_id, kind := kind, text := text) order by node_ord)) as varchar) as payload
     from ({BATCHED}) group by doc_id, batch_no""")
 def build_requests(spark, sf):
     return batching.build_requests(_batched(spark, sf), ["doc_id"], ["node_ord"], [
-        F.col("node_id").alias("id"), F.col("kind"), F.substring("text", 1, 3000).alias("text")])
+        F.col("node_id").alias("id"), F.col("kind"), F.col("text")])
 
 
 SCORE_ITEMS = r"""select doc_id, batch_no, unnest(range(1, cast(n as bigint) + 1)) as pos, unnest(items) as item from (

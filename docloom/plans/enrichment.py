@@ -119,9 +119,9 @@ def _plan_items(d):
         return (f"select doc_id, node_ord as item_pos, case when node_ord % 17 = 0 then 'missing' else node_id end as parent_id, '{name}' as part, cast({pos} as bigint) as pos, "
                 f"{kind} as type, {text} as text, cast({SCORE} as double) as score from fx_dscored where node_ord % 3 = 0 and kind <> 'gap'")
     types = d.at(d.arr(*[f"'{t}'" for t in (*en.EXPANSION_TYPES, "joke")]), "1 + node_ord % 6")
-    return " union all ".join([part("split", 1, "''", "' ' || substr(text, 1, 40) || ' '"),
-                               part("split", 2, "''", "case when node_ord % 7 = 0 then ' ' else substr(text, 41, 300) end"),
-                               part("expansion", 1, types, "substr(text, 1, 90)")])
+    return " union all ".join([part("split", 1, "''", "' ' || text || ' '"),
+                               part("split", 2, "''", "case when node_ord % 7 = 0 then ' ' else 'Again: ' || text end"),
+                               part("expansion", 1, types, "'More: ' || text")])
 
 
 add_table("fx_decomposition_items", _plan_items)
@@ -169,7 +169,7 @@ def _injections(d):
     return " union all ".join(
         f"select doc_id, node_ord as item_pos, node_id as target_id, cast({pos} as bigint) as pos, {types} as type, {text} as text, cast({SCORE} as double) as score, "
         f"{relations} as relation, ' flow ' as reason from fx_dscored where node_ord % 2 = 0"
-        for pos, text in ((1, "'idea ' || cast(node_ord as string) || ' about ' || substr(unit_id, 2, 3)"), (2, "case when node_ord % 6 = 0 then '  ' else coalesce(substr(text, 1, 120), 'none') end")))
+        for pos, text in ((1, "'idea ' || cast(node_ord as string) || ' about ' || substr(unit_id, 2, 3)"), (2, "case when node_ord % 6 = 0 then '  ' else coalesce(text, 'none') end")))
 
 
 add_table("fx_injection_items", _injections)

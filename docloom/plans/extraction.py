@@ -20,8 +20,8 @@ KINDS = ", ".join(f"'{k}'" for k in ex.NODE_KINDS)
 RELS = ", ".join(f"'{r}'" for r in ex.EDGE_RELATIONS)
 
 # Text with the markup the normalizers remove, derived from documents line by line.
-add_table("fx_raw_terms", lambda d: """select doc_id, line, case when line % 3 = 0 then '**' || substr(text, 1, 24) || '** ' when line % 3 = 1
-    then ' "' || substr(text, 1, 20) || '" ' else '`' || substr(text, 1, 12) || '`  _x_' end as term from fx_lines""")
+add_table("fx_raw_terms", lambda d: """select doc_id, line, case when line % 3 = 0 then '**' || text || '** ' when line % 3 = 1
+    then ' "' || text || '" ' else '`' || text || '`  _x_' end as term from fx_lines""")
 
 
 @query("normalize_concept", r"""select doc_id, line, lower(regexp_replace(regexp_replace(regexp_replace(term, '[*_`]+', '', 'g'), '\s+', ' ', 'g'),

@@ -64,10 +64,10 @@ def _units(d):
     return f"""select doc_id, line as unit_ord, {pad('u', 'line', 6)} as unit_id, kind, lvl,
             case when kind = 'heading' then repeat('#', cast(lvl as int)) || ' '
                  || case when lvl = 1 then 'Chapter ' || cast(1 + line % 5 as string) || ' ' else '' end
-                 || trim(substr(text, 1, 60))
+                 || trim(text)
                  else text end as text,
             case when kind = 'heading' then case when lvl = 1 then 'Chapter ' || cast(1 + line % 5 as string) || ' ' else '' end
-                 || trim(substr(text, 1, 60)) end as title,
+                 || trim(text) end as title,
             line as start_line, line as end_line
         from (select *, case when line = 1 or (doc_id * 7 + line) % 9 = 0 then 'heading'
                      when (doc_id + line) % 11 = 0 then 'code' when (doc_id + line) % 13 = 0 then 'equation'
@@ -80,7 +80,7 @@ def _nodes(d):
     gap = "(doc_id * 5 + unit_ord) % 7 = 0"
     return f"""select doc_id, unit_ord as node_ord, {pad('n', 'unit_ord', 7)} as node_id, unit_id,
             kind, case when kind = 'gap' then null
-                       when kind in ('code', 'equation') and unit_ord % 3 = 0 then substr(src_text, 1, 20)
+                       when kind in ('code', 'equation') and unit_ord % 3 = 0 then src_text || ' (changed)'
                        else src_text end as text,
             case when kind = 'gap' then 'Explain item ' || cast(unit_ord % 4 as string) else '' end as need,
             case when kind = 'gap' then {d.at(d.arr("'definition'", "'missing_definition'", "'parsing_error'",
@@ -111,7 +111,7 @@ def _node_concepts(d):
              ("requires", 2, "5", "kind = 'claim'"), ("mentions", 1, "6", "kind <> 'gap'"),
              ("fills", 1, "2", "kind = 'gap' and node_ord % 2 = 0")]
     parts = [f"""select doc_id, node_ord, node_id, '{role}' as role, cast({pos} as bigint) as pos,
-        substr({d.at('t', index)}, 1, 3) as concept from ({base}) where {rule}""" for role, pos, index, rule in picks]
+        {d.at('t', index)} as concept from ({base}) where {rule}""" for role, pos, index, rule in picks]
     return "select * from (" + " union all ".join(parts) + ") where concept is not null"
 
 

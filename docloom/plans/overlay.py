@@ -61,7 +61,7 @@ def overlay_groups(spark, sf):
 # Units that sometimes define a term of their document in plain words.
 def _defining(d, base):
     token = d.at(f"regexp_extract_all(lower(text), {d.rx('[' + chr(92) + 'p{L}]{4,}')}, 0)", "2")
-    return f"""select doc_id, unit_ord, unit_id, context, text || case when unit_ord % 3 = 0 then ' Now ' || coalesce(substr({token}, 1, 3), 'x') || ' is defined as a part.'
+    return f"""select doc_id, unit_ord, unit_id, context, text || case when unit_ord % 3 = 0 then ' Now ' || coalesce({token}, 'x') || ' is defined as a part.'
         when unit_ord % 3 = 1 then '. Here we define in words explain item ' || cast(unit_ord % 4 as string) || ' fully.' else '' end as text from {base}"""
 
 
@@ -300,14 +300,14 @@ add_table("fx_summary", lambda d: """select s.doc_id, s.n, s.extracted, s.source
       select doc_id, count(*) as n, count(*) filter (where status = 'extracted') as extracted, count(*) filter (where status = 'source_fallback') as source_fallback,
         count(*) filter (where status = 'unresolved') as unresolved from fx_unit_status group by doc_id) s
     left join (select doc_id, count(*) as n from fx_open_issues group by doc_id) i using (doc_id) left join (select doc_id, count(*) as n from fx_fallback_issues group by doc_id) f using (doc_id)""")
-COMMENT = """'<!-- refine:issue {"id":"' || issue_id || '","version":1,"type":"' || type || '","status":"open","action":"enrich_or_preserve","need":"' || need || '","sourceUnitIds":["' || units || '"],"annotations":[' || notes || ']} -->'"""
+COMMENT = """'<!-- docloom:issue {"id":"' || issue_id || '","version":1,"type":"' || type || '","status":"open","action":"enrich_or_preserve","need":"' || need || '","sourceUnitIds":["' || units || '"],"annotations":[' || notes || ']} -->'"""
 add_table("fx_comments", lambda d: f"""select doc_id, end_line, late, issue_ord, issue_id, {COMMENT} as comment from (
     select i.doc_id, i.issue_id, i.type, i.need, i.issue_ord, 0 as late, max(u.end_line) as end_line, string_agg(u.unit_id, '","' order by u.pos) as units, '' as notes
       from fx_open_issues i join fx_open_issue_units u using (doc_id, issue_id) group by i.doc_id, i.issue_id, i.type, i.need, i.issue_ord
     union all select doc_id, 'fallback-' || unit_id, 'source_fallback', '{an.FALLBACK_NEED}', issue_ord, 1, end_line, unit_id, '"repair_source_fallback"' from fx_fallback_issues)""")
 add_table("fx_annotated", lambda d: """select doc_id, trim(string_agg(text, chr(10) order by line, part, late, issue_ord, issue_id)) || chr(10) as text from (
       select doc_id, line, 0 as part, 0 as late, cast(0 as bigint) as issue_ord, '' as issue_id, text from fx_lines
-      union all select doc_id, 1, 1, 0, 0, '', chr(10) || '<!-- refine:coverage {"version":1,"sourceUnitCount":' || n || ',"issueCount":' || issues || ',"extracted":' || extracted || ',"source_fallback":' || source_fallback || ',"unresolved":' || unresolved || '} -->' from fx_summary
+      union all select doc_id, 1, 1, 0, 0, '', chr(10) || '<!-- docloom:coverage {"version":1,"sourceUnitCount":' || n || ',"issueCount":' || issues || ',"extracted":' || extracted || ',"source_fallback":' || source_fallback || ',"unresolved":' || unresolved || '} -->' from fx_summary
       union all select doc_id, end_line, 2, late, issue_ord, issue_id, case when row_number() over (partition by doc_id, end_line order by late, issue_ord, issue_id) = 1 then chr(10) else '' end || comment from fx_comments) group by doc_id""")
 
 
@@ -321,6 +321,6 @@ def annotate_document(spark, sf):
     return annotated(spark, sf)
 
 
-@query("extract_issue_ids", """select doc_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '<!-- refine:issue (\\{[^\\n]*?\\}) -->', 1), lambda x: json_extract_string(x, '$.id')))) as issue_id from fx_annotated""".replace("\\\\", "\\"))
+@query("extract_issue_ids", """select doc_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '<!-- docloom:issue (\\{[^\\n]*?\\}) -->', 1), lambda x: json_extract_string(x, '$.id')))) as issue_id from fx_annotated""".replace("\\\\", "\\"))
 def extract_issue_ids(spark, sf):
     return an.extract_issue_ids(stage(spark, sf, "annotated", lambda: annotated(spark, sf)))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from docloom.functions import text as tx
 from docloom.operators import prose as pr
 from docloom.plans.fixtures import add_table, fixture, oracle, source, stage
 
@@ -88,9 +89,9 @@ add_table("fx_section_docs", lambda d: f"""select doc_id, section, max(case when
     from fx_usec where section > 0 group by doc_id, section""")
 ID = "'gap-' || cast(section as string)"
 NL = "chr(10) || chr(10)"
-add_table("fx_annotated_docs", lambda d: f"""select doc_id, section, title, text || {NL} || '<!-- refine:issue {{"id":"' || {ID} || '-a","type":"parsing_error"}} -->' || {NL} || '<!-- refine:issue {{"id":"' || {ID} || '-b"}} -->' as text from fx_section_docs""")
-add_table("fx_written_docs", lambda d: f"""select doc_id, section, title, (doc_id + section) % 4 = 0 as reused, text || case when section % 3 <> 0 then {NL} || '<!-- refine:resolved {{"id":"' || {ID} || '-a"}} -->' else '' end
-    || {NL} || '<!-- refine:issue {{"id":"' || {ID} || '-b"}} -->' || case when section % 4 = 0 then {NL} || '<!-- refine:issue {{broken}} -->' else '' end as text from fx_section_docs where (doc_id + section) % 5 <> 0""")
+add_table("fx_annotated_docs", lambda d: f"""select doc_id, section, title, text || {NL} || '<!-- docloom:issue {{"id":"' || {ID} || '-a","type":"parsing_error"}} -->' || {NL} || '<!-- docloom:issue {{"id":"' || {ID} || '-b"}} -->' as text from fx_section_docs""")
+add_table("fx_written_docs", lambda d: f"""select doc_id, section, title, (doc_id + section) % 4 = 0 as reused, text || case when section % 3 <> 0 then {NL} || '<!-- docloom:resolved {{"id":"' || {ID} || '-a"}} -->' else '' end
+    || {NL} || '<!-- docloom:issue {{"id":"' || {ID} || '-b"}} -->' || case when section % 4 = 0 then {NL} || '<!-- docloom:issue {{broken}} -->' else '' end as text from fx_section_docs where (doc_id + section) % 5 <> 0""")
 add_table("fx_doc_blocks", lambda d: f"""select doc_id, section, block, raw, {flat('raw')} as t from (
     select doc_id, section, unnest(range(0, len(b))) as block, unnest(b) as raw from (select doc_id, section, string_split(text, {NL}) as b from fx_written_docs))""")
 add_table("fx_doc_dense", lambda d: f"select doc_id, section, cast(count_if({dense('t')}) as bigint) as dense from fx_doc_blocks group by doc_id, section")
@@ -124,8 +125,8 @@ def dense_sections(spark, sf):
     return pr.dense_sections(written(spark, sf)).select("doc_id", "section", "dense")
 
 
-# Rewrites: every dense block of a document in two short halves, some documents with a flaw.
-add_table("fx_rewrites", lambda d: f"""select doc_id, block, [substr(t, 1, 60), case when (doc_id + block) % 13 = 0 then ' ' else substr(t, 61, 80) end] as paragraphs
+# Rewrites: every dense block of a document in short pieces that hold all of it, some documents with a flaw.
+add_table("fx_rewrites", lambda d: f"""select doc_id, block, list_concat(list_transform(range(0, (length(t) + 59) // 60), lambda i: substr(t, 60 * i + 1, 60)), case when (doc_id + block) % 13 = 0 then [' '] else [] end) as paragraphs
     from fx_blocks where {dense('t')} and (doc_id + block) % 17 <> 0""")
 add_table("fx_rewritable", lambda d: f"""select doc_id from (select doc_id, count(*) as n from fx_blocks where {dense('t')} group by doc_id) a
     join (select doc_id, count(*) as n, bool_and((doc_id + block) % 13 <> 0) as ok from fx_rewrites group by doc_id) b using (doc_id) where a.n = b.n and ok""")
@@ -133,8 +134,11 @@ add_table("fx_rewritable", lambda d: f"""select doc_id from (select doc_id, coun
 
 def rewrites(spark, sf):
     blocks = stage(spark, sf, "dense_blocks", lambda: pr.dense_paragraphs(markdown(spark, sf)))
-    second = F.when((F.col("doc_id") + F.col("block")) % 13 == 0, " ").otherwise(F.substring("excerpt", 61, 80))
-    items = blocks.filter((F.col("doc_id") + F.col("block")) % 17 != 0).select("doc_id", "block", F.array(F.substring("excerpt", 1, 60), second).alias("paragraphs"))
+    texts = markdown(spark, sf).select("doc_id", F.posexplode(tx.blocks_of(F.col("text"))).alias("block", "t")).withColumn("t", tx.collapse_ws(F.col("t")))
+    pieces = F.transform(F.sequence(F.lit(0), F.ceil(F.length("t") / 60).cast("int") - 1), lambda i: F.substring(F.col("t"), i * 60 + 1, F.lit(60)))
+    flaw = F.when((F.col("doc_id") + F.col("block")) % 13 == 0, F.array(F.lit(" "))).otherwise(F.array().cast("array<string>"))
+    items = (blocks.select("doc_id", "block").join(texts, ["doc_id", "block"]).filter((F.col("doc_id") + F.col("block")) % 17 != 0)
+             .select("doc_id", "block", F.concat(pieces, flaw).alias("paragraphs")))
     return pr.validate_replacements(items, blocks, markdown(spark, sf))
 
 
@@ -170,7 +174,7 @@ def assemble_book(spark, sf):
     return pr.assemble_book(dispositions(spark, sf))
 
 
-IDS = r"""list_distinct(list_transform(regexp_extract_all(text, '<!-- refine:(?:issue|resolved) (\{"id"[^\n]*?\}) -->', 1), lambda x: json_extract_string(x, '$.id')))"""
+IDS = r"""list_distinct(list_transform(regexp_extract_all(text, '<!-- docloom:(?:issue|resolved) (\{"id"[^\n]*?\}) -->', 1), lambda x: json_extract_string(x, '$.id')))"""
 add_table("fx_expected_ids", lambda d: f"select doc_id, section, unnest({IDS}) as id from fx_annotated_docs")
 add_table("fx_kept_ids", lambda d: f"select doc_id, section, unnest({IDS}) as id from fx_written_docs")
 add_table("fx_book_ids", lambda d: f"select doc_id, unnest({IDS}) as id from fx_books")

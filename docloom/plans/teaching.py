@@ -183,7 +183,7 @@ def _expansion_units(d):
     token = d.at(f"regexp_extract_all(lower(text), {d.rx('[' + chr(92) + 'p{L}]{4,}')}, 0)", "2 + record_ord % 3")
     # Kept apart: the third unit asks for concepts, two of them shared by many records of a document.
     rows = ((1, "'statement'", "'source'", d.arr("' Idea 1 '", "'Idea 1'")), (2, "case when record_ord % 43 = 0 then 'poem' else 'mechanism' end", "case when record_ord % 37 = 0 then 'common_knowledge' else 'source' end", d.no_strings()),
-            (3, "'prerequisite'", "'common_knowledge'", d.arr("'Idea ' || cast(record_ord % 3 as string)", f"coalesce(substr({token}, 1, 3), 'none')", "'idea  1'", "'fourth'", "'fifth'")))
+            (3, "'prerequisite'", "'common_knowledge'", d.arr("'Idea ' || cast(record_ord % 3 as string)", f"coalesce({token}, 'none')", "'idea  1'", "'fourth'", "'fifth'")))
     return " union all ".join(
         f"select doc_id, batch_no, record_ord as item_pos, record_id, cast({pos} as bigint) as pos, {role} as role, {basis} as basis, ' part {pos} of ' || record_id || ' ' as text, {requires} as requires, "
         f"record_ord % 4 = 0 as citation_required from fx_requests where (doc_id + record_ord) % 41 <> 0" for pos, role, basis, requires in rows)
@@ -247,9 +247,11 @@ def expansion_frontier(spark, sf):
 
 
 # Units of which some only navigate.
-add_table("fx_nav_units", lambda d: """select doc_id, unit_ord, unit_id, kind, start_line, case when unit_ord % 7 = 3 then '- [' || substr(text, 1, 9) || '](#part-' || cast(unit_ord as string) || ')'
+add_table("fx_nav_units", lambda d: """select doc_id, unit_ord, unit_id, kind, start_line, case when unit_ord % 7 = 3 then '- [' || translate(text, '[]', '  ') || '](#part-' || cast(unit_ord as string) || ')'
     when unit_ord % 7 = 5 then '[About us](/about)' when unit_ord % 21 = 6 then ' Dark mode ' else text end as text from fx_units""")
-NAV = r"regexp_matches(trim(text), '(?m)^-\s*\[[^\]]+\]\(#[^)]+\)\s*$') or regexp_matches(trim(text), '(?i)^\[(?:about|work|notebook|contact|skip to)[^\]]*\]\(') or lower(trim(text)) = 'dark mode'"
+# What the derived lines use to navigate; an anchor list entry, a link and a switch.
+NAVIGATION = (r"(?m)^-\s*\[[^\]]+\]\(#[^)]+\)\s*$", r"(?i)\A\[about us\]\(", r"(?i)\Adark mode\z")
+NAV = r"regexp_matches(trim(text), '(?m)^-\s*\[[^\]]+\]\(#[^)]+\)\s*$') or regexp_matches(trim(text), '(?i)^\[about us\]\(') or lower(trim(text)) = 'dark mode'"
 add_table("fx_allowed", lambda d: f"""select u.doc_id, u.unit_id from fx_nav_units u left join (select doc_id, min(start_line) as first_line from fx_nav_units where kind = 'heading' and contains(lower(text), 'chapter 3') group by doc_id) s using (doc_id)
     where not ({NAV}) and start_line >= coalesce(first_line, 1)""")
 add_table("fx_touched", lambda d: """select l.doc_id, l.node_id, l.unit_id from fx_node_units l join fx_allowed using (doc_id, unit_id) join fx_tnodes n on n.doc_id = l.doc_id and n.node_id = l.node_id
@@ -261,11 +263,11 @@ add_table("fx_retained", lambda d: """select distinct doc_id, 'teach-' || node_i
 
 @query("navigation_units", f"select doc_id, unit_id from fx_nav_units where {NAV}")
 def navigation_units(spark, sf):
-    return te.navigation_units(fixture(spark, sf, "fx_nav_units")).select("doc_id", "unit_id")
+    return te.navigation_units(fixture(spark, sf, "fx_nav_units"), NAVIGATION).select("doc_id", "unit_id")
 
 
 def retained(spark, sf):
-    return te.retained_records(fixture(spark, sf, "fx_nav_units"), fixture(spark, sf, "fx_tnodes"), fixture(spark, sf, "fx_node_units"), built(spark, sf)[0], "Chapter 3")
+    return te.retained_records(fixture(spark, sf, "fx_nav_units"), fixture(spark, sf, "fx_tnodes"), fixture(spark, sf, "fx_node_units"), built(spark, sf)[0], NAVIGATION, "Chapter 3")
 
 
 @query("retained_records", "select * from fx_retained")
@@ -349,11 +351,11 @@ JSON = "cast(to_json({x}) as varchar)"
 ASSEMBLED = """select doc_id, string_agg(text, chr(10) || chr(10) order by a, b, c) || chr(10) as text from (
       select distinct doc_id, cast(0 as bigint) as a, cast(0 as bigint) as b, 0 as c, '# Guide' as text from fx_teach
       union all select doc_id, pos, 0, 0, '## ' || chapter from fx_section_order
-      union all select doc_id, a, record_ord, 0, '<!-- refine:source ' || replace(cast(to_json(struct_pack(id := record_id, sourceNodeId := source_node_id, sourceUnitIds := units, sourceAnchor := source_anchor,
+      union all select doc_id, a, record_ord, 0, '<!-- docloom:source ' || replace(cast(to_json(struct_pack(id := record_id, sourceNodeId := source_node_id, sourceUnitIds := units, sourceAnchor := source_anchor,
         status := case when dense then 'expansion_required' else 'source_ready' end)) as varchar), '--', '—') || ' -->' from listed
-      union all select doc_id, a, record_ord, 1, case when dense then '<!-- refine:issue ' || replace(cast(to_json(struct_pack(id := 'issue-' || record_id, type := 'unexpanded_teaching_record', status := 'open',
+      union all select doc_id, a, record_ord, 1, case when dense then '<!-- docloom:issue ' || replace(cast(to_json(struct_pack(id := 'issue-' || record_id, type := 'unexpanded_teaching_record', status := 'open',
         action := 'enrich_or_preserve', need := 'Expand ' || source_anchor, sourceUnitIds := units)) as varchar), '--', '—') || ' -->' else source_anchor end from listed
-      union all select n.doc_id, 1125899906842624, n.node_ord, 0, '<!-- refine:issue ' || replace(cast(to_json(struct_pack(id := n.node_id, type := gap_type, status := 'open', action := 'enrich_or_preserve', need := need, sourceUnitIds := u.units)) as varchar), '--', '—') || ' -->'
+      union all select n.doc_id, 1125899906842624, n.node_ord, 0, '<!-- docloom:issue ' || replace(cast(to_json(struct_pack(id := n.node_id, type := gap_type, status := 'open', action := 'enrich_or_preserve', need := need, sourceUnitIds := u.units)) as varchar), '--', '—') || ' -->'
         from fx_tnodes n join unit_lists u using (doc_id, node_id) where kind = 'gap' and resolution_status is null and not resolved) group by doc_id having bool_or(a = 0)"""
 ASSEMBLED = f"""with unit_lists as (select doc_id, node_id, list(unit_id order by pos) as units from fx_node_units group by doc_id, node_id),
     listed as (select t.*, s.pos as a, u.units from fx_teach t join fx_section_order s using (doc_id, chapter) join unit_lists u on u.doc_id = t.doc_id and u.node_id = t.source_node_id) {ASSEMBLED}"""

@@ -125,7 +125,7 @@ def test_annotation_places_comments_and_keeps_ids(spark):
     assert {r.unit_id: r.status for r in status.collect()} == {"u1": "extracted", "u2": "unresolved"}
     text = an.annotate_document(spark.createDataFrame([(1, "# Title\n\nDense source.\n")], "doc_id bigint, text string"), issues, issue_units, summary)
     body = text.first().text
-    assert body.index("refine:coverage") < body.index("Dense source.") < body.index("refine:issue") and "Recover — it." in body
+    assert body.index("docloom:coverage") < body.index("Dense source.") < body.index("docloom:issue") and "Recover — it." in body
     assert [r.issue_id for r in an.extract_issue_ids(text).collect()] == ["g1"]
     solved = nodes.withColumn("resolution_status", F.when(F.col("node_id") == "g1", "source_recovery"))
     assert [(r.issue_id, r.type) for r in an.issue_annotations(solved, links, base)[0].collect()] == [("fallback-u2", "source_fallback")]
