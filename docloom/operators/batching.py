@@ -27,6 +27,8 @@ def build_requests(batched: DataFrame, by: list[str], order: list[str], fields:
 def ingest_responses(responses: DataFrame, keys: list[str], field: str, *,
                      brace_slice: bool = False) -> tuple[DataFrame, DataFrame]:
     """Response texts to (``keys``, pos, item VARIANT) rows, and one issue row per unusable response."""
+    # Of a key that an object repeats, the last value counts.
+    responses.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     body = strip_fence(F.col("response"))
     parsed = responses.withColumn("_body", body).withColumn("_v", F.try_parse_json("_body"))
     if brace_slice:

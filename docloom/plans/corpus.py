@@ -1,8 +1,11 @@
 """Queries over the raw corpus: sources, batches, responses, segmentation, sections."""
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
+from docloom.functions.ordering import shared_folder
 from docloom.operators import batching, segment, sections
 from docloom.plans.fixtures import SPARK_BUILDERS, Dialect, add_table, fixture, oracle, pad, source, stage
 from docloom.sources import corpus, html
@@ -76,6 +79,19 @@ def read_graph(spark, sf):
             .fillna(0, ["units", "concepts"]))
 
 
+@query("graph_files", """select n.doc_id, n.node_id, n.kind, n.text, n.need, n.gap_type, n.density_score, n.resolution_status, 'scored' as density_source, n.kind as density_reason,
+      count(u.unit_id) as units from fx_dscored n left join fx_node_units u using (doc_id, node_id) group by all""")
+def graph_files(spark, sf):
+    tables = graph_tables_of(spark, sf)
+    scored = fixture(spark, sf, "fx_dscored").drop("unit_id", "prior_resolver").withColumn("density_source", F.lit("scored")).withColumn("density_reasons", F.array("kind"))
+    path = f"{shared_folder(spark)}/docloom-graph-files-{uuid4().hex}"
+    corpus.write_graph({**tables, "nodes": scored}, path)
+    read = corpus.read_export(spark, path)
+    units = read["node_units"].groupBy("doc_id", "node_id").agg(F.count(F.lit(1)).alias("units"))
+    return (read["nodes"].join(units, ["doc_id", "node_id"], "left").fillna(0, ["units"])
+            .select("doc_id", "node_id", "kind", "text", "need", "gap_type", "density_score", "resolution_status", "density_source", F.get("density_reasons", F.lit(0)).alias("density_reason"), "units"))
+
+
 @query("write_graph", """select n.doc_id, n.nodes, coalesce(e.edges, 0) as edges, coalesce(f.frames, 0) as frames, u.units from
       (select doc_id, count(*) as units from fx_units group by doc_id) u
     join (select doc_id, count(*) as nodes from fx_nodes group by doc_id) n using (doc_id)

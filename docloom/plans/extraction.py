@@ -126,6 +126,31 @@ def validate_frames(spark, sf):
     return good.select("doc_id", "chunk_id", "idx", "claim", "warrant_gap", text("evidence"), text("limitations"))
 
 
+add_table("fx_bad_chunks", lambda d: f"""select doc_id, chunk_id, min_by(reason, place) as reason from (
+      select doc_id, chunk_id, 0 as place, min_by(why, idx) as reason from fx_node_rules where why is not null group by doc_id, chunk_id
+      union all select distinct doc_id, chunk_id, 1, 'bad_edge' from ({EDGE_CHECK}) where not ok
+      union all select distinct doc_id, chunk_id, 2, 'bad_frame' from fx_frame_found where claim_bad or list_bad or warrant_bad or evidence_n = 0) group by doc_id, chunk_id""")
+
+
+@query("validate_extraction", """select doc_id, chunk_id, 'node' as part, idx, final as content from fx_node_rules anti join fx_bad_chunks using (doc_id, chunk_id)
+    union all select doc_id, chunk_id, 'edge', idx, relation from fx_edge_items anti join fx_bad_chunks using (doc_id, chunk_id)
+    union all select doc_id, chunk_id, 'frame', idx, cast(claim as varchar) from fx_frame_items anti join fx_bad_chunks using (doc_id, chunk_id)
+    union all select doc_id, chunk_id, 'rejected', cast(null as bigint), reason from fx_bad_chunks""")
+def validate_extraction(spark, sf):
+    good, rejected = ex.validate_extraction(fixture(spark, sf, "fx_node_items"), fixture(spark, sf, "fx_edge_items"), fixture(spark, sf, "fx_frame_items"), chunk_units(spark, sf))
+    row = lambda df, part, idx, content: df.select("doc_id", "chunk_id", F.lit(part).alias("part"), idx.cast("bigint").alias("idx"), F.col(content).cast("string").alias("content"))
+    return (row(good["nodes"], "node", F.col("idx"), "text").unionByName(row(good["edges"], "edge", F.col("idx"), "relation"))
+            .unionByName(row(good["frames"], "frame", F.col("idx"), "claim")).unionByName(row(rejected, "rejected", F.lit(None), "reason")))
+
+
+@query("salvage_empty_answers", """select doc_id, chunk_id, 'parsing_error' as gap_type, count(*) as units, min(unit_id) as first_unit
+    from fx_chunk_units anti join fx_node_items using (doc_id, chunk_id) group by doc_id, chunk_id""")
+def salvage_empty_answers(spark, sf):
+    out = ex.salvage_empty_answers(chunk_units(spark, sf), fixture(spark, sf, "fx_node_items"), chunk_units(spark, sf))
+    links = out["node_units"].groupBy("doc_id", "chunk_id").agg(F.count(F.lit(1)).alias("units"), F.min("unit_id").alias("first_unit"))
+    return out["nodes"].select("doc_id", "chunk_id", "gap_type").join(links, ["doc_id", "chunk_id"])
+
+
 def salvaged(spark, sf):
     return ex.salvage_extraction(fixture(spark, sf, "fx_node_items"), fixture(spark, sf, "fx_edge_items"), fixture(spark, sf, "fx_frame_items"),
                                  chunk_units(spark, sf), compose=False)

@@ -13,12 +13,20 @@ sourceUnits array<struct<id: string, kind: string, text: string, hash: string, s
 nodes array<struct<id: string, kind: string, text: string, need: string, gapType: string, sourceUnitIds: array<string>,
   defines: array<string>, requires: array<string>, mentions: array<string>, fills: array<string>, origin: string,
   chunkId: string, annotations: array<string>, coverageFallback: boolean, densityScore: double, derivedFrom: string,
-  resolvedBy: array<string>, resolutionStatus: string>>,
+  resolvedBy: array<string>, resolutionStatus: string, densitySource: string, densityReasons: array<string>, decompositionRole: string,
+  expansionType: string, injectionType: string, epistemicStatus: string, recoveryClass: string, confidence: string, generatedGap: boolean,
+  resolutionReason: string>>,
 edges array<struct<`from`: string, `to`: string, relation: string, reason: string, origin: string, concept: string>>,
 evidenceFrames array<struct<id: string, claim: string, evidence: array<string>, warrantGap: string, limitations: array<string>, origin: string, chunkId: string>>
 """
 
 
+#: Node fields that later phases add, outside and inside.
+LATER_FIELDS = {"densitySource": "density_source", "densityReasons": "density_reasons", "decompositionRole": "decomposition_role", "expansionType": "expansion_type",
+                "injectionType": "injection_type", "epistemicStatus": "epistemic_status", "recoveryClass": "recovery_class", "generatedGap": "generated_gap",
+                "resolutionReason": "resolution_reason"}
+
+
 def accept_documents(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Normalize line ends, hash, and split off blank inputs as issues."""
     docs = raw.withColumn("text", normalize_newlines(F.col("text")))
@@ -50,6 +58,8 @@ def graph_tables(raw: DataFrame) -> dict[str, DataFrame]:
              .withColumnRenamed("coverageFallback", "coverage_fallback").withColumnRenamed("densityScore", "density_score")
              .withColumnRenamed("derivedFrom", "derived_from").withColumnRenamed("resolvedBy", "resolved_by")
              .withColumnRenamed("resolutionStatus", "resolution_status"))
+    for outside, inside in LATER_FIELDS.items():
+        nodes = nodes.withColumnRenamed(outside, inside)
     links = nodes.select("doc_id", "node_ord", "node_id", F.posexplode("sourceUnitIds").alias("pos", "unit_id"))
     concepts = None
     for role in ("defines", "requires", "mentions", "fills"):
@@ -74,6 +84,11 @@ def read_graph(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return graph_tables(raw)
 
 
+def read_export(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The nested export of ``write_graph``, back as flat tables."""
+    return graph_tables(spark.read.schema(f"doc_id bigint, {GRAPH_SCHEMA}").json(f"{path}/graph"))
+
+
 def _nest(df: DataFrame, order: str, fields: list[Column], out: str) -> DataFrame:
     rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), F.struct(*fields).alias("_x"))))
     return df.groupBy("doc_id").agg(F.transform(rows, lambda r: r["_x"]).alias(out))
@@ -93,7 +108,7 @@ def export_graph(tables: dict[str, DataFrame]) -> DataFrame:
     rename = {"node_id": "id", "unit_id": "id", "frame_id": "id", "src": "from", "dst": "to", "gap_type": "gapType",
               "start_line": "startLine", "end_line": "endLine", "warrant_gap": "warrantGap", "chunk_id": "chunkId",
               "coverage_fallback": "coverageFallback", "density_score": "densityScore", "derived_from": "derivedFrom",
-              "resolved_by": "resolvedBy", "resolution_status": "resolutionStatus"}
+              "resolved_by": "resolvedBy", "resolution_status": "resolutionStatus", **{inside: outside for outside, inside in LATER_FIELDS.items()}}
 
     def fields(df, order):
         return [F.col(c).alias(rename.get(c, c)) for c in df.columns if c not in ("doc_id", order)]
