@@ -220,7 +220,9 @@ def same_source(variants: DataFrame) -> DataFrame:
 def merge_variants(nodes: DataFrame, node_units: DataFrame, node_concepts: DataFrame) -> dict[str, DataFrame]:
     """Nodes equal in kind, text (gaps: type and need) and units become one; concept lists are united."""
     keys = ["doc_id", "variant", "node_id"]
-    listed = node_units.groupBy(*keys).agg(F.array_sort(F.collect_list("unit_id")).alias("_units"))
+    # A popular gap owns many units: the set is keyed by its size and two order-free sums, never gathered.
+    number = lambda seed: F.xxhash64("unit_id", F.lit(seed)).cast("decimal(38,0)")
+    listed = node_units.groupBy(*keys).agg(F.struct(F.count("unit_id").alias("n"), F.sum(number(1)).alias("a"), F.sum(number(2)).alias("b")).alias("_units"))
     gap = F.col("kind") == "gap"
     identity = F.to_json(F.struct(gap.alias("g"), F.when(gap, F.col("gap_type")).otherwise(F.col("kind")).alias("k"),
                                   F.when(gap, F.coalesce("need", F.lit(""))).otherwise(F.col("text")).alias("t"), F.col("_units")))

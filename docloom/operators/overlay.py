@@ -87,8 +87,11 @@ def triage_definitions(records: DataFrame, units: DataFrame) -> tuple[DataFrame,
     runs = F.flatten(F.transform(after, lambda w: F.regexp_extract_all(w, F.lit(r"(?<=[a-z0-9_])([^a-z0-9_]+)(?=[a-z0-9_])"), F.lit(1))))
     cued = cued.withColumn("_near", near).withColumn("_before", before).withColumn("_runs", runs)
     pairs = F.filter(F.zip_with("_near", F.slice("_near", F.lit(2), F.greatest(F.size("_near"), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b)), lambda t: t.isNotNull())
-    tokens = cued.withColumn("token", F.explode(F.array_distinct(F.concat("_before", "_near", pairs, "_runs")))).drop("_near", "_before", "_runs")
-    found = tokens.join(labels, ["doc_id", "chapter", "token"]).filter("text rlike pattern").select("doc_id", "chapter", "label", "unit_ord", "unit_id")
+    tokens = cued.select("doc_id", "chapter", "unit_ord", "unit_id", F.explode(F.array_distinct(F.concat("_before", "_near", pairs, "_runs"))).alias("token"))
+    # Keys meet on tokens; texts come back only for the pairs of unit and label that met.
+    met = tokens.join(labels, ["doc_id", "chapter", "token"]).select("doc_id", "unit_ord", "unit_id", "chapter", "label", "pattern").distinct()
+    found = (met.join(units.select("doc_id", "unit_id", "text"), ["doc_id", "unit_id"]).filter("text rlike pattern")
+             .select("doc_id", "chapter", "label", "unit_ord", "unit_id"))
     best = top_by(found, ["doc_id", "chapter", "label"], ["unit_ord"], 2)
     matched = best.select("doc_id", "chapter", "label").distinct().withColumn("_hit", F.lit(True))
     out = records.join(matched, ["doc_id", "chapter", "label"], "left")
