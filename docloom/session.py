@@ -14,7 +14,7 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to all executors once per application; Spark copies the archive from the driver."""
     context = spark.sparkContext
-    if context.applicationId not in _shipped and not context.master.startswith("local["):
+    if context.applicationId not in _shipped:
         root = os.path.dirname(os.path.abspath(__file__))
         path = os.path.join(mkdtemp(prefix="docloom-"), "docloom.zip")
         with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:

@@ -173,3 +173,25 @@ def test_answer_stream_equals_the_batch_result(spark, tmp_path):
     start_answer_stream(stream, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination(120)
     got = {r.gap_key: r.answer_id for r in read_answers(spark, str(tmp_path / "out")).collect()}
     assert got == {r.gap_key: r.answer_id for r in ov.latest_answers(df).collect()}
+
+
+def test_repeated_json_keys_keep_the_last_value(spark):
+    responses = spark.createDataFrame([(1, '{"scores":[{"id":"a","id":"b","score":0.5}]}')], "doc_id bigint, response string")
+    items, issues = batching.ingest_responses(responses, ["doc_id"], "scores")
+    assert issues.count() == 0 and [r.i for r in items.selectExpr("variant_get(item, '$.id', 'string') as i").collect()] == ["b"]
+
+
+def test_one_bad_edge_rejects_the_chunk(spark):
+    items = spark.createDataFrame([item("claim", "a"), item("claim", "b", idx=1)], ITEMS)
+    edges = lambda dst: spark.createDataFrame([(1, 0, "c1", 0, 0, dst, "supports", "")], "doc_id bigint, chunk_ord bigint, chunk_id string, idx bigint, src bigint, dst bigint, relation string, reason string")
+    frames = spark.createDataFrame([(1, 0, "c1", 0, 0, [1], None, [])], "doc_id bigint, chunk_ord bigint, chunk_id string, idx bigint, claim bigint, evidence array<bigint>, warrant_gap bigint, limitations array<bigint>")
+    good, rejected = ex.validate_extraction(items, edges(1), frames, units(spark))
+    assert [good[k].count() for k in ("nodes", "edges", "frames")] == [2, 1, 1] and rejected.count() == 0
+    good, rejected = ex.validate_extraction(items, edges(9), frames, units(spark))
+    assert [good[k].count() for k in ("nodes", "edges", "frames")] == [0, 0, 0] and [r.reason for r in rejected.collect()] == ["bad_edge"]
+
+
+def test_an_answer_without_nodes_becomes_a_gap(spark):
+    items = spark.createDataFrame([], ITEMS)
+    out = ex.salvage_empty_answers(units(spark), items, units(spark))
+    assert [r.gap_type for r in out["nodes"].collect()] == ["parsing_error"] and out["node_units"].count() == 2

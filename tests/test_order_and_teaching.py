@@ -98,6 +98,20 @@ def test_expansion_creates_prerequisites_once(spark):
     assert te.expand_prerequisites(records, known, made, good, 2)["new_records"].count() == 0
 
 
+def test_frontier_resumes_at_a_later_depth(spark):
+    records = spark.createDataFrame([(1, 1, "r1", None, "Chapter 1", "model_prerequisite", "Rail width", None, None, False, "expansion_required", 1, True, 1)],
+                                    "doc_id bigint, record_ord bigint, record_id string, source_node_id string, chapter string, kind string, source_anchor string, density_score double, density_source string, dense boolean, status string, minimum_units bigint, generated boolean, expansion_depth bigint")
+    answers = expansion(spark, [(1, 1, 1, "r1", 1, "statement", "common_knowledge", "D.", ["wheel flange"], False)]).withColumn("depth", F.lit(1))
+    known = spark.createDataFrame([], "doc_id bigint, concept string")
+    units = spark.createDataFrame([], "doc_id bigint, record_id string, unit_pos bigint, unit_id string, role string, text string, provenance string, epistemic_status string, expansion_depth bigint")
+    out = te.expansion_frontier(records, known, units, answers, max_depth=2)
+    assert {r.status for r in out["records"].filter("record_id = 'r1'").collect()} <= {"expanded", "expansion_required"}
+    assert out["dependencies"] is not None and out["issues"] is not None
+    assert out["records"].filter("status = 'expanded'").count() + out["issues"].count() >= 1
+    none = te.expansion_frontier(records.limit(0), known, units, answers, max_depth=1)
+    assert none["dependencies"].count() == none["issues"].count() == 0
+
+
 @pytest.mark.parametrize("role,basis,text", [("poem", "source", "x"), ("statement", "rumor", "x"), ("statement", "source", " "), ("statement", "source", PACKED), ("statement", "common_knowledge", "x")])
 def test_one_bad_unit_rejects_the_batch(spark, role, basis, text):
     requests = spark.createDataFrame([(1, 1, "r1", "n1", 2)], "doc_id bigint, batch_no bigint, record_id string, source_node_id string, minimum_units bigint")
