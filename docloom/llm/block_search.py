@@ -1,11 +1,11 @@
 """Exact nearest neighbours by a block matrix join.
 
-Queries and candidates are dealt into blocks of bounded size, and every pair of a query block and a candidate block is
-one task's tile. In a tile vectors are quantised to int8 with a scale each; the int8 product (exact: small integers in
+Queries are dealt into blocks of bounded size and candidates into ``PARTS`` parts; a task streams a part past a query
+block in tiles, and holds the block, one tile and the queries' heaps. In a tile vectors are quantised to int8 with a scale each; the int8 product (exact: small integers in
 float32) gives every inner product up to a bound that follows from the norms of vectors and of quantisation errors:
 |x.y - x'.y'| <= |x| |y - y'| + |x - x'| |y'|. Pairs whose upper bound reaches the k-th lower bound, and the k-th score
 found so far, are recomputed from the original vectors in double precision, dimension by dimension, and merged into the
-queries' heaps. Each tile gives k rows a query at most, which Spark merges. No candidate is left out, so recall is 1.
+queries' heaps. Each part gives k rows a query at most, which Spark merges. No candidate is left out, so recall is 1.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows
 without vec_id. Only vectors of one length are compared. Rows of one vec_id are one vector (the smallest of them). Ties
@@ -16,6 +16,7 @@ ignored.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 
 from docloom.llm.common import written
 
-#: Rows of a query block and of a candidate block; candidates of one product.
-QUERY_ROWS, CANDIDATE_ROWS, TILE = 1024, 2048, 512
+#: Rows of a query block, parts of the candidates, candidates of one product.
+QUERY_ROWS, PARTS, TILE = 1024, 8, 512
 
 
 def valid_vectors(table: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -54,19 +55,25 @@ def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def nearest_in_tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, candidates: np.ndarray, k: int) -> list[list[tuple[float, int]]]:
-    """Per query its k best as (-score, id), best first."""
-    best: list[list[tuple[float, int]]] = [[] for _ in query_ids]
-    if not len(query_ids) or not len(ids):
-        return best
-    q_code, q_scale, q_norm, _, q_error = quantised(queries)
-    wide = np.float32 if queries.shape[1] * 127 * 127 < 1 << 24 else np.float64
-    for first in range(0, len(ids), TILE):
-        own_ids, own = ids[first:first + TILE], candidates[first:first + TILE]
+class QueryBlock:
+    """A block of queries with their k best so far as (-score, id), best first."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.vectors, self.k = ids, vectors, k
+        self.code, self.scale, self.norm, _, self.error = quantised(vectors)
+        self.best: list[list[tuple[float, int]]] = [[] for _ in ids]
+
+    def meet(self, ids: np.ndarray, candidates: np.ndarray) -> None:
+        for first in range(0, len(ids), TILE):
+            self._tile(ids[first:first + TILE], candidates[first:first + TILE])
+
+    def _tile(self, own_ids: np.ndarray, own: np.ndarray) -> None:
+        query_ids, queries, best, k = self.ids, self.vectors, self.best, self.k
+        wide = np.float32 if queries.shape[1] * 127 * 127 < 1 << 24 else np.float64
         code, scale, _, near_norm, error = quantised(own)
-        product = (q_code.astype(wide) @ code.astype(wide).T).astype(float) * q_scale[:, None] * scale
-        bound = q_norm[:, None] * error + q_error[:, None] * near_norm
-        bound += 1e-12 * (q_norm[:, None] * near_norm + bound) + 1e-300
+        product = (self.code.astype(wide) @ code.astype(wide).T).astype(float) * self.scale[:, None] * scale
+        bound = self.norm[:, None] * error + self.error[:, None] * near_norm
+        bound += 1e-12 * (self.norm[:, None] * near_norm + bound) + 1e-300
         itself = query_ids[:, None] == own_ids
         lower, upper = np.where(itself, -np.inf, product - bound), np.where(itself, -np.inf, product + bound)
         floor = np.partition(lower, len(own_ids) - k, axis=1)[:, len(own_ids) - k] if len(own_ids) > k else np.full(len(query_ids), -np.inf)
@@ -82,29 +89,49 @@ def nearest_in_tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray,
                 b = min(b, a + k)
                 new = zip((-score[a:b]).tolist(), own_ids[c[a:b]].tolist())
                 best[r[a]] = list(islice(heapq.merge(best[r[a]], new), k))
-    return best
 
 
-def nearest(table: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding", query_rows: int = QUERY_ROWS, candidate_rows: int = CANDIDATE_ROWS) -> DataFrame:
+def search_stream(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Rows (dim, q, c, query, vec_id, vector) in that order, queries of a key first: results of every key."""
+    key, ids, vectors, block = None, [], [], None
+
+    def found() -> pa.RecordBatch:
+        flat = [(q, n, -x) for q, b in zip(block.ids.tolist(), block.best) for x, n in b] if block else []
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in flat], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))], names=["query_id", "vec_id", "score"])
+
+    for batch in batches:
+        dims, q, c, query = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        edges = np.flatnonzero((np.diff(dims) != 0) | (np.diff(q) != 0) | (np.diff(c) != 0) | (query[1:] != query[:-1])) + 1
+        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(dims)]):
+            if a == b:
+                continue
+            if key != (dims[a], q[a], c[a]):
+                if block:
+                    yield found()
+                key, ids, vectors, block = (dims[a], q[a], c[a]), [], [], None
+            part = batch.slice(a, b - a)
+            own_ids = part.column(4).to_numpy()
+            own = part.column(5).flatten().to_numpy(zero_copy_only=False).reshape(len(own_ids), int(dims[a]))
+            if query[a]:
+                ids.append(own_ids)
+                vectors.append(own)
+            elif ids:
+                block = block or QueryBlock(np.concatenate(ids), np.concatenate(vectors), k)
+                block.meet(own_ids, own)
+    if block:
+        yield found()
+
+
+def nearest(table: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding", query_rows: int = QUERY_ROWS, parts: int = PARTS) -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest rows by inner product of every query row."""
     rows = written(valid_vectors(table, vector).withColumn("is_query", is_query), "vectors")
-    sizes = rows.agg(F.count("*").alias("n"), F.count_if("is_query").alias("queries")).first()
-    c_blocks, q_blocks = max(1, -(-sizes["n"] // candidate_rows)), max(1, -(-sizes["queries"] // query_rows))
+    q_blocks = max(1, -(-rows.filter("is_query").count() // query_rows))
     spread = F.xxhash64("vec_id")
     block = lambda n, name: F.pmod(spread, F.lit(n)).cast("int").alias(name)
     every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-    candidates = rows.select("dim", block(c_blocks, "c"), every(q_blocks, "q"), F.lit(False).alias("query"), "vec_id", "vector")
-    queries = rows.filter("is_query").select("dim", every(c_blocks, "c"), block(q_blocks, "q"), F.lit(True).alias("query"), "vec_id", "vector")
-
-    def run(key, tile):
-        dim, ids, query = key[0].as_py(), tile.column("vec_id").to_numpy(), tile.column("query").to_numpy().astype(bool)
-        values = tile.column("vector").combine_chunks()
-        values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
-        vectors = values.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim)
-        found = nearest_in_tile(ids[query], vectors[query], ids[~query], vectors[~query], k)
-        flat = [(q, n, -s) for q, b in zip(ids[query].tolist(), found) for s, n in b]
-        return pa.table({"query_id": pa.array([f[0] for f in flat], pa.int64()), "vec_id": pa.array([f[1] for f in flat], pa.int64()), "score": pa.array([f[2] for f in flat], pa.float64())})
-
-    tiles = candidates.unionByName(queries).groupBy("dim", "q", "c").applyInArrow(run, "query_id long, vec_id long, score double")
+    candidates = rows.select("dim", every(q_blocks, "q"), block(parts, "c"), F.lit(False).alias("query"), "vec_id", "vector")
+    queries = rows.filter("is_query").select("dim", block(q_blocks, "q"), every(parts, "c"), F.lit(True).alias("query"), "vec_id", "vector")
+    tiles = candidates.unionByName(queries).repartition("dim", "q", "c").sortWithinPartitions("dim", "q", "c", F.desc("query"))
+    found = tiles.mapInArrow(lambda batches: search_stream(batches, k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return tiles.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

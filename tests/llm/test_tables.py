@@ -125,7 +125,7 @@ def test_search_against_brute_force(spark):
                 (480, [1.0] * 3), (20, vectors[20][1]), (None, [1.0] * 8), (-20, [2.0] * 8)]
     table = spark.createDataFrame([(i, v, "a", "b") for i, v in vectors], "vec_id long, embedding array<double>, dim string, q string").repartition(3)
     got = defaultdict(list)
-    for r in block_search.nearest(table, F.col("vec_id") % 20 == 0, k=20, query_rows=4, candidate_rows=40).collect():
+    for r in block_search.nearest(table, F.col("vec_id") % 20 == 0, k=20, query_rows=4, parts=3).collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
     import math
     ok = {i: v for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)}
