@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from docloom.llm.common import LOWER, UPPER, written
 
-#: Urls of one host that one task sweeps, about.
-SWEEP_ROWS = 2_000
+#: Urls of one host that one task sweeps: a partition's share, and so many at least.
+SWEEP_ROWS = 200
 _SPLIT = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -60,6 +60,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", sweep
     urls = (rows.select("page_id", "url", url_host().alias("host"), url_path().cast("binary").alias("key")).withColumn("labels", labels)
             .select("page_id", "url", "key", F.explode(levels).alias("rhost")).join(events.select("rhost").distinct(), "rhost", "left_semi"))
     urls = written(urls, "url-levels")
+    sweep_rows = max(sweep_rows, urls.count() // int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parts = urls.groupBy("rhost").agg(F.ceil(F.count("*") / F.lit(sweep_rows)).cast("int").alias("parts"))
     swept = (urls.join(parts, "rhost").select("rhost", F.pmod(F.xxhash64("page_id", "url"), "parts").cast("int").alias("part"), "key", F.lit(1).alias("kind"), "page_id", "url")
              .unionByName(events.join(parts, "rhost").select("rhost", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "key", "kind", "top"), allowMissingColumns=True))
