@@ -3,16 +3,19 @@
 A document's set holds its distinct shingles of ``words`` words (A-Z lower-cased, split at ASCII white space), hashed to
 63 bits; its sketch holds the ``k`` smallest. Documents with equal sets form a class, and only classes are compared.
 
-*Inverted lists.* Of the k smallest shingles of a union, a linked pair (Jaccard 0.75 or more) shares ``least`` = 12 of 32
+*Inverted lists.* Of the k smallest shingles of a union, a linked pair (Jaccard 0.75 or more) shares ``least`` = 50 of 96
 but for a chance of about 1e-6 at exactly 0.75, and less above; sets small enough that both sketches are whole sets share
 three quarters for certain. So a class enters the lists of its size - least + 1 rarest retained values only (rare by the
 number of classes that retain a value): two classes that share ``least`` values meet in one of these lists, while a
-passage that a third of all documents share is not listed unless it is most of the document.
+passage that a third of all documents share is not listed unless it is most of the document. The classes listed are listed
+again by their full sets, of which linked pairs share three quarters for certain: what stays has hardly a quarter of
+shingles of its own.
 
 *Leaders.* Lists may be long, so no list yields all its pairs. First every class is compared with the leaders of its
-lists, one per list and size band (a few seeds). Components of the links found are labelled. Then lists whose members
-still lie in several components are finished in blocks: each pair of blocks is compared by sketches in one task, and
-pairs of different components that may be linked go on. Every pair of a list is thus compared, or already connected.
+lists, one per list and size band (two seeds). Components of the links found are labelled, and classes outside a
+leader's component meet further leaders, for ``ROUNDS`` rounds or until none links. Then lists whose members still lie in
+several components are finished in blocks: each pair of blocks is compared by sketches in one task, and pairs of
+different components that may be linked go on. Every pair of a list is thus compared, or already connected.
 
 *Estimates and exact check.* Pairs whose union sketch shares fewer than ``least`` values are out; the full sets of the
 others are compared, and 100 * intersection >= 75 * union links them.
@@ -37,11 +40,13 @@ from docloom.llm.common import text_bytes, text_key, written
 from docloom.llm.components import components
 
 #: Shingle length, retained values, and retained values that a linked pair shares.
-WORDS, K, LEAST = 5, 32, 12
+WORDS, K, LEAST = 5, 96, 50
 #: Link threshold in percent.
 PERCENT = 75
-#: Seeds for list leaders; members of a block; pairs of a class that one task checks.
-SEEDS, BLOCK, GROUP = 2, 512, 128
+#: Seeds for list leaders; members of a block, and of a group that needs none; pairs of a class that one task checks.
+SEEDS, BLOCK, SMALL, GROUP = 2, 512, 32, 128
+#: Rounds of further leaders.
+ROUNDS = 3
 #: Words whose hashes one Python worker keeps.
 KEPT_WORDS = 500_000
 SKETCHES = "doc_id long, text_hash long, n_shingles long, digest binary, sketch array<long>"
@@ -107,40 +112,82 @@ def inverted_lists(classes: DataFrame, k: int = K, least: int = LEAST) -> DataFr
     return per_class.filter(take > 0).select("digest", "n_shingles", F.explode(F.slice("values", F.lit(1), take)).alias("v")).select("v.value", "digest", "n_shingles")
 
 
-def leader_pairs(lists: DataFrame, seeds: int = SEEDS) -> DataFrame:
-    """Distinct (a, b): the leader of a list's size band, and each class of the list in that band or the one above."""
-    seeded = lists.withColumn("band", band(F.col("n_shingles"))).withColumn("seed", F.explode(F.array(*[F.lit(s) for s in range(seeds)])))
+def leader_pairs(lists: DataFrame, seeds: tuple[int, ...] = tuple(range(SEEDS)), labels: DataFrame | None = None) -> DataFrame:
+    """Distinct (a, b): the leader of a list's size band, and each class of the list in that band or the one above.
+
+    With ``labels`` only pairs of different components.
+    """
+    seeded = lists.withColumn("band", band(F.col("n_shingles"))).withColumn("seed", F.explode(F.array(*[F.lit(x) for x in seeds])))
     leaders = seeded.groupBy("value", "band", "seed").agg(F.min_by("digest", F.xxhash64("digest", "seed")).alias("a"))
     near = seeded.select("value", "seed", F.col("digest").alias("b"), F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"))
-    return near.join(leaders, ["value", "band", "seed"]).filter("a <> b").select("a", "b").distinct()
+    pairs = near.join(leaders, ["value", "band", "seed"]).filter("a <> b").select("a", "b").distinct()
+    if labels is None:
+        return pairs
+    of = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
+    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").filter("coalesce(c_a, a) <> coalesce(c_b, b)").select("a", "b")
+
+
+def union_shares(a: pa.ListArray, b: pa.ListArray, k: int = K) -> np.ndarray:
+    """Per pair of sketches: how many of the k smallest values of their union both hold."""
+    most = np.iinfo(np.int64).max
+
+    def padded(lists: pa.ListArray) -> np.ndarray:
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        out = np.full((len(lists), k), most)
+        out[np.arange(k) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+        return out
+
+    both = np.sort(np.concatenate((padded(a), padded(b)), 1), axis=1)
+    again = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != most)
+    rank = 1 + np.cumsum(~again, axis=1)  # of a value among the distinct ones
+    return (again & (rank <= k)).sum(1)
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, k: int = K, least: int = LEAST) -> DataFrame:
     """Pairs (a, b) whose sizes allow a link and whose union sketch shares enough."""
     side = lambda x: classes.select(F.col("digest").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     met = pairs.join(side("a"), "a").join(side("b"), "b").filter("100 * least(n_a, n_b) >= 75 * greatest(n_a, n_b)")
-    union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, k)
-    met = met.select("a", "b", "n_a", "n_b", F.array_intersect("s_a", "s_b").alias("both"), F.array_max(union).alias("top"))
-    return met.filter(F.size(F.filter("both", lambda v: v <= F.col("top"))) >= F.greatest(*[least_shared(F.col(n), k, least) for n in ("n_a", "n_b")])).select("a", "b")
+    need = F.greatest(*[least_shared(F.col(n), k, least) for n in ("n_a", "n_b")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, len(batch), 4096):
+                part = batch.slice(first, 4096)
+                good = pa.array(union_shares(part.column(3), part.column(4), k) >= part.column(2).to_numpy())
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(good), part.column(1).filter(good)], names=["a", "b"])
+
+    return met.select("a", "b", need.alias("need"), "s_a", "s_b").mapInArrow(run, "a binary, b binary")
+
+
+def class_sets(docs: DataFrame, classes: DataFrame, lists: DataFrame, words: int = WORDS, column: str = "text") -> DataFrame:
+    """digest and full set (sorted) of every class that a list holds."""
+    wanted = written(lists.select("digest").distinct().join(classes.select("digest", "member"), "digest"), "listed")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, sets = [], []
+            for digest, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = shingle_set(content.as_py(), words)
+                if xxhash.xxh3_128_digest(own.tobytes()) == digest:  # rows may share a doc_id
+                    digests.append(digest)
+                    sets.append(own.astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["digest", "shingles"])
+
+    # Listed classes are a part of all classes: both sides are dealt by key, at every size.
+    texts = docs.select(F.col("doc_id").cast("long").alias("member"), text_bytes(column).alias("content"))
+    return texts.join(wanted.hint("merge"), "member").select("digest", "content").mapInArrow(run, "digest binary, shingles array<long>")
 
 
-def exact_links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int = WORDS, column: str = "text", group: int = GROUP) -> DataFrame:
-    """Pairs (a, b) whose full sets are linked. Texts travel once per group of partners."""
+def exact_links(pairs: DataFrame, sets: DataFrame, group: int = GROUP) -> DataFrame:
+    """Pairs (a, b) whose full sets are linked. A set travels once per group of partners."""
     pairs = written(pairs, "pairs")
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(group)).cast("int").alias("parts"))
-    grouped = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    grouped = written(pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")), "grouped")
     wanted = grouped.select("a", "part", F.col("b").alias("digest")).unionByName(grouped.select("a", "part", F.col("a").alias("digest")).distinct())
-    wanted = written(wanted.join(classes.select("digest", "member"), "digest"), "wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("member"), text_bytes(column).alias("content")).join(wanted.select("member").distinct(), "member", "left_semi")
 
     def run(key, table):
         a = key[0].as_py()
-        digests, contents = table.column("digest").to_pylist(), table.column("content").to_pylist()
-        sets = {}
-        for digest, content in zip(digests, contents):
-            s = shingle_set(content, words)
-            if xxhash.xxh3_128_digest(s.tobytes()) == digest:  # rows may share a doc_id
-                sets[digest] = s
+        sets = {d: x.values.to_numpy() for d, x in zip(table.column("digest").to_pylist(), table.column("shingles"))}
         mine, links = sets[a], []
         for digest, s in sets.items():
             if digest != a:
@@ -150,21 +197,26 @@ def exact_links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: in
                     links.append(digest)
         return pa.table({"a": pa.array([a] * len(links), pa.binary()), "b": pa.array(links, pa.binary())})
 
-    return wanted.join(texts, "member").select("a", "part", "digest", "content").groupBy("a", "part").applyInArrow(run, "a binary, b binary")
+    return wanted.join(sets.hint("merge"), "digest").select("a", "part", "digest", "shingles").groupBy("a", "part").applyInArrow(run, "a binary, b binary")
 
 
-def unfinished_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, k: int = K, least: int = LEAST, block: int = BLOCK) -> DataFrame:
+def unfinished_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, k: int = K, least: int = LEAST, block: int = BLOCK, small: int = SMALL) -> DataFrame:
     """Pairs (a, b) of lists whose members lie in several components: those of different components that share enough.
 
-    A list's size band with the band above is a group; its members are compared block by block.
+    A list's size band with the band above is a group. Small groups are joined with themselves, of others the members are
+    compared block by block.
     """
     members = lists.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     members = members.withColumn("band", band(F.col("n_shingles"))).select(
         "value", "digest", "n_shingles", "component", F.explode(F.array(F.struct(F.col("band"), F.lit(True).alias("own")), F.struct((F.col("band") - 1).alias("band"), F.lit(False).alias("own")))).alias("g"))
-    members = written(members.select("value", "g.band", "g.own", "digest", "component"), "members")
-    groups = members.groupBy("value", "band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("own").alias("some"), F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
-    open_groups = groups.filter("low <> high and some").select("value", "band", "blocks")
-    placed = members.join(open_groups, ["value", "band"]).withColumn("i", F.pmod(F.xxhash64("digest", "value"), F.col("blocks")).cast("int"))
+    members = written(members.select("value", "g.band", "g.own", "digest", "component", "n_shingles"), "members")
+    groups = members.groupBy("value", "band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("own").alias("some"), F.count("*").alias("size"))
+    groups = written(groups.filter("low <> high and some").select("value", "band", "size", F.ceil(F.col("size") / F.lit(block)).cast("int").alias("blocks")), "open-groups")
+    few = members.join(groups.filter(F.col("size") <= small).select("value", "band"), ["value", "band"], "left_semi")
+    left, right = (few.select("value", "band", F.col("digest").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("own", "component", "n_shingles")]) for x in "ab")
+    of_few = left.join(right, ["value", "band"]).filter(
+        "a < b and component_a <> component_b and (own_a or own_b) and 100 * least(n_shingles_a, n_shingles_b) >= 75 * greatest(n_shingles_a, n_shingles_b)").select("a", "b")
+    placed = members.drop("n_shingles").join(groups.filter(F.col("size") > small).drop("size"), ["value", "band"]).withColumn("i", F.pmod(F.xxhash64("digest", "value"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "value", "band", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), F.col("i").alias("mine"), "own", "digest", "component")
     placed = placed.join(classes.select("digest", "n_shingles", "sketch"), "digest")
@@ -197,19 +249,29 @@ def unfinished_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, k:
         pairs = sorted({(min(x, y), max(x, y)) for x, y in zip(digest[left], digest[right])})
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
 
-    return placed.groupBy("value", "band", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
+    return placed.groupBy("value", "band", "i", "j").applyInArrow(run, "a binary, b binary").unionByName(of_few).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, k: int = K, least: int = LEAST, column: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id and kept of every document."""
     rows = written(sketches(docs, words, k, column), "sketches")
     classes = written(rows.filter("n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("member"), F.first("sketch").alias("sketch")), "classes")
-    lists = written(inverted_lists(classes, k, least), "lists")
-    links = written(exact_links(estimated(leader_pairs(lists), classes, k, least), classes, docs, words, column), "links")
+    lists = written(inverted_lists(classes, k, least), "sketch-lists")
+    sets = written(class_sets(docs, classes, lists, words, column), "sets")
+    # The listed classes once more, by their full sets: only those stay that have too few values of their own to be unlike all others.
+    full = sets.dropDuplicates(["digest"]).select("digest", F.size("shingles").cast("long").alias("n_shingles"), F.col("shingles").alias("sketch"))
+    lists = written(inverted_lists(full, k=1 << 40), "full-lists")
+    links = written(exact_links(estimated(leader_pairs(lists), classes, k, least), sets), "links")
     labels = components(links)
+    for turn in range(ROUNDS):
+        more = written(exact_links(estimated(leader_pairs(lists, (SEEDS + turn,), labels), classes, k, least), sets), "more-links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        labels = components(links)
     rest = written(unfinished_pairs(lists, labels, classes, k, least), "unfinished")
     if not rest.isEmpty():
-        more = written(exact_links(estimated(rest, classes, k, least), classes, docs, words, column), "more-links")
+        more = written(exact_links(estimated(rest, classes, k, least), sets), "last-links")
         if not more.isEmpty():
             labels = components(links.unionByName(more))
     labelled = classes.select("digest", "class_id").join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))

@@ -182,6 +182,15 @@ def test_near_duplicates_against_brute_force(spark):
     assert bottom_k.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_union_shares_against_sets():
+    import pyarrow as pa
+    draw = random.Random(3)
+    left = [sorted(draw.sample(range(60), draw.randint(0, 8))) for _ in range(300)]
+    right = [sorted(draw.sample(range(60), draw.randint(0, 8))) if i % 3 else left[i] for i in range(300)]
+    want = [len(set(sorted(set(x) | set(y))[:8]) & set(x) & set(y)) for x, y in zip(left, right)]
+    assert bottom_k.union_shares(pa.array(left, pa.list_(pa.int64())), pa.array(right, pa.list_(pa.int64())), 8).tolist() == want
+
+
 def test_blocks_find_what_leaders_miss(spark):
     """Links found by leaders and blocks are together all links between components."""
     draw = random.Random(9)
@@ -193,7 +202,7 @@ def test_blocks_find_what_leaders_miss(spark):
     alone = spark.createDataFrame([], "node binary, component binary")
     pairs = bottom_k.unfinished_pairs(lists, alone, classes, block=16, small=3)
     ids = {r.digest: r.class_id for r in classes.collect()}
-    got = {frozenset((ids[r.a], ids[r.b])) for r in bottom_k.exact_links(bottom_k.estimated(pairs, classes), classes, docs, group=4).collect()}
+    got = {frozenset((ids[r.a], ids[r.b])) for r in bottom_k.exact_links(bottom_k.estimated(pairs, classes), bottom_k.class_sets(docs, classes, lists), group=4).collect()}
     text, want = dict(rows), set()
     members = sorted(ids.values())
     for i, a in enumerate(members):
