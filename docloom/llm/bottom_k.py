@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import text_bytes, text_key, written
+from docloom.llm.common import KEPT, claim, text_bytes, text_key, written
 from docloom.llm.components import components
 
 #: Shingle length, retained values, and retained values that a linked pair shares.
@@ -61,6 +61,7 @@ class _WordHash(dict):
 
 
 _hashes = _WordHash()
+KEPT["bottom_k"] = _hashes.clear
 
 
 def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -83,6 +84,7 @@ def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
 def sketches(docs: DataFrame, words: int = WORDS, k: int = K, column: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, digest of the set, and the k smallest hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("bottom_k")
         for batch in batches:
             sets = [shingle_set(t.as_py(), words) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(

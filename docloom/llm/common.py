@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,17 @@ from docloom.functions.ordering import shared_folder
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: What the operators keep in a Python worker between tasks, as functions that let go of it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def claim(name: str) -> None:
+    """Called by a task of one operator: what others keep in this worker is let go."""
+    for other, release in KEPT.items():
+        if other != name:
+            release()
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new folder that all executors share."""
     return f"{shared_folder(spark)}/docloom-llm/{name}-{uuid4().hex}"

@@ -16,6 +16,8 @@ from itertools import chain, islice
 
 import numpy as np
 
+from docloom.llm.common import KEPT, claim
+
 #: Pieces kept by one Python worker; about 150 bytes each.
 TABLE_PIECES = 700_000
 #: Pieces sent to the library in one string.
@@ -190,8 +192,12 @@ def _room(a: np.ndarray, n: int) -> np.ndarray:
     return a if n <= len(a) else np.concatenate((a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)))
 
 
+KEPT["tokens"] = _loaded.clear
+
+
 def word_table(name_or_path: str) -> WordTable:
     """The table of this Python worker."""
+    claim("tokens")
     path = tokenizer_path(name_or_path)
     if path not in _loaded:
         _loaded[path] = WordTable(path)

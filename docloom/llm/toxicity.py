@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import text_bytes, written
+from docloom.llm.common import claim, text_bytes, written
 from docloom.llm.tokens import text_groups
 
 #: Texts of each class that training may read.
@@ -44,7 +44,7 @@ COMMON = {
 LANGUAGES = max(COMMON) + 1
 _EDGE = b".,;:!?\"'()[]{}<>|*#$%&@~`-_+=/\\"
 #: Words whose features one Python worker keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
 
 
 def features(word: bytes) -> list[int]:
@@ -71,10 +71,11 @@ class Words:
     """Numbers the words of texts, with their features and language votes."""
 
     def __init__(self, limit: int = KEPT_WORDS):
-        self.limit = limit
+        self.limit, self.turn = limit, 0
         self.clear()
 
     def clear(self) -> None:
+        self.turn += 1
         # Number 0 is the padding between texts, and a text without words.
         self.number = _Numbering({b"": 0})
         self.rows, self.vote = [[0] * (1 + len(PREFIXES))], [0]
@@ -240,18 +241,21 @@ class Scorer:
     """A model with the words met by one Python worker."""
 
     def __init__(self, model: Model):
+        claim("toxicity")
         self.model, self.book = model, Words()
-        self.known, self.vectors = 0, np.zeros((0, SIZE), np.float32)
+        self.known, self.vectors, self.turn = 0, np.zeros((0, SIZE), np.float32), self.book.turn
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         words, counts = self.book.read(texts)
-        if len(self.book.rows) < self.known:
-            self.known, self.vectors = 0, self.vectors[:0]
+        if self.book.turn != self.turn:  # the book has begun anew
+            self.known, self.vectors, self.turn = 0, self.vectors[:0], self.book.turn
         new = np.array(self.book.rows[self.known:]).reshape(-1, 1 + len(PREFIXES))
         need = len(self.book.rows)
         if need > len(self.vectors):
             self.vectors = np.concatenate((self.vectors, np.zeros((max(need, 2 * len(self.vectors)) - len(self.vectors), SIZE), np.float32)))
-        self.vectors[self.known:need], self.known = self.model.embed[new].sum(1), need
+        self.vectors[self.known:need] = self.model.embed[new].sum(1)
+        self.book.rows[self.known:] = [None] * (need - self.known)  # the vectors stand for them
+        self.known = need
         raw = self.model.raw(self.vectors[words], counts).astype(float)
         limit = self.model.thresholds[languages(np.array(self.book.vote, np.int64), words, counts)]
         return np.where(raw < limit, 0.5 * raw / limit, 0.5 + 0.5 * (raw - limit) / (1 - limit))
@@ -276,6 +280,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int
     sample = docs.select("doc_id", text_bytes(column).alias("content")).join(F.broadcast(keys), "doc_id").select("content", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         held = sorted((r["content"], r["label"]) for b in batches for r in b.to_pylist())
         model = train([t for t, _ in held], np.array([y for _, y in held], np.float32))
         yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], names=["model"])
