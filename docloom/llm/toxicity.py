@@ -2,9 +2,11 @@
 
 A word's embedding is the sum of hashed rows for the word and for its first 3 to 6 letters, so that an unseen form of a
 known stem is near it. Filters over 1, 2 and 3 neighbouring words are max-pooled over the whole text and joined by a
-logistic layer. One task trains the model on a bounded sample of labelled rows (``POSITIVES`` and ``NEGATIVES`` texts,
-those whose keys have the smallest hashes) and calibrates one threshold for each language on a fifth of the sample that training doesn't
-see. The language is guessed from common words of the text itself; labels, lang, source and doc_id are no inputs.
+logistic layer. One task trains the weights on a bounded sample of labelled rows (``POSITIVES`` and ``NEGATIVES`` texts,
+those whose keys have the smallest hashes, out of four fifths of the rows). The thresholds, one for each language, come from all
+labelled rows whose text wasn't trained on: executors score them, and their scores are counted by language, label and
+bin, so the classes weigh as in the corpus at every size. If a class has too few such rows, all labelled rows count.
+The language is guessed from common words of the text itself; labels, lang, source and doc_id are no inputs.
 The score is moved so that the language's threshold lies at 0.5.
 
 Defined cases: a null, empty or blank text is scored as a text without words. Repeated rows get equal scores. Labels of
@@ -23,6 +25,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,8 @@ from docloom.llm.tokens import text_groups
 
 #: Texts of each class that training may read.
 POSITIVES, NEGATIVES = 2000, 3000
+#: Rows of each class that a threshold needs, parts of the labelled rows of which one is never trained on, and bins of scores.
+ENOUGH, FOLDS, BINS = 20, 5, 2000
 #: Embedding rows and size, filter widths, filters of each width, passes.
 ROWS, SIZE, WIDTHS, FILTERS, PASSES, BATCH = 1 << 16, 8, (1, 2, 3), 8, 4, 64
 PREFIXES = (3, 4, 5, 6)
@@ -191,7 +196,7 @@ def languages(vote: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.nda
 
 
 def train(texts: list[bytes], labels: np.ndarray, passes: int = PASSES, seed: int = 7) -> Model:
-    """Model and thresholds from labelled texts; every fifth (by hash) calibrates."""
+    """Weights from labelled texts; the thresholds stay at 0.5."""
     model, draw = Model(seed), np.random.default_rng(seed)
     positive = int(labels.sum())
     if positive in (0, len(labels)):  # one class only
@@ -199,42 +204,48 @@ def train(texts: list[bytes], labels: np.ndarray, passes: int = PASSES, seed: in
         return model
     book = Words(1 << 62)
     words, counts = book.read(texts)
-    rows, vote = np.array(book.rows), np.array(book.vote)
+    rows = np.array(book.rows)
     ends = np.cumsum(counts + max(WIDTHS) - 1)
     parts = np.split(words, ends[:-1])
-    held = np.array([crc32(t, 1) % 5 == 0 for t in texts])
-    own = np.flatnonzero(~held)
     weights = np.where(labels > 0, 0.5 * len(labels) / positive, 0.5 * len(labels) / (len(labels) - positive))
     state: dict = {}
     for turn in range(passes):
-        order = draw.permutation(own)
+        order = draw.permutation(len(labels))
         for first in range(0, len(order), BATCH):
             some = order[first:first + BATCH]
             joined = np.concatenate([parts[i] for i in some])
             # Words are left out at random, so that no single rare word stands for a text.
             joined = np.where(draw.random(len(joined)) < 0.1, 0, joined)
             model.step(joined, rows, counts[some], labels[some], weights[some], state, 0.1 / (1 + turn))
-    embedded = model.embed[rows].sum(1)
-    scores = np.concatenate([model.raw(embedded[parts[i]], counts[i:i + 1]) for i in range(len(parts))])
-    guessed = languages(vote, words, counts)
-    judge = held if min((labels[held] == 1).sum(), (labels[held] == 0).sum()) >= 20 else np.ones(len(labels), bool)
-    common = _threshold(scores[judge], labels[judge])
-    for language in range(LANGUAGES):
-        own = judge & (guessed == language)
-        enough = min((labels[own] == 1).sum(), (labels[own] == 0).sum()) >= 20
-        model.thresholds[language] = _threshold(scores[own], labels[own]) if enough else common
     return model
 
 
-def _threshold(scores: np.ndarray, labels: np.ndarray) -> float:
+def thresholds(bins: list) -> np.ndarray:
+    """A threshold for each language from bins of scores (seen, language, label, n, low, high) of all labelled rows."""
+    def enough(some: list) -> bool:
+        return min(sum(b["n"] for b in some if b["label"] == y) for y in (0, 1)) >= ENOUGH
+
+    judge = [b for b in bins if not b["seen"]]
+    judge = judge if enough(judge) else bins
+    common = _threshold(judge)
+    of = [[b for b in judge if b["language"] == language] for language in range(LANGUAGES)]
+    return np.array([_threshold(own) if enough(own) else common for own in of])
+
+
+def _threshold(bins: list) -> float:
     """The middle of the widest cut of best F1, within 0.05 and 0.95."""
-    order = np.argsort(-scores, kind="stable")
-    hits = np.cumsum(labels[order])
-    quality = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
-    ranked = np.append(scores[order], 0.0)
+    merged: dict[int, list] = {}
+    for b in bins:  # rows, toxic rows, smallest and largest score of a bin
+        held = merged.setdefault(b["bin"], [0, 0, 1.0, 0.0])
+        merged[b["bin"]] = [held[0] + b["n"], held[1] + b["n"] * b["label"], min(held[2], b["low"]), max(held[3], b["high"])]
+    n, toxic, low, high = np.array([merged[k] for k in sorted(merged, reverse=True)], float).reshape(-1, 4).T
+    if not toxic.sum():
+        return 0.5
+    quality = 2 * np.cumsum(toxic) / (np.cumsum(n) + toxic.sum())
+    below = np.append(high[1:], 0.0)
     best = np.flatnonzero(quality >= quality.max() - 1e-9)
-    at = best[np.argmax(ranked[best] - ranked[best + 1])]
-    return float(np.clip((ranked[at] + ranked[at + 1]) / 2, 0.05, 0.95))
+    at = best[np.argmax(low[best] - below[best])]
+    return float(np.clip((low[at] + below[at]) / 2, 0.05, 0.95))
 
 
 class Scorer:
@@ -245,7 +256,8 @@ class Scorer:
         self.model, self.book = model, Words()
         self.known, self.vectors, self.turn = 0, np.zeros((0, SIZE), np.float32), self.book.turn
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
+    def raw(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities and guessed languages."""
         words, counts = self.book.read(texts)
         if self.book.turn != self.turn:  # the book has begun anew
             self.known, self.vectors, self.turn = 0, self.vectors[:0], self.book.turn
@@ -256,8 +268,11 @@ class Scorer:
         self.vectors[self.known:need] = self.model.embed[new].sum(1)
         self.book.rows[self.known:] = [None] * (need - self.known)  # the vectors stand for them
         self.known = need
-        raw = self.model.raw(self.vectors[words], counts).astype(float)
-        limit = self.model.thresholds[languages(np.array(self.book.vote, np.int64), words, counts)]
+        return self.model.raw(self.vectors[words], counts).astype(float), languages(np.array(self.book.vote, np.int64), words, counts)
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        raw, language = self.raw(texts)
+        limit = self.model.thresholds[language]
         return np.where(raw < limit, 0.5 * raw / limit, 0.5 + 0.5 * (raw - limit) / (1 - limit))
 
 
@@ -266,16 +281,20 @@ def held_out(column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int = POSITIVES, negatives: int = NEGATIVES, column: str = "text") -> bytes:
-    """A model from a bounded sample of the labelled rows that are not held out."""
+def _learn(docs: DataFrame, labels: DataFrame, label: str, positives: int, negatives: int, column: str) -> tuple[Model, np.ndarray, DataFrame | None]:
+    """Weights from a bounded sample, sorted hashes of its texts, and all learnable labels (none if there is nothing to calibrate)."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("label"))
     known = written(known.join(docs.filter(~held_out()).select("doc_id"), "doc_id", "left_semi").withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))), "labelled")
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    # Twice the bound by hash, then exactly the bound: only keys of the sample meet, and texts of the sample alone are read on.
-    some = [known.filter((F.col("label") == y) & (F.col("h") < int((1 << 30) * min(1.0, 2 * n / counts[y])))).orderBy("h", "doc_id").limit(n)
+    none = np.zeros(0, np.int64)
+    # A fifth of the labels is left to the thresholds, unless a class has too few.
+    spare = min(counts.get(y, 0) for y in (0, 1)) >= ENOUGH * FOLDS
+    own = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("threshold")), F.lit(FOLDS)) > 0) if spare else known
+    # Three times the bound by hash, then exactly the bound: only keys of the sample meet, and texts of the sample alone are read on.
+    some = [own.filter((F.col("label") == y) & (F.col("h") < int((1 << 30) * min(1.0, 3 * n / counts[y])))).orderBy("h", "doc_id").limit(n)
             for y, n in ((1, positives), (0, negatives)) if counts.get(y)]
     if not some:
-        return train([], np.zeros(0, np.float32)).to_bytes()
+        return train([], np.zeros(0, np.float32)), none, None
     keys = written(reduce(DataFrame.unionByName, some).select("doc_id", "label"), "sample")
     sample = docs.select("doc_id", text_bytes(column).alias("content")).join(F.broadcast(keys), "doc_id").select("content", "label")
 
@@ -283,10 +302,49 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int
         claim("toxicity")
         held = sorted((r["content"], r["label"]) for b in batches for r in b.to_pylist())
         model = train([t for t, _ in held], np.array([y for _, y in held], np.float32))
-        yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary())], names=["model"])
+        yield pa.RecordBatch.from_arrays([pa.array([model.to_bytes()], pa.binary()), pa.array([_hashes([t for t, _ in held]).tobytes()], pa.binary())], names=["model", "seen"])
 
     # The sample has a fixed bound, and so have its keys, which are broadcast, and the model.
-    return sample.repartition(1).mapInArrow(run, "model binary").first()["model"]
+    got = sample.repartition(1).mapInArrow(run, "model binary, seen binary").first()
+    return Model.from_bytes(got["model"]), np.unique(np.frombuffer(got["seen"], np.int64)), known if len(counts) == 2 else None
+
+
+def _hashes(texts: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+
+
+def _raw_scores(docs: DataFrame, model: Model, seen: np.ndarray, column: str, keep: tuple[str, ...]) -> DataFrame:
+    """``keep``, _id, _raw, _language, and _seen (the text was trained on) of every row. Stored; no texts."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.to_bytes(), seen))
+    given = docs.select(*keep, F.col("doc_id").alias("_id"))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields] + ["_raw double, _language int, _seen boolean"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data, trained = shared.value
+        scorer = Scorer(Model.from_bytes(data))
+        for batch in batches:
+            for first, group in text_groups(batch.column(batch.num_columns - 1).to_pylist(), 1 << 20):
+                part, (raw, language) = batch.slice(first, len(group)), scorer.raw(group)
+                found = [*part.columns[:-1], pa.array(raw, pa.float64()), pa.array(language, pa.int32()), pa.array(np.isin(_hashes(group), trained))]
+                yield pa.RecordBatch.from_arrays(found, names=[*part.schema.names[:-1], "_raw", "_language", "_seen"])
+
+    return written(docs.select(*keep, F.col("doc_id").alias("_id"), text_bytes(column).alias("_content")).mapInArrow(run, schema), "raw-scores")
+
+
+def _calibrated(raw: DataFrame, known: DataFrame) -> np.ndarray:
+    """Thresholds from the scores of all labelled rows; at most ``BINS`` bins of each language and label come to the driver."""
+    met = raw.filter(~held_out("_id")).join(known.select(F.col("doc_id").alias("_id"), "label"), "_id")
+    place = F.least(F.floor(F.col("_raw") * BINS), F.lit(BINS - 1)).alias("bin")
+    bins = met.groupBy(F.col("_seen").alias("seen"), F.col("_language").alias("language"), "label", place)
+    return thresholds(bins.agg(F.count("*").alias("n"), F.min("_raw").alias("low"), F.max("_raw").alias("high")).collect())
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int = POSITIVES, negatives: int = NEGATIVES, column: str = "text") -> bytes:
+    """A model from the labelled rows that are not held out: weights from a bounded sample, thresholds from all of them."""
+    model, seen, known = _learn(docs, labels, label, positives, negatives, column)
+    if known is not None:
+        model.thresholds = _calibrated(_raw_scores(docs.filter(~held_out()), model, seen, column, ()), known)
+    return model.to_bytes()
 
 
 def score(docs: DataFrame, model: bytes, column: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -305,9 +363,15 @@ def score(docs: DataFrame, model: bytes, column: str = "text", keep: tuple[str,
     return docs.select(*keep, text_bytes(column).alias("_content")).mapInArrow(run, schema)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, column: str = "text", keep: tuple[str, ...] = ("doc_id",), **sample: int) -> DataFrame:
-    """``keep``, score and predicted (1 from 0.5 on) of every row."""
-    scored = score(docs, fit(docs, labels, column=column, **sample), column, keep)
+def toxicity(docs: DataFrame, labels: DataFrame, column: str = "text", keep: tuple[str, ...] = ("doc_id",), label: str = "toxic", positives: int = POSITIVES, negatives: int = NEGATIVES) -> DataFrame:
+    """``keep``, score and predicted (1 from 0.5 on) of every row. Texts are scored once, for thresholds and result alike."""
+    model, seen, known = _learn(docs, labels, label, positives, negatives, column)
+    if known is None:
+        scored = score(docs, model.to_bytes(), column, keep)
+    else:
+        scored = _raw_scores(docs, model, seen, column, keep)
+        raw, limit = F.col("_raw"), F.element_at(F.array(*[F.lit(float(x)) for x in _calibrated(scored, known)]), F.col("_language") + 1)
+        scored = scored.select(*keep, F.when(raw < limit, 0.5 * raw / limit).otherwise(0.5 + 0.5 * (raw - limit) / (1 - limit)).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

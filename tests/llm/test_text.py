@@ -59,6 +59,29 @@ def test_toxicity_without_labels_or_rows(spark):
     assert toxicity.toxicity(frame(spark, []), clean).count() == 0
 
 
+def test_toxicity_thresholds_weigh_the_classes_as_the_corpus_does(spark):
+    """A word that more clean than toxic rows have isn't toxic, though most of a sample with as many rows of each class says so."""
+    draw, rows, labels = random.Random(12), [], []
+    for i in range(6000):
+        toxic = i % 8 == 0
+        word = draw.choice(["grubber"] * 3 + ["murky"] * 2) if toxic else draw.choice(["murky"] + ["plain"] * 4)
+        rows.append((i, f"{sentences(draw, 4)} {word} {sentences(draw, 4)}"))
+        labels.append((i, int(toxic)))
+    table, probes = spark.createDataFrame(labels, "doc_id long, toxic int"), [(10_000, "w1 grubber w2"), (10_001, "w1 murky w2"), (10_002, "w1 plain w2")]
+    docs = frame(spark, rows + probes)
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, table, positives=400, negatives=400).collect()}
+    assert [got[i].predicted for i, _ in probes] == [1, 0, 0]
+    truth = dict(labels)
+    held = [i for i in truth if crc32(str(i).encode()) % 5 == 0]
+    hits, said, real = (sum(x) for x in zip(*((truth[i] * got[i].predicted, got[i].predicted, truth[i]) for i in held)))
+    assert 2 * hits / (said + real) >= 0.7
+    # The pipeline's way gives the same scores.
+    model = toxicity.fit(docs, table, positives=400, negatives=400)
+    assert {r.doc_id: r.score for r in toxicity.score(docs, model).collect()} == {i: r.score for i, r in got.items()}
+    kept = {r.doc_id for r in toxicity.without_toxic(docs, model).collect()}
+    assert kept == {i for i, r in got.items() if not r.predicted}
+
+
 def test_gradients_against_differences():
     draw = np.random.default_rng(0)
     model = toxicity.Model(1)
