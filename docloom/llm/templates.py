@@ -1,18 +1,19 @@
 """Main text of web pages, with site templates removed.
 
-A page is read into elements. Every block element outside the article is hashed with all it holds; hashes are counted
-per host in Spark (once per page, combined before the shuffle), and subtrees that recur on at least ``SHARE`` of a
-host's pages, and on ``LEAST_PAGES`` or more, are its template and are deleted from all its pages. Page furniture that
+A page is read into elements. Every block element outside the article is hashed with all it holds, unless it holds an
+article or ``main`` itself. For each subtree of a host Spark counts the different texts that pages have besides it, so
+copies of a page count once. Subtrees with ``MANY_PAGES`` such texts, or on a smaller host with as many as ``SHARE`` of
+its different pages and ``LEAST_PAGES``, are template and are deleted from all the host's pages. Page furniture that
 changes from page to page (adverts, footers with their own text) can't recur, so elements that say what they are by tag,
 role, class or id go as well. What stays is the text of the ``article`` elements, else of ``main``, else of the body.
 Repeated passages inside an article are its text and stay.
 
-The template of a host is a list of at most (subtrees of a page) / SHARE hashes; hosts are joined to pages by Spark, which
-broadcasts the lists only while their measured size is small.
+A page is joined with those of its own subtrees that are template, never with the whole list of its host. Spark broadcasts
+these short lists only while their measured size is small. Pages that differ in a few words are different pages.
 
 Defined cases: null or empty html gives an empty text. A page whose url has no host takes part under the empty host.
 Unclosed elements end with their parent, unclosed comments, scripts and tags with the page. ``<br>`` is white space.
-Repeated rows stay as often as given, and count as pages. An empty table gives no rows. Other columns are ignored.
+Repeated rows stay as often as given, and count as one page. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import written
+from docloom.llm.common import text_key, written
 from docloom.llm.url_rules import url_host
 
-#: Part of a host's pages, and pages, on which a subtree recurs to be template.
-SHARE, LEAST_PAGES = 0.5, 5
+#: Part of a host's different pages on which a subtree recurs to be template, pages at least, and pages that do on any host.
+SHARE, LEAST_PAGES, MANY_PAGES = 0.5, 5, 100
 
 #: HTML's own element kinds.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -76,18 +77,23 @@ def is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _signed(h: int) -> int:
+    h %= _WRAP
+    return h - _WRAP if h >= _TOP else h
+
+
 class Page:
-    """One pass over a page. ``subtrees`` has (hash, first block, last block) of block elements outside articles;
+    """One pass over a page. ``subtrees`` has (hash, first block, last block) of block elements outside articles that hold none;
     ``blocks`` has (text, in an article, in main)."""
 
     def __init__(self, html: str, hashes: bool = True):
         self.html, self.hashes = html, hashes
         self.subtrees: list[tuple[int, int, int]] = []
         self.blocks: list[tuple[str, bool, bool]] = []
-        # Open elements: tag, start, first block, furniture, block element.
-        self.open: list[tuple[str, int, int, bool, bool]] = []
+        # Open elements: tag, start, first block, furniture, block element, articles and mains begun before.
+        self.open: list[tuple[str, int, int, bool, bool, int]] = []
         self.held: list[str] = []
-        self.dropped = self.articles = self.mains = 0
+        self.dropped = self.articles = self.mains = self.begun = 0
         self.has_article = self.has_main = False
         self._read()
 
@@ -101,12 +107,12 @@ class Page:
     def _pop(self, depth: int, at: int) -> None:
         """Close elements until ``depth`` are open."""
         while len(self.open) > depth:
-            tag, start, first, furniture, block = self.open.pop()
+            tag, start, first, furniture, block, begun = self.open.pop()
             if block:
                 self._flush()
-                if self.hashes and not self.articles and tag not in ("html", "body", "head", "main"):
+                if self.hashes and not self.articles and begun == self.begun and first < len(self.blocks) and tag not in ("html", "body", "head", "main"):
                     h = xxhash.xxh3_64_intdigest(" ".join(self.html[start:at].split()))
-                    self.subtrees.append((h - _WRAP if h >= _TOP else h, first, len(self.blocks)))
+                    self.subtrees.append((_signed(h), first, len(self.blocks)))
             self.dropped -= furniture
             self.articles -= tag == "article"
             self.mains -= tag == "main"
@@ -142,7 +148,8 @@ class Page:
         elif tag == "main":
             self.mains += 1
             self.has_main |= not self.dropped
-        self.open.append((tag, at, len(self.blocks), furniture, tag in BLOCK))
+        self.open.append((tag, at, len(self.blocks), furniture, tag in BLOCK, self.begun))
+        self.begun += tag in ("article", "main") and not self.dropped
 
     def _text(self, first: int, last: int) -> None:
         if not self.dropped and first < last:
@@ -179,6 +186,16 @@ class Page:
         self._pop(0, len(html))
         self._flush()
 
+    def besides(self) -> tuple[int, dict[int, int]]:
+        """A digest of the page's blocks, and for each subtree hash a digest of the blocks outside such subtrees."""
+        sums = [0]
+        for text, _, _ in self.blocks:
+            sums.append(sums[-1] + xxhash.xxh3_64_intdigest(text))
+        rest: dict[int, int] = {}
+        for h, first, last in self.subtrees:
+            rest[h] = rest.get(h, sums[-1]) - sums[last] + sums[first]
+        return _signed(sums[-1]), {h: _signed(r) for h, r in rest.items()}
+
     def text(self, template: set[int] | None = None) -> str:
         """The blocks left without template subtrees, joined by line ends."""
         keep = [True] * len(self.blocks)
@@ -192,26 +209,32 @@ class Page:
         return "\n".join(b[0] for k, b in zip(keep, self.blocks) if k)
 
 
-def host_templates(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """host and hashes: the subtrees that recur across its pages."""
+def page_templates(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES, many_pages: int = MANY_PAGES) -> DataFrame:
+    """host, page (hash of the html) and hashes: the subtrees of a page that recur across its host's pages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, hashes = [], []
-            for host, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = {h for h, _, _ in Page(html.as_py()).subtrees}
-                hosts += [host] * len(own)
-                hashes += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
-
-    counted = pages.select(url_host().alias("host")).groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages)
-    found = pages.select(url_host().alias("host"), F.coalesce("html", F.lit("")).alias("html")).mapInArrow(run, "host string, hash long")
-    often = found.groupBy("host", "hash").agg(F.count("*").alias("times")).filter(F.col("times") >= least_pages).join(counted, "host").filter(F.col("times") >= F.col("pages") * share)
-    return written(often.groupBy("host").agg(F.collect_list("hash").alias("hashes")), "host-templates")
-
-
-def main_texts(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES) -> DataFrame:
+            at, hashes, rests = [], [], []
+            for i, html in enumerate(batch.column(2)):
+                whole, rest = Page(html.as_py()).besides()
+                at += [i] * (1 + len(rest))
+                hashes += [None, *rest]
+                rests += [whole, *rest.values()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), batch.column(1).take(pa.array(at, pa.int64())), pa.array(hashes, pa.int64()), pa.array(rests, pa.int64())],
+                                             names=["host", "page", "hash", "rest"])
+
+    # A row without a hash stands for the whole page.
+    rows = pages.select(url_host().alias("host"), text_key("html").alias("page"), F.coalesce("html", F.lit("")).alias("html"))
+    found = written(rows.mapInArrow(run, "host string, page long, hash long, rest long"), "subtrees")
+    each = found.select("host", "hash", "rest").distinct()
+    counted = each.filter("hash is null").groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages)
+    often = each.filter("hash is not null").groupBy("host", "hash").agg(F.count("*").alias("times")).filter(F.col("times") >= least_pages).join(counted, "host")
+    often = written(often.filter(F.col("times") >= F.least(F.col("pages") * share, F.lit(float(many_pages)))).select("host", "hash"), "host-templates")
+    return written(found.join(often, ["host", "hash"]).groupBy("host", "page").agg(F.collect_set("hash").alias("hashes")), "page-templates")
+
+
+def main_texts(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PAGES, many_pages: int = MANY_PAGES) -> DataFrame:
     """page_id, url, text and n_chars of every row."""
-    templates = host_templates(pages, share, least_pages)
+    templates = page_templates(pages, share, least_pages, many_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,5 +245,5 @@ def main_texts(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              names=["page_id", "url", "text", "n_chars"])
 
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), url_host().alias("host")).join(templates, "host", "left")
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), url_host().alias("host"), text_key("html").alias("page")).join(templates, ["host", "page"], "left")
     return rows.select("page_id", "url", "html", "hashes").mapInArrow(run, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")

@@ -115,6 +115,21 @@ def test_templates_of_a_host_go(spark):
     assert templates.main_texts(pages.limit(0)).count() == 0
 
 
+def test_copies_are_no_template_and_menus_of_a_part_are(spark):
+    menu, story = "<div><span>Home</span> <a>News</a></div>", "<p>once upon a time</p><p>the end</p>"
+    rows = [(i, "http://a.example/s", f"<div id=page><article>{story}</article></div>") for i in range(9)]  # copies with an article
+    rows += [(20 + i, "http://b.example/s", f"<div id=page>{story}</div>{menu}") for i in range(9)]  # and without
+    rows += [(40 + i, f"http://b.example/{i}", f"<p>b {i}</p>{menu}") for i in range(6)]
+    rows += [(100 + i, f"http://c.example/{i}", f"{menu if i % 3 == 0 else ''}<p>c {i}</p>") for i in range(60)]  # a menu on a third
+    rows += [(200 + i, f"http://d.example/{i}", f"<div id=page><article><p>same</p></article></div><p>d {i}</p>") for i in range(9)]  # the rest differs
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in templates.main_texts(pages, many_pages=20).collect()}
+    assert {got[i] for i in range(9)} == {got[20 + i] for i in range(9)} == {"once upon a time\nthe end"}
+    assert [got[40 + i] for i in range(6)] == [f"b {i}" for i in range(6)]
+    assert [got[100 + i] for i in range(60)] == [f"c {i}" for i in range(60)]
+    assert {got[200 + i] for i in range(9)} == {"same"}
+
+
 # Vector search
 
 def test_search_against_brute_force(spark):
