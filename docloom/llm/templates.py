@@ -5,7 +5,8 @@ article or ``main`` itself. For each subtree of a host Spark counts the differen
 copies of a page count once. Subtrees with ``MANY_PAGES`` such texts, or on a smaller host with as many as ``SHARE`` of
 its different pages and ``LEAST_PAGES``, are template and are deleted from all the host's pages. Page furniture that
 changes from page to page (adverts, footers with their own text) can't recur, so elements that say what they are by tag,
-role, class or id go as well. What stays is the text of the ``article`` elements, else of ``main``, else of the body.
+role, class or id go as well; outside articles a word of a class or id says so, inside only a whole one does, and ids of
+headings, which are often made from their text, say nothing. Formulas in an article are its text. What stays is the text of the ``article`` elements, else of ``main``, else of the body.
 Repeated passages inside an article are its text and stay.
 
 A page is joined with those of its own subtrees that are template, never with the whole list of its host. Spark broadcasts
@@ -41,8 +42,10 @@ BLOCK = set(("address article aside blockquote body caption center dd details di
 CLOSES_P = BLOCK - set("body caption dd dt head html legend li option optgroup summary tbody td tfoot th thead tr".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SIBLING_SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select", "datalist"}}
-#: Elements that never hold article text; ``header`` does inside an article.
-FURNITURE = set("nav footer aside form menu dialog button select datalist template svg math object canvas audio video map search head".split())
+#: Elements that never hold article text; ``header`` does inside an article, and so do those of ``SHOWN``.
+FURNITURE = set("nav footer aside form menu dialog button select datalist template svg math object canvas audio video map search head annotation annotation-xml".split())
+SHOWN = set("math object".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 #: Words of class names and ids that say an element isn't article text.
 NAMES = set(("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie "
@@ -57,20 +60,35 @@ _CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for tag i
 _TOP, _WRAP = 1 << 63, 1 << 64
 
 
+def _names(value: str) -> list[str]:
+    return [p.lower() for p in _NAME_PART.findall(value)]
+
+
+def _only_names(value: str) -> bool:
+    """Whether a class or id consists of furniture names, with or without numbers."""
+    parts = [p for p in _names(value) if not p.isdigit()]
+    return bool(parts) and NAMES.issuperset(parts) and not re.search(r"[^\W\d_]", _NAME_PART.sub("", value))
+
+
 def is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     """Whether an element says that it isn't article text."""
-    if tag in FURNITURE or tag == "header" and not in_article:
+    if tag in FURNITURE and not (in_article and tag in SHOWN) or tag == "header" and not in_article:
         return True
     if "=" not in attributes and "hidden" not in attributes:
         return False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), unescape((m[2] or "").strip("\"'"))
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") or name in ("class", "id") and tag == "article":
-            if not NAMES.isdisjoint(p.lower() for p in _NAME_PART.findall(value)):
-                return True
-            if not in_article and "header" in (p.lower() for p in _NAME_PART.findall(value)) and tag != "article":
+        if name in ("class", "id"):
+            if tag in ("html", "body", "main") or name == "id" and tag in HEADINGS:
+                continue
+            if in_article or tag == "article":
+                if name == "id" and (tag not in BLOCK or tag == "p"):
+                    continue
+                if any(_only_names(x) for x in value.split()):
+                    return True
+            elif not {"header", *NAMES}.isdisjoint(_names(value)):
                 return True
-        elif name == "role" and value.lower() in ROLES or name == "hidden" and tag not in ("html", "body") or name == "aria-hidden" and value == "true":
+        elif name == "role" and value.lower() in ROLES or name == "hidden" and tag not in ("html", "body") or name == "aria-hidden" and value == "true" and not in_article:
             return True
         elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True

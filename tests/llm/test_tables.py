@@ -115,6 +115,15 @@ def test_templates_of_a_host_go(spark):
     assert templates.main_texts(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("html, text", [
+    ('<article class="post no-sidebar"><h2 id="social-structure">S</h2><section id="navigation-at-sea">N</section><p id="comments-on-rome">C</p><h2 id="comments">D</h2><p class="share-price">P</p></article>', "S\nN\nC\nD\nP"),
+    ('<article><p>a <math><mi>x</mi><annotation>tex</annotation></math> <object>o</object> <span aria-hidden="true">h</span> <span id="navigation">n</span></p></article>', "a x o h n"),
+    ('<article>a<div class="ad">b</div><div class="x newsletter-signup">c</div><section id="comments">d</section><div id="ad-12">e</div><math hidden>f</math></article>', "a"),
+    ('<h2 id="social-structure">S</h2><p>a</p><div class="share-buttons">b</div><math>x</math>', "S\na")])
+def test_names_that_only_hold_a_furniture_word_stay_in_articles(html, text):
+    assert templates.Page(html).text() == text
+
+
 def test_copies_are_no_template_and_menus_of_a_part_are(spark):
     menu, story = "<div><span>Home</span> <a>News</a></div>", "<p>once upon a time</p><p>the end</p>"
     rows = [(i, "http://a.example/s", f"<div id=page><article>{story}</article></div>") for i in range(9)]  # copies with an article
