@@ -166,17 +166,22 @@ def class_sets(docs: DataFrame, classes: DataFrame, lists: DataFrame, words: int
     wanted = written(lists.select("digest").distinct().join(classes.select("digest", "member"), "digest"), "listed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()
         for batch in batches:
             digests, sets = [], []
             for digest, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if digest in done:  # copies without a doc_id share their hash
+                    continue
                 own = shingle_set(content.as_py(), words)
                 if xxhash.xxh3_128_digest(own.tobytes()) == digest:  # rows may share a doc_id
+                    done.add(digest)
                     digests.append(digest)
                     sets.append(own.astype(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["digest", "shingles"])
 
     # Listed classes are a part of all classes: both sides are dealt by key, at every size.
-    texts = docs.select(F.col("doc_id").cast("long").alias("member"), text_bytes(column).alias("content"))
+    # A row without doc_id is found by the hash of its text; the digest tells should another row have that as its doc_id.
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), text_key(column)).alias("member"), text_bytes(column).alias("content"))
     return texts.join(wanted.hint("merge"), "member").select("digest", "content").mapInArrow(run, "digest binary, shingles array<long>")
 
 
@@ -257,7 +262,7 @@ def unfinished_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, k:
 def near_duplicates(docs: DataFrame, words: int = WORDS, k: int = K, least: int = LEAST, column: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id and kept of every document."""
     rows = written(sketches(docs, words, k, column), "sketches")
-    classes = written(rows.filter("n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.max("doc_id").alias("member"), F.first("sketch").alias("sketch")), "classes")
+    classes = written(rows.filter("n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.coalesce(F.max("doc_id"), F.max("text_hash")).alias("member"), F.first("sketch").alias("sketch")), "classes")
     lists = written(inverted_lists(classes, k, least), "sketch-lists")
     sets = written(class_sets(docs, classes, lists, words, column), "sets")
     # The listed classes once more, by their full sets: only those stay that have too few values of their own to be unlike all others.

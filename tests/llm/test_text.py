@@ -205,6 +205,17 @@ def test_near_duplicates_against_brute_force(spark):
     assert bottom_k.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_near_duplicates_without_doc_id(spark):
+    """A near copy without doc_id is linked, and bridges two texts that aren't linked with each other."""
+    draw = random.Random(5)
+    copied, chain = sentences(draw, 60).split(), [f"c{i}" for i in range(110)]
+    rows = [(1, " ".join(copied)), (None, " ".join([*copied[:-1], "new"])), (None, " ".join([*copied[:-1], "new"])), (None, "alone " + sentences(draw, 40))]
+    rows += [(10, " ".join(chain[:90])), (None, " ".join(chain[10:100])), (11, " ".join(chain[20:110]))]
+    assert {w[2] for w in brute_near(rows)} == {1, 10, None}
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in bottom_k.near_duplicates(frame(spark, rows)).collect()), key=str)
+    assert got == brute_near(rows)
+
+
 def test_union_shares_against_sets():
     import pyarrow as pa
     draw = random.Random(3)
