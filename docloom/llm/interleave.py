@@ -4,7 +4,8 @@ Rows are ranked in seeded-shuffled order within their source, placed by fraction
 the source), and the common order is cut into shards whose row counts differ by one at most, so every shard has the
 mixture of all sources. Both orders are numbered by buckets: a bucket's rows are counted (combined before the shuffle),
 counts are added up, and rows are numbered inside their bucket; no source and no order ever meets in one task. The
-number of buckets follows the number of rows.
+number of buckets follows the number of rows. Buckets of the common order are ranges of rank and source, so a rank that
+many sources share (every odd one has a row at one half) is cut as well.
 
 Defined cases: a null source is a stratum of its own; a null text has 0 bytes and the checksum of the empty text. Equal
 doc_ids are ordered by size and checksum; wholly equal rows are interchangeable. An empty table gives no rows. Other
@@ -40,6 +41,11 @@ def _numbered(df: DataFrame, keys: list[str], order: list[str], name: str, total
             .withColumn(name, F.col("_before") + F.row_number().over(inside)).drop("_before", "_bucket"))
 
 
+def _dealt(placed: DataFrame, parts: int) -> DataFrame:
+    """The rows with their _bucket: about equal ranges of (_at, stratum); each source has one row of a rank."""
+    return written(placed.repartitionByRange(parts, "_at", "stratum").withColumn("_bucket", F.spark_partition_id()), "interleave-placed")
+
+
 def interleave(docs: DataFrame, shards: int = 16, seed: str = SEED, strata: str = "source", keep: tuple[str, ...] = ("doc_id",),
                column: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``keep``, size, text_crc32, stratum, shard and slot of every row."""
@@ -52,7 +58,8 @@ def interleave(docs: DataFrame, shards: int = 16, seed: str = SEED, strata: str
     first = F.conv(F.substring("_h", 1, 8), 16, 10).cast("long")
     ranked = _numbered(rows.withColumn("_bucket", F.floor(first * buckets / F.lit(float(1 << 32)))), ["stratum"], order, "_rank", "_of")
     placed = ranked.withColumn("_at", (F.col("_rank") * 2 - 1).cast("double") / (F.col("_of") * 2).cast("double"))
-    spot = _numbered(placed.withColumn("_bucket", F.floor(F.col("_at") * buckets)).withColumn("_all", F.lit(0)), ["_all"], ["_at", "stratum", *order], "_spot")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // bucket_rows))
+    spot = _numbered(_dealt(placed, parts).withColumn("_all", F.lit(0)), ["_all"], ["_at", "stratum", *order], "_spot")
     each, more = divmod(n, shards)
     pos, large = F.col("_spot") - 1, more * (each + 1)
     shard = F.when(pos < large, F.floor(pos / F.lit(each + 1))).otherwise(more + F.floor((pos - large) / F.lit(max(each, 1)))).cast("int")

@@ -49,6 +49,20 @@ def test_interleaving_of_few_rows(spark):
     assert sorted((r.shard, r.slot) for r in sharded(spark, [(i, "t", "s") for i in range(5)])) == [(i, 0) for i in range(5)]
 
 
+def test_interleaving_of_sources_with_one_row_each(spark, monkeypatch):
+    most, numbered = [], interleave._numbered
+
+    def watched(df, keys, *rest):
+        if keys == ["_all"]:  # rows of the largest task of the common order
+            most.append(max(r["count"] for r in df.groupBy("_bucket").count().collect()))
+        return numbered(df, keys, *rest)
+
+    monkeypatch.setattr(interleave, "_numbered", watched)
+    got = sharded(spark, [(i, "t", f"s{i:04}") for i in range(800)], bucket_rows=100)
+    assert most[0] <= 250
+    assert [r.stratum for r in sorted(got, key=lambda r: (r.shard, r.slot))] == [f"=s{i:04}" for i in range(800)]
+
+
 # URL rules
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"),
