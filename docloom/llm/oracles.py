@@ -86,3 +86,55 @@ scored as (
 ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
+
+ORACLES["op11_quality_rules"] = """
+with words as (
+  select row_number() over () as r, doc_id, lang, source, coalesce(text, '') as text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x09-\\x0D\\x20]+'), lambda w: w <> '') as words
+  from documents),
+windows as (
+  select r, j, array_to_string(words[j:j + 7], ' ') as phrase from (select r, words, unnest(range(1, len(words) - 6)) as j from words where len(words) >= 8)),
+twice as (select r, phrase from windows group by all having count(*) > 1),
+covered as (select r, count(distinct p) as n from (select r, unnest(range(j, j + 8)) as p from windows semi join twice using (r, phrase)) group by r),
+lines as (select r, len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup
+  from (select r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x09-\\x0D\\x20]')) as l from words)),
+counted as (
+  select r, doc_id, lang, source, len(words)::bigint as n_words, length(array_to_string(words, ''))::bigint as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, n_dup::bigint as n_dup_lines, coalesce(c.n, 0)::bigint as n_repeat_words, n_lines
+  from words join lines using (r) left join covered c using (r)),
+base as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from counted),
+measures as (
+  select r, lang, source, measure, value, part_width, value // part_width * part_width + part_width // 2 as part, base_failed
+  from (select *, (1::bigint << greatest(length(bin(value)) - 9, 0)::int) as part_width
+    from (select r, lang, source, base_failed, unnest(['word_length', 'symbols', 'dup_lines', 'repeat_words']) as measure,
+      unnest([1000 * word_chars // greatest(n_words, 1), 1000 * n_symbols // greatest(n_words, 1), 1000 * n_dup_lines // greatest(n_lines, 1), 1000 * n_repeat_words // greatest(n_words, 1)]) as value from base))),
+sketched as (select * from measures where not base_failed),
+ranked as (
+  select lang, source, measure, part, count(*) over g as n_g, count(*) over l as n_l, count(*) over a as n_a,
+    row_number() over (partition by lang, source, measure order by part) as i_g, row_number() over (partition by lang, measure order by part) as i_l, row_number() over (partition by measure order by part) as i_a
+  from sketched window g as (partition by lang, source, measure), l as (partition by lang, measure), a as (partition by measure)),
+q_a as (select measure, any_value(n_a) as n, min(part) filter (i_a >= 0.25::double * n_a)::double as low, min(part) filter (i_a >= 0.75::double * n_a)::double as high from ranked group by measure),
+q_l0 as (select lang, measure, any_value(n_l) as n, min(part) filter (i_l >= 0.25::double * n_l)::double as low, min(part) filter (i_l >= 0.75::double * n_l)::double as high from ranked group by lang, measure),
+q_g0 as (select lang, source, measure, any_value(n_g) as n, min(part) filter (i_g >= 0.25::double * n_g)::double as low, min(part) filter (i_g >= 0.75::double * n_g)::double as high from ranked group by all),
+q_l as (select l.lang, measure, (l.n * l.low + 100 * a.low) / (l.n + 100) as low, (l.n * l.high + 100 * a.high) / (l.n + 100) as high from q_l0 l join q_a a using (measure)),
+q_g as (select g.lang, g.source, g.measure, (g.n * g.low + 100 * l.low) / (g.n + 100) as low, (g.n * g.high + 100 * l.high) / (g.n + 100) as high
+  from q_g0 g join q_l l on g.measure = l.measure and g.lang is not distinct from l.lang),
+limits as (
+  select lang, source, measure, case when measure = 'word_length' then low - 3 * greatest(high - low, 200::double) else 0 end as floor,
+    high + 3 * greatest(high - low, case measure when 'word_length' then 200 when 'symbols' then 50 else 100 end::double) as ceiling from q_g),
+failed as (
+  select distinct r from measures m join limits l on m.measure = l.measure and m.lang is not distinct from l.lang and m.source is not distinct from l.source where value > ceiling or value < floor)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and r not in (select r from failed) as kept from base
+"""
+
+ORACLES["op13_hard_negatives"] = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_dot_product(a.v, c.v)::bigint as score from rows a join rows c on a.vec_id % 100 = 0 and c.vec_id <> a.vec_id and len(a.v) = len(c.v)),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, (row_number() over (partition by anchor_id, positive_id order by score desc, vec_id))::int as rank, vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id) where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 10
+"""

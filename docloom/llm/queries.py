@@ -10,13 +10,16 @@ from docloom.llm.bottom_k import near_duplicates
 from docloom.llm.common import fresh_folder
 from docloom.llm.contamination import contamination
 from docloom.llm.digest_cache import token_counts
+from docloom.llm.hard_negatives import hard_negatives
 from docloom.llm.interleave import interleave
 from docloom.llm.oracles import ORACLES  # noqa: F401
 from docloom.llm.packing import pack
+from docloom.llm.quality_rules import COUNTS, quality_rules
 from docloom.llm.repair import encode_to_files
 from docloom.llm.templates import main_texts
 from docloom.llm.toxicity import held_out, toxicity
 from docloom.llm.url_rules import judge_urls
+from docloom.llm.whitening import whitening
 from docloom.session import ship
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -78,6 +81,19 @@ def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening(table(spark, sf_dir, "embeddings")).drop("deviation_exact")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES = {f.__name__: f for f in (op1_convolutional_toxicity, op2_repair_ids, op3_positional_contamination, op4_stratified_interleaving, op5_url_rules, op6_template_removal,
                                    op7_block_search, op8_sum_of_squares_packing, op9_digest_token_counts,
-                                   op10_bottom_k_near_duplicates)}
+                                   op10_bottom_k_near_duplicates, op11_quality_rules, op12_whitening, op13_hard_negatives)}
