@@ -1,11 +1,13 @@
-"""Column functions over text. All but ``nfkc`` stay in the JVM."""
+"""Column functions over text. All but ``nfkc`` and ``nfkc_list`` stay in the JVM."""
 
 from __future__ import annotations
 
+import unicodedata
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # The whitespace and word classes every text rule relies on.
 WS = r"[\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
@@ -15,11 +17,27 @@ QUOTES = "\"'“”‘’"
 
 
 @F.pandas_udf(StringType())
-def nfkc(values: pd.Series) -> pd.Series:
-    """Unicode compatibility composition; Spark has no built-in for it."""
+def _composed(values: pd.Series) -> pd.Series:
     return values.str.normalize("NFKC")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _composed_lists(values: pd.Series) -> pd.Series:
+    return values.map(lambda items: None if items is None else [None if x is None else unicodedata.normalize("NFKC", x) for x in items])
+
+
+NON_ASCII = r"[^\x00-\x7F]"
+
+
+def nfkc(col: Column) -> Column:
+    """Unicode compatibility composition; Spark has no built-in for it. Only strings beyond ASCII are sent to Python."""
+    return F.coalesce(_composed(F.when(col.rlike(NON_ASCII), col)), col)
+
+
+def nfkc_list(col: Column) -> Column:
+    return F.coalesce(_composed_lists(F.when(F.exists(col, lambda x: x.rlike(NON_ASCII)), col)), col)
+
+
 def trim_ws(col: Column) -> Column:
     """Trim Unicode whitespace on both sides (Spark's trim strips only spaces)."""
     return F.regexp_replace(col, rf"\A{WS}+|{WS}+\z", "")
@@ -65,14 +83,10 @@ def normalize_concept(col: Column, *, compose: bool = True) -> Column:
     return F.lower(base)
 
 
-def normalize_concepts(col: Column) -> Column:
-    """List form: canonical keys, blanks dropped, first occurrence kept.
-
-    A Pandas function cannot run inside ``transform``, so lists are expected to
-    be composed already (``nfkc`` once, where responses are ingested).
-    """
-    cleaned = F.transform(F.coalesce(col, F.array().cast("array<string>")),
-                          lambda x: trim_ws(normalize_concept(x, compose=False)))
+def normalize_concepts(col: Column, *, compose: bool = True) -> Column:
+    """List form: canonical keys, blanks dropped, first occurrence kept."""
+    items = F.coalesce(col, F.array().cast("array<string>"))
+    cleaned = F.transform(nfkc_list(items) if compose else items, lambda x: trim_ws(normalize_concept(x, compose=False)))
     return F.array_distinct(F.filter(cleaned, lambda x: x.isNotNull() & (x != "")))
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.ordering import first_by, top_by, union_all, with_position
+from docloom.functions.ordering import cut_lineage, first_by, top_by, union_all, with_position
 from docloom.functions.text import is_blank, normalize_concept, normalize_gap_type, sha256_hex, zero_pad
 from docloom.operators.extraction import CHUNK, EDGE_RELATIONS, PROTECTED
 
@@ -134,14 +134,29 @@ def materialize_gaps(nodes: DataFrame, node_units: DataFrame, members: DataFrame
     return {"gaps": gaps, "nodes": new_nodes, "node_units": links, "node_concepts": fills, "edges": _concept_edges(pairs, "gap-reconciliation")}
 
 
-def reconcile_concepts(edges: DataFrame, *concept_edges: DataFrame) -> DataFrame:
-    """Earlier reconciliation edges dropped, new ones appended in concept order; existing keys win."""
+def _reconciled(edges: DataFrame, *concept_edges: DataFrame) -> DataFrame:
     kept = edges.filter(~F.col("origin").isin("concept-reconciliation", "gap-reconciliation"))
     nowhere = F.struct(*[F.lit(0).cast("bigint" if c != "first_role" else "int").alias(c) for c in [*CONCEPT_ORDER, "node_ord"]])
     old = kept.select("doc_id", "src", "dst", "relation", "reason", "origin", F.lit(None).cast("string").alias("concept"),
                       F.lit(0).alias("_new"), "edge_ord", nowhere.alias("seq"))
     new = union_all(*concept_edges).withColumn("_new", F.lit(1)).withColumn("edge_ord", F.lit(0).cast("bigint"))
-    return first_by(old.unionByName(new), ["doc_id", "src", "dst", "relation"], ["_new", "edge_ord", "seq"]).drop("_new", "edge_ord", "seq")
+    return first_by(old.unionByName(new), ["doc_id", "src", "dst", "relation"], ["_new", "edge_ord", "seq"])
+
+
+def reconcile_concepts(edges: DataFrame, *concept_edges: DataFrame) -> DataFrame:
+    """Earlier reconciliation edges dropped, new ones appended in concept order; existing keys win."""
+    return _reconciled(edges, *concept_edges).drop("_new", "edge_ord", "seq")
+
+
+def reconcile_and_number(edges: DataFrame, *concept_edges: DataFrame) -> DataFrame:
+    """``reconcile_concepts`` with ``edge_ord``: the kept edges in their order, the new ones behind them in concept order."""
+    rows = cut_lineage(_reconciled(edges, *concept_edges))
+    old = with_position(rows.filter("_new = 0").drop("_new", "seq"), ["doc_id"], ["edge_ord"], "_p").drop("edge_ord")
+    new = rows.filter("_new = 1").select("doc_id", "src", "dst", "relation", "reason", "origin", "concept", "seq.*")
+    counts = old.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_before"))
+    new = with_position(new, ["doc_id"], [*CONCEPT_ORDER, "node_ord", "src", "dst"], "_p").drop(*CONCEPT_ORDER, "node_ord").join(counts, "doc_id", "left")
+    new = new.withColumn("_p", F.col("_p") + F.coalesce("_before", F.lit(0))).drop("_before")
+    return old.unionByName(new).withColumnRenamed("_p", "edge_ord")
 
 
 def unresolved_concepts(gaps: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -21,13 +21,12 @@ SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struc
 
 
 def _line_kind(line: Column) -> Column:
-    return (F.when(is_blank(line), "blank").when(line.rlike(HEADING), "heading")
-            .when(line.rlike(rf"\A{WS}*\|"), "table").otherwise("prose"))
+    return (F.when(is_blank(line), "blank").when(line.contains("#") & line.rlike(HEADING), "heading")
+            .when(line.contains("|") & line.rlike(rf"\A{WS}*\|"), "table").otherwise("prose"))
 
 
-def _plain_spans(lines: Column) -> Column:
+def _plain_spans(kinds: Column) -> Column:
     """Runs of equal line kinds (headings stand alone), found from each line and its neighbours only."""
-    kinds = F.transform(lines, _line_kind)
     edge = F.array(F.lit("blank"))
     before = F.concat(edge, F.slice(kinds, 1, F.size(kinds) - 1))
     after = F.concat(F.slice(kinds, 2, F.size(kinds)), edge)
@@ -40,55 +39,106 @@ def _plain_spans(lines: Column) -> Column:
         s["k"].alias("kind"), s["line"].alias("start_line"), e["line"].alias("end_line")))
 
 
-_RE_HEADING = re.compile(r"\s{0,3}#{1,6}\s+.+?\s*#*\s*$")
-_RE_FENCE = re.compile(r"(`{3,}|~{3,})")
-_RE_DETAILS = re.compile(r"<details[\s>]", re.I)
+# --- the line scanner ------------------------------------------------------------------
+# Its state before a line is a string: "" (nothing open), "prose" or "table" (the line before belongs to such a run),
+# or what opened a block that runs on: a fence as written (its character and length count), "\[", "$$" or "<details".
+
+_SPACE = "\t\n\x0b\f\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+_RE_HEADING = re.compile(rf"[{_SPACE}]{{0,3}}#{{1,6}}[{_SPACE}]+[\s\S]+?[{_SPACE}]*#*[{_SPACE}]*\Z")
+_RE_FENCE = re.compile(r"`{3,}|~{3,}")
+_RE_DETAILS = re.compile(rf"<details[{_SPACE}>]", re.I)
 _RE_DETAILS_END = re.compile(r"</details>", re.I)
+BLOCK_KINDS = {"`": "code", "~": "code", "\\": "equation", "$": "equation", "<": "details"}
+
+
+def _opens(line: str, text: str) -> tuple[str, bool] | None:
+    """For a line that opens a block: (state, whether the line closes it too)."""
+    if text[0] in "`~":
+        fence = _RE_FENCE.match(text)
+        if fence:
+            return fence[0], False
+    elif text.startswith("\\["):
+        return "\\[", "\\]" in text
+    elif text.startswith("$$"):
+        return "$$", text.count("$$") >= 2
+    if "<" in text and _RE_DETAILS.search(line):
+        return "<details", _RE_DETAILS_END.search(line) is not None
+    return None
 
 
-def _block_end(line: str):
-    """For a line that opens a multi-line block: (kind, closed on this line, test for the closing line)."""
-    text = line.strip()
-    fence = _RE_FENCE.match(text)
-    if fence:
-        close = re.compile(re.escape(fence[1][0]) + "{%d,}$" % len(fence[1]))
-        return "code", False, lambda other: close.match(other.strip()) is not None
-    if text.startswith("\\["):
-        return "equation", "\\]" in text, lambda other: "\\]" in other
-    if text.startswith("$$"):
-        return "equation", text.count("$$") >= 2, lambda other: "$$" in other
-    if _RE_DETAILS.search(line):
-        return "details", _RE_DETAILS_END.search(line) is not None, lambda other: _RE_DETAILS_END.search(other) is not None
-    return None
+def _closes(state: str, text: str) -> bool:
+    if state[0] in "`~":
+        return len(text) >= len(state) and text == state[0] * len(text)
+    return "\\]" in text if state == "\\[" else "$$" in text if state == "$$" else _RE_DETAILS_END.search(text) is not None
+
+
+def _open_run(line: str, text: str, state: str) -> tuple[str | None, str]:
+    """(kind, state after) of a line outside blocks that opens none; the kind of a blank line is None."""
+    if not text:
+        return None, ""
+    if text[0] == "|":
+        return "table", "table"
+    if text[0] == "#" and _RE_HEADING.match(line):
+        return "heading", ""
+    return "prose", "prose"
+
+
+def _scan(line: str, state: str) -> tuple[str | None, bool, str]:
+    """One step: the line's kind (None for a blank line between units), whether a unit starts here, the state after."""
+    text = line.strip(_SPACE)
+    if state and state[0] in BLOCK_KINDS:
+        return BLOCK_KINDS[state[0]], False, "" if _closes(state, text) else state
+    opened = _opens(line, text) if text and not (state == "table" and text[0] == "|") else None
+    if opened:
+        return BLOCK_KINDS[opened[0][0]], True, "" if opened[1] else opened[0]
+    kind, after = _open_run(line, text, state)
+    return kind, kind == "heading" or kind != state, after
 
 
 def _spans_with_blocks(text: str):
-    spans, closes = [], None
+    spans, state = [], ""
     for number, line in enumerate(text.split("\n"), 1):
-        if closes is not None:
+        kind, starts, state = _scan(line, state)
+        if kind and starts:
+            spans.append({"kind": kind, "start_line": number, "end_line": number})
+        elif kind:
             spans[-1]["end_line"] = number
-            if closes(line):
-                closes = None
-            continue
-        if not line.strip():
-            run = None
-            continue
-        opened = _block_end(line)
-        if opened:
-            kind, closed, test = opened
-            run, closes = None, None if closed else test
-        elif _RE_HEADING.match(line):
-            kind, run = "heading", None
-        else:
-            kind = "table" if line.strip().startswith("|") else "prose"
-            if spans and run == kind:
-                spans[-1]["end_line"] = number
-                continue
-            run = kind
-        spans.append({"kind": kind, "start_line": number, "end_line": number})
     return spans
 
 
+def _exits(lines: list[str]) -> list[tuple[str, int, str]]:
+    """The state after these lines for every state before them, as (state, length, state after) in order of precedence.
+
+    "" and "prose" leave alike. A fence of n characters takes the first row of its character with a length of n or more; a
+    state without a row stays as it is. One pass from the last line to the first.
+    """
+    after = {state: state for state in ("", "prose", "table")}  # before the line that comes next
+    closers: dict[str, list[tuple[int, str]]] = {}
+    for line in reversed(lines):
+        text = line.strip(_SPACE)
+        before = {}
+        for state in ("", "table"):
+            opened = _opens(line, text) if text and not (state == "table" and text[0] == "|") else None
+            if not opened:
+                before[state] = after[_open_run(line, text, state)[1]]
+            elif opened[1]:
+                before[state] = after[""]
+            else:
+                rows = closers.get(opened[0][0], ())
+                before[state] = next((done for length, done in reversed(rows) if length >= len(opened[0])), opened[0])
+        for mark in BLOCK_KINDS:
+            fence = mark in "`~"
+            if text and (text[0] == mark and text == mark * len(text) if fence else _closes({"\\": "\\[", "$": "$$", "<": "<details"}[mark], text)):
+                rows = closers.setdefault(mark, [])
+                while rows and rows[-1][0] <= len(text):  # farther and no longer: this line closes all that they close
+                    rows.pop()
+                rows.append((len(text) if fence else 1 << 30, after[""]))
+                if not fence:
+                    rows[:] = rows[-1:]
+        after = {**before, "prose": before[""]}
+    return [("", 0, after[""]), ("table", 0, after["table"])] + [(mark, length, done) for mark, rows in closers.items() for length, done in reversed(rows)]
+
+
 @F.pandas_udf(SPANS)
 def _block_spans(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else _spans_with_blocks(t))
@@ -99,21 +149,86 @@ def segment_units(documents: DataFrame) -> DataFrame:
 
     Row-local: a document's units come from its own row, no shuffle. Only documents that
     contain a possible multi-line block hand their text to Python; the others send a null.
+    Texts too long for a row come as lines: ``segment_lines``.
     """
-    df = (documents.select("doc_id", "text")
-          .withColumn("_blocky", F.when(F.col("text").rlike(MAY_OPEN_BLOCK), F.col("text")))
-          .withColumn("_block_spans", _block_spans("_blocky"))
-          .withColumn("_lines", F.split("text", "\n", -1))
-          .withColumn("_spans", F.when(F.col("_block_spans").isNotNull(), F.col("_block_spans"))
-                      .otherwise(_plain_spans(F.col("_lines")).cast(SPANS)))
-          .withColumn("_parts", F.transform("_spans", lambda s: F.struct(
-              s["kind"].alias("kind"),
-              rtrim_ws(F.array_join(F.slice(F.col("_lines"), s["start_line"], s["end_line"] - s["start_line"] + 1), "\n")).alias("text"),
-              s["start_line"].cast("bigint").alias("start_line"), s["end_line"].cast("bigint").alias("end_line")))))
-    units = (df.select("doc_id", F.posexplode("_parts").alias("_p", "_u"))
+    # One-row explodes keep each step's result; Spark would copy the expressions into every use.
+    once = lambda df, *columns: df.select("doc_id", F.explode(F.array(F.struct(*columns))).alias("_x")).select("doc_id", "_x.*")
+    df = (documents.select("doc_id", "text").withColumn("_blocky", F.when(F.col("text").rlike(MAY_OPEN_BLOCK), F.col("text")))
+          .withColumn("_block_spans", _block_spans("_blocky")))
+    df = once(df, F.split("text", "\n", -1).alias("_lines"), "_block_spans")
+    df = once(df, "_lines", "_block_spans", F.when(F.col("_block_spans").isNull(), F.transform("_lines", _line_kind)).alias("_kinds"))
+    spans = F.coalesce("_block_spans", _plain_spans(F.col("_kinds")).cast(SPANS))
+    parts = F.transform(spans, lambda s: F.struct(
+        s["kind"].alias("kind"),
+        rtrim_ws(F.array_join(F.slice(F.col("_lines"), s["start_line"], s["end_line"] - s["start_line"] + 1), "\n")).alias("text"),
+        s["start_line"].cast("bigint").alias("start_line"), s["end_line"].cast("bigint").alias("end_line")))
+    units = (df.select("doc_id", F.posexplode(parts).alias("_p", "_u"))
              .select("doc_id", (F.col("_p") + 1).cast("bigint").alias("unit_ord"), "_u.*"))
-    return with_headings(units.withColumn("unit_id", unit_id(F.col("unit_ord")))
-                         .withColumn("hash", sha256_hex(F.col("text"))))
+    return finished_units(units)
+
+
+def finished_units(units: DataFrame) -> DataFrame:
+    return with_headings(units.withColumn("unit_id", unit_id(F.col("unit_ord"))).withColumn("hash", sha256_hex(F.col("text"))))
+
+
+def _blocks_of_lines(key: str, work):
+    """Rows arrive sorted by (key, block, line): ``work(block's key, frame of its lines)`` for each block, one block at a time."""
+    def run(batches):
+        held = []
+        for pdf in batches:
+            edges = np.flatnonzero((pdf[key].to_numpy()[1:] != pdf[key].to_numpy()[:-1]) | (pdf["_blk"].to_numpy()[1:] != pdf["_blk"].to_numpy()[:-1])) + 1
+            for a, b in zip([0, *edges], [*edges, len(pdf)]):
+                part = pdf.iloc[a:b]
+                if held and len(part) and (held[0][key].iloc[0], held[0]["_blk"].iloc[0]) != (part[key].iloc[0], part["_blk"].iloc[0]):
+                    yield work(pd.concat(held))
+                    held = []
+                if len(part):
+                    held.append(part)
+        if held:
+            yield work(pd.concat(held))
+    return run
+
+
+def segment_lines(lines: DataFrame, block_lines: int = BLOCK_ROWS) -> DataFrame:
+    """The units of ``segment_units`` from ``lines(doc_id, line_no, text)``, for documents of any length.
+
+    Lines are cut into blocks of ``block_lines`` numbers. Every block says in one pass in which state it leaves the scanner
+    for each state it can be entered in; the answers of a document are chained, then the blocks are scanned in parallel.
+    Of a document only these answers meet in one task, and of its text only a unit.
+    """
+    rows = lines.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "text").withColumn("_blk", F.floor(F.col("line_no") / block_lines).cast("bigint"))
+    placed = lambda df: df.repartition("doc_id", "_blk").sortWithinPartitions("doc_id", "_blk", "line_no")
+    doc = dict(lines.dtypes)["doc_id"]
+
+    def leave(pdf):
+        found = _exits(pdf["text"].tolist())
+        return pd.DataFrame({"doc_id": [pdf["doc_id"].iloc[0]], "_blk": [pdf["_blk"].iloc[0]], "exits": [[{"state": s, "length": n, "after": a} for s, n, a in found]]})
+
+    exits = placed(rows).mapInPandas(_blocks_of_lines("doc_id", leave), f"doc_id {doc}, _blk bigint, exits array<struct<state: string, length: int, after: string>>")
+    fence = lambda state: F.substring(state, 1, 1).isin("`", "~")
+    fits = lambda state, x: F.when(fence(state), (x["state"] == F.substring(state, 1, 1)) & (x["length"] >= F.length(state))).otherwise(
+        x["state"] == F.when(state.isin("", "prose"), "").when(state == "table", state).otherwise(F.substring(state, 1, 1)))
+    step = lambda s, b: F.struct(F.array_append(s["entries"], F.struct(b["_blk"].alias("_blk"), s["state"].alias("entry"))).alias("entries"),
+                                 F.coalesce(F.try_element_at(F.filter(b["exits"], lambda x: fits(s["state"], x)), F.lit(1))["after"], s["state"]).alias("state"))
+    start = F.struct(F.array().cast("array<struct<_blk: bigint, entry: string>>").alias("entries"), F.lit("").alias("state"))
+    chained = exits.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("_blk", "exits"))).alias("blocks"))
+    entries = chained.select("doc_id", F.explode(F.aggregate("blocks", start, step, lambda s: s["entries"])).alias("x")).select("doc_id", "x.*")
+
+    def scan(pdf):
+        state, kinds, starts = pdf["entry"].iloc[0], [], []
+        for line in pdf["text"]:
+            kind, first, state = _scan(line, state)
+            kinds.append(kind)
+            starts.append(bool(kind and first))
+        return pdf[["doc_id", "line_no", "text"]].assign(kind=kinds, starts=starts)
+
+    scanned = (placed(rows.join(entries, ["doc_id", "_blk"])).mapInPandas(_blocks_of_lines("doc_id", scan), f"doc_id {doc}, line_no bigint, text string, kind string, starts boolean")
+               .filter("kind is not null"))
+    numbered = with_running(scanned, ["doc_id"], ["line_no"], {"unit_ord": ("sum", F.col("starts").cast("bigint"))}, block_rows=block_lines)
+    parts = F.sort_array(F.collect_list(F.struct("line_no", "text")))
+    units = numbered.groupBy("doc_id", "unit_ord").agg(F.min_by("kind", "line_no").alias("kind"), rtrim_ws(F.array_join(F.transform(parts, lambda x: x["text"]), "\n")).alias("text"),
+                                                       F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"))
+    return finished_units(units)
 
 
 def unit_id(position: Column) -> Column:
@@ -245,20 +360,25 @@ def chunk_id(position: Column) -> Column:
     return zero_pad("c", position, 4)
 
 
+def split_parts(rows: DataFrame, limit: int, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, unit_ord, part_ord): each key's units packed to ``limit``; a key that would stay one part is halved instead."""
+    keys = list(keys)
+    parts = pack_chunks(rows, limit, tuple(keys)).withColumnRenamed("chunk_ord", "part_ord")
+    totals = parts.groupBy(*keys).agg(F.max("part_ord").alias("_parts"), F.count(F.lit(1)).alias("_n"))
+    # A chunk holds a bounded number of units, so ranking inside it stays small.
+    ranked = with_running(parts.join(totals, keys), keys, ["unit_ord"], {"_rank": ("sum", F.lit(1))})
+    halves = F.when(F.col("_rank") <= F.ceil(F.col("_n") / 2), 1).otherwise(2)
+    return ranked.withColumn("part_ord", F.when((F.col("_parts") == 1) & (F.col("_n") > 1), halves).otherwise(F.col("part_ord")).cast("bigint")).drop("_parts", "_n", "_rank")
+
+
 def resplit_failed_chunks(unit_chunks: DataFrame, units: DataFrame, failed: DataFrame, size: int = 8_000,
                           depth: int = 0, flat: bool = True) -> DataFrame:
     """Failed chunks cut into smaller parts: (doc_id, chunk_id, part_id, part_ord, unit_ord)."""
     rows = (unit_chunks.join(failed.select("doc_id", "chunk_id").distinct(), ["doc_id", "chunk_id"], "left_semi")
             .select("doc_id", "chunk_id", "unit_ord").join(units.select("doc_id", "unit_ord", "text"), ["doc_id", "unit_ord"]))
-    limit = size if flat else max(2_000, size // 2 ** depth)
-    parts = pack_chunks(rows, limit, ("doc_id", "chunk_id")).withColumnRenamed("chunk_ord", "part_ord")
+    if flat:
+        parts = pack_chunks(rows, size, ("doc_id", "chunk_id")).withColumnRenamed("chunk_ord", "part_ord")
+    else:
+        parts = split_parts(rows, max(2_000, size // 2 ** depth), ("doc_id", "chunk_id"))
     label = "-flat-" if flat else f"-repair-{depth}-"
-    if not flat:
-        totals = parts.groupBy("doc_id", "chunk_id").agg(F.max("part_ord").alias("_parts"), F.count(F.lit(1)).alias("_n"))
-        # A chunk holds a bounded number of units, so ranking inside it stays small.
-        ranked = with_running(parts.join(totals, ["doc_id", "chunk_id"]), ["doc_id", "chunk_id"], ["unit_ord"],
-                              {"_rank": ("sum", F.lit(1))})
-        halves = F.when(F.col("_rank") <= F.ceil(F.col("_n") / 2), 1).otherwise(2)
-        parts = ranked.withColumn("part_ord", F.when((F.col("_parts") == 1) & (F.col("_n") > 1), halves)
-                                  .otherwise(F.col("part_ord")).cast("bigint")).drop("_parts", "_n", "_rank")
     return parts.withColumn("part_id", F.concat("chunk_id", zero_pad(label, F.col("part_ord"), 2)))

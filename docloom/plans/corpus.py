@@ -221,6 +221,13 @@ def segment_units(spark, sf):
     return segment.segment_units(markdown(spark, sf)).select("doc_id", "unit_ord", "kind", "text", "start_line", "end_line")
 
 
+@query("segment_lines", f"select doc_id, unit_ord, kind, text, start_line, end_line from ({SEGMENTED})")
+def segment_lines(spark, sf):
+    """Texts as tables of lines, scanned in blocks of seven."""
+    lines = markdown(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "text")).select("doc_id", (F.col("p") + 1).alias("line_no"), "text")
+    return segment.segment_lines(lines, block_lines=7).select("doc_id", "unit_ord", "kind", "text", "start_line", "end_line")
+
+
 @query("unit_ids", f"select doc_id, unit_ord, {pad('u', 'unit_ord', 6)} as unit_id from ({SEGMENTED})")
 def unit_ids(spark, sf):
     return segment.segment_units(markdown(spark, sf)).select("doc_id", "unit_ord", "unit_id")

@@ -235,7 +235,7 @@ def combine_extractions(spark, sf):
 
 @query("repair_fallback", """select doc_id, chunk_id, row_number() over (partition by doc_id, chunk_id order by unit_ord) - 1 as idx,
       case kind when 'heading' then 'topic' when 'table' then 'evidence' when 'code' then 'code' when 'equation' then 'equation' else 'source' end as kind, text, '' as need from fx_failed_units
-    union all select doc_id, chunk_id, count(*), 'gap', null, 'Semantic shard repair failed: failed ' || chunk_id from fx_failed_units group by doc_id, chunk_id""")
+    union all select doc_id, chunk_id, count(*), 'gap', null, 'No usable answer for this part: failed ' || chunk_id from fx_failed_units group by doc_id, chunk_id""")
 def repair_fallback(spark, sf):
     nodes, _ = ex.repair_fallback(chunk_units(spark, sf), chunk_failures(spark, sf))
     return nodes.select("doc_id", "chunk_id", "idx", "kind", "text", "need")

@@ -295,8 +295,7 @@ ORACLES["dependency_levels"] = "with recursive " + oracle("""with walks as (sele
 
 @query("prune_reachable")
 def prune_reachable(spark, sf):
-    seeds = fixture(spark, sf, "fx_nodes").filter("node_ord % 6 = 0 and kind <> 'gap'").select("doc_id", F.concat(F.lit("teach-"), "node_id").alias("record_id"))
-    kept, inner = od.prune_reachable(built(spark, sf)[0], fixture(spark, sf, "fx_deps"), seeds)
+    kept, inner = pruned(spark, sf, od.GROUP_LIMIT)
     return (kept.select("doc_id", F.lit("record").alias("part"), F.col("record_id").alias("a"), F.lit(None).cast("string").alias("b"))
             .unionByName(inner.select("doc_id", F.lit("dependency").alias("part"), F.col("src").alias("a"), F.col("dst").alias("b"))))
 
@@ -307,6 +306,33 @@ ORACLES["prune_reachable"] = "with recursive " + oracle("""with kept as (select
     union all select d.doc_id, 'dependency', src, dst from fx_deps d join kept a on a.doc_id = d.doc_id and a.record_id = d.src join kept b on b.doc_id = d.doc_id and b.record_id = d.dst""").lstrip()[5:]
 
 
+# The same, with groups so small a limit that every document takes the way of large ones.
+@query("levels_by_doubling")
+def levels_by_doubling(spark, sf):
+    return od.dependency_levels(built(spark, sf)[0], fixture(spark, sf, "fx_deps"), group_limit=4)
+
+
+ORACLES["levels_by_doubling"] = ORACLES["dependency_levels"]
+
+
+def pruned(spark, sf, limit):
+    seeds = fixture(spark, sf, "fx_nodes").filter("node_ord % 6 = 0 and kind <> 'gap'").select("doc_id", F.concat(F.lit("teach-"), "node_id").alias("record_id"))
+    return od.prune_reachable(built(spark, sf)[0], fixture(spark, sf, "fx_deps"), seeds, limit)
+
+
+@query("prune_summary")
+def prune_summary(spark, sf):
+    records, units = built(spark, sf)
+    return od.prune_summary(records, pruned(spark, sf, 4)[0], units)
+
+
+ORACLES["prune_summary"] = "with recursive " + oracle("""with kept as (select doc_id, 'teach-' || node_id as record_id from fx_nodes where node_ord % 6 = 0 and kind <> 'gap'
+    union select d.doc_id, d.src from kept k join fx_deps d on d.doc_id = k.doc_id and d.dst = k.record_id)
+    select doc_id, count(*) as before, count(k.record_id) as records, count(k.record_id) as source_records, cast(0 as bigint) as generated_prerequisites, count(k.record_id) filter (where dense) as pending,
+      cast(0 as bigint) as unresolved_prerequisites, count(k.record_id) filter (where not dense) as units, count(*) - count(k.record_id) as pruned
+    from fx_teach t left join kept k using (doc_id, record_id) group by doc_id""").lstrip()[5:]
+
+
 @query("topological_order")
 def topological_order(spark, sf):
     return od.topological_order(built(spark, sf)[0], fixture(spark, sf, "fx_deps"))

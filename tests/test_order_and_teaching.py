@@ -58,6 +58,65 @@ def test_levels(spark):
     assert {r.record_id: r.level for r in od.dependency_levels(records, deps).collect()} == {"a": 0, "b": 1, "c": 2, "x": None, "y": None, "z": None}
 
 
+def brute_levels(nodes, edges):
+    """Longest path into each node; None where a walk of as many steps as there are nodes ends."""
+    best = dict.fromkeys(nodes, 0)
+    for _ in range(2 * len(nodes) + 2):
+        best = {v: max([best[v]] + [best[a] + 1 for a, b in edges if b == v]) for v in nodes}
+    return {v: n if n < len(nodes) else None for v, n in best.items()}
+
+
+def graph_rows(seed):
+    rng = random.Random(seed)
+    shapes = {1: [(i, i + 1) for i in range(40)], 2: [(i, i + d) for i in range(30) for d in (1, 2)], 3: [(rng.randrange(25), rng.randrange(25)) for _ in range(30)],
+              4: [(0, i) for i in range(1, 30)] + [(i, 30) for i in range(1, 30)] + [(30, 31), (31, 32)], 5: [(i, (i + 1) % 7) for i in range(7)] + [(3, 8), (8, 9), (10, 0), (11, 12)], 6: [(1, 1)]}
+    nodes = {doc: sorted({v for e in edges for v in e}) for doc, edges in shapes.items()}
+    return shapes, nodes
+
+
+@pytest.mark.parametrize("limit,growth", [(1000, 4), (1, 4), (1, 0)])
+def test_levels_and_reachability_of_small_and_large_groups(spark, limit, growth, monkeypatch):
+    """Solved in a task, by doubling, and with the square refused at once."""
+    monkeypatch.setattr(od, "GROWTH", growth)
+    shapes, nodes = graph_rows(7)
+    records = spark.createDataFrame([(d, f"r{v:02}") for d, vs in nodes.items() for v in vs] + [(7, "alone")], "doc_id bigint, record_id string")
+    deps = spark.createDataFrame([(d, f"r{a:02}", f"r{b:02}") for d, es in shapes.items() for a, b in es] + [(1, "gone", "r00")], "doc_id bigint, src string, dst string")
+    got = {(r.doc_id, r.record_id): r.level for r in od.dependency_levels(records, deps, group_limit=limit).collect()}
+    want = {(d, f"r{v:02}"): n for d in nodes for v, n in brute_levels(nodes[d], [e for e in shapes[d] if e[0] != e[1]]).items()}
+    assert got == {**want, (7, "alone"): 0}
+    seeds = [(1, 20), (2, 11), (3, 4), (4, 5), (5, 9), (5, 12)]
+    kept, inner = od.prune_reachable(records, deps, spark.createDataFrame([(d, f"r{v:02}") for d, v in seeds] + [(7, "alone"), (7, "none")], "doc_id bigint, record_id string"), limit)
+    reach = {(d, v) for d, v in seeds if v in nodes[d]}
+    while more := {(d, a) for d, es in shapes.items() for a, b in es if (d, b) in reach} - reach:
+        reach |= more
+    assert {(r.doc_id, r.record_id) for r in kept.collect()} == {(d, f"r{v:02}") for d, v in reach} | {(7, "alone")}
+    assert inner.count() == sum((d, a) in reach and (d, b) in reach for d, es in shapes.items() for a, b in es)
+
+
+def test_long_chain_takes_few_rounds(spark, monkeypatch):
+    """Ten thousand records in a row, none of them solved in one task."""
+    n, rounds, carried = 10_000, [], od._carried
+    monkeypatch.setattr(od, "_carried", lambda *a: rounds.append(1) or carried(*a))
+    records = spark.range(n).select(F.lit(1).cast("bigint").alias("doc_id"), F.format_string("r%05d", "id").alias("record_id"), F.col("id").alias("record_ord"))
+    deps = spark.range(n - 1).select(F.lit(1).cast("bigint").alias("doc_id"), F.format_string("r%05d", F.col("id") + 1).alias("src"), F.format_string("r%05d", "id").alias("dst"))
+    levels = od.dependency_levels(records, deps, group_limit=100)
+    assert levels.selectExpr("count(*)", "max(level)", "count_if(level = 9999 - cast(substr(record_id, 2) as int))").first()[0:3] == (n, n - 1, n)
+    assert len(rounds) <= 16
+    rounds.clear()
+    kept, _ = od.prune_reachable(records, deps, spark.createDataFrame([(1, "r00000")], "doc_id bigint, record_id string"), 100)
+    assert kept.count() == n and len(rounds) <= 16
+
+
+def test_prune_summary_counts_what_went(spark):
+    records = spark.createDataFrame([(1, "a", "n1", False, "source_ready"), (1, "b", "n2", False, "expansion_required"), (1, "c", None, True, "unresolved_prerequisite"), (2, "a", "n1", None, "source_ready")],
+                                    "doc_id bigint, record_id string, source_node_id string, generated boolean, status string")
+    units = spark.createDataFrame([(1, "a"), (1, "a"), (1, "c"), (2, "a")], "doc_id bigint, record_id string")
+    out = od.prune_summary(records, records.filter("doc_id = 1 and record_id <> 'b'"), units).orderBy("doc_id").collect()
+    assert [r.asDict() for r in out] == [
+        dict(doc_id=1, before=3, records=2, source_records=1, generated_prerequisites=1, pending=0, unresolved_prerequisites=1, units=3, pruned=1),
+        dict(doc_id=2, before=1, records=0, source_records=0, generated_prerequisites=0, pending=0, unresolved_prerequisites=0, units=0, pruned=1)]
+
+
 def test_positions_and_running_values_do_not_depend_on_blocks(spark):
     df = spark.createDataFrame([(d, o * 3, float(o % 5)) for d in range(2) for o in range(50)], "k bigint, o bigint, v double")
     placed = with_position(df, ["k"], ["o"], "p", block_rows=4).collect()

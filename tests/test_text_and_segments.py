@@ -42,6 +42,49 @@ def test_plain_and_block_paths_agree(spark):
     assert sorted(map(tuple, plain)) == sorted(expected)
 
 
+BLOCK_LINES = ["", "text", "| a", "| <details >x", "```", "````", "`````js", "~~~", "~~~~ ", "\\[", "x \\]", "\\[ a \\]", "$$", "$$ a $$", "a $$", "<details open", "</details>", "<DETAILS> </details>", "# head", "   ## h #", "    # far", "``` ", "   ", " | b", "plain # text"]
+
+
+@pytest.mark.parametrize("block_lines", [3, 1, 1000])
+def test_lines_in_blocks_give_the_units_of_whole_texts(spark, block_lines):
+    draw = random.Random(block_lines)
+    texts = ["\n".join(draw.choice(BLOCK_LINES) for _ in range(draw.randint(1, 40))) for _ in range(60)] + ["", "```", "a\n```\n" + "x\n" * 30 + "````\nb"]
+    whole = docs(spark, *texts)
+    lines = whole.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "text")).select("doc_id", (F.col("p") + 1).alias("line_no"), "text").repartition(5)
+    columns = ["doc_id", "unit_ord", "unit_id", "kind", "text", "hash", "start_line", "end_line", "level", "title"]
+    want, got = (sorted((tuple(r) for r in df.select(*columns).collect()), key=repr) for df in (segment.segment_units(whole), segment.segment_lines(lines, block_lines)))
+    assert got == want and len(got) > 200
+    assert segment.segment_lines(lines.limit(0)).count() == 0
+
+
+def test_scanner_answers_hold_for_every_entry_state():
+    """What a block says about its exits is what a scan from that state gives."""
+    def looked_up(rows, state):
+        fence = state[:1] in ("`", "~")
+        key = state[0] if fence else {"": "", "prose": "", "table": "table"}.get(state, state[:1])
+        return next((after for mark, length, after in rows if mark == key and (not fence or length >= len(state))), state)
+
+    draw = random.Random(5)
+    for _ in range(2000):
+        lines = [draw.choice(BLOCK_LINES) for _ in range(draw.randint(1, 9))]
+        rows = segment._exits(lines)
+        for entry in ("", "prose", "table", "```", "````", "``````", "~~~", "~~~~~", "\\[", "$$", "<details"):
+            state = entry
+            for line in lines:
+                state = segment._scan(line, state)[2]
+            assert looked_up(rows, entry) == state
+
+
+def test_rows_of_a_table_open_no_block(spark):
+    rows = segment.segment_units(docs(spark, "| a |\n| <details > |\n| b |\n\ntext")).orderBy("unit_ord").collect()
+    assert [(r.kind, r.start_line, r.end_line) for r in rows] == [("table", 1, 3), ("prose", 5, 5)]
+
+
+def test_segmentation_has_one_python_node(spark):
+    plan = segment.segment_units(docs(spark, "a"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+
+
 def test_heading_context_follows_a_stack(spark):
     text = "intro\n\n## B\n\np\n\n# A\n\n### C\n\nq\n\n## D\n\nr"
     units = segment.segment_units(docs(spark, text))
