@@ -11,14 +11,22 @@ passage that a third of all documents share is not listed unless it is most of t
 again by their full sets, of which linked pairs share three quarters for certain: what stays has hardly a quarter of
 shingles of its own.
 
-*Leaders.* Lists may be long, so no list yields all its pairs. First every class is compared with the leaders of its
-lists, one per list and size band (two seeds). Components of the links found are labelled, and classes outside a
-leader's component meet further leaders, for ``ROUNDS`` rounds or until none links. Then lists whose members still lie in
-several components are finished in blocks: each pair of blocks is compared by sketches in one task, and pairs of
-different components that may be linked go on. Every pair of a list is thus compared, or already connected.
+*Roles.* Two linked sets share three sevenths of their sizes' sum, so the smaller set shares six sevenths of itself and the
+larger three quarters. The first value they share, rare ones first, hence stands among the smaller set's first
+``shared - ceil(6/7 n) + 1`` values and among the larger one's first ``shared - ceil(3/4 n) + 1``, where ``shared`` counts the
+values that some other class has too. A list holds the classes of both roles, and only those that have it in the first,
+short part are compared with the others.
 
-*Estimates and exact check.* Pairs whose union sketch shares fewer than ``least`` values are out; the full sets of the
-others are compared, and 100 * intersection >= 75 * union links them.
+*Leaders.* First every class is compared with the leaders of its lists, one per list and size band (two seeds), and the
+components of the links found are labelled. Most lists then lie in one component and are done.
+
+*Open lists.* Pairs of a list of up to ``SMALL`` classes in different components go on if their sizes and the places of the
+value leave room for enough shared values. A longer list is compared inside tasks, block by block, with the full sets: a
+task returns a spanning forest of the links it finds between components, never pairs that aren't linked, so a group of
+thousands of near misses costs products of bit rows and no rows. Every pair of a list is compared, or already connected.
+
+*Estimates and exact check.* Pairs (of leaders and of short lists) whose union sketch shares fewer than ``least`` values are
+out; the full sets of the others are compared, and 100 * intersection >= 75 * union links them.
 
 Defined cases: null, empty or blank texts have no shingles and are linked with nothing; a text of fewer words is one
 shingle. Repeated rows are one class. A null doc_id belongs to its class but never names it. An empty table gives no
@@ -43,10 +51,8 @@ from docloom.llm.components import components
 WORDS, K, LEAST = 5, 96, 50
 #: Link threshold in percent.
 PERCENT = 75
-#: Seeds for list leaders; members of a block, and of a group that needs none; pairs of a class that one task checks.
-SEEDS, BLOCK, SMALL, GROUP = 2, 512, 32, 128
-#: Rounds of further leaders.
-ROUNDS = 3
+#: Seeds for list leaders; classes of a list that is joined with itself; classes and bytes of a block; pairs of a class that one task checks.
+SEEDS, SMALL, BLOCK, BLOCK_BYTES, GROUP = 2, 32, 2048, 16 << 20, 128
 #: Words whose hashes one Python worker keeps.
 KEPT_WORDS = 500_000
 SKETCHES = "doc_id long, text_hash long, n_shingles long, digest binary, sketch array<long>"
@@ -114,19 +120,25 @@ def inverted_lists(classes: DataFrame, k: int = K, least: int = LEAST) -> DataFr
     return per_class.filter(take > 0).select("digest", "n_shingles", F.explode(F.slice("values", F.lit(1), take)).alias("v")).select("v.value", "digest", "n_shingles")
 
 
-def leader_pairs(lists: DataFrame, seeds: tuple[int, ...] = tuple(range(SEEDS)), labels: DataFrame | None = None) -> DataFrame:
-    """Distinct (a, b): the leader of a list's size band, and each class of the list in that band or the one above.
+def role_lists(sets: DataFrame) -> DataFrame:
+    """value, digest, n_shingles, shared, place (from 0) and first: full sets under the values that a linked class may share first."""
+    postings = sets.select("digest", F.size("shingles").cast("long").alias("n_shingles"), F.explode("shingles").alias("value"))
+    often = postings.groupBy("value").agg(F.count("*").alias("classes")).filter("classes > 1")
+    rare_first = postings.join(often, "value").groupBy("digest", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("classes", "value"))).alias("values"))
+    roles = rare_first.withColumn("shared", F.size("values")).withColumns({
+        "small": F.expr("shared - cast((6 * n_shingles + 6) div 7 as int) + 1"), "large": F.expr(f"shared - cast(({PERCENT} * n_shingles + 99) div 100 as int) + 1")})
+    rows = roles.filter("large > 0").select("digest", "n_shingles", "shared", "small", F.posexplode(F.slice("values", F.lit(1), F.col("large"))).alias("place", "v"))
+    rows = rows.select("v.value", "digest", "n_shingles", "shared", "place", (F.col("place") < F.col("small")).alias("first"))
+    useful = rows.groupBy("value").agg(F.count("*").alias("n"), F.max("first").alias("any_first")).filter("n > 1 and any_first").select("value")
+    return rows.join(useful, "value", "left_semi")
 
-    With ``labels`` only pairs of different components.
-    """
-    seeded = lists.withColumn("band", band(F.col("n_shingles"))).withColumn("seed", F.explode(F.array(*[F.lit(x) for x in seeds])))
+
+def leader_pairs(lists: DataFrame, seeds: tuple[int, ...] = tuple(range(SEEDS))) -> DataFrame:
+    """Distinct (a, b): the leader of a list's size band, and each class of the list in that band or the one above."""
+    seeded = lists.select("value", "digest", band(F.col("n_shingles")).alias("band"), F.explode(F.array(*[F.lit(x) for x in seeds])).alias("seed"))
     leaders = seeded.groupBy("value", "band", "seed").agg(F.min_by("digest", F.xxhash64("digest", "seed")).alias("a"))
     near = seeded.select("value", "seed", F.col("digest").alias("b"), F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"))
-    pairs = near.join(leaders, ["value", "band", "seed"]).filter("a <> b").select("a", "b").distinct()
-    if labels is None:
-        return pairs
-    of = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
-    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").filter("coalesce(c_a, a) <> coalesce(c_b, b)").select("a", "b")
+    return near.join(leaders, ["value", "band", "seed"]).filter("a <> b").select("a", "b").distinct()
 
 
 def union_shares(a: pa.ListArray, b: pa.ListArray, k: int = K) -> np.ndarray:
@@ -207,56 +219,87 @@ def exact_links(pairs: DataFrame, sets: DataFrame, group: int = GROUP) -> DataFr
     return wanted.join(sets.hint("merge"), "digest").select("a", "part", "digest", "shingles").groupBy("a", "part").applyInArrow(run, "a binary, b binary")
 
 
-def unfinished_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, k: int = K, least: int = LEAST, block: int = BLOCK, small: int = SMALL) -> DataFrame:
-    """Pairs (a, b) of lists whose members lie in several components: those of different components that share enough.
-
-    A list's size band with the band above is a group. Small groups are joined with themselves, of others the members are
-    compared block by block.
-    """
-    members = lists.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    members = members.withColumn("band", band(F.col("n_shingles"))).select(
-        "value", "digest", "n_shingles", "component", F.explode(F.array(F.struct(F.col("band"), F.lit(True).alias("own")), F.struct((F.col("band") - 1).alias("band"), F.lit(False).alias("own")))).alias("g"))
-    members = written(members.select("value", "g.band", "g.own", "digest", "component", "n_shingles"), "members")
-    groups = members.groupBy("value", "band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("own").alias("some"), F.count("*").alias("size"))
-    groups = written(groups.filter("low <> high and some").select("value", "band", "size", F.ceil(F.col("size") / F.lit(block)).cast("int").alias("blocks")), "open-groups")
-    few = members.join(groups.filter(F.col("size") <= small).select("value", "band"), ["value", "band"], "left_semi")
-    left, right = (few.select("value", "band", F.col("digest").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("own", "component", "n_shingles")]) for x in "ab")
-    of_few = left.join(right, ["value", "band"]).filter(
-        "a < b and component_a <> component_b and (own_a or own_b) and 100 * least(n_shingles_a, n_shingles_b) >= 75 * greatest(n_shingles_a, n_shingles_b)").select("a", "b")
-    placed = members.drop("n_shingles").join(groups.filter(F.col("size") > small).drop("size"), ["value", "band"]).withColumn("i", F.pmod(F.xxhash64("digest", "value"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "value", "band", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), F.col("i").alias("mine"), "own", "digest", "component")
-    placed = placed.join(classes.select("digest", "n_shingles", "sketch"), "digest")
+def open_lists(lists: DataFrame, labels: DataFrame, small: int = SMALL, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of lists that lie in several components, with their component and the list's number of blocks (0: a short list)."""
+    rows = lists.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    totals = rows.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.sum(8 * F.col("n_shingles")).alias("bytes"), F.max("first").alias("any_first"))
+    blocks = F.when(F.col("n") <= small, 0).otherwise(F.greatest(F.ceil(F.col("n") / F.lit(block)), F.ceil(F.col("bytes") / F.lit(block_bytes)))).cast("int")
+    return rows.join(totals.filter("low <> high and any_first").select("value", blocks.alias("blocks")), "value")
+
+
+def short_pairs(rows: DataFrame) -> DataFrame:
+    """Distinct (a, b) of short lists: other components, sizes and places that leave room for a link, the smaller with the value first."""
+    few = rows.filter("blocks = 0")
+    left, right = (few.select("value", F.col("digest").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("component", "n_shingles", "shared", "place", "first")]) for x in "ab")
+    smaller = "(n_shingles_a < n_shingles_b or n_shingles_a = n_shingles_b and a < b)"
+    room = "7 * least(shared_a - place_a, shared_b - place_b) >= 3 * (n_shingles_a + n_shingles_b)"
+    met = left.filter("first_a").join(right, "value").filter(f"component_a <> component_b and {smaller} and 100 * n_shingles_a >= {PERCENT} * n_shingles_b and {room}")
+    return met.select("a", "b").distinct()
+
+
+def _forest(left: np.ndarray, right: np.ndarray, label: np.ndarray) -> list[int]:
+    """Which of the links (pairs of rows) join labels that those before don't."""
+    parent = list(range(int(label.max()) + 1))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for k, (x, y) in enumerate(zip(label[left].tolist(), label[right].tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            out.append(k)
+    return out
+
+
+def linked_rows(sets: list[np.ndarray], n: np.ndarray, first: np.ndarray, label: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of different labels whose sets of n values are linked, one of them with ``first``; exact, by products of bit rows."""
+    size = np.array([len(s) for s in sets])
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, use = np.repeat(np.arange(len(sets)), size), times[code] > 1
+    slot = (np.cumsum(times > 1) - 1)[code[use]]
+    order = np.argsort(slot, kind="stable")
+    row, slot = row[use][order], slot[order]
+    probes = np.flatnonzero(first)
+    if not len(probes):
+        return probes, probes
+    common = np.zeros((len(probes), len(sets)), np.float32)
+    for start in range(0, int((times > 1).sum()), 1024):
+        a, b = np.searchsorted(slot, (start, start + 1024))
+        bits = np.zeros((len(sets), 1024), np.float32)
+        bits[row[a:b], slot[a:b] - start] = 1
+        common += bits[probes] @ bits.T
+    pairs = []
+    for start in range(0, len(probes), 256):
+        own = probes[start:start + 256]
+        part = common[start:start + 256]
+        left, right = np.nonzero((100 * part >= percent * (n[own][:, None] + n - part)) & (label[own][:, None] != label))
+        pairs.append((own[left], right))
+    return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+
+
+def long_list_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): a spanning forest of the links between components that each block of a long list holds."""
+    many = rows.filter("blocks > 0").withColumn("i", F.pmod(F.xxhash64("digest", "value"), F.col("blocks")).cast("int"))
+    placed = many.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "value", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), F.col("i").alias("mine"), "first", "n_shingles", "digest", "component")
 
     def run(key, table):
-        digest, component = np.array(table.column("digest").to_pylist(), object), table.column("component").to_pylist()
-        n, own, mine = (np.array(table.column(c).to_pylist()) for c in ("n_shingles", "own", "mine"))
-        label = np.unique(np.array([c.hex() for c in component]), return_inverse=True)[1]
-        sketch = table.column("sketch").to_pylist()
-        size = np.array([len(s) for s in sketch])
-        values, code, times = np.unique(np.fromiter((v for s in sketch for v in s), np.int64, int(size.sum())), return_inverse=True, return_counts=True)
-        row = np.repeat(np.arange(len(sketch)), size)
-        often = times > 1
-        slot = np.cumsum(often) - 1
-        use = often[code]
-        row, column = row[use], slot[code[use]]
-        shared = np.zeros((len(sketch), len(sketch)), np.float32)
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        for first in range(0, int(often.sum()), 2048):
-            a, b = np.searchsorted(column, (first, first + 2048))
-            part = np.zeros((len(sketch), 2048), np.float32)
-            part[row[a:b], column[a:b] - first] = 1
-            shared += part @ part.T
-        need = np.where(4 * n <= 3 * k, -(-n * PERCENT // 100), least)
-        good = (shared >= np.maximum(need[:, None], need)) & (label[:, None] != label) & (100 * np.minimum(n[:, None], n) >= PERCENT * np.maximum(n[:, None], n)) & (own[:, None] | own)
-        if key[2].as_py() != key[3].as_py():
-            good &= mine[:, None] != mine
-        left, right = np.nonzero(np.triu(good, 1))
-        pairs = sorted({(min(x, y), max(x, y)) for x, y in zip(digest[left], digest[right])})
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
-
-    return placed.groupBy("value", "band", "i", "j").applyInArrow(run, "a binary, b binary").unionByName(of_few).distinct()
+        digest, n, first = table.column("digest").to_pylist(), np.array(table.column("n_shingles").to_pylist()), np.array(table.column("first").to_pylist())
+        mine = np.array(table.column("mine").to_pylist())
+        label = np.unique([c.hex() for c in table.column("component").to_pylist()], return_inverse=True)[1]
+        left, right = linked_rows([x.values.to_numpy() for x in table.column("shingles")], n, first, label)
+        if key[1].as_py() != key[2].as_py():  # pairs inside a block are another task's
+            apart = mine[left] != mine[right]
+            left, right = left[apart], right[apart]
+        keep = _forest(left, right, label) if len(left) else []
+        return pa.table({"a": pa.array([digest[left[k]] for k in keep], pa.binary()), "b": pa.array([digest[right[k]] for k in keep], pa.binary())})
+
+    return placed.join(sets.hint("merge"), "digest").groupBy("value", "i", "j").applyInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, k: int = K, least: int = LEAST, column: str = "text") -> DataFrame:
@@ -264,21 +307,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, k: int = K, least: int
     rows = written(sketches(docs, words, k, column), "sketches")
     classes = written(rows.filter("n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.coalesce(F.max("doc_id"), F.max("text_hash")).alias("member"), F.first("sketch").alias("sketch")), "classes")
     lists = written(inverted_lists(classes, k, least), "sketch-lists")
-    sets = written(class_sets(docs, classes, lists, words, column), "sets")
-    # The listed classes once more, by their full sets: only those stay that have too few values of their own to be unlike all others.
-    full = sets.dropDuplicates(["digest"]).select("digest", F.size("shingles").cast("long").alias("n_shingles"), F.col("shingles").alias("sketch"))
-    lists = written(inverted_lists(full, k=1 << 40), "full-lists")
+    sets = written(class_sets(docs, classes, lists, words, column).dropDuplicates(["digest"]), "sets")
+    lists = written(role_lists(sets), "full-lists")
     links = written(exact_links(estimated(leader_pairs(lists), classes, k, least), sets), "links")
     labels = components(links)
-    for turn in range(ROUNDS):
-        more = written(exact_links(estimated(leader_pairs(lists, (SEEDS + turn,), labels), classes, k, least), sets), "more-links")
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        labels = components(links)
-    rest = written(unfinished_pairs(lists, labels, classes, k, least), "unfinished")
+    rest = written(open_lists(lists, labels), "open-lists")
     if not rest.isEmpty():
-        more = written(exact_links(estimated(rest, classes, k, least), sets), "last-links")
+        more = written(exact_links(estimated(short_pairs(rest), classes, k, least), sets).unionByName(long_list_links(rest, sets)), "last-links")
         if not more.isEmpty():
             labels = components(links.unionByName(more))
     labelled = classes.select("digest", "class_id").join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))

@@ -125,22 +125,37 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = 13, lists: i
     return exact_hits(docs, items, intersect(index, picks, lists), window, column)
 
 
-def proximity_matches(docs: DataFrame, items: DataFrame, span: int = 20, lists: int = LISTS, column: str = "text") -> DataFrame:
-    """doc_id, item_id, pos: places where the ``lists`` rarest terms of an item stand at most ``span`` words from the rarest, in any order."""
+def nearby_terms(items: DataFrame, counts: DataFrame, window: int, lists: int = LISTS) -> DataFrame:
+    """Distinct picks of the windows: item and an array of (occurrences, term) of the rarest different terms that the corpus has.
+
+    Terms that the corpus lacks are passed over; a window needs ``lists`` others, or all its words if it has fewer.
+    """
+    last = F.greatest(F.size("words") - window, F.lit(0))
+    own = F.array_distinct(F.slice("words", F.col("first") + 1, window))
+    places = items.select("item", "words", F.explode(F.sequence(F.lit(0), last)).alias("first")).select("item", "first", F.size(own).alias("different"), F.explode(own).alias("term"))
+    found = places.join(counts, "term").groupBy("item", "first", "different").agg(F.slice(F.sort_array(F.collect_list(F.struct("occurrences", "term"))), 1, lists).alias("picks"))
+    return found.filter(F.size("picks") >= F.least(F.col("different"), F.lit(lists))).select("item", "picks").distinct()
+
+
+def proximity_matches(docs: DataFrame, items: DataFrame, window: int = 13, span: int = 20, lists: int = LISTS, column: str = "text") -> DataFrame:
+    """doc_id, text_hash, item_id, pos: places of an item window's rarest term with the window's next rarest at most ``span`` words away.
+
+    Order and other words don't matter, so rewordings are found that phrases miss. As ``span`` is at least ``window``, every
+    exact copy of a window is found too, wherever its rare words stand and whatever words the corpus lacks elsewhere.
+    """
+    if span < window - 1:
+        raise ValueError("span must cover a window")
     items = written(item_words(items, column), "items")
     terms = written(items.select(F.explode("words").alias("term")).distinct(), "terms")
-    counts = term_counts(docs, terms, column)
-    seen = (items.select("item", "item_id", F.explode(F.array_distinct("words")).alias("term")).join(counts, "term", "left")
-            .groupBy("item", "item_id").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("occurrences", F.lit(0)).alias("occurrences"), "term"))).alias("picks")))
-    picks = written(seen.select("item", "item_id", F.slice("picks", 1, lists).alias("picks")), "picks")
+    picks = written(nearby_terms(items, term_counts(docs, terms, column), window, lists), "picks")
     index = build_index(docs, written(picks.select(F.explode("picks.term").alias("term")).distinct(), "picked"), column)
     found = picks.withColumn("term", F.get("picks", F.lit(0))["term"]).join(index, "term").drop("term")
+    near = index.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("term").alias("_t"), F.col("pos").alias("_p"))
     for n in range(1, lists):
-        near = index.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("term").alias("_t"), F.col("pos").alias("_p"))
-        term = F.get("picks", F.lit(n))["term"]
-        meets = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")) & (F.coalesce(term, F.get("picks", F.lit(0))["term"]) == F.col("_t")) & (F.abs(F.col("pos") - F.col("_p")) <= span)
+        term = F.coalesce(F.get("picks", F.lit(n))["term"], F.get("picks", F.lit(0))["term"])  # a short window asks for itself again
+        meets = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")) & (term == F.col("_t")) & (F.abs(F.col("pos") - F.col("_p")) <= span)
         found = found.join(near, meets, "left_semi")
-    return found.select("doc_id", "text_hash", "item_id", "pos").distinct()
+    return found.join(items.select("item", "item_id"), "item").select("doc_id", "text_hash", "item_id", "pos").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 13, column: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ from collections import defaultdict
 from zlib import crc32
 
 import numpy as np
+import pytest
 
 from docloom.llm import bottom_k, contamination, toxicity
 
@@ -148,10 +149,35 @@ def test_contamination_of_empty_tables(spark):
 
 
 def test_proximity(spark):
-    items = spark.createDataFrame([(1, "alpha beta gamma"), (2, "delta")], "item_id long, text string")
-    docs = frame(spark, [(1, "gamma x beta y alpha"), (2, "alpha " + "z " * 50 + "beta gamma"), (3, "Delta"), (4, None)])
-    got = {(r.doc_id, r.item_id) for r in contamination.proximity_matches(docs, items, span=5).collect()}
-    assert got == {(1, "1"), (3, "2")}
+    filler = " ".join(f"fill{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "gamma x beta y alpha"), (3, f"alpha {filler} beta gamma"), (4, "alpha beta"), (5, f"{filler} alpha beta gamma"), (None, "Alpha, GAMMA; beta"), (7, None)],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([("absent", "alpha beta gamma nowhere"), ("pair", "beta alpha"), ("lone", "gamma"), ("missing", "nowhere never"), (None, "alpha beta gamma"), ("empty", "")], "item_id string, text string")
+    got = {(r.doc_id, r.item_id) for r in contamination.proximity_matches(docs, items, span=13).collect()}
+    three, two = {1, 2, 5, None}, {1, 2, 4, 5, None}
+    assert got == {(d, i) for d in three for i in ("absent", None)} | {(d, "pair") for d in two} | {(d, "lone") for d in three | {3}}
+    with pytest.raises(ValueError):
+        contamination.proximity_matches(docs, items, span=5)
+
+
+def test_proximity_finds_every_copied_window(spark):
+    """Copies of long items, whose rarest words stand far apart, and reworded ones."""
+    draw = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    items = [(k, [draw.choice(words[:30]) for _ in range(50)]) for k in range(6)]
+    for k, own in items:  # three rare words, over 20 apart
+        own[2], own[25], own[48] = f"rare{k}a", f"rare{k}b", f"rare{k}c"
+    docs = [(100 + k, " ".join(draw.choice(words) for _ in range(30)) + " " + " ".join(own) + " end") for k, own in items]
+    docs += [(200 + k, " ".join(own[10:23])) for k, own in items] + [(300 + k, " ".join(reversed(own[20:33]))) for k, own in items]
+    docs += [(400 + k, " ".join(draw.choice(words[30:]) for _ in range(60))) for k in range(6)]
+    frame_of = lambda rows, names: spark.createDataFrame(rows, names)
+    table = frame_of(docs, "doc_id long, text string")
+    given = frame_of([(str(k), " ".join(own)) for k, own in items], "item_id string, text string")
+    near = {(r.doc_id, r.item_id) for r in contamination.proximity_matches(table, given).collect()}
+    exact = {(r.doc_id, r.item_id) for r in contamination.phrase_matches(table, given).collect()}
+    assert exact <= near and {(100 + k, str(k)) for k in range(6)} | {(200 + k, str(k)) for k in range(6)} <= exact
+    assert {(300 + k, str(k)) for k in range(6)} <= near - exact
+    assert not [d for d, _ in near if d >= 400]
 
 
 # Near duplicates
@@ -225,23 +251,60 @@ def test_union_shares_against_sets():
     assert bottom_k.union_shares(pa.array(left, pa.list_(pa.int64())), pa.array(right, pa.list_(pa.int64())), 8).tolist() == want
 
 
-def test_blocks_find_what_leaders_miss(spark):
-    """Links found by leaders and blocks are together all links between components."""
-    draw = random.Random(9)
-    rows = near_rows(draw)[60:230]
+def links_of(spark, rows, **sizes):
+    """All links that open lists yield when nothing is connected yet, and all there are, as pairs of doc_ids."""
     docs = frame(spark, rows)
     found = bottom_k.written(bottom_k.sketches(docs), "t-sketches")
     classes = bottom_k.written(found.filter("n_shingles > 0").groupBy("digest", "n_shingles").agg(bottom_k.F.min("doc_id").alias("class_id"), bottom_k.F.max("doc_id").alias("member"), bottom_k.F.first("sketch").alias("sketch")), "t-classes")
-    lists = bottom_k.inverted_lists(classes)
+    sets = bottom_k.written(bottom_k.class_sets(docs, classes, bottom_k.inverted_lists(classes)).dropDuplicates(["digest"]), "t-sets")
     alone = spark.createDataFrame([], "node binary, component binary")
-    pairs = bottom_k.unfinished_pairs(lists, alone, classes, block=16, small=3)
+    rest = bottom_k.written(bottom_k.open_lists(bottom_k.role_lists(sets), alone, **sizes), "t-rest")
     ids = {r.digest: r.class_id for r in classes.collect()}
-    got = {frozenset((ids[r.a], ids[r.b])) for r in bottom_k.exact_links(bottom_k.estimated(pairs, classes), bottom_k.class_sets(docs, classes, lists), group=4).collect()}
+    long = bottom_k.long_list_links(rest, sets).collect()
+    short = bottom_k.exact_links(bottom_k.estimated(bottom_k.short_pairs(rest), classes), sets, group=4).collect()
     text, want = dict(rows), set()
-    members = sorted(ids.values())
-    for i, a in enumerate(members):
-        for b in members[:i]:
+    for a in ids.values():
+        for b in ids.values():
             x, y = shingles(text[a]), shingles(text[b])
-            if 100 * len(x & y) >= 75 * len(x | y):
+            if a < b and 100 * len(x & y) >= 75 * len(x | y):
                 want.add(frozenset((a, b)))
-    assert got == want
+    as_pairs = lambda found: [frozenset((ids[r.a], ids[r.b])) for r in found]
+    return as_pairs(long), as_pairs(short), want
+
+
+def joined(pairs):
+    """The groups that pairs connect."""
+    groups = {}
+    for a, b in map(tuple, pairs):
+        both = groups.get(a, {a}) | groups.get(b, {b})
+        groups.update((x, both) for x in both)
+    return {frozenset(g) for g in groups.values()}
+
+
+def test_short_lists_find_every_link(spark):
+    long, short, want = links_of(spark, near_rows(random.Random(9))[60:230], small=10 ** 6)
+    assert not long and set(short) == want and len(short) == len(want)
+
+
+@pytest.mark.parametrize("sizes", [dict(small=3, block=16), dict(small=0), dict(small=3, block_bytes=3000)])
+def test_long_lists_connect_what_is_linked(spark, sizes):
+    long, short, want = links_of(spark, near_rows(random.Random(9))[60:230], **sizes)
+    assert set(long) | set(short) <= want and long
+    assert joined(set(long) | set(short)) == joined(want)
+
+
+def test_near_misses_of_a_hot_group_make_no_rows(spark):
+    """Copies of one text with two to five words changed: nearly all pairs are alike, few are linked."""
+    draw = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(300):
+        words = base[:]
+        for at in draw.sample(range(120), draw.randint(2, 5)):
+            words[at] = f"new{i}x{at}"
+        rows.append((i, " ".join(words)))
+    long, short, want = links_of(spark, rows)
+    assert 0 < len(want) and joined(set(long) | set(short)) == joined(want)
+    assert len(long) + len(short) <= 30 * len(rows)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in bottom_k.near_duplicates(frame(spark, rows)).collect()), key=str)
+    assert [g[:3] for g in got] == [w[:3] for w in brute_near(rows)]
