@@ -38,12 +38,13 @@ def read_cache(spark: SparkSession, path: str, version: str) -> DataFrame:
 def append_misses(docs: DataFrame, path: str, tokenizer: str, column: str = "text") -> None:
     """Encode the distinct texts that the cache lacks, and append their counts.
 
-    A text occurs once per task before it is shuffled, however often it is repeated.
+    Copies are put together inside each task first, so a text is shuffled once per task that holds it, however often it is
+    repeated; the digests that are left are then held against the cache, without moving a text again.
     """
     spark, version = docs.sparkSession, tokenizer_digest(tokenizer)
     texts = docs.select(text_bytes(column).alias("content"), F.unhex(F.sha2(text_bytes(column), 256)).alias("digest"))
     known = read_cache(spark, path, version).select("digest")
-    misses = texts.join(known, "digest", "left_anti").groupBy("digest").agg(F.first("content").alias("content"))
+    misses = texts.groupBy("digest").agg(F.first("content").alias("content")).join(known, "digest", "left_anti")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = word_table(tokenizer)
