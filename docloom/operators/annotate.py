@@ -13,7 +13,7 @@ ISSUE_TYPES = ("parsing_error", "truncated_source", "missing_context", "context_
                "missing_parameters", "missing_measurement", "unresolved_context", "empty_source_unit")
 # Markers of the machine-readable comments inside documents.
 ISSUE_MARK, RESOLVED_MARK, COVERAGE_MARK, SOURCE_MARK = "docloom:issue", "docloom:resolved", "docloom:coverage", "docloom:source"
-FALLBACK_NEED = "Exact source text was preserved because semantic extraction did not complete."
+FALLBACK_NEED = "The source stands as it is, nothing was extracted from it."
 
 
 def issue_annotations(nodes: DataFrame, node_units: DataFrame, units: DataFrame, types: tuple[str, ...] = ISSUE_TYPES) -> tuple[DataFrame, DataFrame]:

@@ -87,7 +87,7 @@ CONCEPT_ORDER = ["first_node", "first_role", "first_pos"]
 
 def _concept_edges(pairs: DataFrame, origin: str) -> DataFrame:
     reason = (F.concat("dst", F.lit(" requires "), "concept") if origin == "concept-reconciliation"
-              else F.concat("dst", F.lit(" requires the knowledge represented by gap "), "src"))
+              else F.concat("dst", F.lit(" waits for gap "), "src"))
     return pairs.filter(F.col("src") != F.col("dst")).select(
         "doc_id", "src", "dst", F.lit("enables").alias("relation"), reason.alias("reason"), F.lit(origin).alias("origin"), "concept",
         F.struct(*CONCEPT_ORDER, "node_ord").alias("seq"))
@@ -120,7 +120,7 @@ def materialize_gaps(nodes: DataFrame, node_units: DataFrame, members: DataFrame
     fresh = fresh.withColumn("node_ord", F.coalesce("_last", F.lit(0)) + F.col("_p")).withColumn("gap_id", node_id(F.col("node_ord")))
     gaps = union_all(undefined.filter("gap_id is not null").select("doc_id", "concept", *CONCEPT_ORDER, "gap_id", F.lit(False).alias("generated")),
                      fresh.select("doc_id", "concept", *CONCEPT_ORDER, "gap_id", F.lit(True).alias("generated")))
-    need = F.concat(F.lit('Define or explain "'), F.col("concept"), F.lit('" before the dependent knowledge can be understood.'))
+    need = F.concat(F.lit('Say what "'), F.col("concept"), F.lit('" means; other nodes build on it.'))
     new_nodes = fresh.select("doc_id", "node_ord", F.col("gap_id").alias("node_id"), F.lit("gap").alias("kind"), F.lit(None).cast("string").alias("text"),
                              need.alias("need"), F.lit("definition").alias("gap_type"), F.lit("gap").alias("origin"), F.lit(True).alias("generated_gap"))
     requirers = _requirers(members)
@@ -232,8 +232,16 @@ def same_source(variants: DataFrame) -> DataFrame:
     return variants.groupBy("doc_id").agg(F.min("sha256").alias("a"), F.max("sha256").alias("b")).filter("a <> b").select("doc_id")
 
 
-def merge_variants(nodes: DataFrame, node_units: DataFrame, node_concepts: DataFrame) -> dict[str, DataFrame]:
-    """Nodes equal in kind, text (gaps: type and need) and units become one; concept lists are united."""
+def _united(rows: DataFrame, id_map: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Lists of merged nodes: every value once, where it is first seen. A popular node's lists are rows all the way."""
+    seen = (rows.select("doc_id", "variant", "node_id", *by, "pos", value).join(id_map, ["doc_id", "variant", "node_id"])
+            .groupBy("doc_id", "merged_id", "merged_ord", *by, value).agg(F.min(F.struct("_ord", "pos")).alias("_o")))
+    placed = with_position(seen.select("doc_id", "merged_id", "merged_ord", *by, value, "_o.*"), ["doc_id", "merged_id", *by], ["_ord", "pos"], "_p")
+    return placed.select("doc_id", F.col("merged_ord").alias("node_ord"), F.col("merged_id").alias("node_id"), *by, F.col("_p").alias("pos"), value)
+
+
+def merge_variants(nodes: DataFrame, node_units: DataFrame, node_concepts: DataFrame, node_annotations: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Nodes equal in kind, text (gaps: type and need) and units become one; concept lists and annotations are united."""
     keys = ["doc_id", "variant", "node_id"]
     # A popular gap owns many units: the set is keyed by its size and two order-free sums, never gathered.
     number = lambda seed: F.xxhash64("unit_id", F.lit(seed)).cast("decimal(38,0)")
@@ -242,20 +250,20 @@ def merge_variants(nodes: DataFrame, node_units: DataFrame, node_concepts: DataF
     identity = F.to_json(F.struct(gap.alias("g"), F.when(gap, F.col("gap_type")).otherwise(F.col("kind")).alias("k"),
                                   F.when(gap, F.coalesce("need", F.lit(""))).otherwise(F.col("text")).alias("t"), F.col("_units")))
     keyed = nodes.join(listed, keys, "left").withColumn("_key", sha256_hex(identity)).drop("_units").withColumn("_ord", _variant_order("node_ord"))
+    keyed = cut_lineage(keyed)
     first = first_by(keyed, ["doc_id", "_key"], ["_ord"])
     flags = keyed.groupBy("doc_id", "_key").agg(F.bool_or(F.coalesce("coverage_fallback", F.lit(False))).alias("coverage_fallback"))
     merged = with_position(first.drop("coverage_fallback").join(flags, ["doc_id", "_key"]), ["doc_id"], ["_ord"], "merged_ord")
-    merged = merged.withColumn("merged_id", node_id(F.col("merged_ord")))
-    id_map = keyed.select(*keys, "_key", "_ord").join(merged.select("doc_id", "_key", "merged_id", "merged_ord"), ["doc_id", "_key"])
-    concepts = (node_concepts.join(id_map, keys).groupBy("doc_id", "merged_id", "merged_ord", "role", "concept")
-                .agg(F.min(F.struct("_ord", "pos")).alias("_o")))
-    concepts = with_position(concepts.select("doc_id", "merged_id", "merged_ord", "role", "concept", "_o.*"),
-                             ["doc_id", "merged_id", "role"], ["_ord", "pos"], "_p")
-    concepts = concepts.select("doc_id", F.col("merged_ord").alias("node_ord"), F.col("merged_id").alias("node_id"), "role", F.col("_p").alias("pos"), "concept")
+    merged = cut_lineage(merged.withColumn("merged_id", node_id(F.col("merged_ord"))))
+    id_map = cut_lineage(keyed.select(*keys, "_key", "_ord").join(merged.select("doc_id", "_key", "merged_id", "merged_ord"), ["doc_id", "_key"]))
+    concepts = _united(node_concepts, id_map, ["role"], "concept")
     units = node_units.join(merged.select(*keys, "merged_id", "merged_ord"), keys).select(
         "doc_id", F.col("merged_ord").alias("node_ord"), F.col("merged_id").alias("node_id"), "pos", "unit_id")
     out = merged.drop("_key", "_ord", "node_id", "node_ord", "variant").withColumnRenamed("merged_id", "node_id").withColumnRenamed("merged_ord", "node_ord")
-    return {"nodes": out, "node_units": units, "node_concepts": concepts, "id_map": id_map.select(*keys, "merged_id")}
+    tables = {"nodes": out, "node_units": units, "node_concepts": concepts, "id_map": id_map.select(*keys, "merged_id")}
+    if node_annotations is not None:
+        tables["node_annotations"] = _united(node_annotations, id_map, [], "annotation")
+    return tables
 
 
 def merge_edges(edges: DataFrame, id_map: DataFrame) -> DataFrame:
@@ -267,18 +275,42 @@ def merge_edges(edges: DataFrame, id_map: DataFrame) -> DataFrame:
 
 
 def merge_frames(frames: DataFrame, id_map: DataFrame) -> DataFrame:
-    """Unmapped references drop out; frames without claim or evidence go; equal frames are kept once."""
+    """Unmapped references drop out; frames without claim or evidence go; equal frames are kept once, with the first one's origin and chunk."""
     keys = ["doc_id", "variant", "frame_ord"]
     ids = id_map.select("doc_id", "variant", F.col("node_id").alias("ref"), "merged_id")
     refs = _frame_refs(frames, keys).join(ids, ["doc_id", "variant", "ref"], "left")
     moved = _collect_frames(refs, keys, "merged_id").filter(F.col("claim").isNotNull() & (F.size("evidence") > 0))
-    moved = moved.withColumn("_ord", _variant_order("frame_ord"))
+    rest = [c for c in ("origin", "chunk_id") if c in frames.columns]
+    moved = moved.join(frames.select(*keys, *rest), keys).withColumn("_ord", _variant_order("frame_ord"))
     same = ["doc_id", "claim", "evidence", "warrant_gap", "limitations"]
-    kept = moved.groupBy(*same).agg(F.min("_ord").alias("_ord"))
+    kept = moved.groupBy(*same).agg(F.min("_ord").alias("_ord"), *[F.min_by(c, "_ord").alias(c) for c in rest])
     kept = with_position(kept, ["doc_id"], ["_ord"], "frame_ord")
     return kept.drop("_ord").withColumn("frame_id", zero_pad("ef", F.col("frame_ord"), 6))
 
 
+def merge_graphs(variants: DataFrame, units: DataFrame, nodes: DataFrame, node_units: DataFrame, node_concepts: DataFrame, edges: DataFrame, frames: DataFrame,
+                 node_annotations: DataFrame | None = None, *, compose: bool = True) -> dict[str, DataFrame]:
+    """Variants of each document's graph as one, reconciled and validated.
+
+    ``variants(doc_id, variant, sha256)``; documents whose variants stem from different sources are ``refused(doc_id)`` and left
+    out of all else. Tables as in ``build_graph``: ``nodes``, ``node_units``, ``node_concepts``, ``node_annotations``, ``edges``
+    (numbered), ``frames``, ``concepts``, ``gaps``, ``unresolved``, ``violations``, ``status``.
+    """
+    refused = cut_lineage(same_source(variants))
+    ok = lambda df: None if df is None else df.join(refused, "doc_id", "left_anti")
+    merged = merge_variants(ok(nodes), ok(node_units), ok(node_concepts), ok(node_annotations))
+    merged = {name: cut_lineage(df) for name, df in merged.items()}
+    own_edges, own_frames = cut_lineage(merge_edges(ok(edges), merged["id_map"])), cut_lineage(merge_frames(ok(frames), merged["id_map"]))
+    members = cut_lineage(concept_members(merged["node_concepts"], compose=compose))
+    concepts = cut_lineage(concept_index(members))
+    new = {name: cut_lineage(df) for name, df in materialize_gaps(merged["nodes"], merged["node_units"], members, concepts).items()}
+    out_edges = cut_lineage(reconcile_and_number(own_edges, definer_edges(merged["nodes"], members, concepts), new["edges"]))
+    out_nodes, links = union_all(merged["nodes"], new["nodes"]).fillna(False, ["coverage_fallback", "generated_gap"]), union_all(merged["node_units"], new["node_units"])
+    violations, status = validate_graph(ok(units), out_nodes, links, out_edges, own_frames)
+    return {**{name: merged[name] for name in ("id_map", "node_annotations") if name in merged}, "refused": refused, "nodes": out_nodes, "node_units": links, "node_concepts": union_all(merged["node_concepts"], new["node_concepts"]),
+            "edges": out_edges, "frames": own_frames, "concepts": concepts, "gaps": new["gaps"], "unresolved": unresolved_concepts(new["gaps"], members, merged["nodes"]), "violations": violations, "status": status}
+
+
 def merge_provenance(variants: DataFrame, nodes: DataFrame, edges: DataFrame, issues: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per variant its model, status and sizes; and the distinct salvage issues of all variants."""
     keys = ["doc_id", "variant"]

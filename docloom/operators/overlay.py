@@ -43,7 +43,7 @@ def build_overlay(nodes: DataFrame, node_units: DataFrame, members: DataFrame, c
           .withColumn("canonical_concept", normalize_label(F.col("label"), compose=compose)))
     records = df.select(*KEY, "node_ord", "canonical_concept", "label", "chapter", "dependent_count", "first_use_context",
                         F.concat("chapter", F.lit("\0"), "canonical_concept").alias("group_key"), F.lit("unresolved").alias("status"),
-                        F.lit("Awaiting source recovery or cited external definition.").alias("reason"),
+                        F.lit("Open: neither the source nor a citation defines it yet.").alias("reason"),
                         *[F.lit(None).cast(NONE).alias(c) for c in ("provenance", "confidence", "candidate_definition")])
     return records, depends
 
@@ -97,7 +97,7 @@ def triage_definitions(records: DataFrame, units: DataFrame) -> tuple[DataFrame,
     out = records.join(matched, ["doc_id", "chapter", "label"], "left")
     hit = F.col("_hit").isNotNull()
     for column, value in (("status", "already_defined"), ("provenance", "source_definition_match"), ("confidence", "high"),
-                          ("reason", "Explicit local definition pattern found in the same chapter.")):
+                          ("reason", "The chapter itself defines it.")):
         out = out.withColumn(column, F.when(hit, value).otherwise(F.col(column)))
     links = records.select(*KEY, "chapter", "label").join(best, ["doc_id", "chapter", "label"]).select(*KEY, F.col("rank").cast("bigint").alias("pos"), "unit_id")
     return out.drop("_hit").select(*records.columns), links
@@ -138,7 +138,7 @@ def apply_proposals(records: DataFrame, accepted: DataFrame) -> tuple[DataFrame,
     df = (df.withColumn("status", F.when(hit, "citation_needed").otherwise(F.col("status")))
           .withColumn("candidate_definition", F.coalesce("_d", "candidate_definition"))
           .withColumn("proposal_confidence", F.col("_c")).withColumn("proposal_provenance", F.when(hit, "model_unverified"))
-          .withColumn("reason", F.when(hit, "Candidate definition generated; source verification remains pending.").otherwise(F.col("reason"))).drop("_d", "_c"))
+          .withColumn("reason", F.when(hit, "A candidate is there, unchecked.").otherwise(F.col("reason"))).drop("_d", "_c"))
     open_ = ~is_resolved() & F.col("candidate_definition").isNull()
     summary = df.groupBy("doc_id").agg(F.count("candidate_definition").alias("candidates"), F.count_if(open_).alias("unresolved_without_candidate"))
     return df, summary
@@ -173,7 +173,14 @@ def evidence_check(evidence: DataFrame, url_checks: DataFrame) -> DataFrame:
 
 
 def apply_research(records: DataFrame, items: DataFrame, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    reach = checked.groupBy(*KEY).agg(F.bool_and(F.coalesce("reachable", F.lit(False))).alias("_reach"))
+    """Research answers and their looked-up evidence applied to the records; the evidence becomes their citations.
+
+    ``checked(doc_id, gap_id, pos, url, reachable, http_status)`` and, where given, title, excerpt and claim.
+    """
+    said = [c for c in ("url", "title", "excerpt", "claim") if c in checked.columns]
+    look = F.struct(F.coalesce("reachable", F.lit(False)).alias("reachable"), F.col("http_status").alias("status")).alias("verification")
+    sources = F.transform(F.sort_array(F.collect_list(F.struct("pos", F.struct(*said, look).alias("c")))), lambda x: x["c"])  # an answer bounds them
+    reach = checked.groupBy(*KEY).agg(F.bool_and(F.coalesce("reachable", F.lit(False))).alias("_reach"), sources.alias("_cited"))
     new = items.select(*KEY, F.col("status").alias("_s"), F.col("definition").alias("_d"), F.col("confidence").alias("_c"), F.col("reason").alias("_r")).join(reach, KEY, "left")
     df = records.join(new, KEY, "left")
     hit, external = F.col("_s").isNotNull(), F.col("_s") == "external_definition"
@@ -181,11 +188,12 @@ def apply_research(records: DataFrame, items: DataFrame, checked: DataFrame) ->
     values = {
         "status": F.when(verified, "external_definition").when(F.col("_s") == "unresolved", "unresolved").otherwise("citation_needed"),
         "provenance": F.when(verified, "verified_external_source").when(external, "model_citation_unverified"),
-        "reason": F.when(verified | ~external, F.col("_r")).otherwise("Definition proposed, but at least one cited URL was unreachable."),
+        "reason": F.when(verified | ~external, F.col("_r")).otherwise("A cited address did not answer."),
         "confidence": F.col("_c"), "candidate_definition": F.nullif(F.col("_d"), F.lit(""))}
     for column, value in values.items():
         df = df.withColumn(column, F.when(hit, value).otherwise(F.col(column)))
-    df = df.drop("_s", "_d", "_c", "_r", "_reach")
+    before = F.col("citations") if dict(records.dtypes).get("citations") == dict(df.dtypes)["_cited"] else F.lit(None)
+    df = df.withColumn("citations", F.when(hit, F.col("_cited")).otherwise(before)).drop("_s", "_d", "_c", "_r", "_reach", "_cited")
     return df, overlay_summary(df)
 
 
@@ -201,7 +209,7 @@ def _usable(definitions: DataFrame) -> DataFrame:
 
 
 OPEN = "status in ('unresolved', 'citation_needed')"
-CLAIM = "Definition and introductory context for "
+CLAIM = "Defines "
 
 
 def _update_external(records: DataFrame, found: DataFrame, key: list[str]) -> DataFrame:
@@ -218,10 +226,11 @@ def _update_external(records: DataFrame, found: DataFrame, key: list[str]) -> Da
     return df.drop("definition", "new_confidence", "url", "source_title", "source")
 
 
-def resolve_external(records: DataFrame, definitions: DataFrame, search_hits: DataFrame, *, compose: bool = True) -> DataFrame:
+def resolve_external(records: DataFrame, definitions: DataFrame, search_hits: DataFrame, *, page_address: str = "", compose: bool = True) -> DataFrame:
     """Exact title, else the first usable of three search hits; one lookup per (chapter, label) of a document.
 
-    ``definitions(title, extract, type, url)``, ``search_hits(query, rank, title)``.
+    ``definitions(title, extract, type, url)``, ``search_hits(query, rank, title)``. ``page_address`` is what a title without a
+    url is appended to.
     """
     keyed = records.withColumn("_k", normalize_label(F.col("label"), compose=compose))
     lookups = keyed.filter(OPEN).groupBy("doc_id", "chapter", "_k").agg(F.min_by("label", "node_ord").alias("_l"))
@@ -237,13 +246,13 @@ def resolve_external(records: DataFrame, definitions: DataFrame, search_hits: Da
     a, b = normalize_label(F.col("label"), compose=compose), normalize_label(F.col("title"), compose=compose)
     found = (found.withColumn("definition", first_sentences(F.col("extract"))).filter("definition <> ''")
              .withColumn("new_confidence", F.when((a == b) | a.contains(b) | b.contains(a), "high").otherwise("medium"))
-             .withColumn("url", F.coalesce("url", F.concat(F.lit("https://en.wikipedia.org/wiki/"), F.url_encode(F.replace(F.col("title"), F.lit(" "), F.lit("_")))))))
+             .withColumn("url", F.coalesce("url", F.concat(F.lit(page_address), F.url_encode(F.replace(F.col("title"), F.lit(" "), F.lit("_")))))))
     answer = (lookups.withColumnRenamed("_l", "label").join(found, ["label", "chapter"])
               .select("doc_id", "chapter", "_k", "definition", "new_confidence", "url", F.col("title").alias("source_title"), F.lit("encyclopedia").alias("source")))
     df = _update_external(keyed, answer, ["doc_id", "chapter", "_k"])
     missed = F.col("_open") & ~F.col("_hit") & (F.col("status") == "unresolved")
     return (df.withColumn("status", F.when(missed, "citation_needed").otherwise(F.col("status")))
-            .withColumn("reason", F.when(F.col("_open") & ~F.col("_hit"), F.coalesce(F.nullif(F.col("reason"), F.lit("")), F.lit("No verified external definition source found.")))
+            .withColumn("reason", F.when(F.col("_open") & ~F.col("_hit"), F.coalesce(F.nullif(F.col("reason"), F.lit("")), F.lit("No outside source was found.")))
                         .otherwise(F.col("reason"))).drop("_k", "_hit", "_open"))
 
 

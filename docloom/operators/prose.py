@@ -10,8 +10,6 @@ from docloom.functions.text import (NON_WS, blocks_of, collapse_ws, dense_block_
 from docloom.operators.annotate import issue_ids
 from docloom.operators.overlay import exact_cover
 
-# Sections that pass through as they are.
-FRONT_MATTER = r"(?i)\A(?:Part\s+[IVXLCDM]+|Mathematical appendices|Global evidence table|Glossary|Annotated bibliography)"
 MIN_CHARS = 2_000
 
 
@@ -98,10 +96,15 @@ def apply_replacements(documents: DataFrame, accepted: DataFrame) -> DataFrame:
     return df.withColumn("text", text).drop("_both", "_new")
 
 
-def section_disposition(sections: DataFrame, documents: DataFrame) -> DataFrame:
-    """``sections(doc_id, section, title, text)`` against finished ``documents(doc_id, section, text, reused)``."""
+def section_disposition(sections: DataFrame, documents: DataFrame, transition_titles: tuple[str, ...] = ()) -> DataFrame:
+    """``sections(doc_id, section, title, text)`` against finished ``documents(doc_id, section, text, reused)``.
+
+    ``transition_titles``: patterns of titles whose sections pass through as they are, like short ones.
+    """
     have = documents.select("doc_id", "section", F.col("text").alias("_d"), "reused")
-    passes = F.col("title").rlike(FRONT_MATTER) | (text_length(F.col("text")) < MIN_CHARS)
+    passes = text_length(F.col("text")) < MIN_CHARS
+    for pattern in transition_titles:
+        passes = passes | F.coalesce(F.col("title").rlike(pattern), F.lit(False))
     status = (F.when(F.col("_d").isNotNull() & F.col("reused"), "reused").when(passes, "source_transition")
               .when(F.col("_d").isNotNull(), "generated").otherwise("source_fallback"))
     df = sections.join(have, ["doc_id", "section"], "left").withColumn("status", status)

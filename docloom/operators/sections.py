@@ -109,6 +109,34 @@ def section_overlay(records: DataFrame, members: DataFrame) -> DataFrame:
     return records.join(members.select("doc_id", "section", F.col("node_id").alias("gap_id")), ["doc_id", "gap_id"])
 
 
+def section_tables(units: DataFrame, nodes: DataFrame, node_units: DataFrame, edges: DataFrame, frames: DataFrame, sections: DataFrame, unit_sections: DataFrame,
+                   members: DataFrame) -> dict[str, DataFrame]:
+    """The graph of every section, as tables whose ``doc_id`` is the struct (doc_id, section).
+
+    Whatever works per document (validation, issues, coverage, annotation) then works per section. Lines count from the
+    section's first; a node keeps its units inside the section only.
+    """
+    keyed = lambda df: df.withColumn("doc_id", F.struct("doc_id", "section")).drop("section")
+    starts = sections.select("doc_id", "section", F.col("start_line").alias("_from"))
+    place = unit_sections.select("doc_id", "unit_id", "section")
+    own = units.join(place, ["doc_id", "unit_id"]).join(starts, ["doc_id", "section"])
+    for line in ("start_line", "end_line"):
+        own = own.withColumn(line, F.col(line) - F.col("_from") + 1)
+    inside = members.select("doc_id", "section", "node_id")
+    return {"units": keyed(own.drop("_from")), "nodes": keyed(nodes.join(inside, ["doc_id", "node_id"])), "node_units": keyed(node_units.join(place, ["doc_id", "unit_id"])),
+            "edges": keyed(section_edges(edges, members)), "frames": keyed(section_frames(frames, members))}
+
+
+def section_unresolved(unresolved: DataFrame, requirers: DataFrame, members: DataFrame) -> DataFrame:
+    """(doc_id, section, concept, gap_id): unresolved concepts whose gap or one of whose requirers lies in the section.
+
+    ``unresolved(doc_id, concept, gap_id)``, ``requirers(doc_id, concept, node_id)``.
+    """
+    nodes = unresolved.select("doc_id", "concept", "gap_id", F.col("gap_id").alias("node_id")).unionByName(
+        unresolved.select("doc_id", "concept", "gap_id").join(requirers.select("doc_id", "concept", "node_id"), ["doc_id", "concept"]))
+    return nodes.join(members.select("doc_id", "section", "node_id"), ["doc_id", "node_id"]).select("doc_id", "section", "concept", "gap_id").distinct()
+
+
 def section_manifest(sections: DataFrame, members: DataFrame, edges: DataFrame, section_issues: DataFrame,
                      overlay: DataFrame, statuses: DataFrame | None = None) -> DataFrame:
     """Counts per section; inputs are the section-level tables."""

@@ -142,7 +142,7 @@ def validate_decomposition(spark, sf):
 
 @query("apply_decomposition", f"""select d.doc_id, case when part = 'split' then 'split-' else 'expand-' end || lpad(cast(row_number() over (partition by d.doc_id, part order by item_pos, pos) as string), 6, '0') as node_id,
       text, parent_id as derived_from, coalesce(score, {surface('text')}) as density_score, case when score is null then 'fallback' else 'model' end as density_source,
-      case when part = 'split' then 'split from dense source node' else type || ' expansion' end as reason, case when part = 'split' then coalesce(u.n, 0) else 0 end as units
+      case when part = 'split' then 'part of a dense node' else type || ' expansion' end as reason, case when part = 'split' then coalesce(u.n, 0) else 0 end as units
     from fx_decomposition d left join (select doc_id, node_id, count(*) as n from fx_node_units group by all) u on u.doc_id = d.doc_id and u.node_id = d.parent_id""")
 def apply_decomposition(spark, sf):
     out = en.apply_decomposition(density_nodes(spark, sf), fixture(spark, sf, "fx_node_units"), decomposition(spark, sf))
@@ -246,7 +246,7 @@ def validate_resolution(spark, sf):
     ids as (select *, case when grounded then 'recover-' else 'resolve-' end || lpad(cast(row_number() over (partition by doc_id, grounded order by item_pos, pos) as string), 6, '0') as id from placed)
     select doc_id, 'new' as part, id as node_id, gap_id as a, case when grounded then 'recovery' else 'injection' end as b, text as c from ids
     union all select n.doc_id, 'gap', n.node_id, coalesce(case when p.ids is not null then p.status end, n.resolution_status, case when g.gap_class = 'metadata' then 'not_knowledge' end),
-      array_to_string(list_filter([prior_resolver, p.ids], lambda x: x is not null), ','), case when p.ids is null and n.resolution_status is null and g.gap_class = 'metadata' then 'Metadata does not require a knowledge injection.' end
+      array_to_string(list_filter([prior_resolver, p.ids], lambda x: x is not null), ','), case when p.ids is null and n.resolution_status is null and g.gap_class = 'metadata' then 'Describes the document, not its subject.' end
     from fx_dscored n left join (select doc_id, gap_id, string_agg(id, ',' order by id) as ids, max(case when grounded then 'source_recovery' else 'model_injected' end) as status from ids group by all) p
       on p.doc_id = n.doc_id and p.gap_id = n.node_id left join fx_open_gaps g on g.doc_id = n.doc_id and g.gap_id = n.node_id where n.kind = 'gap'""")
 def apply_resolution(spark, sf):

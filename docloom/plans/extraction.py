@@ -161,7 +161,7 @@ def salvaged(spark, sf):
     w as (select *, k = 'gap' and (st is not null or nd = '' or gap_type is null) as flawed, k <> 'gap' and st is null as textless from v),
     nodes as (select doc_id, chunk_id, 'node' as part, idx, case when textless then 'gap' else k end as a,
       case when k = 'gap' or textless then null else st end as b,
-      case when textless then 'Model node had no text.' when flawed and nd = '' then 'Gap was emitted without a typed need.' else nd end as c,
+      case when textless then 'The answer gave this node no text.' when flawed and nd = '' then 'The answer left open what is missing here.' else nd end as c,
       array_to_string(list_filter([case when not known_kind then 'kind_normalized' end, case when coalesce(unknown, 0) > 0 or flawed or textless then 'parsing_error' end,
         case when k <> 'gap' and not textless and coalesce(known, 0) = 0 then 'ungrounded' end], lambda x: x is not null), ',') as d from w),
     edges as (select doc_id, chunk_id, case when ok then 'edge' else 'invalid_edge' end as part, idx, case when ok then relation end as a,

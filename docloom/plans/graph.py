@@ -1,7 +1,9 @@
 """Queries for graph assembly, concepts, validation and variant merge."""
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docloom.functions.ordering import union_all
 from docloom.operators import graph as g
 from docloom.plans.fixtures import RELATIONS, add_table, fixture, oracle, pad, stage
 
@@ -203,7 +205,7 @@ def merge_edges(spark, sf):
     return out.select("doc_id", "src", "dst", "relation", "reason")
 
 
-@query("merge_frames", f"""with r as (select f.doc_id, f.variant, f.frame_ord, x.role, x.pos, m.merged_id from fx_vframes f join (
+FRAMES_MERGED = f"""with r as (select f.doc_id, f.variant, f.frame_ord, x.role, x.pos, m.merged_id from fx_vframes f join (
         select doc_id, variant, frame_ord, 'c' as role, cast(0 as bigint) as pos, claim as node_id from fx_vframes union all
         select doc_id, variant, frame_ord, 'e', unnest(range(1, len(evidence) + 1)), unnest(evidence) from fx_vframes union all
         select doc_id, variant, frame_ord, 'l', unnest(range(1, len(limitations) + 1)), unnest(limitations) from fx_vframes union all
@@ -212,12 +214,62 @@ def merge_edges(spark, sf):
     s as (select doc_id, variant, frame_ord, max(merged_id) filter (where role = 'c') as claim, coalesce(string_agg(merged_id, ',' order by pos) filter (where role = 'e'), '') as evidence,
       max(merged_id) filter (where role = 'w') as warrant_gap, coalesce(string_agg(merged_id, ',' order by pos) filter (where role = 'l'), '') as limitations from r group by doc_id, variant, frame_ord)
     select doc_id, {pad('ef', 'row_number() over (partition by doc_id order by min(variant * 1000000000 + frame_ord))', 6)} as frame_id, claim, evidence, warrant_gap, limitations
-    from s where claim is not null and evidence <> '' group by doc_id, claim, evidence, warrant_gap, limitations""")
+    from s where claim is not null and evidence <> '' group by doc_id, claim, evidence, warrant_gap, limitations"""
+
+
+@query("merge_frames", FRAMES_MERGED)
 def merge_frames(spark, sf):
     out = g.merge_frames(fixture(spark, sf, "fx_vframes"), staged_id_map(spark, sf))
     return out.select("doc_id", "frame_id", "claim", F.array_join("evidence", ",").alias("evidence"), "warrant_gap", F.array_join("limitations", ",").alias("limitations"))
 
 
+# The whole merge: documents with one remainder of nine have variants from different sources; nodes carry notes.
+add_table("fx_vnotes", lambda d: """select doc_id, variant, node_ord, node_id, cast(1 as bigint) as pos, 'note ' || cast(node_ord % 3 as string) as annotation from fx_vnodes
+    union all select doc_id, variant, node_ord, node_id, cast(2 as bigint), 'variant ' || cast(variant as string) from fx_vnodes where node_ord % 2 = 0""")
+
+
+@query("merge_graphs", f"""with map as (select *, cast(substr(merged_id, 2) as bigint) as merged_no from fx_vmap where doc_id % 9 <> 4),
+    nodes as (select doc_id, merged_no, merged_id, min_by(kind, o) as kind, min_by(text, o) as text, min_by(origin, o) as origin from map group by all),
+    links as (select distinct m.doc_id, m.merged_id, u.unit_id from map m join fx_vunits u using (doc_id, variant, node_id)),
+    lists as (select doc_id, merged_id, merged_no, role, concept, row_number() over (partition by doc_id, merged_id, role order by min(o * 10 + pos)) as pos from map join fx_vconcepts using (doc_id, variant, node_id) group by doc_id, merged_id, merged_no, role, concept),
+    seen_at as (select doc_id, concept, min(merged_no * 100 + case role when 'defines' then 1 when 'requires' then 2 when 'mentions' then 3 else 4 end * 10 + pos) as seen, count_if(role = 'defines') as d, count_if(role = 'requires') as r, count_if(role = 'fills') as f
+      from lists group by all),
+    first_def as (select l.doc_id, l.concept, min_by(l.merged_id, case when n.kind = 'definition' then 0 else 1000000000 end + case when n.origin = 'source' then 0 else 100000000 end + l.merged_no) as src
+      from lists l join nodes n using (doc_id, merged_id) where role = 'defines' group by all),
+    fresh as (select s.doc_id, s.concept, s.seen, {pad('n', 'x.last + row_number() over (partition by s.doc_id order by s.seen)', 7)} as gap_id from seen_at s join (select doc_id, max(merged_no) as last from nodes group by doc_id) x using (doc_id) where d = 0 and r > 0 and f = 0),
+    gap_of as (select doc_id, concept, seen, gap_id from fresh union all select s.doc_id, s.concept, s.seen, min_by(l.merged_id, l.merged_no) from seen_at s join lists l using (doc_id, concept) where s.d = 0 and s.r > 0 and l.role = 'fills' group by all),
+    offered as (select e.doc_id, a.merged_id as src, b.merged_id as dst, e.relation, e.origin, [0, e.variant * 1000000000 + e.edge_ord, 0] as o from fx_vedges e join map a on a.doc_id = e.doc_id and a.variant = e.variant and a.node_id = e.src
+        join map b on b.doc_id = e.doc_id and b.variant = e.variant and b.node_id = e.dst where a.merged_id <> b.merged_id
+      union all select l.doc_id, p.src, l.merged_id, 'enables', 'concept-reconciliation', [1, s.seen, l.merged_no] from lists l join first_def p using (doc_id, concept) join seen_at s using (doc_id, concept) where l.role = 'requires' and p.src <> l.merged_id
+      union all select l.doc_id, p.gap_id, l.merged_id, 'enables', 'gap-reconciliation', [1, p.seen, l.merged_no] from lists l join gap_of p using (doc_id, concept) where l.role = 'requires' and p.gap_id <> l.merged_id),
+    edges as (select doc_id, src, dst, relation, min_by(origin, o) as origin from offered group by all),
+    unit_state as (select u.doc_id, u.unit_id, u.kind, coalesce(bool_or(n.kind <> 'gap'), false) as covered, coalesce(bool_or(coalesce(n.text = u.text, false)), false) as verbatim
+      from fx_units u left join links l using (doc_id, unit_id) left join nodes n on n.doc_id = l.doc_id and n.merged_id = l.merged_id where u.doc_id % 9 <> 4 group by all),
+    frame_state as (select distinct doc_id, claim, evidence, warrant_gap, limitations from ({FRAMES_MERGED}) where doc_id % 9 <> 4),
+    faults as (select doc_id from unit_state where not covered union all select doc_id from unit_state where kind in ('code', 'equation') and not verbatim union all select doc_id from edges where relation not in ({RELS})
+      union all select f.doc_id from frame_state f join nodes n on n.doc_id = f.doc_id and n.merged_id = f.warrant_gap where n.kind <> 'gap'),
+    state as (select n.doc_id, coalesce(max(f.n), 0) as errors, bool_or(n.kind = 'gap') or max(g.n) > 0 as gaps from nodes n left join (select doc_id, count(*) as n from faults group by all) f using (doc_id)
+      left join (select doc_id, count(*) as n from fresh group by all) g using (doc_id) group by n.doc_id)
+    select distinct doc_id, 'refused' as part, cast(null as string) as a, cast(null as string) as b, cast(null as string) as c, cast(null as bigint) as n from fx_vnodes where doc_id % 9 = 4
+    union all select doc_id, 'status', case when errors > 0 then 'failed' when gaps then 'complete_with_gaps' else 'complete' end, null, null, errors from state
+    union all select doc_id, 'edge', src, dst, relation || ' ' || origin, null from edges
+    union all select doc_id, 'gap', gap_id, concept, null, null from fresh
+    union all select doc_id, 'note', merged_id, string_agg(annotation, ',' order by first), null, null from (
+      select m.doc_id, m.merged_id, v.annotation, min(m.o * 10 + v.pos) as first from map m join fx_vnotes v using (doc_id, variant, node_id) group by all) group by all""")
+def merge_graphs(spark, sf):
+    tables = {t: fixture(spark, sf, t) for t in ("fx_vnodes", "fx_vunits", "fx_vconcepts", "fx_vedges", "fx_vframes", "fx_vnotes")}
+    strange = F.when((F.col("doc_id") % 9 == 4) & (F.col("variant") == 2), "other").otherwise("same")
+    variants = tables["fx_vnodes"].select("doc_id", "variant").distinct().withColumn("sha256", strange)
+    # A document of which one variant has no node still has that variant.
+    variants = variants.unionByName(variants.select("doc_id").distinct().select("doc_id", F.explode(F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint"))).alias("variant")).withColumn("sha256", strange)).distinct()
+    out = g.merge_graphs(variants, fixture(spark, sf, "fx_units"), tables["fx_vnodes"], tables["fx_vunits"], tables["fx_vconcepts"], tables["fx_vedges"], tables["fx_vframes"], tables["fx_vnotes"], compose=False)
+    part = lambda df, name, a=None, b=None, c=None, n=None: df.select("doc_id", F.lit(name).alias("part"), *[(F.lit(None) if x is None else x if isinstance(x, Column) else F.col(x)).cast(kind).alias(y)
+                                                                   for x, y, kind in ((a, "a", "string"), (b, "b", "string"), (c, "c", "string"), (n, "n", "bigint"))])
+    notes = out["node_annotations"].groupBy("doc_id", "node_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "annotation"))), lambda x: x["annotation"]), ",").alias("notes"))
+    return union_all(part(out["refused"], "refused"), part(out["status"], "status", "status", n="errors"), part(out["edges"], "edge", "src", "dst", F.concat_ws(" ", "relation", "origin")),
+                     part(out["gaps"].filter("generated"), "gap", "gap_id", "concept"), part(notes, "note", "node_id", "notes"))
+
+
 @query("merge_provenance", """select doc_id, variant, 'model-' || cast(variant as string) as model, count(*) as nodes, coalesce(max(e.c), 0) as edges from fx_vnodes
     left join (select doc_id, variant, count(*) as c from fx_vedges group by doc_id, variant) e using (doc_id, variant) group by doc_id, variant""")
 def merge_provenance(spark, sf):

@@ -180,14 +180,16 @@ def evidence_check(spark, sf):
 
 @query("apply_research", """select r.doc_id, r.gap_id, case when i.gap_id is null then r.status when i.status = 'external_definition' and v.ok then 'external_definition' when i.status = 'unresolved' then 'unresolved' else 'citation_needed' end as status,
       case when i.gap_id is null then r.provenance when i.status = 'external_definition' and v.ok then 'verified_external_source' when i.status = 'external_definition' then 'model_citation_unverified' end as provenance,
-      case when i.gap_id is null then r.candidate_definition else nullif(i.definition, '') end as candidate_definition from fx_records r
+      case when i.gap_id is null then r.candidate_definition else nullif(i.definition, '') end as candidate_definition, case when i.gap_id is not null then v.cited end as cited,
+      case when i.gap_id is null then r.reason when i.status = 'external_definition' and not v.ok then 'A cited address did not answer.' else i.reason end as reason from fx_records r
     left join (select * from fx_research join fx_research_good using (doc_id, batch_no)) i on i.doc_id = r.doc_id and i.gap_id = r.gap_id
-    left join (select e.doc_id, e.gap_id, bool_and(coalesce(c.reachable, false)) as ok from fx_evidence e left join fx_url_checks c using (url) group by e.doc_id, e.gap_id) v on v.doc_id = r.doc_id and v.gap_id = r.gap_id""")
+    left join (select e.doc_id, e.gap_id, bool_and(coalesce(c.reachable, false)) as ok, string_agg(e.url || ' ' || coalesce(c.http_status::varchar, '?'), ',' order by e.pos) as cited from fx_evidence e left join (select * from fx_url_checks where url in (select url from fx_evidence where status = 'external_definition')) c using (url) group by e.doc_id, e.gap_id) v on v.doc_id = r.doc_id and v.gap_id = r.gap_id""")
 def apply_research(spark, sf):
     items, _ = research(spark, sf)
     checked = ov.evidence_check(fixture(spark, sf, "fx_evidence"), fixture(spark, sf, "fx_url_checks"))
     df, _ = ov.apply_research(records(spark, sf), items, checked)
-    return df.select("doc_id", "gap_id", "status", "provenance", "candidate_definition")
+    cited = F.array_join(F.transform("citations", lambda c: F.concat(c["url"], F.lit(" "), F.coalesce(c["verification"]["status"].cast("string"), F.lit("?")))), ",")
+    return df.select("doc_id", "gap_id", "status", "provenance", "candidate_definition", cited.alias("cited"), "reason")
 
 
 # Reference definitions and search results, derived from the benchmark passages.

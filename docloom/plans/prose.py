@@ -42,10 +42,12 @@ add_table("fx_blocks", lambda d: f"""select doc_id, block, raw, {flat('raw')} as
       cast(count_if(least(1.0, {WORDS.format(x='t')} / 32.0) >= 0.75) as bigint) as dense_by_words from (select d.lang, {flat('l.text')} as t from fx_lines l join documents d using (doc_id)) group by lang""")
 def corpus_density(spark, sf):
     """Every line of the corpus as one block: words and dense blocks per language, in one pass with one small shuffle."""
-    from docloom.functions.text import is_dense_block, surface_density, word_count
+    from docloom.functions.text import is_dense_block, word_count
     lines = source(spark, sf, "documents").select("lang", F.explode(F.split("text", "\n", -1)).alias("text")).filter(F.length(F.trim("text")) > 0)
-    return lines.groupBy("lang").agg(F.count(F.lit(1)).alias("blocks"), F.sum(word_count(F.col("text"))).alias("words"), F.count_if(is_dense_block(F.col("text"))).alias("dense_blocks"),
-                                     F.count_if(surface_density(F.col("text")) >= 0.75).alias("dense_by_words"))
+    lines = lines.select("lang", "text", word_count(F.col("text")).alias("n"))  # counted once a line
+    dense_by_words = F.round(F.least(F.lit(1.0), F.col("n") / F.lit(32.0)), 3) >= 0.75
+    return lines.groupBy("lang").agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("words"), F.count_if(is_dense_block(F.col("text"), F.col("n"))).alias("dense_blocks"),
+                                     F.count_if(dense_by_words).alias("dense_by_words"))
 
 
 def markdown(spark, sf):
@@ -132,14 +134,19 @@ add_table("fx_rewritable", lambda d: f"""select doc_id from (select doc_id, coun
     join (select doc_id, count(*) as n, bool_and((doc_id + block) % 13 <> 0) as ok from fx_rewrites group by doc_id) b using (doc_id) where a.n = b.n and ok""")
 
 
-def rewrites(spark, sf):
+def rewrite_items(spark, sf):
+    """Dense blocks and what comes back for them: pieces of sixty characters, some with a blank paragraph."""
     blocks = stage(spark, sf, "dense_blocks", lambda: pr.dense_paragraphs(markdown(spark, sf)))
     texts = markdown(spark, sf).select("doc_id", F.posexplode(tx.blocks_of(F.col("text"))).alias("block", "t")).withColumn("t", tx.collapse_ws(F.col("t")))
     pieces = F.transform(F.sequence(F.lit(0), F.ceil(F.length("t") / 60).cast("int") - 1), lambda i: F.substring(F.col("t"), i * 60 + 1, F.lit(60)))
     flaw = F.when((F.col("doc_id") + F.col("block")) % 13 == 0, F.array(F.lit(" "))).otherwise(F.array().cast("array<string>"))
     items = (blocks.select("doc_id", "block").join(texts, ["doc_id", "block"]).filter((F.col("doc_id") + F.col("block")) % 17 != 0)
              .select("doc_id", "block", F.concat(pieces, flaw).alias("paragraphs")))
-    return pr.validate_replacements(items, blocks, markdown(spark, sf))
+    return items, blocks
+
+
+def rewrites(spark, sf):
+    return pr.validate_replacements(*rewrite_items(spark, sf), markdown(spark, sf))
 
 
 @query("validate_replacements", "select doc_id, block, array_to_string(paragraphs, '|') as paragraphs from fx_rewrites where doc_id in (select doc_id from fx_rewritable)")
@@ -158,7 +165,7 @@ add_table("fx_disposition", lambda d: """select a.doc_id, a.section, a.title, a.
 
 
 def dispositions(spark, sf):
-    return pr.section_disposition(annotated(spark, sf), written(spark, sf))
+    return pr.section_disposition(annotated(spark, sf), written(spark, sf), (r"(?i)\APart\s+[IVXLCDM]+", r"(?i)\AGlossary"))
 
 
 @query("section_disposition", "select doc_id, section, status from fx_disposition")

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from docloom.functions.ordering import cut_lineage
 from docloom.functions.text import normalize_label
 from docloom.operators import batching
 from docloom.operators import ordering as od
@@ -9,7 +10,9 @@ from docloom.operators import sections as sec
 from docloom.operators import teaching as te
 from docloom.plans.corpus import sections_from_units, units_with_context
 from docloom.plans.fixtures import SPARK_BUILDERS, add_table, fixture, oracle, pad, source, stage
+from docloom.plans.graph import RELS as RELATION_LIST
 from docloom.plans.graph import concept_tables
+from docloom.plans.overlay import TYPES as ISSUE_TYPES
 from docloom.plans.overlay import label_sql, overlay, records as overlay_records, staged_issues
 
 QUERIES, ORACLES = {}, {}
@@ -401,3 +404,54 @@ def assembly_report(spark, sf):
     documents = stage(spark, sf, "assembled", lambda: te.assemble_split_document(document_parts(spark, sf)))
     out = te.assembly_report(records, units, documents, source(spark, sf, "documents"))
     return out.select("doc_id", "records", "source_records", "mapped", "dense_records", "pending", "units", "source_words")
+
+
+# --- sections as graphs of their own -----------------------------------------------------
+
+add_table("fx_section_links", lambda d: "select l.doc_id, s.section, l.node_id, l.node_ord, l.pos, l.unit_id from fx_node_units l join fx_unit_sections s using (doc_id, unit_id)")
+
+
+@query("section_partitions", f"""with gaps as (select n.doc_id, l.section, n.node_id, n.node_ord, n.gap_type, string_agg(l.unit_id, ',' order by l.pos) as units from fx_issue_nodes n join fx_section_links l using (doc_id, node_id)
+      where n.kind = 'gap' and n.gap_type in ({ISSUE_TYPES}) and n.resolution_status is null and not n.resolved group by all),
+    open_issues as (select doc_id, section, gap_type, units, min_by(node_id, node_ord) as issue_id from gaps group by all),
+    open_units as (select distinct i.doc_id, i.section, l.unit_id from open_issues i join fx_section_links l on l.doc_id = i.doc_id and l.section = i.section and l.node_id = i.issue_id),
+    repaired as (select distinct l.doc_id, l.section, l.unit_id from fx_section_links l join fx_issue_nodes n using (doc_id, node_id) where n.repair_fallback and n.kind <> 'gap'),
+    late as (select * from repaired anti join open_units using (doc_id, section, unit_id)),
+    issue_n as (select doc_id, section, count(*) as n from (select doc_id, section from open_issues union all select doc_id, section from late) group by all),
+    seen as (select l.doc_id, l.section, l.unit_id, bool_or(n.kind <> 'gap') as covered, bool_or(coalesce(n.text = u.text, false)) as verbatim from fx_section_links l join fx_nodes n using (doc_id, node_id)
+      join fx_units u on u.doc_id = l.doc_id and u.unit_id = l.unit_id group by all),
+    unit_state as (select u.doc_id, s.section, u.unit_id, u.kind, u.end_line, coalesce(x.covered, false) as covered, coalesce(x.verbatim, false) as verbatim,
+        case when o.unit_id is not null or f.unit_id is not null then 'unresolved' when r.unit_id is not null then 'source_fallback' when x.covered then 'extracted' else 'source_fallback' end as status
+      from fx_units u join fx_unit_sections s using (doc_id, unit_id) left join seen x using (doc_id, section, unit_id) left join open_units o using (doc_id, section, unit_id) left join late f using (doc_id, section, unit_id)
+      left join repaired r using (doc_id, section, unit_id)),
+    own_nodes as (select distinct doc_id, section, node_id from fx_section_links),
+    own_edges as (select e.doc_id, a.section, e.relation from fx_clean_edges e join own_nodes a on a.doc_id = e.doc_id and a.node_id = e.src join own_nodes b on b.doc_id = e.doc_id and b.section = a.section and b.node_id = e.dst),
+    own_frames as (select x.doc_id, s.section, x.frame_id from (select distinct doc_id, frame_id, node_id, n from (select *, count(distinct node_id) over (partition by doc_id, frame_id) as n from fx_frame_nodes)) x join own_nodes s using (doc_id, node_id)
+      group by x.doc_id, s.section, x.frame_id having count(distinct x.node_id) = max(x.n)),
+    faults as (select doc_id, section from unit_state where not covered union all select doc_id, section from unit_state where kind in ('code', 'equation') and not verbatim
+      union all select doc_id, section from own_edges where relation not in ({RELATION_LIST})
+      union all select o.doc_id, o.section from own_frames o join fx_frames f using (doc_id, frame_id) join fx_nodes n on n.doc_id = f.doc_id and n.node_id = f.warrant_gap where n.kind <> 'gap'
+      union all select o.doc_id, o.section from own_frames o join fx_frames f using (doc_id, frame_id) where len(f.evidence) = 0)
+    select s.doc_id, s.section, s.title, n.node_count, coalesce(e.n, 0) as edge_count, coalesce(i.n, 0) as issue_count, case when f.n > 0 then 'failed' when n.gap_count > 0 then 'complete_with_gaps' else 'complete' end as status, coalesce(f.n, 0) as errors,
+      u.extracted, u.source_fallback, u.unresolved, u.last_line - s.start_line + 1 as last_line
+    from fx_sections s join (select doc_id, section, count(*) as node_count, count(*) filter (where kind = 'gap') as gap_count from own_nodes join fx_nodes using (doc_id, node_id) group by all) n using (doc_id, section)
+    left join (select doc_id, section, count(*) as n from own_edges group by all) e using (doc_id, section) left join issue_n i using (doc_id, section) left join (select doc_id, section, count(*) as n from faults group by all) f using (doc_id, section)
+    join (select doc_id, section, count(*) filter (where status = 'extracted') as extracted, count(*) filter (where status = 'source_fallback') as source_fallback, count(*) filter (where status = 'unresolved') as unresolved,
+      max(end_line) as last_line from unit_state group by all) u using (doc_id, section)""")
+def section_partitions(spark, sf):
+    from docloom.operators import annotate as ann
+    from docloom.operators.graph import validate_graph
+    sections, placed = sections_from_units(spark, sf), unit_sections(spark, sf)
+    states = fixture(spark, sf, "fx_issue_nodes").select("doc_id", "node_id", "resolution_status", "resolved", "repair_fallback")
+    nodes = fixture(spark, sf, "fx_nodes").drop("repair_fallback").join(states, ["doc_id", "node_id"])
+    own = sec.section_nodes(nodes.withColumn("derived_from", F.lit(None).cast("string")), fixture(spark, sf, "fx_node_units"), placed)
+    t = sec.section_tables(fixture(spark, sf, "fx_units"), nodes, fixture(spark, sf, "fx_node_units"), clean_edges(spark, sf), fixture(spark, sf, "fx_frames"), sections, placed, own)
+    t = {name: cut_lineage(df) for name, df in t.items()}
+    status = validate_graph(t["units"], t["nodes"], t["node_units"], t["edges"], t["frames"])[1]
+    issues, issue_units = ann.issue_annotations(t["nodes"], t["node_units"], t["units"])
+    summary = ann.graded_coverage(t["nodes"], t["node_units"], t["units"], cut_lineage(issue_units))[1]
+    plain = lambda df, *columns: df.select("doc_id.doc_id", "doc_id.section", *columns)
+    nothing = own.limit(0).select("doc_id", "section")
+    manifest = sec.section_manifest(sections, own, plain(t["edges"], "edge_ord"), plain(issues, "issue_id"), nothing, plain(status, "status", "errors")).drop("definition_count")
+    last = plain(t["units"], "end_line").groupBy("doc_id", "section").agg(F.max("end_line").alias("last_line"))
+    return manifest.join(plain(summary, "extracted", "source_fallback", "unresolved"), ["doc_id", "section"]).join(last, ["doc_id", "section"]).filter("node_count > 0")

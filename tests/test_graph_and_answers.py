@@ -46,7 +46,7 @@ def test_salvage_keeps_what_is_usable(spark):
     out = ex.salvage_extraction(items, edges, frames, units(spark))
     rows = out["nodes"].orderBy("idx").collect()
     assert [(r.kind, r.annotations) for r in rows] == [("claim", ["kind_normalized"]), ("gap", ["parsing_error"]), ("gap", ["parsing_error"]), ("claim", ["parsing_error", "ungrounded"])]
-    assert rows[2].need == "Gap was emitted without a typed need." and rows[1].gap_type == "parsing_error"
+    assert rows[2].need == "The answer left open what is missing here." and rows[1].gap_type == "parsing_error"
     assert [(r.src, r.dst) for r in out["edges"].collect()] == [(0, 3)]
     frame = out["frames"].first()
     assert (frame.claim, frame.evidence, frame.warrant_gap, frame.limitations) == (0, [3], None, [])
