@@ -160,17 +160,25 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def is_dense_block(col: Column, words: Column | None = None) -> Column:
-    """A prose block with >=35 words in >=4 sentences, or >=90 words with any sentence end. ``words``: their number, where it is known."""
+def _is_dense(col: Column, settled: Column, words) -> Column:
     def judge(text):
-        counts = F.named_struct(F.lit("words"), word_count(text) if words is None else words, F.lit("sentences"), sentence_count(text))
+        counts = F.named_struct(F.lit("words"), words(text), F.lit("sentences"), sentence_count(text))
         dense = let(counts, lambda c: (c["sentences"] > 0) & (((c["words"] >= 35) & (c["sentences"] >= 4)) | (c["words"] >= 90)))
         return (text != "") & ~text.rlike(_NOT_PROSE_AFTER_COLLAPSE) & dense
-    # 35 words need at least 69 characters, so short blocks are settled without any counting.
-    settled = F.length(col) < 69 if words is None else words < 35
     return F.when(settled, F.lit(False)).otherwise(let(collapse_ws(col), judge))
 
 
+def is_dense_block(col: Column) -> Column:
+    """A prose block with >=35 words in >=4 sentences, or >=90 words with any sentence end."""
+    # 35 words need at least 69 characters, so short blocks are settled without any counting.
+    return _is_dense(col, F.length(col) < 69, word_count)
+
+
+def is_dense_block_of(col: Column, words: Column) -> Column:
+    """``is_dense_block`` of a text whose number of words is known."""
+    return _is_dense(col, words < 35, lambda text: words)
+
+
 def is_kept_whole(col: Column) -> Column:
     return trim_ws(col).rlike(_KEEP_WHOLE)
 

@@ -42,11 +42,11 @@ add_table("fx_blocks", lambda d: f"""select doc_id, block, raw, {flat('raw')} as
       cast(count_if(least(1.0, {WORDS.format(x='t')} / 32.0) >= 0.75) as bigint) as dense_by_words from (select d.lang, {flat('l.text')} as t from fx_lines l join documents d using (doc_id)) group by lang""")
 def corpus_density(spark, sf):
     """Every line of the corpus as one block: words and dense blocks per language, in one pass with one small shuffle."""
-    from docloom.functions.text import is_dense_block, word_count
+    from docloom.functions.text import is_dense_block_of, word_count
     lines = source(spark, sf, "documents").select("lang", F.explode(F.split("text", "\n", -1)).alias("text")).filter(F.length(F.trim("text")) > 0)
     lines = lines.select("lang", "text", word_count(F.col("text")).alias("n"))  # counted once a line
     dense_by_words = F.round(F.least(F.lit(1.0), F.col("n") / F.lit(32.0)), 3) >= 0.75
-    return lines.groupBy("lang").agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("words"), F.count_if(is_dense_block(F.col("text"), F.col("n"))).alias("dense_blocks"),
+    return lines.groupBy("lang").agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("words"), F.count_if(is_dense_block_of(F.col("text"), F.col("n"))).alias("dense_blocks"),
                                      F.count_if(dense_by_words).alias("dense_by_words"))
 
 
