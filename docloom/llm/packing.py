@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import text_bytes
-from docloom.llm.tokens import text_groups, word_table
+from docloom.llm.tokens import TABLE_PIECES, text_groups, word_table
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Sequences that one task may number.
@@ -102,13 +102,13 @@ class Packer:
         self.open = {}
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2, column: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2, column: str = "text", table_pieces: int = TABLE_PIECES) -> DataFrame:
     """Pieces of all documents, each with its place in a sequence of at most ``capacity`` ids.
 
-    A task's rows are a part of the input files, so a task that is run again gives the same sequences.
+    ``table_pieces``: word pieces whose ids a Python worker keeps; fewer take less memory and more time. A task's rows are a part of the input files, so a task that is run again gives the same sequences.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, packer, end = word_table(tokenizer), Packer(capacity), np.array([end_id], np.uint32)
+        table, packer, end = word_table(tokenizer, table_pieces), Packer(capacity), np.array([end_id], np.uint32)
         number = TaskContext.get().partitionId() * TASK_SEQUENCES
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

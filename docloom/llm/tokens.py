@@ -195,12 +195,13 @@ def _room(a: np.ndarray, n: int) -> np.ndarray:
 KEPT["tokens"] = _loaded.clear
 
 
-def word_table(name_or_path: str) -> WordTable:
-    """The table of this Python worker."""
+def word_table(name_or_path: str, pieces: int = TABLE_PIECES) -> WordTable:
+    """The table of this Python worker, for so many pieces at most."""
     claim("tokens")
     path = tokenizer_path(name_or_path)
     if path not in _loaded:
         _loaded[path] = WordTable(path)
+    _loaded[path].limit = pieces
     return _loaded[path]
 
 
