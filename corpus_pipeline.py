@@ -18,6 +18,9 @@ from docloom.llm.packing import pack  # noqa: E402
 from docloom.llm.queries import WORD_BPE  # noqa: E402
 from docloom.session import ship  # noqa: E402
 
+#: Word pieces whose ids a Python worker of the packing stage keeps.
+TABLE_PIECES = 250_000
+
 
 def _texts(found: DataFrame) -> DataFrame:
     """The texts found, as a table: Spark knows its size when it plans the join with all documents."""
@@ -25,7 +28,7 @@ def _texts(found: DataFrame) -> DataFrame:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on ``labels``, doesn't call toxic."""
+    """Documents that the classifier, trained on ``labels``, doesn't call toxic. Empty and null texts are scored like others; repeated rows go or stay together."""
     labels = ship(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, toxicity.fit(docs, labels))
 
@@ -37,16 +40,19 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words are benchmark passages."""
+    """Documents of which less than a twentieth of the words are benchmark passages. Texts without words stay; without items all do."""
     benchmark = ship(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
     gone = _texts(contamination(docs, benchmark).filter("contaminated"))
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (text_key("text") == gone["_hash"]), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 4096 ids."""
+    """Pieces of the documents in sequences of 4096 ids; a null or empty text is its end id alone.
+
+    The executors still hold what the stages before left in the JVM, so the workers keep smaller tables.
+    """
     ship(spark)
-    return pack(docs, WORD_BPE)
+    return pack(docs, WORD_BPE, table_pieces=TABLE_PIECES)
 
 
 STAGES = [("toxicity", without_toxic), ("near_duplicates", without_near_duplicates), ("decontamination", without_benchmark), ("packing", packed)]
