@@ -42,13 +42,13 @@ def _collect_frames(refs: DataFrame, keys: list[str], target: str) -> DataFrame:
 def assemble_graph(nodes: DataFrame, edges: DataFrame, frames: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Chunk-local indexes to document ids, in chunk order then item order; model edges de-duplicated."""
     placed = with_position(nodes, ["doc_id"], ["chunk_ord", "idx"], "node_ord", block_rows=CHUNKS_PER_BLOCK)
-    placed = placed.withColumn("node_id", node_id(F.col("node_ord")))
+    placed = cut_lineage(placed.withColumn("node_id", node_id(F.col("node_ord"))))
     ids = placed.select(*CHUNK, F.col("idx").alias("_i"), F.col("node_id").alias("_n"))
 
     def remap(df, column):
         return (df.join(ids.withColumnRenamed("_i", column), [*CHUNK, column]).withColumn(column, F.col("_n")).drop("_n"))
     out_edges = remap(remap(edges, "src"), "dst").withColumn("origin", F.lit("model"))
-    out_edges = first_by(out_edges.filter(F.col("src") != F.col("dst")), ["doc_id", "src", "dst", "relation"], ["chunk_ord", "idx"])
+    out_edges = cut_lineage(first_by(out_edges.filter(F.col("src") != F.col("dst")), ["doc_id", "src", "dst", "relation"], ["chunk_ord", "idx"]))
     out_edges = with_position(out_edges, ["doc_id"], ["chunk_ord", "idx"], "edge_ord", block_rows=CHUNKS_PER_BLOCK)
     keys = ["doc_id", "chunk_ord", "chunk_id", "idx"]
     refs = _frame_refs(frames, keys).withColumn("_i", F.col("ref").cast("bigint"))

@@ -119,8 +119,9 @@ def expand_prerequisites(records: DataFrame, known: DataFrame, units: DataFrame,
     (new), ``dependencies`` and ``known`` (new).
     """
     made = units.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_made"))
+    accepted = cut_lineage(accepted)
     placed = with_position(accepted, ["doc_id"], ["batch_no", "item_pos", "pos"], "_p", block_rows=4096).join(made, "doc_id", "left").fillna(0, ["_made"])
-    placed = placed.withColumn("unit_id", _unit_id(F.col("_made") + F.col("_p")))
+    placed = cut_lineage(placed.withColumn("unit_id", _unit_id(F.col("_made") + F.col("_p"))))
     provenance = F.when(F.col("basis") == "source", "source_decomposition").otherwise("model_common_knowledge")
     status = F.when(F.col("citation_required"), "citation_needed").when(F.col("basis") == "source", "source_grounded").otherwise("model_common_knowledge")
     new_units = placed.select("doc_id", "record_id", F.col("pos").alias("unit_pos"), "unit_id", "role", "text", provenance.alias("provenance"),
@@ -133,8 +134,9 @@ def expand_prerequisites(records: DataFrame, known: DataFrame, units: DataFrame,
     wanted = wanted.join(known.select("doc_id", F.col("concept").alias("key")), ["doc_id", "key"], "left_anti").filter(F.lit(depth < max_depth))
     first = wanted.groupBy("doc_id", "key").agg(F.min_by(F.struct("record_id", "unit_id", "concept", "_p", "_q"), F.struct("_p", "_q")).alias("_w")).select("doc_id", "key", "_w.*")
     first = first.join(records.select("doc_id", "record_id", "chapter"), ["doc_id", "record_id"])
-    first = first.withColumn("new_id", generated_id(F.col("chapter"), F.col("concept"), compose=compose))
-    fresh = with_position(first.join(records.select("doc_id", F.col("record_id").alias("new_id")), ["doc_id", "new_id"], "left_anti"), ["doc_id"], ["_p", "_q"], "_n")
+    first = cut_lineage(first.withColumn("new_id", generated_id(F.col("chapter"), F.col("concept"), compose=compose)))
+    fresh = cut_lineage(first.join(records.select("doc_id", F.col("record_id").alias("new_id")), ["doc_id", "new_id"], "left_anti"))
+    fresh = with_position(fresh, ["doc_id"], ["_p", "_q"], "_n")
     last = records.groupBy("doc_id").agg(F.max("record_ord").alias("_last"))
     new_records = fresh.join(last, "doc_id").select(
         "doc_id", (F.col("_last") + F.col("_n")).alias("record_ord"), F.col("new_id").alias("record_id"), F.lit(None).cast("string").alias("source_node_id"), "chapter",

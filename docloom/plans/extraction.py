@@ -61,7 +61,7 @@ add_table("fx_node_rules", lambda d: NODE_RULES)
 
 
 def validated_nodes(spark, sf):
-    return ex.validate_nodes(fixture(spark, sf, "fx_node_items"), chunk_units(spark, sf), compose=False)
+    return ex.validate_nodes(fixture(spark, sf, "fx_node_items"), chunk_units(spark, sf))
 
 
 @query("validate_nodes", """select doc_id, chunk_id, idx, k as kind, final as text, why as reason from fx_node_rules
@@ -153,7 +153,7 @@ def salvage_empty_answers(spark, sf):
 
 def salvaged(spark, sf):
     return ex.salvage_extraction(fixture(spark, sf, "fx_node_items"), fixture(spark, sf, "fx_edge_items"), fixture(spark, sf, "fx_frame_items"),
-                                 chunk_units(spark, sf), compose=False)
+                                 chunk_units(spark, sf))
 
 
 @query("salvage_extraction", f"""with s as (select *, k <> 'gap' and len(ids) - coalesce(unknown, 0) = 1 and unit_kind = k as verbatim from ({NODE_CHECK})),

@@ -19,7 +19,7 @@ def query(name, sql):
 
 def concept_tables(spark, sf):
     """Concept members and concepts, handed over as tables to the later phases."""
-    members = stage(spark, sf, "concept_members", lambda: g.concept_members(fixture(spark, sf, "fx_node_concepts"), compose=False))
+    members = stage(spark, sf, "concept_members", lambda: g.concept_members(fixture(spark, sf, "fx_node_concepts")))
     return members, stage(spark, sf, "concepts", lambda: g.concept_index(members))
 
 
@@ -59,7 +59,7 @@ add_table("fx_concepts", lambda d: """select doc_id, concept, count_if(role = 'd
 @query("concept_index", """select doc_id, concept, concept as label, cast(floor(seen / 100) as bigint) as first_node, cast(defined_by as bigint) as defined_by,
     cast(required_by as bigint) as required_by, cast(mentioned_by as bigint) as mentioned_by, cast(gap_nodes as bigint) as gap_nodes from fx_concepts""")
 def concept_index(spark, sf):
-    members = g.concept_members(fixture(spark, sf, "fx_node_concepts"), compose=False)
+    members = g.concept_members(fixture(spark, sf, "fx_node_concepts"))
     return g.concept_index(members).drop("first_role", "first_pos")
 
 
@@ -262,7 +262,7 @@ def merge_graphs(spark, sf):
     variants = tables["fx_vnodes"].select("doc_id", "variant").distinct().withColumn("sha256", strange)
     # A document of which one variant has no node still has that variant.
     variants = variants.unionByName(variants.select("doc_id").distinct().select("doc_id", F.explode(F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint"))).alias("variant")).withColumn("sha256", strange)).distinct()
-    out = g.merge_graphs(variants, fixture(spark, sf, "fx_units"), tables["fx_vnodes"], tables["fx_vunits"], tables["fx_vconcepts"], tables["fx_vedges"], tables["fx_vframes"], tables["fx_vnotes"], compose=False)
+    out = g.merge_graphs(variants, fixture(spark, sf, "fx_units"), tables["fx_vnodes"], tables["fx_vunits"], tables["fx_vconcepts"], tables["fx_vedges"], tables["fx_vframes"], tables["fx_vnotes"])
     part = lambda df, name, a=None, b=None, c=None, n=None: df.select("doc_id", F.lit(name).alias("part"), *[(F.lit(None) if x is None else x if isinstance(x, Column) else F.col(x)).cast(kind).alias(y)
                                                                    for x, y, kind in ((a, "a", "string"), (b, "b", "string"), (c, "c", "string"), (n, "n", "bigint"))])
     notes = out["node_annotations"].groupBy("doc_id", "node_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "annotation"))), lambda x: x["annotation"]), ",").alias("notes"))

@@ -35,7 +35,7 @@ add_table("fx_overlay", lambda d: f"""select g.doc_id, g.node_id as gap_id, g.no
 
 def fresh_overlay(spark, sf):
     members, concepts = concept_tables(spark, sf)
-    return ov.build_overlay(fixture(spark, sf, "fx_nodes"), fixture(spark, sf, "fx_node_units"), members, concepts, units_with_context(spark, sf), compose=False)
+    return ov.build_overlay(fixture(spark, sf, "fx_nodes"), fixture(spark, sf, "fx_node_units"), members, concepts, units_with_context(spark, sf))
 
 
 def overlay(spark, sf):
@@ -222,7 +222,7 @@ add_table("fx_external", lambda d: f"""select doc_id, gap_id, case when open and
 
 @query("resolve_external", "select * from fx_external")
 def resolve_external(spark, sf):
-    out = ov.resolve_external(records(spark, sf), fixture(spark, sf, "fx_definitions"), fixture(spark, sf, "fx_hits"), compose=False)
+    out = ov.resolve_external(records(spark, sf), fixture(spark, sf, "fx_definitions"), fixture(spark, sf, "fx_hits"))
     return out.select("doc_id", "gap_id", "status", "candidate_definition", "confidence")
 
 

@@ -222,7 +222,7 @@ add_table("fx_generated", lambda d: """select w.*, t.chapter, 'teach-generated-'
 
 def known(spark, sf):
     defines = fixture(spark, sf, "fx_node_concepts").filter("role = 'defines'")
-    return defines.select("doc_id", normalize_label(F.col("concept"), compose=False).alias("concept")).distinct()
+    return defines.select("doc_id", normalize_label(F.col("concept")).alias("concept")).distinct()
 
 
 @query("expand_prerequisites", """select t.doc_id, 'record' as part, t.record_id as a, case when x.record_id is not null then 'expanded' when dense then 'expansion_required' else 'source_ready' end as b, t.chapter as c
@@ -232,7 +232,7 @@ def known(spark, sf):
       left join (select doc_id, count(*) as made from fx_teach where not dense group by doc_id) m using (doc_id)""")
 def expand_prerequisites(spark, sf):
     records, units = built(spark, sf)
-    out = te.expand_prerequisites(records.withColumn("expansion_depth", F.lit(0).cast("bigint")), known(spark, sf), units, accepted_units(spark, sf)[0], 0, compose=False)
+    out = te.expand_prerequisites(records.withColumn("expansion_depth", F.lit(0).cast("bigint")), known(spark, sf), units, accepted_units(spark, sf)[0], 0)
     row = lambda df, part, a, b, c: df.select("doc_id", F.lit(part).alias("part"), F.col(a).alias("a"), F.col(b).alias("b"), F.col(c).alias("c"))
     return row(out["records"], "record", "record_id", "status", "chapter").unionByName(row(out["dependencies"], "dependency", "src", "dst", "reason")).unionByName(
         row(out["units"], "unit", "record_id", "unit_id", "text"))
@@ -245,7 +245,7 @@ def expand_prerequisites(spark, sf):
 def expansion_frontier(spark, sf):
     records, units = built(spark, sf)
     responses = fixture(spark, sf, "fx_expansions").withColumn("depth", F.lit(0))
-    out = te.expansion_frontier(records, known(spark, sf), units, responses, 1, compose=False)
+    out = te.expansion_frontier(records, known(spark, sf), units, responses, 1)
     return out["records"].groupBy("doc_id", "status", F.col("expansion_depth").alias("depth")).agg(F.count(F.lit(1)).alias("records"))
 
 
@@ -396,14 +396,16 @@ def assemble_document(spark, sf):
     return te.assemble_document(parts.join(built(spark, sf)[0].select("doc_id").distinct(), "doc_id", "left_semi"))
 
 
-@query("assembly_report", r"""select doc_id, count(*) as records, count(*) as source_records, cast(count_if(not dense) as bigint) as mapped, cast(count_if(dense) as bigint) as dense_records, cast(count_if(dense) as bigint) as pending,
-      cast(count_if(not dense) as bigint) as units, max(w.words) as source_words from fx_teach join (
-        select doc_id, cast(len(regexp_extract_all(text, '[\p{L}\p{N}][\p{L}\p{N}_''-]*')) as bigint) as words from documents) w using (doc_id) group by doc_id""")
+@query("assembly_report", rf"""select t.doc_id, count(*) as records, count(*) as source_records, cast(count_if(not dense) as bigint) as mapped, cast(count_if(dense) as bigint) as dense_records, cast(0 as bigint) as expanded_dense,
+      cast(0 as bigint) as generated, cast(count_if(dense) as bigint) as pending, cast(count_if(not dense) as bigint) as units, max(w.words) as source_words, max(a.words) as output_words, cast(0 as bigint) as missing_labels from fx_teach t
+    join (select doc_id, cast({{count}} as bigint) as words from documents) w using (doc_id)
+    join (select doc_id, cast({{count}} as bigint) as words from (select doc_id, regexp_replace(text, '<!--[\s\S]*?-->', '', 'g') as text from ({{assembled}}))) a using (doc_id) group by t.doc_id""".format(
+        count=r"len(regexp_extract_all(text, '[\p{L}\p{N}][\p{L}\p{N}_''-]*'))", assembled=ASSEMBLED))
 def assembly_report(spark, sf):
     records, units = built(spark, sf)
     documents = stage(spark, sf, "assembled", lambda: te.assemble_split_document(document_parts(spark, sf)))
     out = te.assembly_report(records, units, documents, source(spark, sf, "documents"))
-    return out.select("doc_id", "records", "source_records", "mapped", "dense_records", "pending", "units", "source_words")
+    return out.select("doc_id", "records", "source_records", "mapped", "dense_records", "expanded_dense", "generated", "pending", "units", "source_words", "output_words", "missing_labels")
 
 
 # --- sections as graphs of their own -----------------------------------------------------

@@ -117,6 +117,21 @@ def test_prune_summary_counts_what_went(spark):
         dict(doc_id=2, before=1, records=0, source_records=0, generated_prerequisites=0, pending=0, unresolved_prerequisites=0, units=0, pruned=1)]
 
 
+def test_report_accepts_only_complete_documents(spark):
+    """One document passes; each other breaks one gate: a label, a pending record, the length, a dense record, a record without units."""
+    rows = [(d, f"r{d}", f"n{d}", "Words are here [R1]", False, False, "source_ready", 1) for d in range(1, 7)]
+    rows[2] = (3, "r3", "n3", "Words are here [R1]", False, False, "expansion_required", 1)
+    rows[4] = (5, "r5", "n5", "Words are here [R1]", True, False, "expanded", 2)
+    records = spark.createDataFrame(rows, "doc_id bigint, record_id string, source_node_id string, source_anchor string, dense boolean, generated boolean, status string, minimum_units bigint")
+    units = spark.createDataFrame([(d, f"r{d}") for d in range(1, 6)], "doc_id bigint, record_id string")
+    text = "# Guide\n\n<!-- docloom:source {} -->\n\nWords are here [R1]\n"
+    documents = spark.createDataFrame([(d, text.replace("[R1]", "none") if d == 2 else text) for d in range(1, 7)], "doc_id bigint, text string")
+    sources = spark.createDataFrame([(d, "Words are here " * (9 if d == 4 else 1)) for d in range(1, 7)], "doc_id bigint, text string")
+    out = {r.doc_id: r for r in te.assembly_report(records, units, documents, sources).collect()}
+    assert {d: r.accepted for d, r in out.items()} == {1: True, 2: False, 3: False, 4: False, 5: False, 6: False}
+    assert (out[1].output_words, out[2].missing_labels, out[5].expanded_dense, out[6].mapped) == (5, 1, 0, 0)
+
+
 def test_positions_and_running_values_do_not_depend_on_blocks(spark):
     df = spark.createDataFrame([(d, o * 3, float(o % 5)) for d in range(2) for o in range(50)], "k bigint, o bigint, v double")
     placed = with_position(df, ["k"], ["o"], "p", block_rows=4).collect()
