@@ -9,7 +9,7 @@ from docloom.operators import batching
 from docloom.operators import extraction as ex
 from docloom.operators import graph as g
 from docloom.operators import overlay as ov
-from docloom.streaming.answers import read_answers, start_answer_stream
+from docloom.streaming.answers import compact, read_answers, start_answer_stream, state_folders
 
 UNITS = "doc_id bigint, chunk_id string, unit_ord bigint, unit_id string, kind string, text string"
 ITEMS = "doc_id bigint, chunk_ord bigint, chunk_id string, idx bigint, kind string, text string, need string, gap_type string, source_unit_ids array<string>"
@@ -175,6 +175,34 @@ def test_answer_stream_equals_the_batch_result(spark, tmp_path):
     assert got == {r.gap_key: r.answer_id for r in ov.latest_answers(df).collect()}
 
 
+def test_answer_state_stays_small_over_a_restart(spark, tmp_path):
+    """Many batches with late and resent rows, stopped and started again: few folders are read, the result is that of one batch."""
+    base = dt.datetime(2024, 1, 1)
+    schema = "gap_key bigint, answer string, ts timestamp, answer_id bigint"
+    rows = [(i % 5, f"a{i}", base + dt.timedelta(minutes=(i * 53) % 700), i) for i in range(60)]
+    source, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+
+    def run(part):
+        for k in range(0, len(part), 6):
+            spark.createDataFrame(part[k:k + 6], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        start_answer_stream(stream, out, checkpoint, compact_every=4).awaitTermination(240)
+
+    run(rows[:36] + rows[:6])
+    first = state_folders(spark, out)
+    run(rows[36:] + rows[30:36])
+    folders = state_folders(spark, out)
+    assert all("snapshot=" in f[0] and len(f) <= 4 for f in (first, folders)) and first[0] != folders[0]
+    assert len([p for p in (tmp_path / "out").iterdir() if p.is_dir()]) <= 2 * 4 + 2  # older ones are gone
+    want = {r.gap_key: (r.answer_id, r.answer) for r in ov.latest_answers(spark.createDataFrame(rows, schema)).collect()}
+    assert {r.gap_key: (r.answer_id, r.answer) for r in read_answers(spark, out).collect()} == want
+    last = int(folders[-1].rsplit("=", 1)[1])
+    compact(spark, out, last)  # again, and twice: the same rows
+    compact(spark, out, last)
+    assert state_folders(spark, out) == [f"{out}/snapshot={last}"]
+    assert {r.gap_key: (r.answer_id, r.answer) for r in read_answers(spark, out).collect()} == want
+
+
 def test_repeated_json_keys_keep_the_last_value(spark):
     responses = spark.createDataFrame([(1, '{"scores":[{"id":"a","id":"b","score":0.5}]}')], "doc_id bigint, response string")
     items, issues = batching.ingest_responses(responses, ["doc_id"], "scores")
