@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import KEPT, claim, text_bytes, text_key, written
+from docloom.llm.common import KEPT, claim, fresh_folder, removed, settled, text_bytes, text_key, written
 from docloom.llm.components import components
 
 #: Shingle length, retained values, and retained values that a linked pair shares.
@@ -304,14 +304,22 @@ def long_list_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, k: int = K, least: int = LEAST, column: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id and kept of every document."""
-    rows = written(sketches(docs, words, k, column), "sketches")
+    spark, path = docs.sparkSession, fresh_folder(docs.sparkSession, "sketches")
+    sketches(docs, words, k, column).write.parquet(path)
+    rows = spark.read.schema(SKETCHES).parquet(path)
     classes = written(rows.filter("n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.coalesce(F.max("doc_id"), F.max("text_hash")).alias("member"), F.first("sketch").alias("sketch")), "classes")
+    rows = written(rows.drop("sketch"), "documents")
+    removed(spark, path)
     lists = written(inverted_lists(classes, k, least), "sketch-lists")
+    settled(spark)
     sets = written(class_sets(docs, classes, lists, words, column).dropDuplicates(["digest"]), "sets")
     lists = written(role_lists(sets), "full-lists")
+    settled(spark)
     links = written(exact_links(estimated(leader_pairs(lists), classes, k, least), sets), "links")
+    settled(spark)
     labels = components(links)
     rest = written(open_lists(lists, labels), "open-lists")
+    settled(spark)
     if not rest.isEmpty():
         more = written(exact_links(estimated(short_pairs(rest), classes, k, least), sets).unionByName(long_list_links(rest, sets)), "last-links")
         if not more.isEmpty():

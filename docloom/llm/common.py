@@ -50,6 +50,18 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """A folder that no later phase reads goes."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def settled(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of finished phases when the driver collects their plans; ask for that now."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def text_bytes(column: str = "text") -> Column:
     """UTF-8 bytes of a text, empty for null."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
