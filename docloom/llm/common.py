@@ -21,8 +21,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEPT: dict[str, Callable[[], None]] = {}
 
 
+_owner = [""]
+
+
 def claim(name: str) -> None:
     """Called by a task of one operator: what others keep in this worker is let go."""
+    if _owner[0] == name:
+        return
+    _owner[0] = name
     for other, release in KEPT.items():
         if other != name:
             release()
