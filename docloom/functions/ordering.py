@@ -77,6 +77,15 @@ def top_by(df: DataFrame, keys: list[str], order: list, limit: int, rank: str =
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= limit)
 
 
+def dealt(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """All rows of a key in one task, sorted by ``keys`` and ``order``, for Python functions over whole partitions.
+
+    Dealt by a digest of the keys: Spark drops a repartition by columns that a join below already deals by, and may afterwards
+    merge or split that join's partitions, so that a key's rows reach several tasks.
+    """
+    return df.repartition(F.xxhash64(*keys)).sortWithinPartitions(*keys, *order)
+
+
 def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.ordering import cut_lineage, union_all, with_position
+from docloom.functions.ordering import cut_lineage, dealt, union_all, with_position
 
 GROUP = ["doc_id", "chapter"]
 GROUP_LIMIT = 100_000
@@ -161,7 +161,7 @@ def _solved(nodes: DataFrame, edges: DataFrame, keys: list[str], solve) -> DataF
     none = F.lit(None).cast(types["node"])
     tagged = (nodes.select(*keys, F.lit(0).alias("kind"), F.col("node").alias("a"), none.alias("b"), F.col("mark").cast("int").alias("mark"))
               .unionByName(edges.select(*keys, F.lit(1).alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), F.lit(0).alias("mark"))))
-    return tagged.repartition(*keys).sortWithinPartitions(*keys, "kind").mapInPandas(_each_group(keys, solve), f"{ddl}, value bigint")
+    return dealt(tagged, keys, ["kind"]).mapInPandas(_each_group(keys, solve), f"{ddl}, value bigint")
 
 
 def dependency_levels(records: DataFrame, dependencies: DataFrame, keys: tuple[str, ...] = ("doc_id",), group_limit: int = GROUP_LIMIT) -> DataFrame:

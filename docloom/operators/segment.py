@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.functions.ordering import BLOCK_ROWS, union_all, with_running
+from docloom.functions.ordering import BLOCK_ROWS, dealt, union_all, with_running
 from docloom.functions.text import WS, is_blank, rtrim_ws, sha256_hex, text_length, trim_ws, zero_pad
 
 HEADING = rf"\A{WS}{{0,3}}(#{{1,6}}){WS}+([\s\S]+?){WS}*#*{WS}*\z"
@@ -197,7 +197,7 @@ def segment_lines(lines: DataFrame, block_lines: int = BLOCK_ROWS) -> DataFrame:
     Of a document only these answers meet in one task, and of its text only a unit.
     """
     rows = lines.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "text").withColumn("_blk", F.floor(F.col("line_no") / block_lines).cast("bigint"))
-    placed = lambda df: df.repartition("doc_id", "_blk").sortWithinPartitions("doc_id", "_blk", "line_no")
+    placed = lambda df: dealt(df, ["doc_id", "_blk"], ["line_no"])
     doc = dict(lines.dtypes)["doc_id"]
 
     def leave(pdf):
@@ -352,7 +352,7 @@ def pack_chunks(units: DataFrame, limit: int = 24_000, keys: tuple[str, ...] = (
                  .applyInPandas(_summarize(keys, limit), f"{key_ddl}, blk bigint, low bigint, high bigint, opened bigint, exit_size bigint, adds boolean"))
     entries = summaries.groupBy(*keys).applyInPandas(_compose(keys), f"{key_ddl}, blk bigint, entry_size bigint, entry_chunks bigint")
     rows = rows.join(entries, [*keys, "blk"], "left").fillna(0, ["entry_size", "entry_chunks"])
-    ordered = rows.repartition(*keys, "blk").sortWithinPartitions(*keys, "blk", "unit_ord")
+    ordered = dealt(rows, [*keys, "blk"], ["unit_ord"])
     return ordered.mapInPandas(_pack(keys, limit), f"{key_ddl}, unit_ord bigint, chunk_ord bigint")
 
 

@@ -221,3 +221,25 @@ def test_replace_named_blocks(spark):
 def test_navigation(spark):
     units = spark.createDataFrame([("u0", "- [Stations](#stations)"), ("u1", "The plain."), ("u2", " larger letters "), ("u3", "Print this page")], "unit_id string, text string")
     assert sorted(r.unit_id for r in te.navigation_units(units, (r"(?m)^-\s*\[[^\]]+\]\(#[^)]+\)\s*$", r"(?i)\Alarger letters\z", r"\APrint this page\z")).collect()) == ["u0", "u2", "u3"]
+
+
+def test_groups_stay_whole_when_the_session_merges_partitions_of_each_side(spark):
+    # Many small documents with uneven numbers of records and dependencies, read through shuffled joins.
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        docs = spark.range(3000).select(F.col("id").alias("doc_id"))
+        name = lambda i: F.concat(F.lit("r"), i.cast("string"))
+        records = docs.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("i")).select("doc_id", name(F.col("i")).alias("record_id"))
+        deps = docs.filter("doc_id % 3 > 0").select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("i")).select("doc_id", name(F.col("i")).alias("src"), name(F.col("i") + 1).alias("dst"))
+        levels = od.dependency_levels(records, deps)
+        right = levels.filter(F.col("level") == F.when((F.col("doc_id") % 3 > 0) & (F.col("record_id") <= "r5"), F.substring("record_id", 2, 1).cast("int")).otherwise(0))
+        assert (levels.count(), right.count()) == (30_000, 30_000)
+        kept, inner = od.prune_reachable(records, deps, docs.select("doc_id", F.lit("r5").alias("record_id")))
+        assert (kept.count(), inner.count()) == (13_000, 10_000)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
