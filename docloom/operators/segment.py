@@ -18,6 +18,10 @@ HEADING = rf"\A{WS}{{0,3}}(#{{1,6}}){WS}+([\s\S]+?){WS}*#*{WS}*\z"
 MAY_OPEN_BLOCK = rf"(?i)(?:\A|\n){WS}*(?:```|~~~|\\\[|\$\$)|<details[\t\n\x0B\f\r >]"
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start_line", T.IntegerType()),
                                   T.StructField("end_line", T.IntegerType())]))
+ANSWERS = T.ArrayType(T.StructType([T.StructField("state", T.StringType()), T.StructField("length", T.IntegerType()), T.StructField("after", T.StringType()),
+                                    T.StructField("units", T.IntegerType())]))
+PIECES = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("a", T.IntegerType()),
+                                   T.StructField("b", T.IntegerType())]))
 
 
 def _line_kind(line: Column) -> Column:
@@ -106,37 +110,66 @@ def _spans_with_blocks(text: str):
     return spans
 
 
-def _exits(lines: list[str]) -> list[tuple[str, int, str]]:
-    """The state after these lines for every state before them, as (state, length, state after) in order of precedence.
+def _answers(lines: list[str]) -> list[tuple[str, int, str, int]]:
+    """What these lines do for every state before them: (state, length, state after, units that start), in order of precedence.
 
-    "" and "prose" leave alike. A fence of n characters takes the first row of its character with a length of n or more; a
-    state without a row stays as it is. One pass from the last line to the first.
+    A fence of n characters takes the first row of its character with a length of n or more; a state without a row stays as it
+    is and starts no unit. One pass from the last line to the first.
     """
-    after = {state: state for state in ("", "prose", "table")}  # before the line that comes next
-    closers: dict[str, list[tuple[int, str]]] = {}
+    after = {state: (state, 0) for state in ("", "prose", "table")}  # before the line that comes next
+    closers: dict[str, list[tuple[int, str, int]]] = {}
     for line in reversed(lines):
         text = line.strip(_SPACE)
+        opens = _opens(line, text) if text else None
         before = {}
-        for state in ("", "table"):
-            opened = _opens(line, text) if text and not (state == "table" and text[0] == "|") else None
-            if not opened:
-                before[state] = after[_open_run(line, text, state)[1]]
-            elif opened[1]:
-                before[state] = after[""]
+        for state in after:
+            if not opens or state == "table" and text[0] == "|":
+                kind, then = _open_run(line, text, state)
+                done, units = after[then]
+                before[state] = done, units + (kind is not None and (kind == "heading" or kind != state))
             else:
-                rows = closers.get(opened[0][0], ())
-                before[state] = next((done for length, done in reversed(rows) if length >= len(opened[0])), opened[0])
+                rows = closers.get(opens[0][0], ())
+                done, units = after[""] if opens[1] else next((row[1:] for row in reversed(rows) if row[0] >= len(opens[0])), (opens[0], 0))
+                before[state] = done, units + 1
         for mark in BLOCK_KINDS:
             fence = mark in "`~"
             if text and (text[0] == mark and text == mark * len(text) if fence else _closes({"\\": "\\[", "$": "$$", "<": "<details"}[mark], text)):
                 rows = closers.setdefault(mark, [])
                 while rows and rows[-1][0] <= len(text):  # farther and no longer: this line closes all that they close
                     rows.pop()
-                rows.append((len(text) if fence else 1 << 30, after[""]))
+                rows.append((len(text) if fence else 1 << 30, *after[""]))
                 if not fence:
                     rows[:] = rows[-1:]
-        after = {**before, "prose": before[""]}
-    return [("", 0, after[""]), ("table", 0, after["table"])] + [(mark, length, done) for mark, rows in closers.items() for length, done in reversed(rows)]
+        after = before
+    return [(state, 0, *row) for state, row in after.items()] + [(mark, *row) for mark, rows in closers.items() for row in reversed(rows)]
+
+
+def _exits(lines: list[str]) -> list[tuple[str, int, str]]:
+    """The states of ``_answers`` alone; "" and "prose" leave alike."""
+    return [row[:3] for row in _answers(lines) if row[0] != "prose"]
+
+
+def _pieces(lines, state: str) -> list[dict]:
+    """The units and parts of units among these lines: kind, units started so far, first and last line counted from 1."""
+    found, units = [], 0
+    for at, line in enumerate(lines, 1):
+        kind, starts, state = _scan(line, state)
+        if kind and (starts or not found):
+            units += starts
+            found.append({"kind": kind, "n": units, "a": at, "b": at})
+        elif kind:
+            found[-1]["b"] = at
+    return found
+
+
+@F.pandas_udf(ANSWERS)
+def _block_answers(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda lines: [{"state": s, "length": n, "after": a, "units": u} for s, n, a, u in _answers(lines)])
+
+
+@F.pandas_udf(PIECES)
+def _block_pieces(texts: pd.Series, entries: pd.Series) -> pd.Series:
+    return pd.Series([_pieces(lines, entry) for lines, entry in zip(texts, entries)], index=texts.index, dtype=object)
 
 
 @F.pandas_udf(SPANS)
@@ -171,63 +204,34 @@ def finished_units(units: DataFrame) -> DataFrame:
     return with_headings(units.withColumn("unit_id", unit_id(F.col("unit_ord"))).withColumn("hash", sha256_hex(F.col("text"))))
 
 
-def _blocks_of_lines(key: str, work):
-    """Rows arrive sorted by (key, block, line): ``work(block's key, frame of its lines)`` for each block, one block at a time."""
-    def run(batches):
-        held = []
-        for pdf in batches:
-            edges = np.flatnonzero((pdf[key].to_numpy()[1:] != pdf[key].to_numpy()[:-1]) | (pdf["_blk"].to_numpy()[1:] != pdf["_blk"].to_numpy()[:-1])) + 1
-            for a, b in zip([0, *edges], [*edges, len(pdf)]):
-                part = pdf.iloc[a:b]
-                if held and len(part) and (held[0][key].iloc[0], held[0]["_blk"].iloc[0]) != (part[key].iloc[0], part["_blk"].iloc[0]):
-                    yield work(pd.concat(held))
-                    held = []
-                if len(part):
-                    held.append(part)
-        if held:
-            yield work(pd.concat(held))
-    return run
-
-
 def segment_lines(lines: DataFrame, block_lines: int = BLOCK_ROWS) -> DataFrame:
     """The units of ``segment_units`` from ``lines(doc_id, line_no, text)``, for documents of any length.
 
-    Lines are cut into blocks of ``block_lines`` numbers. Every block says in one pass in which state it leaves the scanner
-    for each state it can be entered in; the answers of a document are chained, then the blocks are scanned in parallel.
-    Of a document only these answers meet in one task, and of its text only a unit.
+    Lines are cut into blocks of ``block_lines`` numbers, a row each. Every block says in one pass in which state it leaves the
+    scanner, and how many units start in it, for each state it can be entered in; the answers of a document are chained, then the
+    blocks are scanned in parallel. Of a document only these answers meet in one task, and of its text only a unit. The text is
+    shuffled twice: into blocks, and by unit.
     """
-    rows = lines.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "text").withColumn("_blk", F.floor(F.col("line_no") / block_lines).cast("bigint"))
-    placed = lambda df: dealt(df, ["doc_id", "_blk"], ["line_no"])
-    doc = dict(lines.dtypes)["doc_id"]
-
-    def leave(pdf):
-        found = _exits(pdf["text"].tolist())
-        return pd.DataFrame({"doc_id": [pdf["doc_id"].iloc[0]], "_blk": [pdf["_blk"].iloc[0]], "exits": [[{"state": s, "length": n, "after": a} for s, n, a in found]]})
-
-    exits = placed(rows).mapInPandas(_blocks_of_lines("doc_id", leave), f"doc_id {doc}, _blk bigint, exits array<struct<state: string, length: int, after: string>>")
-    fence = lambda state: F.substring(state, 1, 1).isin("`", "~")
-    fits = lambda state, x: F.when(fence(state), (x["state"] == F.substring(state, 1, 1)) & (x["length"] >= F.length(state))).otherwise(
-        x["state"] == F.when(state.isin("", "prose"), "").when(state == "table", state).otherwise(F.substring(state, 1, 1)))
-    step = lambda s, b: F.struct(F.array_append(s["entries"], F.struct(b["_blk"].alias("_blk"), s["state"].alias("entry"))).alias("entries"),
-                                 F.coalesce(F.try_element_at(F.filter(b["exits"], lambda x: fits(s["state"], x)), F.lit(1))["after"], s["state"]).alias("state"))
-    start = F.struct(F.array().cast("array<struct<_blk: bigint, entry: string>>").alias("entries"), F.lit("").alias("state"))
-    chained = exits.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("_blk", "exits"))).alias("blocks"))
+    rows = lines.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "text")
+    blocks = rows.groupBy("doc_id", F.floor(F.col("line_no") / block_lines).cast("bigint").alias("_blk")).agg(F.sort_array(F.collect_list(F.struct("line_no", "text"))).alias("_l"))
+    blocks = blocks.filter("doc_id is not null and _blk is not null")  # as the join below has it: Spark then uses one shuffle for both
+    texts = F.col("_l.text")
+    mark = lambda state: F.when(state.isin("", "prose", "table"), state).otherwise(F.substring(state, 1, 1))
+    fits = lambda state, x: (x["state"] == mark(state)) & (~mark(state).isin("`", "~") | (x["length"] >= F.length(state)))
+    hit = lambda s, b: F.try_element_at(F.filter(b["answers"], lambda x: fits(s["state"], x)), F.lit(1))
+    step = lambda s, b: F.struct(F.array_append(s["entries"], F.struct(b["_blk"].alias("_blk"), s["state"].alias("entry"), s["units"].alias("_before"))).alias("entries"),
+                                 F.coalesce(hit(s, b)["after"], s["state"]).alias("state"), (s["units"] + F.coalesce(hit(s, b)["units"], F.lit(0))).alias("units"))
+    start = F.struct(F.array().cast("array<struct<_blk: bigint, entry: string, _before: bigint>>").alias("entries"), F.lit("").alias("state"), F.lit(0).cast("bigint").alias("units"))
+    chained = (blocks.select("doc_id", "_blk", _block_answers(texts).alias("answers"))
+               .groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("_blk", "answers"))).alias("blocks")))
     entries = chained.select("doc_id", F.explode(F.aggregate("blocks", start, step, lambda s: s["entries"])).alias("x")).select("doc_id", "x.*")
-
-    def scan(pdf):
-        state, kinds, starts = pdf["entry"].iloc[0], [], []
-        for line in pdf["text"]:
-            kind, first, state = _scan(line, state)
-            kinds.append(kind)
-            starts.append(bool(kind and first))
-        return pdf[["doc_id", "line_no", "text"]].assign(kind=kinds, starts=starts)
-
-    scanned = (placed(rows.join(entries, ["doc_id", "_blk"])).mapInPandas(_blocks_of_lines("doc_id", scan), f"doc_id {doc}, line_no bigint, text string, kind string, starts boolean")
-               .filter("kind is not null"))
-    numbered = with_running(scanned, ["doc_id"], ["line_no"], {"unit_ord": ("sum", F.col("starts").cast("bigint"))}, block_rows=block_lines)
-    parts = F.sort_array(F.collect_list(F.struct("line_no", "text")))
-    units = numbered.groupBy("doc_id", "unit_ord").agg(F.min_by("kind", "line_no").alias("kind"), rtrim_ws(F.array_join(F.transform(parts, lambda x: x["text"]), "\n")).alias("text"),
-                                                       F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"))
+    pieces = blocks.join(entries, ["doc_id", "_blk"]).select("doc_id", "_before", "_l", F.explode(_block_pieces(texts, "entry")).alias("x"))
+    number = lambda at: F.col("_l")[F.col(at) - 1]["line_no"]
+    parts = pieces.select("doc_id", (F.col("_before") + F.col("x.n")).alias("unit_ord"), F.col("x.kind").alias("kind"), number("x.a").alias("start_line"), number("x.b").alias("end_line"),
+                          F.array_join(F.slice(texts, F.col("x.a"), F.col("x.b") - F.col("x.a") + 1), "\n").alias("text"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start_line", "text"))), lambda x: x["text"]), "\n")
+    units = parts.groupBy("doc_id", "unit_ord").agg(F.min_by("kind", "start_line").alias("kind"), rtrim_ws(joined).alias("text"),
+                                                    F.min("start_line").alias("start_line"), F.max("end_line").alias("end_line"))
     return finished_units(units)
 
 

@@ -199,3 +199,29 @@ def test_graph_round_trip(spark, tmp_path):
     assert [(r.node_id, r.text) for r in back["nodes"].orderBy("node_ord").collect()] == [("n0000001", "A"), ("n0000002", "B")]
     assert back["node_units"].first().unit_id == "u000001" and back["node_concepts"].first().concept == "x"
     assert back["edges"].first().dst == "n0000002" and back["frames"].first().evidence == ["n0000002"]
+
+
+def test_blocks_say_how_many_units_start():
+    draw = random.Random(6)
+    for _ in range(2000):
+        lines = [draw.choice(BLOCK_LINES) for _ in range(draw.randint(1, 9))]
+        rows = segment._answers(lines)
+        for entry in ("", "prose", "table", "```", "``````", "~~~", "\\[", "$$", "<details"):
+            mark = entry if entry in ("", "prose", "table") else entry[0]
+            fence = mark in ("`", "~")
+            units = next((units for state, length, _, units in rows if state == mark and (not fence or length >= len(entry))), 0)
+            pieces = segment._pieces(lines, entry)
+            assert units == (pieces[-1]["n"] if pieces else 0)
+
+
+def test_lines_are_shuffled_once_for_both_passes(spark):
+    lines = spark.range(2000).selectExpr("id % 40 as doc_id", "id div 40 + 1 as line_no", "case when id % 3 = 0 then '' else 'line ' || id end as text")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        units = segment.segment_lines(lines, 7)
+        assert len(units.collect()) > 600
+        plan = units._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "MapInPandas" not in plan and "ReusedExchange" in plan
