@@ -34,3 +34,21 @@ print(len([q for q in e.queries() if q.startswith('op') or q == 'pipeline']), le
 """
     out = subprocess.run([sys.executable, "-c", code, REPO], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert out.stdout.split() == ["0", "True"], out.stderr[-2000:]
+
+
+def test_small_files_of_large_tables_are_not_broadcast(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+
+    path = str(tmp_path / "ids")
+    spark.range(400_000).selectExpr("id div 10 as doc_id", "'u' || lpad(cast(id % 10 as string), 6, '0') as unit_id").write.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "ids").glob("*.parquet"))
+    assert size < 10 << 20 < 400_000 * 40
+    monkeypatch.setattr(entry, "QUERIES", {"q": lambda spark, sf: spark.read.parquet(path).join(spark.read.parquet(path), ["doc_id", "unit_id"])})
+    monkeypatch.setattr(entry, "LLM_QUERIES", {"op": lambda spark, sf: spark.range(1)})
+    given = spark.conf.get("spark.sql.sources.fileCompressionFactor")
+    try:
+        plan = entry.queries()["q"](spark, "")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    finally:
+        entry.queries()["op"](spark, "")
+    assert float(spark.conf.get("spark.sql.sources.fileCompressionFactor")) == float(given)
