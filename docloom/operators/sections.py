@@ -119,7 +119,7 @@ def section_tables(units: DataFrame, nodes: DataFrame, node_units: DataFrame, ed
     keyed = lambda df: df.withColumn("doc_id", F.struct("doc_id", "section")).drop("section")
     starts = sections.select("doc_id", "section", F.col("start_line").alias("_from"))
     place = unit_sections.select("doc_id", "unit_id", "section")
-    own = units.join(place, ["doc_id", "unit_id"]).join(starts, ["doc_id", "section"])
+    own = units.join(place.join(starts, ["doc_id", "section"]), ["doc_id", "unit_id"])
     for line in ("start_line", "end_line"):
         own = own.withColumn(line, F.col(line) - F.col("_from") + 1)
     inside = members.select("doc_id", "section", "node_id")

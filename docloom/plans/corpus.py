@@ -257,6 +257,14 @@ def units_with_context(spark, sf):
     return stage(spark, sf, "units_with_context", lambda: fresh_context(spark, sf))
 
 
+def unit_contexts(spark, sf):
+    """Heading paths alone, for phases that need no text."""
+    def build():
+        heads = fixture(spark, sf, "fx_units", "doc_id, unit_ord, unit_id, kind, lvl, title").withColumn("level", F.when(F.col("kind") == "heading", F.col("lvl")))
+        return segment.heading_context(heads.drop("kind", "lvl")).select("doc_id", "unit_id", "context")
+    return stage(spark, sf, "unit_contexts", build)
+
+
 def fresh_context(spark, sf):
     units = fixture(spark, sf, "fx_units").withColumn("level", F.when(F.col("kind") == "heading", F.col("lvl")))
     return segment.heading_context(units)
@@ -344,7 +352,7 @@ add_table("fx_chapters", lambda d: CHAPTER_SQL)
 
 
 def node_chapters(spark, sf):
-    found = sections.chapter_of(fixture(spark, sf, "fx_node_units"), units_with_context(spark, sf))
+    found = sections.chapter_of(fixture(spark, sf, "fx_node_units"), unit_contexts(spark, sf))
     return (fixture(spark, sf, "fx_nodes", "doc_id, node_id").join(found, ["doc_id", "node_id"], "left")
             .fillna("Unscoped", ["chapter"]))
 

@@ -8,7 +8,7 @@ from docloom.operators import batching
 from docloom.operators import ordering as od
 from docloom.operators import sections as sec
 from docloom.operators import teaching as te
-from docloom.plans.corpus import sections_from_units, units_with_context
+from docloom.plans.corpus import sections_from_units, unit_contexts
 from docloom.plans.fixtures import SPARK_BUILDERS, add_table, fixture, oracle, pad, source, stage
 from docloom.plans.graph import RELS as RELATION_LIST
 from docloom.plans.graph import concept_tables
@@ -119,7 +119,7 @@ add_table("fx_teach", lambda d: f"""select *, kind not in ('code', 'equation') a
 
 
 def chapters(spark, sf):
-    return stage(spark, sf, "teaching_chapters", lambda: sec.chapter_of(fixture(spark, sf, "fx_node_units"), units_with_context(spark, sf), sec.CHAPTER_OR_PART, True))
+    return stage(spark, sf, "teaching_chapters", lambda: sec.chapter_of(fixture(spark, sf, "fx_node_units"), unit_contexts(spark, sf), sec.CHAPTER_OR_PART, True))
 
 
 def fresh_records(spark, sf):
@@ -127,7 +127,8 @@ def fresh_records(spark, sf):
 
 
 def built(spark, sf):
-    return (stage(spark, sf, "teaching_records", lambda: fresh_records(spark, sf)[0]), stage(spark, sf, "teaching_units", lambda: fresh_records(spark, sf)[1]))
+    records = stage(spark, sf, "teaching_records", lambda: fresh_records(spark, sf)[0])
+    return records, stage(spark, sf, "teaching_units", lambda: te.source_units(records))
 
 
 @query("build_teaching_records", f"""select t.doc_id, t.record_id, t.chapter, t.density as density_score, t.density_source, case when dense then 'expansion_required' else 'source_ready' end as status, u.unit_id

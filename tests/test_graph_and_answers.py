@@ -223,3 +223,29 @@ def test_an_answer_without_nodes_becomes_a_gap(spark):
     items = spark.createDataFrame([], ITEMS)
     out = ex.salvage_empty_answers(units(spark), items, units(spark))
     assert [r.gap_type for r in out["nodes"].collect()] == ["parsing_error"] and out["node_units"].count() == 2
+
+
+def test_checks_and_contexts_shuffle_no_text(spark, tmp_path):
+    from docloom.plans import corpus, fixtures
+
+    long_text = "word " * 400
+    spark.createDataFrame([(i, "\n".join(f"{i} {n} {long_text}" for n in range(6))) for i in range(12)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    sf = str(tmp_path)
+    assert corpus.unit_contexts(spark, sf).columns == ["doc_id", "unit_id", "context"]
+    key = lambda name: (spark.sparkContext.applicationId, sf, name)
+    assert key("fx_units") in fixtures._STAGED and key("fx_lines") not in fixtures._STAGED and key("units_with_context") not in fixtures._STAGED
+    units, nodes, links = (fixtures.fixture(spark, sf, t) for t in ("fx_units", "fx_nodes", "fx_node_units"))
+    from docloom.operators import graph as g
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = g.validate_graph(units, nodes, links, fixtures.fixture(spark, sf, "fx_edges"), fixtures.fixture(spark, sf, "fx_frames"))[0]
+        verbatim = found.filter("rule = 'not_verbatim'")
+        plan = verbatim._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert plan.count("sha2(") == 2
+    covered = links.join(nodes.select("doc_id", "node_id", "text"), ["doc_id", "node_id"]).join(units.select("doc_id", "unit_id", "kind", units.text.alias("u")), ["doc_id", "unit_id"])
+    right = covered.filter("text = u").select("doc_id", "unit_id").distinct()
+    want = units.filter("kind in ('code', 'equation')").join(right, ["doc_id", "unit_id"], "left_anti").count()
+    assert verbatim.count() == want > 0
