@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docloom.functions import text as tx
 from docloom.functions.ordering import shared_folder
 from docloom.operators import batching, segment, sections
-from docloom.plans.fixtures import SPARK_BUILDERS, Dialect, add_table, fixture, oracle, pad, source, stage
+from docloom.plans.fixtures import SPARK_BUILDERS, Dialect, add_table, fixture, oracle, pad, source, stage, unstaged
 from docloom.sources import corpus, html
 
 QUERIES, ORACLES = {}, {}
@@ -324,8 +324,8 @@ SECTIONS_SQL = r"""select doc_id, section, title, start_line, end_line from (
 add_table("fx_usec", lambda d: """select *, cast(sum(case when kind = 'heading' and lvl = 1 then 1 else 0 end)
     over (partition by doc_id order by start_line) as bigint) as section from fx_units""")
 add_table("fx_sections", lambda d: SECTIONS_SQL)
-SPARK_BUILDERS["fx_usec"] = lambda spark, sf: fixture(spark, sf, "fx_units").join(
-    sections.sections_from_units(fixture(spark, sf, "fx_units"))[1].select("doc_id", "unit_id", "section"), ["doc_id", "unit_id"])
+SPARK_BUILDERS["fx_usec"] = lambda spark, sf: unstaged(spark, sf, "fx_units").join(
+    sections.sections_from_units(unstaged(spark, sf, "fx_units"))[1].select("doc_id", "unit_id", "section"), ["doc_id", "unit_id"])
 
 
 @query("sections_from_units", "select * from fx_sections")

@@ -263,32 +263,42 @@ SPARK_BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 # Row-local steps over one other table: a table that builds on them computes them again rather than have their texts written.
-INLINE = ("fx_lines", "fx_dscored")
+INLINE = ("fx_lines", "fx_units", "fx_dscored")
+# Of these not even a query that reads them has a copy written.
+NEVER_STAGED = ("fx_annotated_docs", "fx_written_docs", "fx_vnodes", "fx_vunits", "fx_vconcepts", "fx_vedges", "fx_vframes", "fx_vnotes")
+
+
+def unstaged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived table, read if it is staged and computed in place if not; the tables it builds on are staged first, so its plan stays
+    one step long (a few over ``INLINE`` ones)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _STAGED:
+        return spark.read.parquet(_STAGED[key])
+    if name in SPARK_BUILDERS:
+        return SPARK_BUILDERS[name](spark, sf_dir)
+    dialect = Dialect("spark", sf_dir)
+    text = TABLES[name](dialect)
+    ctes: dict[str, str] = {}
+
+    def add(sql):
+        for other in dict.fromkeys(re.findall(r"\bfx_\w+", sql)):
+            key = (spark.sparkContext.applicationId, sf_dir, other)
+            if other not in TABLES or other in ctes:
+                continue
+            if other in INLINE + NEVER_STAGED and key not in _STAGED:
+                add(TABLES[other](dialect))
+                ctes[other] = TABLES[other](dialect)
+            else:
+                fixture(spark, sf_dir, other)
+                ctes[other] = f"select * from parquet.`{_STAGED[key]}`"
+    add(text)
+    return spark.sql(f"with {', '.join(f'{other} as ({sql})' for other, sql in ctes.items())} {text}" if ctes else text)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str, columns: str = "*") -> DataFrame:
-    """A derived table; the tables it builds on are staged first, so its own plan stays one step long (two over ``INLINE`` ones)."""
-    def build():
-        if name in SPARK_BUILDERS:
-            return SPARK_BUILDERS[name](spark, sf_dir)
-        dialect = Dialect("spark", sf_dir)
-        text = TABLES[name](dialect)
-        ctes: dict[str, str] = {}
-
-        def add(sql):
-            for other in dict.fromkeys(re.findall(r"\bfx_\w+", sql)):
-                key = (spark.sparkContext.applicationId, sf_dir, other)
-                if other not in TABLES or other in ctes:
-                    continue
-                if other in INLINE and key not in _STAGED:
-                    add(TABLES[other](dialect))
-                    ctes[other] = TABLES[other](dialect)
-                else:
-                    fixture(spark, sf_dir, other)
-                    ctes[other] = f"select * from parquet.`{_STAGED[key]}`"
-        add(text)
-        return spark.sql(f"with {', '.join(f'{other} as ({sql})' for other, sql in ctes.items())} {text}" if ctes else text)
-    df = stage(spark, sf_dir, name, build)
+    """A derived table, staged unless it is one of ``NEVER_STAGED``."""
+    build = lambda: unstaged(spark, sf_dir, name)
+    df = build() if name in NEVER_STAGED else stage(spark, sf_dir, name, build)
     return df if columns == "*" else df.select(*[c.strip() for c in columns.split(",")])
 
 

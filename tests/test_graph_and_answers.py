@@ -256,6 +256,15 @@ def small_corpus(spark, folder):
     return str(folder)
 
 
+def test_audited_texts_are_written_once(spark, tmp_path):
+    from docloom.plans import fixtures, prose
+
+    sf = small_corpus(spark, tmp_path)
+    rows = prose.audit_sections(spark, sf).collect()
+    assert {r.status for r in rows} == {"present", "missing"}
+    assert {name for app, folder, name in fixtures._STAGED if folder == sf} == {"fx_section_docs"}
+
+
 def test_merged_nodes_are_told_apart_without_moving_texts(spark, tmp_path, monkeypatch):
     from docloom.plans import fixtures, graph
 
