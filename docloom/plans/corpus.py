@@ -51,8 +51,8 @@ def read_corpus(spark, sf):
     return docs.select("doc_id", "sha256", tx.text_length(F.col("text")).alias("chars"))
 
 
-def graph_tables_of(spark, sf):
-    units = units_with_context(spark, sf)
+def graph_tables_of(spark, sf, units=None):
+    units = units_with_context(spark, sf) if units is None else units
     return {"units": units.select("doc_id", "unit_ord", "unit_id", "kind", "text", "start_line", "end_line", "context"),
             "nodes": fixture(spark, sf, "fx_nodes", "doc_id, node_ord, node_id, kind, text, need, gap_type, origin, coverage_fallback"),
             "node_units": fixture(spark, sf, "fx_node_units"), "node_concepts": fixture(spark, sf, "fx_node_concepts"),
@@ -61,7 +61,7 @@ def graph_tables_of(spark, sf):
 
 def nested_graph(spark, sf):
     """The exported nested form parsed back from its JSON text."""
-    nested = stage(spark, sf, "nested_graph", lambda: corpus.export_graph(graph_tables_of(spark, sf)))
+    nested = stage(spark, sf, "nested_graph", lambda: corpus.export_graph(graph_tables_of(spark, sf, fresh_context(spark, sf))))
     row = nested.select("doc_id", F.to_json(F.struct(*[c for c in nested.columns if c != "doc_id"])).alias("_j"))
     return row.select("doc_id", F.from_json("_j", corpus.GRAPH_SCHEMA).alias("_g")).select("doc_id", "_g.*")
 
@@ -266,7 +266,7 @@ def unit_contexts(spark, sf):
 
 
 def fresh_context(spark, sf):
-    units = fixture(spark, sf, "fx_units").withColumn("level", F.when(F.col("kind") == "heading", F.col("lvl")))
+    units = unstaged(spark, sf, "fx_units").withColumn("level", F.when(F.col("kind") == "heading", F.col("lvl")))
     return segment.heading_context(units)
 
 

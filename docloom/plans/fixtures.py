@@ -263,9 +263,9 @@ SPARK_BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 # Row-local steps over one other table: a table that builds on them computes them again rather than have their texts written.
-INLINE = ("fx_lines", "fx_units", "fx_dscored")
+INLINE = ("fx_lines", "fx_units")
 # Of these not even a query that reads them has a copy written.
-NEVER_STAGED = ("fx_annotated_docs", "fx_written_docs", "fx_vnodes", "fx_vunits", "fx_vconcepts", "fx_vedges", "fx_vframes", "fx_vnotes")
+NEVER_STAGED = ("fx_dscored", "fx_annotated_docs", "fx_written_docs", "fx_vnodes", "fx_vunits", "fx_vconcepts", "fx_vedges", "fx_vframes", "fx_vnotes")
 
 
 def unstaged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,17 +96,27 @@ def _nest(df: DataFrame, order: str, fields: list[Column], out: str) -> DataFram
     return df.groupBy("doc_id").agg(F.transform(rows, lambda r: r["_x"]).alias(out))
 
 
-def _listed(links: DataFrame, value: str, out: str) -> DataFrame:
-    rows = F.array_sort(F.collect_list(F.struct("pos", value)))
-    return links.groupBy("doc_id", "node_id").agg(F.transform(rows, lambda r: r[value]).alias(out))
+LISTS = ("sourceUnitIds", "defines", "requires", "mentions", "fills")
+
+
+def _node_lists(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per document the link lists of its nodes, in the order in which ``_nest`` has the nodes; a node without links has null lists."""
+    keys = ["doc_id", "node_id"]
+    links = tables["node_units"].select(*keys, F.lit(LISTS[0]).alias("role"), "pos", F.col("unit_id").alias("value")).unionByName(
+        tables["node_concepts"].select(*keys, "role", "pos", F.col("concept").alias("value")))
+    rows = {role: F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("pos", "value")))) for role in LISTS}
+    lists = links.groupBy(*keys).agg(*[F.transform(r, lambda x: x["value"]).alias(role) for role, r in rows.items()])
+    lists = lists.select(*keys, *[F.when(F.size(role) > 0, F.col(role)).alias(role) for role in LISTS])
+    placed = tables["nodes"].select("doc_id", "node_ord", "node_id").join(lists, keys, "left")
+    return placed.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("node_ord", "node_id", *LISTS))).alias("_lists"))
 
 
 def export_graph(tables: dict[str, DataFrame]) -> DataFrame:
-    """One nested row per document; only fields that exist in the flat tables are written."""
-    nodes = tables["nodes"].join(_listed(tables["node_units"], "unit_id", "sourceUnitIds"), ["doc_id", "node_id"], "left")
-    for role in ("defines", "requires", "mentions", "fills"):
-        part = _listed(tables["node_concepts"].filter(F.col("role") == role), "concept", role)
-        nodes = nodes.join(part, ["doc_id", "node_id"], "left")
+    """One nested row per document; only fields that exist in the flat tables are written.
+
+    Texts are shuffled once, to their documents; the lists of nodes are made beside them and joined inside the document row.
+    """
+    nodes = tables["nodes"]
     rename = {"node_id": "id", "unit_id": "id", "frame_id": "id", "src": "from", "dst": "to", "gap_type": "gapType",
               "start_line": "startLine", "end_line": "endLine", "warrant_gap": "warrantGap", "chunk_id": "chunkId",
               "coverage_fallback": "coverageFallback", "density_score": "densityScore", "derived_from": "derivedFrom",
@@ -113,14 +125,21 @@ def export_graph(tables: dict[str, DataFrame]) -> DataFrame:
     def fields(df, order):
         return [F.col(c).alias(rename.get(c, c)) for c in df.columns if c not in ("doc_id", order)]
     units, edges, frames = tables["units"], tables["edges"], tables["frames"]
-    out = _nest(units, "unit_ord", fields(units, "unit_ord"), "sourceUnits")
-    for df, order, name in ((nodes, "node_ord", "nodes"), (edges, "edge_ord", "edges"), (frames, "frame_ord", "evidenceFrames")):
-        out = out.join(_nest(df, order, fields(df, order), name), "doc_id", "full")
+    parts = ((units, "unit_ord", "sourceUnits"), (nodes, "node_ord", "nodes"), (edges, "edge_ord", "edges"), (frames, "frame_ord", "evidenceFrames"))
+    # Left joins to all documents: a chain of full joins would shuffle the nested rows again for each of them.
+    out = reduce(DataFrame.unionByName, [df.select("doc_id") for df, _, _ in parts]).distinct()
+    for df, order, name in parts:
+        nested = _nest(df, order, fields(df, order), name)
+        if df is nodes:
+            names = [rename.get(c, c) for c in nodes.columns if c not in ("doc_id", order)]
+            whole = F.zip_with(name, "_lists", lambda x, y: F.struct(*[x[c].alias(c) for c in names], *[y[c].alias(c) for c in LISTS]))
+            nested = nested.join(_node_lists(tables), "doc_id").select("doc_id", whole.alias(name))
+        out = out.join(nested, "doc_id", "left")
     return out
 
 
 def write_graph(tables: dict[str, DataFrame], path: str, mode: str = "error") -> None:
-    """Flat tables as parquet plus a nested JSON export; Spark's committer makes the write atomic."""
+    """Flat tables as parquet plus a nested JSON export, compressed; Spark's committer makes the write atomic."""
     for name, df in tables.items():
         df.write.mode(mode).parquet(f"{path}/{name}")
-    export_graph(tables).write.mode(mode).json(f"{path}/graph")
+    export_graph(tables).write.mode(mode).json(f"{path}/graph", compression="gzip")

@@ -280,6 +280,29 @@ def test_merged_nodes_are_told_apart_without_moving_texts(spark, tmp_path, monke
     assert odd.filter("not (a.kind <=> b.kind and a.text <=> b.text and a.need <=> b.need)").count() == 0 and odd.count() == known.count()
 
 
+def test_exported_documents_are_not_shuffled_again(spark, tmp_path):
+    from docloom.sources import corpus
+
+    unit = spark.createDataFrame([(1, 1, "u1", "prose", "A"), (1, 2, "u2", "prose", "B"), (3, 1, "u1", "prose", "C")], "doc_id bigint, unit_ord bigint, unit_id string, kind string, text string")
+    node = spark.createDataFrame([(1, 2, "n2", "claim", "B"), (1, 1, "n1", "claim", "A"), (2, 1, "n1", "gap", None)], "doc_id bigint, node_ord bigint, node_id string, kind string, text string")
+    links = spark.createDataFrame([(1, 1, "n1", 2, "u2"), (1, 1, "n1", 1, "u1")], "doc_id bigint, node_ord bigint, node_id string, pos bigint, unit_id string")
+    concepts = spark.createDataFrame([(1, 2, "n2", "requires", 1, "x"), (1, 2, "n2", "defines", 1, "y")], "doc_id bigint, node_ord bigint, node_id string, role string, pos bigint, concept string")
+    edge = spark.createDataFrame([(4, 1, "n1", "n2", "enables")], "doc_id bigint, edge_ord bigint, src string, dst string, relation string")
+    frame = spark.createDataFrame([(1, 1, "ef1", "n1")], "doc_id bigint, frame_ord bigint, frame_id string, claim string")
+    tables = {"units": unit, "nodes": node, "node_units": links, "node_concepts": concepts, "edges": edge, "frames": frame}
+    nested = corpus.export_graph(tables)
+    assert "FullOuter" not in nested._jdf.queryExecution().optimizedPlan().toString()
+    rows = {r.doc_id: r for r in nested.collect()}
+    assert sorted(rows) == [1, 2, 3, 4] and rows[4].nodes is None and rows[3].nodes is None and rows[2].sourceUnits is None
+    first, second = rows[1].nodes
+    assert (first.id, first.text, first.sourceUnitIds, first.defines) == ("n1", "A", ["u1", "u2"], None)
+    assert (second.id, second.text, second.sourceUnitIds, second.requires, second.defines, second.fills) == ("n2", "B", None, ["x"], ["y"], None)
+    corpus.write_graph(tables, str(tmp_path / "g"))
+    assert list((tmp_path / "g" / "graph").glob("*.json.gz")) and not list((tmp_path / "g" / "graph").glob("*.json"))
+    back = corpus.read_export(spark, str(tmp_path / "g"))
+    assert back["nodes"].count() == 3 and [r.unit_id for r in back["node_units"].orderBy("pos").collect()] == ["u1", "u2"]
+
+
 def test_merging_shuffles_no_text_to_refuse_documents(spark, tmp_path, monkeypatch):
     from docloom.plans import graph
 
