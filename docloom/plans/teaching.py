@@ -372,7 +372,10 @@ def unit_lists(spark, sf, prefix):
 
 def document_parts(spark, sf):
     records, units = built(spark, sf)
-    order = od.topological_order(records, fixture(spark, sf, "fx_forward"))
+    # Chapters go by their numbers: their titles are as long as texts.
+    numbered = stage(spark, sf, "numbered_records", lambda: records.select("doc_id", "record_id", "record_ord", "chapter").join(te.section_order(records), ["doc_id", "chapter"])
+                     .select("doc_id", "record_id", "record_ord", F.col("pos").cast("string").alias("chapter")))
+    order = od.topological_order(numbered, fixture(spark, sf, "fx_forward"))
     gaps = te.teaching_gaps(fixture(spark, sf, "fx_tnodes"), chapters(spark, sf))
     return te.document_parts(records, order, unit_lists(spark, sf, "teach-"), units, gaps, unit_lists(spark, sf, ""), "Guide")
 

@@ -256,3 +256,22 @@ def test_depths_without_accepted_answers_move_no_records(spark, monkeypatch):
     assert not calls
     assert [(r.record_id, r.status) for r in out["records"].collect()] == [("r1", "expansion_required")]
     assert [(r.doc_id, r.depth) for r in out["issues"].collect()] == [(1, 0)] and out["dependencies"].count() == out["units"].count() == 0
+
+
+def test_assembly_joins_each_record_text_once(spark, tmp_path):
+    from docloom.operators import teaching as te
+
+    rows = [(1, i, f"r{i}", f"n{i}", "One" if i < 3 else "Two", f"Text {i}", "expansion_required" if i == 2 else "source_ready") for i in range(1, 5)]
+    spark.createDataFrame(rows, "doc_id bigint, record_ord bigint, record_id string, source_node_id string, chapter string, source_anchor string, status string").write.parquet(str(tmp_path / "records"))
+    records = spark.read.parquet(str(tmp_path / "records"))
+    order = spark.createDataFrame([(1, "One", "r2", 1), (1, "One", "r1", 2), (1, "Two", "r3", 1), (1, "Two", "r4", 2)], "doc_id bigint, chapter string, record_id string, pos bigint")
+    units = spark.createDataFrame([(1, f"r{i}", 1, "source_statement", f"Text {i}") for i in (1, 3, 4)], "doc_id bigint, record_id string, unit_pos bigint, role string, text string")
+    lists = spark.createDataFrame([(1, "r1", ["u1"])], "doc_id bigint, id string, source_unit_ids array<string>")
+    gaps = spark.createDataFrame([], "doc_id bigint, gap_id string, node_ord bigint, gap_type string, need string, resolution_status string, resolved boolean")
+    parts = te.document_parts(records, order, lists, units, gaps, lists, "Guide")
+    plan = parts._jdf.queryExecution().sparkPlan().toString()
+    assert sum("FileScan" in line and "source_anchor" in line for line in plan.splitlines()) == 1
+    text = te.assemble_document(parts).collect()[0].text
+    pieces = text.rstrip("\n").split("\n\n")
+    assert pieces[:2] == ["# Guide", "## One"] and [p for p in pieces if p.startswith("Text")] == ["Text 1", "Text 3", "Text 4"]
+    assert '"id":"r2"' in pieces[2] and '"id":"issue-r2"' in pieces[3] and '"sourceUnitIds":["u1"]' in pieces[4] and len(pieces) == 11
