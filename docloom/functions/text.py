@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 
 import pandas as pd
@@ -21,9 +22,10 @@ def _composed(values: pd.Series) -> pd.Series:
     return values.str.normalize("NFKC")
 
 
-@F.pandas_udf(ArrayType(StringType()))
+@F.pandas_udf(StringType())
 def _composed_lists(values: pd.Series) -> pd.Series:
-    return values.map(lambda items: None if items is None else [None if x is None else unicodedata.normalize("NFKC", x) for x in items])
+    composed = lambda items: [None if x is None else unicodedata.normalize("NFKC", x) for x in items]
+    return values.map(lambda text: None if text is None else json.dumps(composed(json.loads(text))))
 
 
 NON_ASCII = r"[^\x00-\x7F]"
@@ -35,7 +37,9 @@ def nfkc(col: Column) -> Column:
 
 
 def nfkc_list(col: Column) -> Column:
-    return F.coalesce(_composed_lists(F.when(F.exists(col, lambda x: x.rlike(NON_ASCII)), col)), col)
+    """Lists travel as JSON texts: Spark measures a batch after every row, which for a column of lists takes a pass over all rows before."""
+    sent = F.when(F.exists(col, lambda x: x.rlike(NON_ASCII)), F.to_json(col, {"ignoreNullFields": "false"}))
+    return F.coalesce(F.from_json(_composed_lists(sent), ArrayType(StringType())), col)
 
 
 def trim_ws(col: Column) -> Column:
@@ -208,6 +212,8 @@ def decode_entities(col: Column) -> Column:
 
 def strip_fence(col: Column) -> Column:
     """Body of a fenced JSON answer, or the trimmed text when there is no fence."""
-    text = trim_ws(col)
+    # Only texts with blanks at an end are searched for them.
+    text = F.when(col.rlike(rf"\A{WS}") | F.substring(col, -1, 1).rlike(WS), trim_ws(col)).otherwise(col)
     body = F.regexp_extract(text, rf"(?i)\A```(?:json)?{WS}*([\s\S]*?){WS}*```\z", 1)
-    return F.when(text.rlike(rf"(?i)\A```(?:json)?{WS}*[\s\S]*?{WS}*```\z"), body).otherwise(text)
+    fenced = text.startswith("```") & text.endswith("```") & text.rlike(rf"(?i)\A```(?:json)?{WS}*[\s\S]*?{WS}*```\z")
+    return F.when(fenced, body).otherwise(text)

@@ -16,10 +16,14 @@ CHUNK_CHARS = 24_000
 
 
 def chunked_units(documents: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """Units with heading paths and the chunk each belongs to: what extraction is asked about."""
-    units = cut_lineage(sg.heading_context(sg.segment_units(documents)))
-    chunks = sg.pack_chunks(units, chunk_chars)
-    return cut_lineage(units.join(chunks, ["doc_id", "unit_ord"]).withColumn("chunk_id", sg.chunk_id(F.col("chunk_ord"))))
+    """Units with heading paths and the chunk each belongs to: what extraction is asked about.
+
+    Documents are segmented once; heading paths and chunks are found without the texts, which are shuffled once to meet them.
+    """
+    units = cut_lineage(sg.segment_units(documents))
+    paths = sg.heading_context(units.select("doc_id", "unit_ord", "level", "title")).select("doc_id", "unit_ord", "context")
+    places = paths.join(sg.pack_chunks(units, chunk_chars), ["doc_id", "unit_ord"])
+    return cut_lineage(units.join(places, ["doc_id", "unit_ord"]).withColumn("chunk_id", sg.chunk_id(F.col("chunk_ord"))))
 
 
 def taken_answers(chunk_units: DataFrame, answers: DataFrame, *, compose: bool = True) -> dict[str, DataFrame]:
@@ -77,14 +81,15 @@ def covered(nodes: DataFrame, chunk_units: DataFrame) -> DataFrame:
     return nodes.withColumn("coverage_fallback", false).withColumn("protected_fallback", false).unionByName(extra)
 
 
-def build_graph(documents: DataFrame, answers: DataFrame, chunk_chars: int = CHUNK_CHARS, *, compose: bool = True) -> dict[str, DataFrame]:
+def build_graph(documents: DataFrame, answers: DataFrame, chunk_chars: int = CHUNK_CHARS, *, compose: bool = True, units: DataFrame | None = None) -> dict[str, DataFrame]:
     """Everything from ``documents(doc_id, text)`` and ``answers(doc_id, chunk_id, response)`` to the validated graph.
 
     Tables: ``units`` (with chunks), ``nodes``, ``node_units``, ``node_concepts``, ``edges``, ``frames``, ``concepts``, ``gaps``,
     ``unresolved``, ``issues``, ``outcomes``, ``violations``, ``status`` and ``counts`` (fallbacks per document). Each phase is
-    handed over as a checkpoint; no table of a document is gathered.
+    handed over as a checkpoint; no table of a document is gathered. ``units``: the ``chunked_units`` the answers were asked
+    about, if they are at hand; else the documents are segmented here.
     """
-    units = chunked_units(documents, chunk_chars)
+    units = chunked_units(documents, chunk_chars) if units is None else units
     taken = taken_answers(units.select(*CHUNK, "unit_ord", "unit_id", "kind", "text"), answers, compose=compose)
     nodes = covered(cut_lineage(taken["nodes"]), units)
     order = units.groupBy(*CHUNK).agg(F.min("chunk_ord").alias("chunk_ord"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,8 @@ from docloom.functions.ordering import BLOCK_ROWS, dealt, union_all, with_runnin
 from docloom.functions.text import WS, is_blank, rtrim_ws, sha256_hex, text_length, trim_ws, zero_pad
 
 HEADING = rf"\A{WS}{{0,3}}(#{{1,6}}){WS}+([\s\S]+?){WS}*#*{WS}*\z"
+# The same lines as ``HEADING``: what follows the mark may be anything, so only its first character is looked at.
+HEADING_MARK = rf"\A{WS}{{0,3}}(#{{1,6}}){WS}"
 # Text that may open a block running over several lines; everything else needs no line state.
 MAY_OPEN_BLOCK = rf"(?i)(?:\A|\n){WS}*(?:```|~~~|\\\[|\$\$)|<details[\t\n\x0B\f\r >]"
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start_line", T.IntegerType()),
@@ -25,7 +28,7 @@ PIECES = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Stru
 
 
 def _line_kind(line: Column) -> Column:
-    return (F.when(is_blank(line), "blank").when(line.contains("#") & line.rlike(HEADING), "heading")
+    return (F.when(is_blank(line), "blank").when(line.contains("#") & line.rlike(rf"{HEADING_MARK}[\s\S]"), "heading")
             .when(line.contains("|") & line.rlike(rf"\A{WS}*\|"), "table").otherwise("prose"))
 
 
@@ -186,14 +189,17 @@ def segment_units(documents: DataFrame) -> DataFrame:
     """
     # One-row explodes keep each step's result; Spark would copy the expressions into every use.
     once = lambda df, *columns: df.select("doc_id", F.explode(F.array(F.struct(*columns))).alias("_x")).select("doc_id", "_x.*")
-    df = (documents.select("doc_id", "text").withColumn("_blocky", F.when(F.col("text").rlike(MAY_OPEN_BLOCK), F.col("text")))
+    marked = reduce(Column.__or__, [F.col("text").contains(mark) for mark in ("```", "~~~", "\\[", "$$", "<")])
+    df = (documents.select("doc_id", "text").withColumn("_blocky", F.when(marked & F.col("text").rlike(MAY_OPEN_BLOCK), F.col("text")))
           .withColumn("_block_spans", _block_spans("_blocky")))
     df = once(df, F.split("text", "\n", -1).alias("_lines"), "_block_spans")
     df = once(df, "_lines", "_block_spans", F.when(F.col("_block_spans").isNull(), F.transform("_lines", _line_kind)).alias("_kinds"))
     spans = F.coalesce("_block_spans", _plain_spans(F.col("_kinds")).cast(SPANS))
+    # Lines are taken by number: a slice would unpack all lines of the document for each unit.
+    lines_of = lambda s: F.transform(F.sequence(s["start_line"], s["end_line"]), lambda i: F.get(F.col("_lines"), i - 1))
     parts = F.transform(spans, lambda s: F.struct(
         s["kind"].alias("kind"),
-        rtrim_ws(F.array_join(F.slice(F.col("_lines"), s["start_line"], s["end_line"] - s["start_line"] + 1), "\n")).alias("text"),
+        F.transform(F.array(F.array_join(lines_of(s), "\n")), lambda t: F.when(F.substring(t, -1, 1).rlike(WS), rtrim_ws(t)).otherwise(t))[0].alias("text"),
         s["start_line"].cast("bigint").alias("start_line"), s["end_line"].cast("bigint").alias("end_line")))
     units = (df.select("doc_id", F.posexplode(parts).alias("_p", "_u"))
              .select("doc_id", (F.col("_p") + 1).cast("bigint").alias("unit_ord"), "_u.*"))
@@ -240,9 +246,12 @@ def unit_id(position: Column) -> Column:
 
 
 def with_headings(units: DataFrame) -> DataFrame:
+    """Adds ``level`` and ``title``. Only texts that end with a mark or blanks need the pattern that looks for their end at every character."""
     heading = F.col("kind") == "heading"
-    return (units.withColumn("level", F.when(heading, F.length(F.regexp_extract("text", HEADING, 1))))
-            .withColumn("title", F.when(heading, trim_ws(F.regexp_extract("text", HEADING, 2)))))
+    closed = F.substring("text", -1, 1).rlike(rf"#|{WS}")
+    level = F.when(closed, F.length(F.regexp_extract("text", HEADING, 1))).otherwise(F.length(F.regexp_extract("text", HEADING_MARK, 1)))
+    title = F.when(closed, trim_ws(F.regexp_extract("text", HEADING, 2))).when(F.col("text").rlike(HEADING_MARK), F.regexp_replace("text", rf"{HEADING_MARK}+", "")).otherwise("")
+    return units.withColumn("level", F.when(heading, level)).withColumn("title", F.when(heading, title))
 
 
 def heading_context(units: DataFrame) -> DataFrame:

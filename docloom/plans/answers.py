@@ -317,7 +317,8 @@ ORACLES["build_graph"] = recursive_oracle(BUILT)
 @query("build_graph")
 def build_graph(spark, sf):
     documents = markdown(spark, sf)
-    out = bd.build_graph(documents, graph_answers(bd.chunked_units(documents, 2_000)), 2_000)
+    units = bd.chunked_units(documents, 2_000)
+    out = bd.build_graph(documents, graph_answers(units), 2_000, units=units)
     part = lambda df, name, a, b, c, d=None: df.select("doc_id", F.lit(name).alias("part"), F.col(a).alias("a"), (F.col(b) if b else F.lit(None)).cast("string").alias("b"),
                                                        (c if c is not None else F.lit(None)).cast("string").alias("c"), (F.col(d) if d else F.lit(None)).cast("boolean").alias("d"))
     return union_all(part(out["nodes"], "node", "node_id", "kind", F.col("text"), "coverage_fallback"), part(out["edges"], "edge", "src", "dst", F.concat_ws(" ", "relation", "origin")),

@@ -210,3 +210,19 @@ def test_graph_from_documents_and_answers(spark):
     assert rows_of(out["status"], "doc_id", "status", "errors") == [(1, "complete_with_gaps", 0), (2, "complete_with_gaps", 0)]
     assert rows_of(out["counts"], "doc_id", "coverage_fallbacks", "protected_fallbacks") == [(1, 4, 1), (2, 1, 0)]
     assert rows_of(out["unresolved"], "concept", "gap_id", "required_by") == [("omega", "n0000011", 1)]
+
+
+def test_documents_are_segmented_once_for_paths_and_chunks(spark, monkeypatch):
+    seen = []
+    for name in ("heading_context", "pack_chunks"):
+        def watched(units, *args, _inner=getattr(bd.sg, name), **how):
+            seen.append(units._jdf.queryExecution().toString())
+            return _inner(units, *args, **how)
+        monkeypatch.setattr(bd.sg, name, watched)
+    documents = spark.createDataFrame([(1, "# One\n\nText.\n\n## Two\n\nMore."), (2, "No heading")], "doc_id bigint, text string")
+    units = bd.chunked_units(documents, 2_000)
+    assert len(seen) == 2 and not any("Generate" in plan or "ArrowEvalPython" in plan for plan in seen)
+    assert rows_of(units, "doc_id", "unit_ord", "context", "chunk_id") == [(1, 1, ["One"], "c0001"), (1, 2, ["One"], "c0001"), (1, 3, ["One", "Two"], "c0001"), (1, 4, ["One", "Two"], "c0001"), (2, 1, [], "c0001")]
+    answers = spark.createDataFrame([(1, "c0001", '{"nodes":[],"edges":[],"evidenceFrames":[]}')], "doc_id bigint, chunk_id string, response string")
+    given, own = (bd.build_graph(documents, answers, 2_000, **how) for how in ({"units": units}, {}))
+    assert len(seen) == 4 and all(rows_of(given[t], *given[t].columns) == rows_of(own[t], *given[t].columns) for t in ("nodes", "outcomes", "status"))

@@ -225,3 +225,23 @@ def test_lines_are_shuffled_once_for_both_passes(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "MapInPandas" not in plan and "ReusedExchange" in plan
+
+
+def test_cheap_heading_rules_say_what_the_pattern_says(spark):
+    lines = ["# a", "#  a b ##", "## #", "#  ", "# 　x", "#", "#x", "####### x", "   # x", "    # x", "###### x # y", "# a#", "#\ta  ", "# #a", " ## t ###  ", "# \U0001F600"]
+    for line in lines:
+        got = {r.kind: (r.level, r.title) for r in segment.segment_units(docs(spark, line)).collect()}
+        whole = spark.createDataFrame([(line,)], "t string")
+        is_heading = whole.select(F.col("t").rlike(segment.HEADING)).first()[0]
+        assert ("heading" in got) == is_heading, line
+        if is_heading:
+            trimmed = whole.select(tx.rtrim_ws(F.col("t")).alias("t"))
+            want = trimmed.select(F.length(F.regexp_extract("t", segment.HEADING, 1)), tx.trim_ws(F.regexp_extract("t", segment.HEADING, 2))).first()
+            assert got["heading"] == tuple(want), line
+
+
+def test_lists_reach_python_as_texts(spark):
+    rows = [(["Ａ＂", None, "é\n", "\\"],), (["a"],), ([None, "b"],), (None,), ([],)]
+    df = spark.createDataFrame(rows, "v array<string>").select(tx.nfkc_list(F.col("v")).alias("o"))
+    assert [r.o for r in df.collect()] == [['A"', None, "é\n", "\\"], ["a"], [None, "b"], None, []]
+    assert "array" not in str(tx._composed_lists.returnType.simpleString())
