@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
 from docloom.operators import extraction as ex
-from docloom.plans.fixtures import add_table, fixture, oracle
+from docloom.plans.fixtures import SPARK_BUILDERS, TABLES, Dialect, add_table, fixture, oracle, source, unstaged
 
 QUERIES, ORACLES = {}, {}
 
@@ -47,6 +47,21 @@ def chunk_units(spark, sf):
 
 add_table("fx_chunk_units", lambda d: "select c.doc_id, c.chunk_id, c.unit_ord, c.unit_id, u.kind, u.text from fx_chunks c join fx_units u using (doc_id, unit_ord)")
 
+
+def _chunk_units(spark, sf):
+    """``fx_chunks`` is a row-local projection of ``fx_units`` with the same key: unless a doc_id is repeated, both sides of the join
+    are one row, and no text is shuffled."""
+    units = unstaged(spark, sf, "fx_units").filter("doc_id is not null and unit_ord is not null")
+    if source(spark, sf, "documents").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        chunks = TABLES["fx_chunks"](Dialect("spark", sf)).replace("unit_id from fx_units", "unit_id, kind, text from {units}")
+        rows = spark.sql(chunks, units=units)
+    else:
+        rows = fixture(spark, sf, "fx_chunks").join(units.select("doc_id", "unit_ord", "kind", "text"), ["doc_id", "unit_ord"])
+    return rows.select("doc_id", "chunk_id", "unit_ord", "unit_id", "kind", "text")
+
+
+SPARK_BUILDERS["fx_chunk_units"] = _chunk_units
+
 PREPARED = f"""select i.*, list_distinct(list_transform(source_unit_ids, lambda x: trim(x))) as ids, kind in ({KINDS}) as known_kind,
       case when kind in ({KINDS}) then kind else 'claim' end as k, nullif(trim(coalesce(text, '')), '') as t, trim(need) as nd from fx_node_items i"""
 NODE_CHECK = f"""select p.*, m.unknown, m.unit_kind, m.unit_text, m.known from ({PREPARED}) p left join (

@@ -313,3 +313,30 @@ def test_merging_shuffles_no_text_to_refuse_documents(spark, tmp_path, monkeypat
     assert plans == [["doc_id", "unit_id", "kind", "text_digest"]]
     assert {r.doc_id for r in out if r.part == "refused"} == {4} and {r.doc_id for r in out if r.part == "status"} == {1, 2, 3, 5, 6, 7, 8}
     assert not any(r.doc_id == 4 and r.part != "refused" for r in out)
+
+
+def test_salvage_moves_no_text_for_numbers_or_plain_units(spark):
+    items = spark.createDataFrame([(1, "c", 4, "claim", "x", "", None, ["u1", "u9"]), (1, "c", 7, "code", "y", "", None, ["u2"]), (2, "c", 0, "claim", "z", "", None, ["u1"])],
+                                  "doc_id bigint, chunk_id string, idx bigint, kind string, text string, need string, gap_type string, source_unit_ids array<string>")
+    units = spark.createDataFrame([(1, "c", 1, "u1", "prose", "plain"), (1, "c", 2, "u2", "code", "verbatim")], "doc_id bigint, chunk_id string, unit_ord bigint, unit_id string, kind string, text string")
+    rows = ex._prepared(items, units, True, numbered=True)
+    assert sorted((r.doc_id, r.idx, r.new_idx, r.unknown_units, r.known_units, r._p and tuple(r._p)) for r in rows.collect()) == [
+        (1, 4, 0, 1, ["u1"], None), (1, 7, 1, 0, ["u2"], ("code", "verbatim")), (2, 0, 0, 1, [], None)]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    below = next(plan[i + 1] for i, line in enumerate(plan) if "Window" in line)
+    assert "text#" not in below
+
+
+@pytest.mark.parametrize("ids", [(1, 2, None), (1, 1, 2)])
+def test_chunk_units_equal_their_sql_and_join_only_for_repeated_documents(spark, tmp_path, ids):
+    import duckdb
+
+    from docloom.plans import extraction as plans
+    from docloom.plans.fixtures import oracle
+    texts = ["\n".join(f"line {i}" for i in range(n)) for n in (9, 3, 7)]
+    spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    built = plans._chunk_units(spark, str(tmp_path))
+    assert sorted(map(repr, map(tuple, built.collect()))) == sorted(map(repr, con.execute(oracle("select doc_id, chunk_id, unit_ord, unit_id, kind, text from fx_chunk_units")).fetchall()))
+    assert ("Join" in built._jdf.queryExecution().optimizedPlan().toString()) == (len(set(ids)) < len(ids))
