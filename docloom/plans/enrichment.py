@@ -6,7 +6,7 @@ from docloom.functions import text as tx
 from docloom.operators import batching
 from docloom.operators import enrichment as en
 from docloom.plans.corpus import SCORE_ITEMS
-from docloom.plans.fixtures import add_table, fixture, oracle, pad, stage
+from docloom.plans.fixtures import add_table, fixture, oracle, pad, stage, unstaged
 
 QUERIES, ORACLES = {}, {}
 
@@ -218,7 +218,7 @@ add_table("fx_open_gaps", lambda d: f"""select doc_id, node_ord, node_id as gap_
 @query("unresolved_gaps", """select g.doc_id, g.gap_id, g.gap_class, coalesce(u.chars, 0) as chars from fx_open_gaps g left join (
       select l.doc_id, l.node_id as gap_id, cast(sum(length(substr(x.text, 1, 6000))) as bigint) as chars from fx_node_units l join fx_units x using (doc_id, unit_id) group by all) u using (doc_id, gap_id)""")
 def unresolved_gaps(spark, sf):
-    gaps, texts = en.unresolved_gaps(density_nodes(spark, sf), fixture(spark, sf, "fx_node_units"), fixture(spark, sf, "fx_units"))
+    gaps, texts = en.unresolved_gaps(density_nodes(spark, sf), fixture(spark, sf, "fx_node_units"), unstaged(spark, sf, "fx_units"))
     chars = texts.groupBy("doc_id", "gap_id").agg(F.sum(F.length("text")).alias("chars"))
     return gaps.select("doc_id", "gap_id", "gap_class").join(chars, ["doc_id", "gap_id"], "left").fillna(0, ["chars"])
 

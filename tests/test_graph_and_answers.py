@@ -340,3 +340,15 @@ def test_chunk_units_equal_their_sql_and_join_only_for_repeated_documents(spark,
     built = plans._chunk_units(spark, str(tmp_path))
     assert sorted(map(repr, map(tuple, built.collect()))) == sorted(map(repr, con.execute(oracle("select doc_id, chunk_id, unit_ord, unit_id, kind, text from fx_chunk_units")).fetchall()))
     assert ("Join" in built._jdf.queryExecution().optimizedPlan().toString()) == (len(set(ids)) < len(ids))
+
+
+def test_open_gaps_stage_no_copy_of_the_units(spark):
+    from docloom.plans import enrichment as plans
+    from docloom.plans.fixtures import _STAGED, fixture
+    sf, key = "/root/testdata/sf0.001", (spark.sparkContext.applicationId, "/root/testdata/sf0.001", "fx_units")
+    kept = _STAGED.pop(key, None)
+    fixture(spark, sf, "fx_node_units")
+    plans.unresolved_gaps(spark, sf)
+    assert key not in _STAGED
+    if kept:
+        _STAGED[key] = kept
