@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.ordering import top_by, union_all
 from docloom.functions.text import WS, first_sentences, is_blank, normalize_label, trim_ws
-from docloom.operators.sections import CHAPTER, chapter_of, unit_chapter
+from docloom.operators.sections import CHAPTER, chapter_key, chapter_of, unit_chapter
 
 # Statuses and answer vocabularies.
 RESOLVED = ("external_definition", "source_recovery", "already_defined")
@@ -26,19 +26,26 @@ EDGE = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))
 
 def build_overlay(nodes: DataFrame, node_units: DataFrame, members: DataFrame, concepts: DataFrame, units: DataFrame, *,
                   compose: bool = True) -> tuple[DataFrame, DataFrame]:
-    """``overlay_records`` and ``dependents``. The label comes from the gap's last concept, else its need."""
+    """``overlay_records`` and ``dependents``. The label comes from the gap's last concept, else its need.
+
+    Units without texts leave ``first_use_context`` null.
+    """
     gaps = nodes.filter("kind = 'gap' and gap_type = 'definition'").select("doc_id", F.col("node_id").alias("gap_id"), "node_ord", "need")
     filled = members.filter("role = 'fills'").groupBy("doc_id", F.col("node_id").alias("gap_id")).agg(F.max("concept").alias("concept"))
     df = gaps.join(filled, KEY, "left").join(concepts.select("doc_id", "concept", F.col("label").alias("_l")), ["doc_id", "concept"], "left")
     links = node_units.select("doc_id", F.col("node_id").alias("gap_id"), "pos", "unit_id").join(gaps.select(*KEY), KEY, "left_semi")
     chapters = chapter_of(links, units, CHAPTER, item="gap_id")
-    texts = links.join(units.select("doc_id", "unit_id", "text"), ["doc_id", "unit_id"]).filter("text <> ''")
-    first = (top_by(texts, KEY, ["pos"], 2).groupBy(*KEY)
-             .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias("first_use_context")))
+    if "text" in units.columns:
+        texts = links.join(units.select("doc_id", "unit_id", "text"), ["doc_id", "unit_id"]).filter("text <> ''")
+        first = (top_by(texts, KEY, ["pos"], 2).groupBy(*KEY)
+                 .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias("first_use_context")))
+        df = df.join(first, KEY, "left")
+    else:
+        df = df.withColumn("first_use_context", F.lit(None).cast("array<string>"))
     depends = (members.filter("role = 'requires'").select("doc_id", "concept", "node_id")
                .join(df.filter("concept is not null").select(*KEY, "concept"), ["doc_id", "concept"]).select(*KEY, "node_id"))
     totals = depends.groupBy(*KEY).agg(F.count(F.lit(1)).alias("dependent_count"))
-    df = df.join(chapters, KEY, "left").join(first, KEY, "left").join(totals, KEY, "left").fillna(0, ["dependent_count"])
+    df = df.join(chapters, KEY, "left").join(totals, KEY, "left").fillna(0, ["dependent_count"])
     df = (df.withColumn("label", F.coalesce("_l", "need")).withColumn("chapter", F.coalesce("chapter", F.lit("Unscoped")))
           .withColumn("canonical_concept", normalize_label(F.col("label"), compose=compose)))
     records = df.select(*KEY, "node_ord", "canonical_concept", "label", "chapter", "dependent_count", "first_use_context",
@@ -63,35 +70,48 @@ def _escaped(label: Column) -> Column:
     return F.regexp_replace(label, r"[.*+?^${}()|\[\]\\]", r"\\$0")
 
 
-def triage_definitions(records: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _ascii_lower(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def triage_definitions(records: DataFrame, units: DataFrame, chapters: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Records a unit of their chapter defines in plain words become ``already_defined``; (gap, unit) matches too.
 
-    Only units with a definition cue take part, and a label meets a unit only through its last two
-    ASCII words (or its only one), which must stand right before a cue or soon after a "we define".
+    ``chapters(doc_id, unit_id, context)`` where the units don't carry their heading paths.
+
+    Only units with a definition cue take part. Of their texts only what a label can reach is shuffled: the 80 characters before
+    a cue and the 200 after a "we define", each with one more that shows the border. A label meets a unit only through its
+    last two ASCII words (or its only one), which must stand right before a cue or soon after a "we define".
     A label without ASCII words can only match between two ASCII words, so it meets the unit as that whole run.
     """
-    term = _escaped(F.col("label"))
-    pattern = F.concat(F.lit("(?i)" + EDGE), term, F.lit(rf"{EDGE}{WS}+(?:is defined as|is called|denotes|refers to){EDGE}|{EDGE}(?:we|this text){WS}+(?:define|call){EDGE}[^.]{{0,120}}{EDGE}"),
-                       term, F.lit(EDGE))
-    words = F.regexp_extract_all(F.lower("label"), F.lit(r"([a-z0-9_]+)"), F.lit(1))
+    key = ["doc_id", "_chapter"]
+    words = F.regexp_extract_all(_ascii_lower(F.col("label")), F.lit(r"([a-z0-9_]+)"), F.lit(1))
     ending = F.array_join(F.when(F.size(words) > 1, F.slice(words, -2, 2)).otherwise(words), " ")
     labels = (records.filter((F.col("label") != "") & (F.length("label") <= 80)).select("doc_id", "chapter", "label").distinct()
-              .withColumn("pattern", pattern).withColumn("token", F.coalesce(F.nullif(ending, F.lit("")), F.lower("label"))))
-    cued = unit_chapter(units, CHAPTER).filter(F.col("text").rlike(CUE)).select("doc_id", "chapter", "unit_ord", "unit_id", "text")
-    lower = F.lower("text")
-    before = F.regexp_extract_all(lower, F.lit(rf"(?<![a-z0-9_])(?=([a-z0-9_]+(?:[^a-z0-9_]+[a-z0-9_]+)?){WS}+(?:is defined as|is called|denotes|refers to))"), F.lit(1))
-    before = F.transform(before, lambda t: F.regexp_replace(t, "[^a-z0-9_]+", " "))
-    # The term ends within 120 + 80 characters after "define"; the window may open a little wider.
-    after = F.regexp_extract_all(lower, F.lit(rf"(?s)(?=(?:we|this text){WS}+(?:define|call)(.{{0,240}}))"), F.lit(1))
-    near = F.flatten(F.transform(after, lambda w: F.regexp_extract_all(w, F.lit(r"([a-z0-9_]+)"), F.lit(1))))
-    runs = F.flatten(F.transform(after, lambda w: F.regexp_extract_all(w, F.lit(r"(?<=[a-z0-9_])([^a-z0-9_]+)(?=[a-z0-9_])"), F.lit(1))))
-    cued = cued.withColumn("_near", near).withColumn("_before", before).withColumn("_runs", runs)
+              .withColumn("_chapter", chapter_key()).withColumn("token", F.coalesce(F.nullif(ending, F.lit("")), _ascii_lower(F.col("label")))))
+    asked = (unit_chapter(units if chapters is None else chapters, CHAPTER).select("doc_id", "unit_id", chapter_key().alias("_chapter"))
+             .join(labels.select(*key).distinct(), key, "left_semi"))
+    # The one-row explode keeps the texts from being made once for the filter and once for the parts.
+    cued = units.select("doc_id", "unit_ord", "unit_id", F.explode(F.array("text")).alias("text")).filter(F.col("text").rlike(CUE))
+    # Read backwards, a match is a cue and then the up to 81 characters that end right before it.
+    before = F.regexp_extract_all(F.reverse("text"), F.lit(rf"(?is){EDGE}(?=(?:sa denifed si|dellac si|setoned|ot srefer){WS}+([A-Za-z0-9_].{{0,80}}))"), F.lit(1))
+    after = F.regexp_extract_all("text", F.lit(rf"(?is){EDGE}(?=((?:we|this text){WS}+(?:define|call){EDGE}.{{0,201}}))"), F.lit(1))
+    parts = cued.select("doc_id", "unit_ord", "unit_id", F.transform(F.array_distinct(before), lambda t: F.reverse(t)).alias("_before"), F.array_distinct(after).alias("_after"))
+    reached = parts.filter((F.size("_before") > 0) | (F.size("_after") > 0)).join(asked, ["doc_id", "unit_id"])
+    ends = F.flatten(F.transform("_before", lambda t: F.regexp_extract_all(_ascii_lower(t), F.lit(r"(?<![a-z0-9_])(?=([a-z0-9_]+(?:[^a-z0-9_]+[a-z0-9_]+)?)\z)"), F.lit(1))))
+    ends = F.transform(ends, lambda t: F.regexp_replace(t, "[^a-z0-9_]+", " "))
+    # The last letter of "define" stays: a run may begin right behind it.
+    windows = F.transform("_after", lambda t: F.regexp_replace(_ascii_lower(t), rf"\A(?:we|this text){WS}+(?:defin|cal)", ""))
+    near = F.flatten(F.transform("_windows", lambda w: F.regexp_extract_all(w, F.lit(r"([a-z0-9_]+)"), F.lit(1))))
+    runs = F.flatten(F.transform("_windows", lambda w: F.regexp_extract_all(w, F.lit(r"(?<=[a-z0-9_])([^a-z0-9_]+)(?=[a-z0-9_])"), F.lit(1))))
     pairs = F.filter(F.zip_with("_near", F.slice("_near", F.lit(2), F.greatest(F.size("_near"), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b)), lambda t: t.isNotNull())
-    tokens = cued.select("doc_id", "chapter", "unit_ord", "unit_id", F.explode(F.array_distinct(F.concat("_before", "_near", pairs, "_runs"))).alias("token"))
-    # Keys meet on tokens; texts come back only for the pairs of unit and label that met.
-    met = tokens.join(labels, ["doc_id", "chapter", "token"]).select("doc_id", "unit_ord", "unit_id", "chapter", "label", "pattern").distinct()
-    found = (met.join(units.select("doc_id", "unit_id", "text"), ["doc_id", "unit_id"]).filter("text rlike pattern")
-             .select("doc_id", "chapter", "label", "unit_ord", "unit_id"))
+    tokens = (reached.withColumn("_windows", windows).withColumn("_near", near)
+              .withColumn("token", F.explode(F.array_distinct(F.concat(ends, "_near", pairs, runs)))).drop("_windows", "_near"))
+    term = _escaped(F.col("label"))
+    ends_so = F.concat(F.lit("(?i)" + EDGE), term, F.lit(r"\z"))
+    goes_on = F.concat(F.lit(rf"(?i)\A(?:we|this text){WS}+(?:define|call){EDGE}[^.]{{0,120}}{EDGE}"), term, F.lit(EDGE))
+    found = (tokens.join(labels, [*key, "token"]).filter(F.exists("_before", lambda t: F.rlike(t, ends_so)) | F.exists("_after", lambda t: F.rlike(t, goes_on)))
+             .select("doc_id", "chapter", "label", "unit_ord", "unit_id").distinct())
     best = top_by(found, ["doc_id", "chapter", "label"], ["unit_ord"], 2)
     matched = best.select("doc_id", "chapter", "label").distinct().withColumn("_hit", F.lit(True))
     out = records.join(matched, ["doc_id", "chapter", "label"], "left")

@@ -44,16 +44,26 @@ def _chapter_entry(context: Column, pattern: str, use_last: bool) -> Column:
     return F.coalesce(hit, F.try_element_at(context, F.lit(-1))) if use_last else hit
 
 
+def chapter_key() -> Column:
+    """Stands for column ``chapter`` where equal chapters meet."""
+    return F.substring(F.unhex(F.sha2("chapter", 256)), 1, 16)
+
+
 def unit_chapter(units: DataFrame, pattern: str = CHAPTER, use_last: bool = False, default: str = "Unscoped") -> DataFrame:
     return units.withColumn("chapter", F.coalesce(_chapter_entry(F.col("context"), pattern, use_last), F.lit(default)))
 
 
 def chapter_of(links: DataFrame, units: DataFrame, pattern: str = CHAPTER, use_last: bool = False,
                item: str = "node_id") -> DataFrame:
-    """(doc_id, item, chapter): the first unit in order that yields a chapter decides; items without one are absent."""
-    found = units.select("doc_id", "unit_id", _chapter_entry(F.col("context"), pattern, use_last).alias("_c")).filter("_c is not null")
-    return (links.select("doc_id", item, "pos", "unit_id").join(found, ["doc_id", "unit_id"])
-            .groupBy("doc_id", item).agg(F.min_by("_c", "pos").alias("chapter")))
+    """(doc_id, item, chapter): the first unit in order that yields a chapter decides; items without one are absent.
+
+    Units meet items with a digest of the chapter; its name, a whole heading, is shuffled once per chapter.
+    """
+    found = units.select("doc_id", "unit_id", _chapter_entry(F.col("context"), pattern, use_last).alias("chapter")).filter("chapter is not null")
+    first = (links.select("doc_id", item, "pos", "unit_id").join(found.select("doc_id", "unit_id", chapter_key().alias("_k")), ["doc_id", "unit_id"])
+             .groupBy("doc_id", item).agg(F.min_by("_k", "pos").alias("_k")))
+    names = found.select("doc_id", chapter_key().alias("_k"), "chapter").dropDuplicates(["doc_id", "_k"])
+    return first.join(names, ["doc_id", "_k"]).select("doc_id", item, "chapter")
 
 
 def section_nodes(nodes: DataFrame, node_units: DataFrame, unit_sections: DataFrame) -> DataFrame:

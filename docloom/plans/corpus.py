@@ -265,6 +265,15 @@ def unit_contexts(spark, sf):
     return stage(spark, sf, "unit_contexts", build)
 
 
+def unit_chapters(spark, sf):
+    """Of every unit's heading path only the chapter, for phases that need neither texts nor other headings."""
+    def build():
+        heads = unstaged(spark, sf, "fx_units").select("doc_id", "unit_ord", "unit_id", F.when(F.col("kind") == "heading", F.col("lvl")).alias("level"),
+                                                       F.when(F.col("title").rlike(sections.CHAPTER), F.col("title")).alias("title"))
+        return segment.heading_context(heads).select("doc_id", "unit_id", F.slice("context", 1, 1).alias("context"))
+    return stage(spark, sf, "unit_chapters", build)
+
+
 def fresh_context(spark, sf):
     units = unstaged(spark, sf, "fx_units").withColumn("level", F.when(F.col("kind") == "heading", F.col("lvl")))
     return segment.heading_context(units)

@@ -104,14 +104,17 @@ def _node_units(d):
         where (n.doc_id + n.node_ord) % 8 = 0"""
 
 
+# Role, position, which word, and of which nodes.
+PICKS = (("defines", 1, "1 + node_ord % 3", "kind = 'definition'"), ("requires", 1, "3 + node_ord % 2", "kind <> 'gap'"),
+         ("requires", 2, "5", "kind = 'claim'"), ("mentions", 1, "6", "kind <> 'gap'"),
+         ("fills", 1, "2", "kind = 'gap' and node_ord % 2 = 0"))
+
+
 def _node_concepts(d):
     base = f"""select doc_id, node_ord, node_id, kind,
             regexp_extract_all(lower(src_text), {d.rx('[' + chr(92) + 'p{L}]{4,}')}, 0) as t from fx_nodes"""
-    picks = [("defines", 1, "1 + node_ord % 3", "kind = 'definition'"), ("requires", 1, "3 + node_ord % 2", "kind <> 'gap'"),
-             ("requires", 2, "5", "kind = 'claim'"), ("mentions", 1, "6", "kind <> 'gap'"),
-             ("fills", 1, "2", "kind = 'gap' and node_ord % 2 = 0")]
     parts = [f"""select doc_id, node_ord, node_id, '{role}' as role, cast({pos} as bigint) as pos,
-        {d.at('t', index)} as concept from ({base}) where {rule}""" for role, pos, index, rule in picks]
+        {d.at('t', index)} as concept from ({base}) where {rule}""" for role, pos, index, rule in PICKS]
     return "select * from (" + " union all ".join(parts) + ") where concept is not null"
 
 
@@ -211,11 +214,18 @@ def _dscored(d):
         from fx_nodes"""
 
 
+NODE_KEYS = ("doc_id", "node_ord", "node_id", "unit_id", "kind", "need", "gap_type", "origin", "coverage_fallback", "repair_fallback", "chunk_ord")
+
+
+def _node_keys(d):
+    return f"select {', '.join(NODE_KEYS)} from fx_nodes"
+
+
 TABLES = {
     "fx_lines": _lines, "fx_units": _units, "fx_nodes": _nodes, "fx_node_units": _node_units,
     "fx_node_concepts": _node_concepts, "fx_edges": _edges, "fx_frames": _frames, "fx_chunks": _chunks,
     "fx_node_items": _node_items, "fx_edge_items": _edge_items, "fx_frame_items": _frame_items,
-    "fx_score_responses": _score_responses, "fx_dscored": _dscored,
+    "fx_score_responses": _score_responses, "fx_dscored": _dscored, "fx_node_keys": _node_keys,
 }
 
 
@@ -268,6 +278,10 @@ INLINE = ("fx_lines", "fx_units")
 NEVER_STAGED = ("fx_dscored", "fx_annotated_docs", "fx_written_docs", "fx_vnodes", "fx_vunits", "fx_vconcepts", "fx_vedges", "fx_vframes", "fx_vnotes")
 
 
+# These read no text of a node: they build on its keys, so no texts are written for them.
+BY_KEYS = ("fx_node_units", "fx_frames")
+
+
 def unstaged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table, read if it is staged and computed in place if not; the tables it builds on are staged first, so its plan stays
     one step long (a few over ``INLINE`` ones)."""
@@ -278,6 +292,8 @@ def unstaged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return SPARK_BUILDERS[name](spark, sf_dir)
     dialect = Dialect("spark", sf_dir)
     text = TABLES[name](dialect)
+    if name in BY_KEYS:
+        text = text.replace("fx_nodes", "fx_node_keys")
     ctes: dict[str, str] = {}
 
     def add(sql):
@@ -302,5 +318,19 @@ def fixture(spark: SparkSession, sf_dir: str, name: str, columns: str = "*") ->
     return df if columns == "*" else df.select(*[c.strip() for c in columns.split(",")])
 
 
+SPARK_BUILDERS["fx_node_keys"] = lambda spark, sf_dir: unstaged(spark, sf_dir, "fx_nodes").select(*NODE_KEYS)
+
+
+def _concepts_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five picks of ``fx_node_concepts`` in one pass over the nodes' texts, none of which is written."""
+    words = r"""select doc_id, node_ord, node_id, kind, regexp_extract_all(lower(src_text), r'[\p{{L}}]{{4,}}', 0) as t from {nodes}"""
+    picks = ", ".join(f"if({rule}, named_struct('role', '{role}', 'pos', cast({pos} as bigint), 'concept', try_element_at(t, cast({index} as int))), null)" for role, pos, index, rule in PICKS)
+    picked = spark.sql(f"select doc_id, node_ord, node_id, inline(filter(array({picks}), x -> x.concept is not null)) from ({words})", nodes=unstaged(spark, sf_dir, "fx_nodes"))
+    return picked.select("doc_id", "node_ord", "node_id", "role", "pos", "concept")
+
+
+SPARK_BUILDERS["fx_node_concepts"] = _concepts_at_once
+
+
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -352,3 +352,57 @@ def test_open_gaps_stage_no_copy_of_the_units(spark):
     assert key not in _STAGED
     if kept:
         _STAGED[key] = kept
+
+
+def shuffled(spark, df):
+    """Rows of ``df`` and the bytes shuffled for them."""
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+
+    def total():
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+    before = total()
+    rows = df.collect()
+    return rows, total() - before
+
+
+def test_triage_reads_borders_of_labels_in_the_whole_text(spark):
+    import random
+    import re
+    rng = random.Random(4)
+    labels = ["ab", "ab c", "C++", "x" * 80, "y z " * 19 + "y z", "μ", "b", "is called", "a. b"]
+    pieces = ["Kab", "ab", "AB  c", "C++", "x" * 80, "x" * 81, "y z " * 19 + "Y z", " ", " ", " ", "  ", ". ", "_", "μ", "is called", "IS DEFINED AS", "denotes", "we define", "this text  calls", "we call", "-" * 118, "-" * 130, "\U0001f600", "\n"]
+    texts = ["Kab is called so.", "we define" + "-" * 120 + "ab", "we define" + "-" * 121 + "ab", "we define-" + "-" * 119 + "x" * 80, "we define-" + "-" * 119 + "x" * 80 + "_"]
+    texts += ["".join(rng.choice(pieces) + rng.choice(["", " "]) for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    units = spark.createDataFrame([(1, i, f"u{i}", t, ["Chapter 1 X"]) for i, t in enumerate(texts)], "doc_id bigint, unit_ord bigint, unit_id string, text string, context array<string>")
+    records = spark.createDataFrame([(1, f"g{j}", label, "Chapter 1 X", "unresolved", None, None, "") for j, label in enumerate(labels)],
+                                    "doc_id bigint, gap_id string, label string, chapter string, status string, provenance string, confidence string, reason string")
+
+    def matches(label, text):
+        a, t = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))", "".join(f"[{c.lower()}{c.upper()}]" if c.isascii() and c.isalpha() else re.escape(c) for c in label)
+        cue = lambda s: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in s)
+        said, told = "|".join(map(cue, ("is defined as", "is called", "denotes", "refers to"))), f"(?:{cue('we')}|{cue('this text')})\\s+(?:{cue('define')}|{cue('call')})"
+        return re.search(f"{a}{t}{a}\\s+(?:{said}){a}|{a}{told}{a}[^.]{{0,120}}{a}{t}{a}", text) is not None
+    want = {(f"g{j}", f"u{i}") for j, label in enumerate(labels) for i in [i for i, t in enumerate(texts) if matches(label, t)][:2]}
+    chapters = units.select("doc_id", "unit_id", "context")
+    for args in ((units,), (units.drop("context"), chapters)):
+        out, links = ov.triage_definitions(records, *args)
+        assert {(r.gap_id, r.unit_id) for r in links.collect()} == want and len(want) > 8
+        assert {r.gap_id for r in out.filter("status = 'already_defined'").collect()} == {g for g, _ in want}
+
+
+def test_triage_moves_parts_of_texts_only(spark):
+    import random
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=n))
+    rows = [(1, i, f"u{i}", f"{noise(8_000)} term {i} is called so. {noise(8_000)}", [f"Chapter 1 {noise(2_000)}" if i % 2 else "Chapter 2 Y"]) for i in range(60)]
+    units = spark.createDataFrame(rows, "doc_id bigint, unit_ord bigint, unit_id string, text string, context array<string>")
+    records = spark.createDataFrame([(1, f"g{i}", f"term {i}", "Chapter 2 Y", "unresolved", None, None, "") for i in range(60)],
+                                    "doc_id bigint, gap_id string, label string, chapter string, status string, provenance string, confidence string, reason string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links, moved = shuffled(spark, ov.triage_definitions(records, units)[1])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(links) == 30 and moved < 200_000  # the texts have 960,000 bytes
