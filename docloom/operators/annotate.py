@@ -94,6 +94,8 @@ def annotate_document(documents: DataFrame, issues: DataFrame, issue_units: Data
     return df.select("doc_id", F.concat(trim_ws(text), F.lit("\n")).alias("text"))
 
 
+COMMENT_END = r"\}\s*-->"
+ISSUE_OPENING = rf"<!--\s*(?:{ISSUE_MARK}|{RESOLVED_MARK})\s+\{{"
 ISSUE_COMMENT = rf"<!--\s*(?:{ISSUE_MARK}|{RESOLVED_MARK})\s+(\{{[\s\S]*?\}})\s*-->"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.text import (NON_WS, blocks_of, collapse_ws, dense_block_count, is_blank, is_dense_block, is_kept_whole, let, sentence_count,
                                     split_sentences, text_length, trim_ws, word_count)
-from docloom.operators.annotate import issue_ids
+from docloom.operators.annotate import COMMENT_END, ISSUE_COMMENT, ISSUE_OPENING, issue_ids
 from docloom.operators.overlay import exact_cover
 
 MIN_CHARS = 2_000
@@ -96,20 +96,23 @@ def apply_replacements(documents: DataFrame, accepted: DataFrame) -> DataFrame:
     return df.withColumn("text", text).drop("_both", "_new")
 
 
-def section_disposition(sections: DataFrame, documents: DataFrame, transition_titles: tuple[str, ...] = ()) -> DataFrame:
+def section_disposition(sections: DataFrame, documents: DataFrame, transition_titles: tuple[str, ...] = (), body: dict = {"text": lambda t: t}) -> DataFrame:
     """``sections(doc_id, section, title, text)`` against finished ``documents(doc_id, section, text, reused)``.
 
     ``transition_titles``: patterns of titles whose sections pass through as they are, like short ones.
+    ``body``: columns made of the text that stands for the section. They are made before the join, so it moves nothing else of a text.
     """
-    have = documents.select("doc_id", "section", F.col("text").alias("_d"), "reused")
+    made = lambda prefix: [f(F.col("text")).alias(f"{prefix}{name}") for name, f in body.items()]
+    have = documents.select("doc_id", "section", F.col("text").isNotNull().alias("_have"), "reused", *made("_d_"))
     passes = text_length(F.col("text")) < MIN_CHARS
     for pattern in transition_titles:
         passes = passes | F.coalesce(F.col("title").rlike(pattern), F.lit(False))
-    status = (F.when(F.col("_d").isNotNull() & F.col("reused"), "reused").when(passes, "source_transition")
-              .when(F.col("_d").isNotNull(), "generated").otherwise("source_fallback"))
-    df = sections.join(have, ["doc_id", "section"], "left").withColumn("status", status)
-    body = F.when(F.col("status").isin("reused", "generated"), F.col("_d")).otherwise(F.col("text"))
-    return df.select("doc_id", "section", "title", "status", body.alias("text"))
+    have_it = F.coalesce("_have", F.lit(False))
+    status = (F.when(have_it & F.col("reused"), "reused").when(F.col("_passes"), "source_transition")
+              .when(have_it, "generated").otherwise("source_fallback"))
+    df = sections.select("doc_id", "section", "title", passes.alias("_passes"), *made("_s_")).join(have, ["doc_id", "section"], "left").withColumn("status", status)
+    chosen = [F.when(F.col("status").isin("reused", "generated"), F.col(f"_d_{name}")).otherwise(F.col(f"_s_{name}")).alias(name) for name in body]
+    return df.select("doc_id", "section", "title", "status", *chosen)
 
 
 def assemble_book(section_documents: DataFrame) -> DataFrame:
@@ -126,14 +129,53 @@ def missing_issues(expected_in: DataFrame, kept_in: DataFrame, key: list[str]) -
     return _ids(expected_in, key).join(_ids(kept_in, key), [*key, "issue_id"], "left_anti")
 
 
-def book_report(dispositions: DataFrame, annotated_sections: DataFrame, books: DataFrame) -> DataFrame:
-    """Per document: sections by status, expected, kept and missing issue ids, dense blocks of the book."""
+def _comments(text: Column) -> Column:
+    """Struct (ids, open): issue ids of the text, and whether it ends inside a comment."""
+    return F.struct(issue_ids(text).alias("ids"), F.regexp_replace(text, ISSUE_COMMENT, "|").rlike(ISSUE_OPENING).alias("open"))
+
+
+def _book_marks(text: Column) -> Column:
+    """What a section adds to its book: dense blocks, and its comments both if it begins outside of one and inside of one.
+
+    Sections are trimmed and a line ``---`` stands between them, so no block reaches from one into the next. A comment may; its body
+    holds that line then, so it is no JSON and has no id. What is trimmed counts neither way, so it stays.
+    """
+    rest = lambda t: F.regexp_replace(t, rf"\A[\s\S]*?{COMMENT_END}", "")
+    nothing = F.struct(F.array().cast("array<string>").alias("ids"), F.lit(True).alias("open"))
+    return let(F.coalesce(text, F.lit("")), lambda t: F.struct(
+        dense_block_count(t).cast("bigint").alias("dense"), _comments(t).alias("outside"),
+        F.when(t.rlike(COMMENT_END), let(rest(t), _comments)).otherwise(nothing).alias("inside")))
+
+
+BOOK_MARKS = {"marks": _book_marks}
+
+
+def _book_ids(marked: DataFrame) -> DataFrame:
+    """(doc_id, issue_id) that ``issue_ids`` finds in the assembled books."""
+    start = F.struct(F.array().cast("array<array<string>>").alias("ids"), F.lit(False).alias("open"))
+
+    def add(state, row):
+        return let(F.when(state["open"], row["marks"]["inside"]).otherwise(row["marks"]["outside"]), lambda c: F.struct(
+            F.when(F.size(c["ids"]) > 0, F.array_append(state["ids"], c["ids"])).otherwise(state["ids"]).alias("ids"), c["open"].alias("open")))
+    # Only sections with something to add are listed.
+    moves = (F.size("marks.outside.ids") > 0) | F.col("marks.outside.open") | (F.size("marks.inside.ids") > 0) | ~F.col("marks.inside.open")
+    rows = F.array_sort(F.collect_list(F.struct("section", F.struct("marks.outside", "marks.inside").alias("marks"))))
+    closed = F.flatten(F.transform("_rows", lambda r: r["marks"]["outside"]["ids"]))
+    ids = F.when(F.exists("_rows", lambda r: r["marks"]["outside"]["open"]), F.aggregate("_rows", start, add, lambda s: F.flatten(s["ids"]))).otherwise(closed)
+    return marked.filter(moves).groupBy("doc_id").agg(rows.alias("_rows")).select("doc_id", F.explode(ids).alias("issue_id")).distinct()
+
+
+def book_report(dispositions: DataFrame, annotated_sections: DataFrame) -> DataFrame:
+    """Per document: sections by status, expected, kept and missing issue ids, dense blocks of the book.
+
+    ``dispositions`` is ``section_disposition`` with ``BOOK_MARKS``: what the report says of a book follows from marks of its sections.
+    """
     statuses = dispositions.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sections"), *[
-        F.count_if(F.col("status") == s).alias(s) for s in ("reused", "source_transition", "generated", "source_fallback")])
+        F.count_if(F.col("status") == s).alias(s) for s in ("reused", "source_transition", "generated", "source_fallback")], F.sum("marks.dense").alias("dense"))
     count = lambda df, name: df.groupBy("doc_id").agg(F.count(F.lit(1)).alias(name))
-    expected = _ids(annotated_sections, ["doc_id"])
-    out = statuses.join(books.select("doc_id", dense_block_count(F.col("text")).cast("bigint").alias("dense")), "doc_id", "left")
-    for df, name in ((expected, "expected_issues"), (_ids(books, ["doc_id"]), "kept_issues"), (missing_issues(annotated_sections, books, ["doc_id"]), "missing_issues")):
+    expected, kept = _ids(annotated_sections, ["doc_id"]), _book_ids(dispositions)
+    out = statuses
+    for df, name in ((expected, "expected_issues"), (kept, "kept_issues"), (expected.join(kept, ["doc_id", "issue_id"], "left_anti"), "missing_issues")):
         out = out.join(count(df, name), "doc_id", "left")
     return out.fillna(0)
 

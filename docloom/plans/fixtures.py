@@ -275,7 +275,7 @@ SPARK_BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Row-local steps over one other table: a table that builds on them computes them again rather than have their texts written.
 INLINE = ("fx_lines", "fx_units")
 # Of these not even a query that reads them has a copy written.
-NEVER_STAGED = ("fx_dscored", "fx_annotated_docs", "fx_written_docs", "fx_vnodes", "fx_vunits", "fx_vconcepts", "fx_vedges", "fx_vframes", "fx_vnotes")
+NEVER_STAGED = ("fx_dscored", "fx_section_docs", "fx_annotated_docs", "fx_written_docs", "fx_vnodes", "fx_vunits", "fx_vconcepts", "fx_vedges", "fx_vframes", "fx_vnotes")
 
 
 # These read no text of a node: they build on its keys, so no texts are written for them.
@@ -301,7 +301,10 @@ def unstaged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             key = (spark.sparkContext.applicationId, sf_dir, other)
             if other not in TABLES or other in ctes:
                 continue
-            if other in INLINE + NEVER_STAGED and key not in _STAGED:
+            if other in NEVER_STAGED and other in SPARK_BUILDERS and key not in _STAGED:
+                SPARK_BUILDERS[other](spark, sf_dir).createOrReplaceTempView(f"built_{other}")
+                ctes[other] = f"select * from built_{other}"
+            elif other in INLINE + NEVER_STAGED and key not in _STAGED:
                 add(TABLES[other](dialect))
                 ctes[other] = TABLES[other](dialect)
             else:

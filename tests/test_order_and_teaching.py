@@ -275,3 +275,39 @@ def test_assembly_joins_each_record_text_once(spark, tmp_path):
     pieces = text.rstrip("\n").split("\n\n")
     assert pieces[:2] == ["# Guide", "## One"] and [p for p in pieces if p.startswith("Text")] == ["Text 1", "Text 3", "Text 4"]
     assert '"id":"r2"' in pieces[2] and '"id":"issue-r2"' in pieces[3] and '"sourceUnitIds":["u1"]' in pieces[4] and len(pieces) == 11
+
+
+def test_report_of_marks_equals_report_of_assembled_books(spark):
+    from docloom.functions.text import dense_block_count
+    from docloom.operators.annotate import issue_ids
+
+    rng = random.Random(6)
+    prose = "One two three four five six seven eight nine. " * 5
+    pieces = [prose, "Short.", "\n\n", "\n", "<!-- docloom:issue {\"id\":\"a\"} -->", "<!-- docloom:resolved {\"id\":\"b\"} -->", "<!-- docloom:issue {broken} -->", "<!-- docloom:issue {\"id\":\"c\"",
+              "<!-- docloom:issue {\"id\":\"d", "\"} -->", "} -->", "}", "-->", "<!-- docloom:issue", "{\"id\":\"e\"} -->", "<!--", " ", "", "---"]
+    texts = [(d, s, "".join(rng.choice(pieces) + rng.choice(["", " ", "\n\n"]) for _ in range(rng.randint(0, 5)))) for d in range(150) for s in range(1, rng.randint(2, 7))]
+    sections = spark.createDataFrame([(d, s, "Title", t) for d, s, t in texts], "doc_id bigint, section bigint, title string, text string")
+    written = spark.createDataFrame([(d, s, rng.choice([t, t[::2], "Written.\n\n" + prose, None]), rng.random() < 0.5) for d, s, t in texts if rng.random() < 0.6],
+                                    "doc_id bigint, section bigint, text string, reused boolean")
+    books = pr.assemble_book(pr.section_disposition(sections, written))
+    want = {r.doc_id: (r.dense, len(set(r.ids))) for r in books.select("doc_id", dense_block_count(F.col("text")).alias("dense"), issue_ids(F.col("text")).alias("ids")).collect()}
+    lost = {r.doc_id: r.n for r in pr.missing_issues(sections, books, ["doc_id"]).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    report = {r.doc_id: r for r in pr.book_report(pr.section_disposition(sections, written, body=pr.BOOK_MARKS), sections).collect()}
+    assert {d: (r.dense, r.kept_issues) for d, r in report.items()} == want and {d: r.missing_issues for d, r in report.items() if r.missing_issues} == lost
+    assert len({n for _, n in want.values()}) > 2 and sum(n for n, _ in want.values()) > 100
+
+
+def test_sections_and_their_report_shuffle_no_text(spark, tmp_path):
+    from docloom.plans import QUERIES
+
+    lines = ["".join(rng.choices("bcdfghjklmnpqrstvwxz ", k=4_000)) for rng in [random.Random(7)] for _ in range(90)]
+    docs = [(d, "\n".join(["", *lines[d * 9:d * 9 + 4], "  ", *lines[d * 9 + 4:d * 9 + 9]][d % 2:])) for d in range(10)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+
+    def moved():
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() + stages.apply(i).outputBytes() for i in range(stages.size()))
+    before = moved()
+    rows = QUERIES["book_report"](spark, str(tmp_path)).collect()
+    assert len(rows) >= 5 and moved() - before < 120_000  # the texts have 360,000 bytes; some documents have no top heading
