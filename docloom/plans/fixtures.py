@@ -335,5 +335,23 @@ def _concepts_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 SPARK_BUILDERS["fx_node_concepts"] = _concepts_at_once
 
 
+def _edges_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_edges`` with one join for the five kinds of edges that need a later node, by keys alone."""
+    steps = ", ".join(f"if({rule}, named_struct('slot', {slot}, 'step', {step}), null)" for slot, step, rule in
+                      ((0, 1, "true"), (1, 3, "node_ord % 2 = 0"), (2, 1, "node_ord % 10 = 0"), (5, 2, "node_ord % 11 = 0"), (6, 4, "node_ord % 19 = 0")))
+    near = f"""select w.doc_id, w.node_ord, w.slot, w.node_id as a, b.node_id as b
+        from (select doc_id, node_ord, node_id, inline(filter(array({steps}), x -> x is not null)) from {{nodes}}) w
+        join {{nodes}} b on b.doc_id = w.doc_id and b.node_ord = w.node_ord + w.step"""
+    alone = """select doc_id, node_ord, 3 as slot, node_id as a, node_id as b from {nodes} where node_ord % 13 = 0
+        union all select doc_id, node_ord, 4 as slot, node_id as a, 'n999999' || cast(node_ord % 10 as string) as b from {nodes} where node_ord % 17 = 0"""
+    relations = ", ".join(f"'{r}'" for r in RELATIONS)
+    return spark.sql(f"""select doc_id, node_ord * 8 + slot as edge_ord, if(slot = 5, b, a) as src, if(slot = 5, a, b) as dst,
+            if(slot = 6, 'relates', try_element_at(array({relations}), cast(1 + node_ord % 9 as int))) as relation, 'reason ' || cast(node_ord as string) as reason, 'model' as origin
+        from ({near} union all {alone})""", nodes=fixture(spark, sf_dir, "fx_node_keys"))
+
+
+SPARK_BUILDERS["fx_edges"] = _edges_at_once
+
+
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -82,17 +82,17 @@ add_table("fx_reconciled", lambda d: """select doc_id, src, dst, relation, min_b
 
 def gap_tables(spark, sf):
     members, concepts = concept_tables(spark, sf)
-    return g.materialize_gaps(fixture(spark, sf, "fx_nodes"), fixture(spark, sf, "fx_node_units"), members, concepts), members, concepts
+    return g.materialize_gaps(fixture(spark, sf, "fx_node_keys"), fixture(spark, sf, "fx_node_units"), members, concepts), members, concepts
 
 
-def staged_gaps(spark, sf):
-    return {name: stage(spark, sf, f"gaps_{name}", lambda name=name: gap_tables(spark, sf)[0][name]) for name in ("gaps", "nodes", "node_units", "node_concepts", "edges")}
+def staged_gaps(spark, sf, *names):
+    """The named tables of the gaps, all by default."""
+    return {name: stage(spark, sf, f"gaps_{name}", lambda name=name: gap_tables(spark, sf)[0][name]) for name in names or ("gaps", "nodes", "node_units", "node_concepts", "edges")}
 
 
 def reconciled_edges(spark, sf):
-    gaps = staged_gaps(spark, sf)
-    members, concepts = concept_tables(spark, sf)
-    return g.reconcile_concepts(fixture(spark, sf, "fx_edges"), g.definer_edges(fixture(spark, sf, "fx_nodes"), members, concepts), gaps["edges"])
+    gaps, members, concepts = gap_tables(spark, sf)
+    return g.reconcile_concepts(fixture(spark, sf, "fx_edges"), g.definer_edges(fixture(spark, sf, "fx_node_keys"), members, concepts), gaps["edges"])
 
 
 @query("reconcile_concepts", "select * from fx_reconciled")
@@ -118,7 +118,7 @@ def materialize_gaps(spark, sf):
       select m.doc_id, m.concept, m.node_ord, n.text, row_number() over (partition by m.doc_id, m.concept order by m.node_ord) as rn
       from fx_members m join fx_nodes n using (doc_id, node_id) where m.role = 'requires') where rn <= 3 and text <> '' group by doc_id, concept) e using (doc_id, concept)""")
 def unresolved_concepts(spark, sf):
-    out, members = staged_gaps(spark, sf), concept_tables(spark, sf)[0]
+    out, members = staged_gaps(spark, sf, "gaps"), concept_tables(spark, sf)[0]
     rows = g.unresolved_concepts(out["gaps"], members, fixture(spark, sf, "fx_nodes"))
     return rows.withColumn("examples", F.array_join("examples", "|"))
 

@@ -406,3 +406,29 @@ def test_triage_moves_parts_of_texts_only(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert len(links) == 30 and moved < 200_000  # the texts have 960,000 bytes
+
+
+def test_reconciling_writes_no_texts_and_no_tables_beside_it(spark, tmp_path):
+    import random
+
+    from docloom.plans import QUERIES
+    from docloom.plans.fixtures import TABLES, Dialect, fixture
+    rng = random.Random(8)
+    docs = [(d, "\n".join("".join(rng.choices("bcdfghjklm ", k=3_000)) for _ in range(12))) for d in range(10)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+
+    def written():
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+        return sum(stages.apply(i).outputBytes() for i in range(stages.size()))
+    before = written()
+    assert QUERIES["reconcile_concepts"](spark, str(tmp_path)).count() > 50
+    assert written() - before < 150_000  # the texts have 360,000 bytes, the nodes' tables two copies of them
+    # The edges and concepts built in one pass are those of the tables' own SQL.
+    dialect = Dialect("spark", str(tmp_path))
+    fixture(spark, str(tmp_path), "fx_nodes").createOrReplaceTempView("fx_nodes")
+    for name in ("fx_edges", "fx_node_concepts", "fx_node_units"):
+        fixture(spark, str(tmp_path), "fx_units").createOrReplaceTempView("fx_units")
+        want, got = spark.sql(TABLES[name](dialect)), fixture(spark, str(tmp_path), name)
+        assert want.columns == got.columns and want.dtypes == got.dtypes
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 < got.count()
