@@ -47,6 +47,15 @@ def trim_ws(col: Column) -> Column:
     return F.regexp_replace(col, rf"\A{WS}+|{WS}+\z", "")
 
 
+#: A character other than a space, by Unicode; what has none is a blank line.
+NO_SPACE = r"[^\p{Zs}]"
+
+
+def trim_spaces(col: Column) -> Column:
+    """Trim Unicode spaces on both sides; tabs and line ends stay."""
+    return F.regexp_replace(col, r"\A\p{Zs}+|\p{Zs}+\z", "")
+
+
 def rtrim_ws(col: Column) -> Column:
     return F.regexp_replace(col, rf"{WS}+\z", "")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.ordering import union_all
-from docloom.functions.text import trim_ws
+from docloom.functions.text import NO_SPACE, trim_spaces, trim_ws
 
 # Gap types that count as open issues.
 ISSUE_TYPES = ("parsing_error", "truncated_source", "missing_context", "context_missing", "missing_evidence", "missing_derivation",
@@ -75,8 +75,11 @@ def issue_comments(issues: DataFrame, issue_units: DataFrame) -> DataFrame:
                                                             F.concat(F.lit(f"<!-- {ISSUE_MARK} "), safe_json(body), F.lit(" -->")).alias("comment"))
 
 
-def annotate_document(documents: DataFrame, issues: DataFrame, issue_units: DataFrame, summary: DataFrame) -> DataFrame:
-    """Coverage comment after the first line, issue comments after their units; the text is woven inside its own row."""
+def annotate_document(documents: DataFrame, issues: DataFrame, issue_units: DataFrame, summary: DataFrame, *, blank_lines: bool = True) -> DataFrame:
+    """Coverage comment after the first line, issue comments after their units; the text is woven inside its own row.
+
+    Without ``blank_lines`` these are left out, with documents that have no other, and only spaces are trimmed; line numbers stay those of the source.
+    """
     order = F.struct(F.col("end_line").alias("line"), "late", "issue_ord", "issue_id", "comment")
     grouped = issue_comments(issues, issue_units).groupBy("doc_id").agg(F.array_sort(F.collect_list(order)).alias("_c"))
     cover = F.concat(F.lit(f"<!-- {COVERAGE_MARK} "), F.to_json(F.struct(
@@ -84,14 +87,18 @@ def annotate_document(documents: DataFrame, issues: DataFrame, issue_units: Data
     df = documents.select("doc_id", "text").join(summary.select("doc_id", cover.alias("_cover")), "doc_id", "left").join(grouped, "doc_id", "left")
     row = lambda line, part, seq, text: F.struct(line.cast("bigint").alias("line"), F.lit(part).alias("part"), seq.cast("bigint").alias("seq"), text.alias("text"))
     lines = F.transform(F.split("text", "\n", -1), lambda t, i: row(i + 1, 0, F.lit(0), t))
+    if not blank_lines:
+        lines = F.filter(lines, lambda x: x["text"].rlike(NO_SPACE))
+        df = df.filter(F.size(lines) > 0)
     one = F.when(F.col("_cover").isNotNull(), F.array(row(F.lit(1), 1, F.lit(0), F.lit("")), row(F.lit(1), 1, F.lit(1), F.col("_cover"))))
     # The blank line before a group of comments belongs to the first comment of that line.
     comments = F.transform("_c", lambda c, i: row(c["line"], 2, i, F.concat(
         F.when((i == 0) | (F.try_element_at("_c", i)["line"] != c["line"]), "\n").otherwise(""), c["comment"])))
     empty = F.array().cast("array<struct<line:bigint,part:int,seq:bigint,text:string>>")
     woven = F.array_sort(F.concat(lines, F.coalesce(one, empty), F.coalesce(comments, empty)))
-    text = F.regexp_replace(F.array_join(F.transform(woven, lambda x: x["text"]), "\n"), r"\n{4,}", "\n\n\n")
-    return df.select("doc_id", F.concat(trim_ws(text), F.lit("\n")).alias("text"))
+    text = F.array_join(F.transform(woven, lambda x: x["text"]), "\n")
+    text = trim_ws(F.regexp_replace(text, r"\n{4,}", "\n\n\n")) if blank_lines else trim_spaces(text)
+    return df.select("doc_id", F.concat(text, F.lit("\n")).alias("text"))
 
 
 COMMENT_END = r"\}\s*-->"

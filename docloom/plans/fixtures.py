@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docloom.functions.ordering import staged
+from docloom.functions.text import NO_SPACE
 
 
 class Dialect:
@@ -26,6 +27,10 @@ class Dialect:
     def rx(self, pattern):
         return f"r'{pattern}'" if self.spark else f"'{pattern}'"
 
+    def trim(self, text):
+        """DuckDB's trim takes every Unicode space, Spark's only the ASCII one."""
+        return f"regexp_replace({text}, r'\\A\\p{{Zs}}+|\\p{{Zs}}+\\z', '')" if self.spark else f"trim({text})"
+
     def arr(self, *items):
         return f"array({', '.join(items)})" if self.spark else f"[{', '.join(items)}]"
 
@@ -53,7 +58,7 @@ def _lines(d):
     if d.spark:
         return f"""select doc_id, cast(p + 1 as bigint) as line, t as text
             from (select doc_id, posexplode(split(text, '\\n')) as (p, t) from {d.table('documents')})
-            where length(trim(t)) > 0"""
+            where t rlike r'{NO_SPACE}'"""
     return """select doc_id, line, text from (
             select doc_id, unnest(range(1, len(l) + 1)) as line, unnest(l) as text
             from (select doc_id, string_split(text, chr(10)) as l from documents))
@@ -64,10 +69,10 @@ def _units(d):
     return f"""select doc_id, line as unit_ord, {pad('u', 'line', 6)} as unit_id, kind, lvl,
             case when kind = 'heading' then repeat('#', cast(lvl as int)) || ' '
                  || case when lvl = 1 then 'Chapter ' || cast(1 + line % 5 as string) || ' ' else '' end
-                 || trim(text)
+                 || {d.trim('text')}
                  else text end as text,
             case when kind = 'heading' then case when lvl = 1 then 'Chapter ' || cast(1 + line % 5 as string) || ' ' else '' end
-                 || trim(text) end as title,
+                 || {d.trim('text')} end as title,
             line as start_line, line as end_line
         from (select *, case when line = 1 or (doc_id * 7 + line) % 9 = 0 then 'heading'
                      when (doc_id + line) % 11 = 0 then 'code' when (doc_id + line) % 13 = 0 then 'equation'

@@ -131,6 +131,18 @@ def test_annotation_places_comments_and_keeps_ids(spark):
     assert [(r.issue_id, r.type) for r in an.issue_annotations(solved, links, base)[0].collect()] == [("fallback-u2", "source_fallback")]
 
 
+def test_annotated_documents_with_blank_lines_match_their_sql(spark, tmp_path):
+    import duckdb
+    from docloom.plans import overlay
+
+    odd = [None, "", "  ", "\n", "\t", "a b.\n\nc d.\n\n\n\n\ne", "\n\n first\nsecond", "\tx\ny\t", "one\r\ntwo\r\n", "\u00a0z\nq\u00a0", "x\n\u2003\ny", "\u3000t", "\n".join("" if n % 4 == 2 else f"Line {n}." for n in range(30))]
+    spark.createDataFrame(list(enumerate(odd, 1)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(overlay.ORACLES["annotate_document"]).fetchall()
+    assert sorted((r.doc_id, r.text) for r in overlay.annotate_document(spark, str(tmp_path)).collect()) == sorted(want) and len(want) == 9
+
+
 def test_triage_matches_brute_force_rules(spark):
     base = spark.createDataFrame([(1, 1, "u1", "A Fusion rule is called that.", ["Chapter 1 X"]), (1, 2, "u2", "Here we define, at some length, the fusion rule.", ["Chapter 1 X"]),
                                   (1, 3, "u3", "Confusion rule denotes.", ["Chapter 2 Y"]), (1, 4, "u4", "the C++ term refers to code", ["Chapter 1 X"]),
