@@ -349,15 +349,16 @@ def pack_chunks(units: DataFrame, limit: int = 24_000, keys: tuple[str, ...] = (
     Packing is sequential, so a key longer than ``block_rows`` positions is packed in blocks: each
     block says where it would leave off for every possible size it can be entered with (at most
     ``limit / overhead`` cases), the per-block answers are chained, and the blocks are then packed
-    in parallel. Only positions and weights travel, never text.
+    in parallel. Only positions and weights travel, never text. Units may come with ``chars`` in place of ``text``.
     """
     if limit < 1 or overhead < 1:
         raise ValueError("limit and overhead must be positive")
     keys = list(keys)
     types = dict(units.dtypes)
     key_ddl = ", ".join(f"{k} {types[k]}" for k in keys)
+    chars = F.col("chars") if "chars" in units.columns else text_length(F.col("text"))
     rows = units.select(*keys, F.col("unit_ord").cast("bigint").alias("unit_ord"),
-                        (text_length(F.col("text")) + overhead).cast("bigint").alias("weight"),
+                        (chars + overhead).cast("bigint").alias("weight"),
                         F.floor(F.col("unit_ord") / block_rows).cast("bigint").alias("blk"))
     long_keys = rows.groupBy(*keys).agg(F.min("blk").alias("a"), F.max("blk").alias("b")).filter("b > a").select(*keys)
     # Spread the blocks of a long key over tasks; the join alone would leave them together.

@@ -15,7 +15,7 @@ from docloom.operators import extraction as ex
 from docloom.plans import enrichment, overlay, prose, teaching  # noqa: F401 (their item tables)
 from docloom.plans.corpus import SCORE_ITEMS, SEGMENTED, _pack_sql, markdown, recursive_oracle
 from docloom.plans.extraction import chunk_units
-from docloom.plans.fixtures import add_table, fixture, oracle, pad, stage
+from docloom.plans.fixtures import SPARK_BUILDERS, TABLES, Dialect, add_table, fixture, oracle, pad, stage, unstaged
 
 QUERIES, ORACLES = {}, {}
 BATCH = ["doc_id", "batch_no"]
@@ -210,6 +210,11 @@ add_table("fx_leaf_units", lambda d: """select t.doc_id, t.chunk_id, t.path, t.o
     where t.outcome <> 'split'""")
 
 
+# Answers name units, they hold no text of them.
+SPARK_BUILDERS["fx_leaf_units"] = lambda spark, sf: spark.sql(TABLES["fx_leaf_units"](Dialect("spark", sf)).replace(", u.text from fx_tree", " from {tree}").replace("fx_chunk_units", "{chunks}"),
+                                                              tree=fixture(spark, sf, "fx_tree"), chunks=fixture(spark, sf, "fx_chunks"))
+
+
 @query("repair_tree", """with leaves as (select *, coalesce(sum(size) over (partition by doc_id, chunk_id order by path rows between unbounded preceding and 1 preceding), 0) as base from (
       select doc_id, chunk_id, path, outcome, max(units) as units, max(units) + case when outcome = 'fallback' then 1 else 0 end as size from fx_leaf_units group by doc_id, chunk_id, path, outcome))
     select doc_id, chunk_id, 'part' as part, path as a, outcome as b, cast(null as bigint) as n from fx_tree
@@ -222,7 +227,7 @@ add_table("fx_leaf_units", lambda d: """select t.doc_id, t.chunk_id, t.path, t.o
     union all select u.doc_id, u.chunk_id, 'link', u.unit_id, null, cast(l.base + u.units as bigint) from fx_leaf_units u join leaves l using (doc_id, chunk_id, path) where u.outcome = 'fallback'""")
 def repair_tree(spark, sf):
     key = ["doc_id", "chunk_id"]
-    tree, units = fixture(spark, sf, "fx_tree"), chunk_units(spark, sf)
+    tree, units = fixture(spark, sf, "fx_tree"), unstaged(spark, sf, "fx_chunk_units")
     parts, members = ex.repair_tree(units, tree.select(*key, "path", F.expr(GOOD).alias("ok"), F.lit("late").alias("reason")), size=10 ** 9)
     leaves = fixture(spark, sf, "fx_leaf_units").filter("outcome = 'answer'").withColumn("at", F.col("at").cast("bigint"))
     nodes = leaves.select(*key, "path", F.col("at").alias("idx"), F.lit("claim").alias("kind"), F.concat(F.lit("about "), "unit_id").alias("text"))

@@ -121,6 +121,16 @@ def test_repair_tree_splits_and_combines(spark, seed):
     assert rows_of(out["nodes"].filter("chunk_id = 'c2'"), "idx", "kind", "text") == [(0, "code", "alone"), (1, "gap", None)]
 
 
+def test_repair_trees_are_cut_without_texts_into_compressed_tables(spark, monkeypatch):
+    cut, real = [], ex.cut_lineage
+    monkeypatch.setattr(ex, "cut_lineage", lambda df: cut.append(real(df)) or cut[-1])
+    none = spark.createDataFrame([(1, "c1", "", False, "x")], "doc_id bigint, chunk_id string, path string, ok boolean, reason string")
+    _, members = ex.repair_tree(tree_units(spark), none)
+    assert cut and not any("text" in df.columns for df in cut)
+    assert all(f.endswith(".zstd.parquet") for df in cut for f in df.inputFiles()) and any(df.inputFiles() for df in cut)
+    assert sorted((r.path, r.unit_id, r.text) for r in members.collect() if r.chunk_id == "c2") == [("", "u000020", "alone")]
+
+
 def test_unanswered_parts_are_the_work_list(spark):
     units = tree_units(spark)
     none = spark.createDataFrame([(1, "c1", "", False, "x")], "doc_id bigint, chunk_id string, path string, ok boolean, reason string")
