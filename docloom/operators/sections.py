@@ -59,11 +59,16 @@ def chapter_of(links: DataFrame, units: DataFrame, pattern: str = CHAPTER, use_l
 
     Units meet items with a digest of the chapter; its name, a whole heading, is shuffled once per chapter.
     """
+    first, names = chapter_digests(links, units, pattern, use_last, item)
+    return first.join(names, ["doc_id", "_k"]).select("doc_id", item, "chapter")
+
+
+def chapter_digests(links: DataFrame, units: DataFrame, pattern: str = CHAPTER, use_last: bool = False, item: str = "node_id") -> tuple[DataFrame, DataFrame]:
+    """``chapter_of`` in two: (doc_id, item, _k), and the names behind the digests, (doc_id, _k, chapter)."""
     found = units.select("doc_id", "unit_id", _chapter_entry(F.col("context"), pattern, use_last).alias("chapter")).filter("chapter is not null")
     first = (links.select("doc_id", item, "pos", "unit_id").join(found.select("doc_id", "unit_id", chapter_key().alias("_k")), ["doc_id", "unit_id"])
              .groupBy("doc_id", item).agg(F.min_by("_k", "pos").alias("_k")))
-    names = found.select("doc_id", chapter_key().alias("_k"), "chapter").dropDuplicates(["doc_id", "_k"])
-    return first.join(names, ["doc_id", "_k"]).select("doc_id", item, "chapter")
+    return first, found.select("doc_id", chapter_key().alias("_k"), "chapter").dropDuplicates(["doc_id", "_k"])
 
 
 def section_nodes(nodes: DataFrame, node_units: DataFrame, unit_sections: DataFrame) -> DataFrame:

@@ -260,7 +260,7 @@ def units_with_context(spark, sf):
 def unit_contexts(spark, sf):
     """Heading paths alone, for phases that need no text."""
     def build():
-        heads = fixture(spark, sf, "fx_units", "doc_id, unit_ord, unit_id, kind, lvl, title").withColumn("level", F.when(F.col("kind") == "heading", F.col("lvl")))
+        heads = unstaged(spark, sf, "fx_units").select("doc_id", "unit_ord", "unit_id", "kind", "lvl", "title").withColumn("level", F.when(F.col("kind") == "heading", F.col("lvl")))
         return segment.heading_context(heads.drop("kind", "lvl")).select("doc_id", "unit_id", "context")
     return stage(spark, sf, "unit_contexts", build)
 

@@ -283,8 +283,12 @@ INLINE = ("fx_lines", "fx_units")
 NEVER_STAGED = ("fx_dscored", "fx_section_docs", "fx_annotated_docs", "fx_written_docs", "fx_vnodes", "fx_vunits", "fx_vconcepts", "fx_vedges", "fx_vframes", "fx_vnotes")
 
 
+# The nodes of teaching records are lines of documents with marks: cheaper to compute again than to write.
+ROW_LOCAL = ("fx_tnodes",)
+
+
 # These read no text of a node: they build on its keys, so no texts are written for them.
-BY_KEYS = ("fx_node_units", "fx_frames")
+BY_KEYS = ("fx_node_units", "fx_frames", "fx_deps")
 
 
 def unstaged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -309,7 +313,7 @@ def unstaged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             if other in NEVER_STAGED and other in SPARK_BUILDERS and key not in _STAGED:
                 SPARK_BUILDERS[other](spark, sf_dir).createOrReplaceTempView(f"built_{other}")
                 ctes[other] = f"select * from built_{other}"
-            elif other in INLINE + NEVER_STAGED and key not in _STAGED:
+            elif (other in INLINE + NEVER_STAGED or other == "fx_nodes" and name in ROW_LOCAL) and key not in _STAGED:
                 add(TABLES[other](dialect))
                 ctes[other] = TABLES[other](dialect)
             else:
@@ -322,7 +326,7 @@ def unstaged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fixture(spark: SparkSession, sf_dir: str, name: str, columns: str = "*") -> DataFrame:
     """A derived table, staged unless it is one of ``NEVER_STAGED``."""
     build = lambda: unstaged(spark, sf_dir, name)
-    df = build() if name in NEVER_STAGED else stage(spark, sf_dir, name, build)
+    df = build() if name in NEVER_STAGED + ROW_LOCAL else stage(spark, sf_dir, name, build)
     return df if columns == "*" else df.select(*[c.strip() for c in columns.split(",")])
 
 

@@ -1,5 +1,7 @@
 """Queries for section partitions and teaching records."""
 
+from hashlib import sha256
+
 from pyspark.sql import functions as F
 
 from docloom.functions.ordering import cut_lineage
@@ -131,6 +133,42 @@ def built(spark, sf):
     return records, stage(spark, sf, "teaching_units", lambda: te.source_units(records))
 
 
+UNSCOPED = sha256(b"Unscoped").hexdigest()[:32].upper()
+
+
+def chapter_tables(spark, sf):
+    """(doc_id, node_id, chapter) and (doc_id, chapter, name): a chapter goes by its digest, as names are as long as texts."""
+    def build(i):
+        table = sec.chapter_digests(fixture(spark, sf, "fx_node_units"), unit_contexts(spark, sf), sec.CHAPTER_OR_PART, True)[i]
+        return table.withColumn("_k", F.when(F.hex("_k") == UNSCOPED, "Unscoped").otherwise(F.hex("_k")))
+    return (stage(spark, sf, "chapter_digests", lambda: build(0)).withColumnRenamed("_k", "chapter"),
+            stage(spark, sf, "chapter_names", lambda: build(1)).withColumnsRenamed({"chapter": "name", "_k": "chapter"}))
+
+
+def chapter_name():
+    return F.coalesce("name", F.lit("Unscoped")).alias("chapter")
+
+
+def keyed_records(spark, sf):
+    """The records with the digests of their chapters; they hold texts, which a reader that needs none prunes."""
+    return te.build_teaching_records(fixture(spark, sf, "fx_tnodes"), fixture(spark, sf, "fx_node_units"), chapter_tables(spark, sf)[0])[0]
+
+
+def record_keys(spark, sf):
+    """All of the records but their texts and the names of their chapters."""
+    return stage(spark, sf, "record_keys", lambda: keyed_records(spark, sf).drop("source_anchor"))
+
+
+def plain_units(keys):
+    """One unit of each record that is not dense; its text is the record's own and not repeated."""
+    return te.source_units(keys.withColumn("source_anchor", F.lit(None).cast("string")))
+
+
+def anchors(spark, sf):
+    """(doc_id, record_id, source_anchor) of every node that may become a record."""
+    return fixture(spark, sf, "fx_tnodes").filter("kind <> 'gap'").select("doc_id", F.concat(F.lit("teach-"), "node_id").alias("record_id"), F.col("text").alias("source_anchor"))
+
+
 @query("build_teaching_records", f"""select t.doc_id, t.record_id, t.chapter, t.density as density_score, t.density_source, case when dense then 'expansion_required' else 'source_ready' end as status, u.unit_id
     from fx_teach t left join (select doc_id, record_id, {pad('teaching-unit-', 'row_number() over (partition by doc_id order by record_ord)', 7)} as unit_id from fx_teach where not dense) u using (doc_id, record_id)""")
 def build_teaching_records(spark, sf):
@@ -339,7 +377,8 @@ ORACLES["prune_summary"] = "with recursive " + oracle("""with kept as (select do
 
 @query("topological_order")
 def topological_order(spark, sf):
-    return od.topological_order(built(spark, sf)[0], fixture(spark, sf, "fx_deps"))
+    order = od.topological_order(record_keys(spark, sf), fixture(spark, sf, "fx_deps"))
+    return order.join(chapter_tables(spark, sf)[1], ["doc_id", "chapter"], "left").select("doc_id", chapter_name(), "record_id", "pos")
 
 
 # One record per step: the smallest index whose predecessors have all left; what never leaves follows in order.

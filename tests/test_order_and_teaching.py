@@ -311,3 +311,24 @@ def test_sections_and_their_report_shuffle_no_text(spark, tmp_path):
     before = moved()
     rows = QUERIES["book_report"](spark, str(tmp_path)).collect()
     assert len(rows) >= 5 and moved() - before < 120_000  # the texts have 360,000 bytes; some documents have no top heading
+
+
+def teaching_corpus(spark, folder):
+    spark.createDataFrame([(i, "\n".join(f"{i} {n} A line of words, and more of them." for n in range(40))) for i in range(1, 9)], "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def staged_texts(spark, sf):
+    from docloom.plans import fixtures
+
+    paths = {name: path for (_, folder, name), path in fixtures._STAGED.items() if folder == sf}
+    return {name for name, path in paths.items() if {"text", "src_text", "source_anchor", "title"} & set(spark.read.parquet(path).columns)}
+
+
+def test_records_are_ordered_without_writing_texts(spark, tmp_path):
+    from docloom.plans import teaching
+
+    sf = teaching_corpus(spark, tmp_path)
+    rows = teaching.topological_order(spark, sf).collect()
+    assert {r.chapter for r in rows if r.doc_id == 1} and all(r.chapter.startswith("Chapter ") for r in rows)
+    assert staged_texts(spark, sf) == set()
