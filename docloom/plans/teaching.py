@@ -217,7 +217,7 @@ def teaching_summary(spark, sf):
 # Expansion answers for every pending record, some of them wrong.
 add_table("fx_requests", lambda d: """select t.doc_id, t.record_ord, t.record_id, t.source_node_id, t.source_anchor as text, cast(2 as bigint) as minimum_units,
       cast(floor((row_number() over (partition by t.doc_id order by t.record_ord) - 1) / 8) + 1 as bigint) as batch_no from fx_teach t where t.dense""")
-SPARK_BUILDERS["fx_requests"] = lambda spark, sf: batching.plan_batches(built(spark, sf)[0].filter("dense").select(
+SPARK_BUILDERS["fx_requests"] = lambda spark, sf: batching.plan_batches(keyed_records(spark, sf).filter("dense").select(
     "doc_id", "record_ord", "record_id", "source_node_id", F.col("source_anchor").alias("text"), "minimum_units"), 8, ["doc_id"], ["record_ord"])
 
 
@@ -282,7 +282,7 @@ def expand_prerequisites(spark, sf):
       from fx_teach t left join (select distinct doc_id, record_id from fx_placed) x using (doc_id, record_id)
       union all select doc_id, 'expansion_required', 1 from fx_generated) group by doc_id, status, depth""")
 def expansion_frontier(spark, sf):
-    records, units = built(spark, sf)
+    records = record_keys(spark, sf)  # what is counted needs no texts
     responses = fixture(spark, sf, "fx_expansions").withColumn("depth", F.lit(0))
     out = te.expansion_frontier(records, known(spark, sf), units, responses, 1)
     return out["records"].groupBy("doc_id", "status", F.col("expansion_depth").alias("depth")).agg(F.count(F.lit(1)).alias("records"))

@@ -332,3 +332,13 @@ def test_records_are_ordered_without_writing_texts(spark, tmp_path):
     rows = teaching.topological_order(spark, sf).collect()
     assert {r.chapter for r in rows if r.doc_id == 1} and all(r.chapter.startswith("Chapter ") for r in rows)
     assert staged_texts(spark, sf) == set()
+
+
+def test_frontiers_carry_no_texts_of_records(spark, tmp_path, monkeypatch):
+    from docloom.plans import teaching
+
+    sf, cut, real = teaching_corpus(spark, tmp_path), [], te.cut_lineage
+    monkeypatch.setattr(te, "cut_lineage", lambda df: cut.append(df.columns) or real(df))
+    assert teaching.expansion_frontier(spark, sf).collect()
+    assert staged_texts(spark, sf) == {"fx_requests", "fx_expansions"}
+    assert cut and not any("source_anchor" in columns and "record_ord" in columns for columns in cut)
