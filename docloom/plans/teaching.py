@@ -410,13 +410,11 @@ def unit_lists(spark, sf, prefix):
 
 
 def document_parts(spark, sf):
-    records, units = built(spark, sf)
-    # Chapters go by their numbers: their titles are as long as texts.
-    numbered = stage(spark, sf, "numbered_records", lambda: records.select("doc_id", "record_id", "record_ord", "chapter").join(te.section_order(records), ["doc_id", "chapter"])
-                     .select("doc_id", "record_id", "record_ord", F.col("pos").cast("string").alias("chapter")))
-    order = od.topological_order(numbered, fixture(spark, sf, "fx_forward"))
-    gaps = te.teaching_gaps(fixture(spark, sf, "fx_tnodes"), chapters(spark, sf))
-    return te.document_parts(records, order, unit_lists(spark, sf, "teach-"), units, gaps, unit_lists(spark, sf, ""), "Guide")
+    records, names = record_keys(spark, sf), chapter_tables(spark, sf)[1]
+    order = od.topological_order(records.select("doc_id", "record_id", "record_ord", "chapter"), fixture(spark, sf, "fx_forward"))
+    gaps = fixture(spark, sf, "fx_tnodes").filter("kind = 'gap'").withColumnRenamed("node_id", "gap_id")
+    return te.document_parts(records, order, unit_lists(spark, sf, "teach-"), plain_units(records), gaps, unit_lists(spark, sf, ""), "Guide",
+                             anchors=anchors(spark, sf), names=names.select("doc_id", "chapter", "name"))
 
 
 JSON = "cast(to_json({x}) as varchar)"
@@ -436,7 +434,7 @@ ASSEMBLED = f"""with unit_lists as (select doc_id, node_id, list(unit_id order b
 @query("assemble_document", ASSEMBLED)
 def assemble_document(spark, sf):
     parts = document_parts(spark, sf)
-    return te.assemble_document(parts.join(built(spark, sf)[0].select("doc_id").distinct(), "doc_id", "left_semi"))
+    return te.assemble_document(parts.join(record_keys(spark, sf).select("doc_id").distinct(), "doc_id", "left_semi"))
 
 
 @query("assembly_report", rf"""select t.doc_id, count(*) as records, count(*) as source_records, cast(count_if(not dense) as bigint) as mapped, cast(count_if(dense) as bigint) as dense_records, cast(0 as bigint) as expanded_dense,

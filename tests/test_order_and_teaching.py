@@ -342,3 +342,13 @@ def test_frontiers_carry_no_texts_of_records(spark, tmp_path, monkeypatch):
     assert teaching.expansion_frontier(spark, sf).collect()
     assert staged_texts(spark, sf) == {"fx_requests", "fx_expansions"}
     assert cut and not any("source_anchor" in columns and "record_ord" in columns for columns in cut)
+
+
+def test_texts_of_documents_are_shuffled_once(spark, tmp_path):
+    from docloom.plans import teaching
+
+    sf = teaching_corpus(spark, tmp_path)
+    out = te.assemble_document(teaching.document_parts(spark, sf))
+    above = out._jdf.queryExecution().executedPlan().toString().split("Window", 1)[0]
+    assert "Exchange" not in above and sum(r.text.startswith("# Guide\n") for r in out.collect()) == 8
+    assert staged_texts(spark, sf) == set()
