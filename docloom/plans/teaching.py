@@ -284,7 +284,7 @@ def expand_prerequisites(spark, sf):
 def expansion_frontier(spark, sf):
     records = record_keys(spark, sf)  # what is counted needs no texts
     responses = fixture(spark, sf, "fx_expansions").withColumn("depth", F.lit(0))
-    out = te.expansion_frontier(records, known(spark, sf), units, responses, 1)
+    out = te.expansion_frontier(records, known(spark, sf), plain_units(records).drop("text"), responses, 1)
     return out["records"].groupBy("doc_id", "status", F.col("expansion_depth").alias("depth")).agg(F.count(F.lit(1)).alias("records"))
 
 
@@ -443,9 +443,9 @@ def assemble_document(spark, sf):
     join (select doc_id, cast({{count}} as bigint) as words from (select doc_id, regexp_replace(text, '<!--[\s\S]*?-->', '', 'g') as text from ({{assembled}}))) a using (doc_id) group by t.doc_id""".format(
         count=r"len(regexp_extract_all(text, '[\p{L}\p{N}][\p{L}\p{N}_''-]*'))", assembled=ASSEMBLED))
 def assembly_report(spark, sf):
-    records, units = built(spark, sf)
-    documents = stage(spark, sf, "assembled", lambda: te.assemble_split_document(document_parts(spark, sf)))
-    out = te.assembly_report(records, units, documents, source(spark, sf, "documents"))
+    records = record_keys(spark, sf)
+    documents = te.assemble_split_document(document_parts(spark, sf))
+    out = te.assembly_report(records, plain_units(records), documents, source(spark, sf, "documents"), anchors=anchors(spark, sf))
     return out.select("doc_id", "records", "source_records", "mapped", "dense_records", "expanded_dense", "generated", "pending", "units", "source_words", "output_words", "missing_labels")
 
 

@@ -352,3 +352,10 @@ def test_texts_of_documents_are_shuffled_once(spark, tmp_path):
     above = out._jdf.queryExecution().executedPlan().toString().split("Window", 1)[0]
     assert "Exchange" not in above and sum(r.text.startswith("# Guide\n") for r in out.collect()) == 8
     assert staged_texts(spark, sf) == set()
+
+
+def test_assembly_reports_write_no_document(spark, tmp_path):
+    from docloom.plans import teaching
+
+    sf = teaching_corpus(spark, tmp_path)
+    assert len(teaching.assembly_report(spark, sf).collect()) == 8 and staged_texts(spark, sf) == set()
