@@ -283,8 +283,8 @@ INLINE = ("fx_lines", "fx_units")
 NEVER_STAGED = ("fx_dscored", "fx_section_docs", "fx_annotated_docs", "fx_written_docs", "fx_vnodes", "fx_vunits", "fx_vconcepts", "fx_vedges", "fx_vframes", "fx_vnotes")
 
 
-# The nodes of teaching records are lines of documents with marks: cheaper to compute again than to write.
-ROW_LOCAL = ("fx_tnodes",)
+# The nodes of teaching records and variants are lines of documents with marks: cheaper to compute again than to write.
+ROW_LOCAL = ("fx_tnodes", "fx_vnodes", "fx_vnotes")
 
 
 # These read no text of a node: they build on its keys, so no texts are written for them.

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.ordering import union_all
 from docloom.operators import graph as g
-from docloom.plans.fixtures import RELATIONS, add_table, fixture, oracle, pad, stage
+from docloom.plans.fixtures import RELATIONS, add_table, fixture, oracle, pad, stage, unstaged
 
 QUERIES, ORACLES = {}, {}
 
@@ -262,7 +262,7 @@ def merge_graphs(spark, sf):
     variants = tables["fx_vnodes"].select("doc_id", "variant").distinct().withColumn("sha256", strange)
     # A document of which one variant has no node still has that variant.
     variants = variants.unionByName(variants.select("doc_id").distinct().select("doc_id", F.explode(F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint"))).alias("variant")).withColumn("sha256", strange)).distinct()
-    out = g.merge_graphs(variants, fixture(spark, sf, "fx_units"), tables["fx_vnodes"], tables["fx_vunits"], tables["fx_vconcepts"], tables["fx_vedges"], tables["fx_vframes"], tables["fx_vnotes"])
+    out = g.merge_graphs(variants, unstaged(spark, sf, "fx_units"), tables["fx_vnodes"], tables["fx_vunits"], tables["fx_vconcepts"], tables["fx_vedges"], tables["fx_vframes"], tables["fx_vnotes"])
     part = lambda df, name, a=None, b=None, c=None, n=None: df.select("doc_id", F.lit(name).alias("part"), *[(F.lit(None) if x is None else x if isinstance(x, Column) else F.col(x)).cast(kind).alias(y)
                                                                    for x, y, kind in ((a, "a", "string"), (b, "b", "string"), (c, "c", "string"), (n, "n", "bigint"))])
     notes = out["node_annotations"].groupBy("doc_id", "node_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "annotation"))), lambda x: x["annotation"]), ",").alias("notes"))

@@ -327,6 +327,15 @@ def test_merging_shuffles_no_text_to_refuse_documents(spark, tmp_path, monkeypat
     assert not any(r.doc_id == 4 and r.part != "refused" for r in out)
 
 
+def test_merging_writes_no_lines_of_documents(spark, tmp_path):
+    from docloom.plans import fixtures, graph
+
+    sf = small_corpus(spark, tmp_path)
+    assert graph.merge_graphs(spark, sf).collect()
+    paths = {name: path for (_, folder, name), path in fixtures._STAGED.items() if folder == sf}
+    assert not [name for name, path in paths.items() if {"text", "src_text", "title"} & set(spark.read.parquet(path).columns)]
+
+
 def test_salvage_moves_no_text_for_numbers_or_plain_units(spark):
     items = spark.createDataFrame([(1, "c", 4, "claim", "x", "", None, ["u1", "u9"]), (1, "c", 7, "code", "y", "", None, ["u2"]), (2, "c", 0, "claim", "z", "", None, ["u1"])],
                                   "doc_id bigint, chunk_id string, idx bigint, kind string, text string, need string, gap_type string, source_unit_ids array<string>")
